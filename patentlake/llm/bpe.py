@@ -125,7 +125,7 @@ def encode_texts(docs: DataFrame, text: str = "text", path: str | None = None, c
             near = [[b for b in bs if b <= overlap or b >= chunk] for bs in found]
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("row", "part", "start")), pa.array([len(c) for c in batch.column("chunk").to_pylist()], pa.int64()), pa.array(near, pa.list_(pa.int64()))], names=["row", "part", "start", "len", "near"])
 
-    def join_cuts(key, table: pa.Table) -> pa.Table:
+    def join_cuts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["part"])
         cuts = stitch([(r["start"], r["len"], r["near"]) for r in rows])
         if cuts is None:  # one pre-token longer than the overlap: the row is encoded whole

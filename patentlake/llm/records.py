@@ -37,6 +37,7 @@ from patentlake.llm.tokens import WordEncoder, batches, vocabulary_path
 END_ID = 1
 _LENGTH, _CRC, _HEAD, _PLACE = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<Bq"), struct.Struct("<QQ")
 FRAME_BYTES = _LENGTH.size + 2 * _CRC.size
+PLACE_BYTES = _PLACE.size
 READ_BYTES = 1 << 22
 
 
@@ -71,6 +72,14 @@ def unframe(data: bytes, at: int = 0) -> tuple[bytes, int] | None:
     return payload, hi + _CRC.size
 
 
+def payload_for(doc: int | None, ids: bytes) -> bytes:
+    return _HEAD.pack(doc is not None, doc or 0) + ids
+
+
+def place(at: int, size: int) -> bytes:
+    return _PLACE.pack(at, size)
+
+
 def unpack(payload: bytes) -> tuple[int | None, bytes]:
     has, doc = _HEAD.unpack_from(payload)
     return (doc if has else None), payload[_HEAD.size :]
@@ -124,9 +133,9 @@ def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: st
                     out, index = store.open_output_stream(f"{part}.rec"), store.open_output_stream(f"{part}.idx")
                 places, frames = [], []
                 for doc, got in zip(ids[i:j], encoder.encode(texts), strict=True):
-                    payload = _HEAD.pack(doc is not None, doc or 0) + got + end
+                    payload = payload_for(doc, got + end)
                     frames.append(frame(payload))
-                    places.append(_PLACE.pack(at, len(payload)))
+                    places.append(place(at, len(payload)))
                     at += len(payload) + FRAME_BYTES
                     n_ids += len(got) // 4 + 1
                 n_docs += j - i
@@ -191,7 +200,7 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int = 0) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 store, root = fs.FileSystem.from_uri(path)
                 with store.open_input_stream(f"{root}.idx") as handle:
-                    while block := handle.read(_PLACE.size * 65536):
+                    while block := handle.read(PLACE_BYTES * 65536):
                         rows = np.frombuffer(block, dtype="<u8").reshape(-1, 2).astype(np.int64)
                         yield pa.RecordBatch.from_arrays([pa.array([path] * len(rows)), pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["path", "at", "size"])
 

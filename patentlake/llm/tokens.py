@@ -3,8 +3,9 @@
 Texts reach the tokenizer in batches balanced by bytes; a text longer than a piece is
 split at ASCII white space. That is a safe boundary for this kind of tokenizer: its
 pre-tokens never cross white space, no canonical composition joins a space to what
-follows, and special strings hold no space. Each distinct white-space separated word of
-a batch is encoded once, and the encodings of words seen before are kept in a table of
+follows, and special strings hold no space. A boundary between a letter and ASCII
+punctuation is as safe. Each distinct part between boundaries is encoded once in a batch,
+many parts to a call, and the encodings of parts seen before are kept in a table of
 bounded size, so that common words cost one look-up.
 """
 
@@ -30,8 +31,12 @@ PIECE_BYTES = 1 << 16
 TABLE_BYTES = 96 << 20
 
 _SPACE = re.compile(rb"[ \t\n\v\f\r]")
-#: a run of letters that ASCII punctuation follows: pre-tokens of their own
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ſ]+)([!-/:-@\\[-`{-~]+)")
+#: an ASCII or Latin-1 letter that ASCII punctuation follows: a pre-token ends between them
+_EDGE = re.compile(rb"([a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])(?=[!-/:-@\[-`{-~])")
+#: words that are one pre-token: letters alone, or ASCII punctuation alone
+_SINGLE = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[!-/:-@\[-`{-~]+")
+#: what opens a special string, within which no text is cut or changed
+_SPECIAL = b"<|"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -63,39 +68,50 @@ class WordEncoder:
         self.table: dict[bytes, bytes] = {}
         self.held = 0
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in out]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def learn(self, found: set[bytes]) -> None:
-        new = [w for w in found if w not in self.table]
+    def _learn(self, found: set[bytes]) -> None:
         if self.held > TABLE_BYTES:
-            self.table, self.held, new = {}, 0, list(found)
-        parts: dict[str, bytes] = {}
-        split: list[tuple[bytes, tuple[str, ...]]] = []
-        for w in new:
-            s = w.decode("utf-8")
-            m = _PLAIN.fullmatch(s) if "<|" not in s else None
-            split.append((w, m.groups() if m else (s,)))
-        ask = list({p for _, ps in split for p in ps if p.encode() not in self.table})
-        parts = dict(zip(ask, self._encode(ask), strict=True)) if ask else {}
-        for p, ids in parts.items():
-            self._put(p.encode(), ids)
-        for w, ps in split:
-            if len(ps) > 1:
-                self._put(w, b"".join(self.table[p.encode()] for p in ps))
-
-    def _put(self, word: bytes, ids: bytes) -> None:
-        self.table[word] = ids
-        self.held += len(word) + len(ids) + 120
+            self.table, self.held = {}, 0
+        new = found - self.table.keys()
+        if not new:
+            return
+        # parts of each new word at its safe boundaries; b"\n".join keeps this at a few calls
+        words = [w for w in new if _SPECIAL not in w]
+        parts = [x.split() for x in _EDGE.sub(rb"\1 ", b"\n".join(words)).split(b"\n")] if words else []
+        whole = set().union(*parts).union(w for w in new if _SPECIAL in w) - self.table.keys()
+        single = [w for w in whole if _SINGLE.fullmatch(w)]
+        other = list(whole.difference(single))
+        for i in range(0, len(single), 4096):
+            some = single[i : i + 4096]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+            at = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            if len(at) != len(some) + 1:  # not a vocabulary with one word end for each pre-token
+                other += some
+                continue
+            raw = ids.tobytes()
+            self.table.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip(at, at[1:], strict=False)], strict=True))
+        if other:
+            out = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
+            self.table.update(zip(other, [np.asarray(e.ids, dtype="<u4").tobytes() for e in out], strict=True))
+        get = self.table.__getitem__
+        self.table.update((w, b"".join(map(get, ps))) for w, ps in zip(words, parts, strict=True) if len(ps) > 1)
+        self.held += sum(map(len, new)) + 150 * len(new)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; texts are encoded together."""
-        split = [[w for p in pieces(t, PIECE_BYTES) for w in p.split()] if len(t) > PIECE_BYTES else t.split() for t in texts]
-        self.learn(set().union(*split) if split else set())
+        split = [self._words(t) for t in texts]
+        self._learn(set().union(*split) if split else set())
         get = self.table.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
+    @staticmethod
+    def _words(text: bytes) -> list[bytes]:
+        text = text if _SPECIAL in text else text.lower()  # only A-Z; the tokenizer does so too
+        return [w for p in pieces(text, PIECE_BYTES) for w in p.split()] if len(text) > PIECE_BYTES else text.split()
+
 
 def batches(column: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
     """Rows of a column in runs balanced by bytes, as UTF-8; null is empty."""
