@@ -4,7 +4,8 @@ A shard is a file of records. A record frames one payload:
 
     length of the payload   unsigned 64 bit
     masked CRC-32 of those 8 bytes   unsigned 32 bit
-    payload: 1 byte (1: the document has an id), document id (signed 64 bit), ids (unsigned 32 bit each)
+    payload: 1 byte (1: the document has an id), 1 byte (bytes of an id: 2 if the vocabulary
+        has at most 65,536 ids, else 4), document id (signed 64 bit), ids (unsigned)
     masked CRC-32 of the payload   unsigned 32 bit
 
 all little-endian. A mask rotates the checksum right by 15 bits and adds 0xA282EAD8, so
@@ -32,10 +33,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patentlake.llm._io import new_folder
-from patentlake.llm.tokens import WordEncoder, batches, vocabulary_path
+from patentlake.llm.tokens import batches, vocabulary_path, word_encoder
 
 END_ID = 1
-_LENGTH, _CRC, _HEAD, _PLACE = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<Bq"), struct.Struct("<QQ")
+_LENGTH, _CRC, _HEAD, _PLACE = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BBq"), struct.Struct("<QQ")
 FRAME_BYTES = _LENGTH.size + 2 * _CRC.size
 PLACE_BYTES = _PLACE.size
 READ_BYTES = 1 << 22
@@ -72,8 +73,8 @@ def unframe(data: bytes, at: int = 0) -> tuple[bytes, int] | None:
     return payload, hi + _CRC.size
 
 
-def payload_for(doc: int | None, ids: bytes) -> bytes:
-    return _HEAD.pack(doc is not None, doc or 0) + ids
+def payload_for(doc: int | None, ids: bytes, width: int) -> bytes:
+    return _HEAD.pack(doc is not None, width, doc or 0) + ids
 
 
 def place(at: int, size: int) -> bytes:
@@ -81,8 +82,10 @@ def place(at: int, size: int) -> bytes:
 
 
 def unpack(payload: bytes) -> tuple[int | None, bytes]:
-    has, doc = _HEAD.unpack_from(payload)
-    return (doc if has else None), payload[_HEAD.size :]
+    """Document id, and ids as little-endian unsigned 32-bit integers."""
+    has, width, doc = _HEAD.unpack_from(payload)
+    ids = payload[_HEAD.size :]
+    return (doc if has else None), ids if width == 4 else np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes()
 
 
 def stream(handle) -> Iterator[bytes]:
@@ -115,14 +118,14 @@ def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: st
     path = path or vocabulary_path()
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     spread = source.repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"))
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         shard = task.partitionId()
         store, root = fs.FileSystem.from_uri(folder)
         name, part = f"{root}/shard-{shard:06d}", f"{root}/_writing-{shard:06d}-{task.taskAttemptId()}"
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
+        end = np.array([end_id], dtype=encoder.kind).tobytes()
         n_docs = n_ids = at = 0
         out = index = None
         for batch in it:
@@ -133,11 +136,11 @@ def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: st
                     out, index = store.open_output_stream(f"{part}.rec"), store.open_output_stream(f"{part}.idx")
                 places, frames = [], []
                 for doc, got in zip(ids[i:j], encoder.encode(texts), strict=True):
-                    payload = payload_for(doc, got + end)
+                    payload = payload_for(doc, got + end, encoder.width)
                     frames.append(frame(payload))
                     places.append(place(at, len(payload)))
                     at += len(payload) + FRAME_BYTES
-                    n_ids += len(got) // 4 + 1
+                    n_ids += len(got) // encoder.width + 1
                 n_docs += j - i
                 out.write(b"".join(frames))
                 index.write(b"".join(places))

@@ -11,6 +11,7 @@ bounded size, so that common words cost one look-up.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -28,7 +29,7 @@ BATCH_BYTES = 1 << 20
 #: longer texts are split at white space
 PIECE_BYTES = 1 << 16
 #: bytes of words and ids kept between batches
-TABLE_BYTES = 96 << 20
+TABLE_BYTES = 160 << 20
 
 _SPACE = re.compile(rb"[ \t\n\v\f\r]")
 #: an ASCII or Latin-1 letter that ASCII punctuation follows: a pre-token ends between them
@@ -58,7 +59,7 @@ def pieces(text: bytes, limit: int) -> Iterator[bytes]:
 
 
 class WordEncoder:
-    """Ids of white-space separated words, as little-endian unsigned 32-bit integers."""
+    """Ids of white-space separated words, as little-endian unsigned integers of `width` bytes."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -70,6 +71,8 @@ class WordEncoder:
 
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.width = 2 if len(self.ends) <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _learn(self, found: set[bytes]) -> None:
@@ -86,19 +89,19 @@ class WordEncoder:
         other = list(whole.difference(single))
         for i in range(0, len(single), 4096):
             some = single[i : i + 4096]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+            ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, dtype=self.kind)
             at = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
             if len(at) != len(some) + 1:  # not a vocabulary with one word end for each pre-token
                 other += some
                 continue
             raw = ids.tobytes()
-            self.table.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip(at, at[1:], strict=False)], strict=True))
+            self.table.update(zip(some, [raw[self.width * a : self.width * b] for a, b in zip(at, at[1:], strict=False)], strict=True))
         if other:
             out = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
-            self.table.update(zip(other, [np.asarray(e.ids, dtype="<u4").tobytes() for e in out], strict=True))
+            self.table.update(zip(other, [np.asarray(e.ids, dtype=self.kind).tobytes() for e in out], strict=True))
         get = self.table.__getitem__
         self.table.update((w, b"".join(map(get, ps))) for w, ps in zip(words, parts, strict=True) if len(ps) > 1)
-        self.held += sum(map(len, new)) + 150 * len(new)
+        self.held += sum(map(len, new)) + 180 * len(new)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; texts are encoded together."""
@@ -113,6 +116,12 @@ class WordEncoder:
         return [w for p in pieces(text, PIECE_BYTES) for w in p.split()] if len(text) > PIECE_BYTES else text.split()
 
 
+@functools.lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One for all tasks of a Python worker, so that words met by earlier tasks are known."""
+    return WordEncoder(path)
+
+
 def batches(column: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
     """Rows of a column in runs balanced by bytes, as UTF-8; null is empty."""
     for i, j, data, offs in text_slices(column, limit):
@@ -133,13 +142,13 @@ def count_tokens(docs: DataFrame, text: str = "text", path: str | None = None, l
     source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
         for batch in it:
             column, n = batch.column("text"), batch.num_rows
             size, count = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
             for i, j, texts in batches(column):
                 size[i:j] = [len(t) for t in texts]
-                count[i:j] = [len(ids) // 4 for ids in encoder.encode(texts)]
+                count[i:j] = [len(ids) // encoder.width for ids in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(size), pa.array(count), pa.array(count > limit)], names=[*names, "n_bytes", "n_tokens", "over_limit"])
 
     kinds = "".join(f"{n} {source.schema[n].dataType.simpleString()}, " for n in names)
