@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentlake.llm import bpe, decontaminate, media, minhash, quality, records, tokens
+from patentlake.llm import bpe, decontaminate, media, minhash, quality, records, suffix_dedup, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,11 +40,15 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+
+
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_token_records, op4_quality, op6_minhash, op7_byte_bpe, op10_media)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_token_records, op4_quality, op6_minhash, op7_byte_bpe, op9_suffix_dedup, op10_media)}
 
 #: distinct windows of items meet every run of as many document words
 OP2_SQL = r"""
