@@ -6,16 +6,15 @@ of one from either collection is the key of a table: side * side tables from
 of similarity s share a table unless all of one collection differ, at most
 2 * (1 - s^rows)^side: under 8e-5 at 0.85 with the defaults, 5e-6 at 0.9.
 
-Equal sets are one class first. In a table's group no set is compared with all others:
+Equal sets are one class first. Members of a table's group are never all compared with
+each other:
 
-1. All are verified against the group's least set (its centre). Those linked to it are
-   connected, whatever else links them.
-2. Of the others, one can only link to a set linked to the centre if it is itself near the
-   centre: distances 1 - J are a metric, so a set of distance over 2 * (1 - t) from the
-   centre has no link to sets within 1 - t of it. The few between are compared with
-   those linked.
-3. The others form a smaller group with a new centre, and so on; what remains after
-   `rounds` is compared in full, so that no candidate is lost.
+1. In `side` of the tables each member is verified against its group's least one (its
+   centre). That links most of a large group of copies, and the links become components.
+2. Only groups of the tables that still hold several components can add anything. There
+   each member is verified against the group's centre if that is in another component.
+3. What still lies in different components of one group is compared in full, if lengths
+   and minima allow a link, so that no candidate is lost.
 
 Before texts are fetched, pairs must pass a length bound and have at least `agree` of the
 minima in common (fewer than one in a million linked pairs fall below). What is left is
@@ -38,7 +37,6 @@ from patentlake.llm.components import components
 SHINGLE = 5
 SIDE = 8
 ROWS = 2
-ROUNDS = 3
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -131,49 +129,47 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return full.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, both long, union long").dropDuplicates(["a", "b"])
 
 
-def links(reps: DataFrame, texts: DataFrame, percent: int, side: int, rows: int, shingle: int, rounds: int) -> DataFrame:
-    """All candidate pairs (u, v) of reps (id: their key, n, sig) whose sets meet the threshold."""
+def links(reps: DataFrame, texts: DataFrame, percent: int, side: int, rows: int, shingle: int) -> DataFrame:
+    """Links (u, v) between reps (id: their key, n, sig) that give the components of all candidate pairs that meet the threshold."""
     n_minima = 2 * side * rows
     t = percent / 100
-    least = lambda j: max(0, int(np.floor(n_minima * j - 5 * np.sqrt(n_minima * j * (1 - j)))))  # noqa: E731  five deviations below
-    agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    near_j = max(0.0, 1 - 2 * (1 - t))
-
-    def promising(pairs: DataFrame, j: float) -> DataFrame:
-        """Pairs (a, b) that may reach similarity j, by lengths and by minima in common."""
-        a, b = (reps.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}")) for x in "ab")
-        sized = pairs.join(a, "a").join(b, "b").where(F.least("na", "nb") >= F.greatest("na", "nb") * j)
-        return sized.where(agree >= least(j)).select("a", "b")
-
-    keys = reps.select("id", F.explode(table_keys(F.col("sig"), side, rows)).alias("key"))
-    centres = keys.groupBy("key").agg(F.min("id").alias("c"), F.count("*").alias("size")).where("size > 1")
-    members = written(keys.join(centres, "key").where("id <> c").select("key", "id", "c"), "members")
-    done = None  # verified pairs with their sizes
-    for k in range(rounds):
+    agree = int(n_minima * t - 5 * np.sqrt(n_minima * t * (1 - t)))  # five deviations below the mean
+    short = reps.select("id", "n", F.transform("sig", lambda x: F.shiftright(x, 16).cast("short")).alias("sig"))
+    may_link = (F.least("na", "nb") >= F.greatest("na", "nb") * t) & (F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) >= agree)
+    side_of = {x: short.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}")) for x in "ab"}
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        both = _verify(pairs, texts, shingle).where(100 * F.col("both") >= percent * F.col("union"))
+        return written(both.select(F.col("a").alias("u"), F.col("b").alias("v")), name)
+
+    def against_centres(members: DataFrame, name: str) -> DataFrame:
         asked = members.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
-        if done is not None:
-            asked = asked.join(done, ["a", "b"], "left_anti")
-        got = written(_verify(promising(asked, near_j), texts, shingle), "verified")
-        done = got if done is None else done.unionByName(got)
-        state = members.join(done.select(F.col("a").alias("c"), F.col("b").alias("id"), (100 * F.col("both") >= percent * F.col("union")).alias("linked"), (F.col("both") >= near_j * F.col("union")).alias("near")), ["c", "id"], "left")
-        state = written(state.select("key", "id", "c", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("near", F.lit(False)).alias("near")), "state")
-        near = state.where("near and not linked").select("key", F.col("id").alias("b"))
-        between = near.join(state.where("linked").select("key", F.col("id").alias("a")), "key").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        done = done.unionByName(written(_verify(promising(between.join(done, ["a", "b"], "left_anti"), t), texts, shingle), "between"))
-        rest = state.where("not linked").select("key", "id")
-        if k == rounds - 1:
-            other = rest.select("key", F.col("id").alias("b"))
-            pairs = rest.select("key", F.col("id").alias("a")).join(other, "key").where("a < b").select("a", "b").distinct()
-            done = done.unionByName(_verify(promising(pairs.join(done, ["a", "b"], "left_anti"), t), texts, shingle))
-        else:
-            again = rest.groupBy("key").agg(F.min("id").alias("c"), F.count("*").alias("size")).where("size > 1")
-            members = written(rest.join(again, "key").where("id <> c").select("key", "id", "c"), "members")
-            if members.isEmpty():
-                break
-    return done.where(100 * F.col("both") >= percent * F.col("union")).select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, side: int = SIDE, rows: int = ROWS, shingle: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
+        return verified(asked.join(side_of["a"], "a").join(side_of["b"], "b").where(may_link).select("a", "b"), name)
+
+    def in_components(keyed: DataFrame, found: DataFrame) -> DataFrame:
+        return keyed.join(components(found).withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+
+    def mixed(keyed: DataFrame) -> DataFrame:
+        """Members of groups with several components, with the group's centre c and its component."""
+        groups = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.struct("id", "component")).alias("at")).where("lo < hi")
+        return keyed.join(groups.select("key", F.col("at.id").alias("c"), F.col("at.component").alias("main")), "key")
+
+    keys = table_keys(F.col("sig"), side, rows)
+    few = reps.select("id", F.explode(F.array(*(keys[i * side + i] for i in range(side)))).alias("key"))
+    centres = few.groupBy("key").agg(F.min("id").alias("c"), F.count("*").alias("size")).where("size > 1")
+    found = against_centres(few.join(centres, "key").where("id <> c"), "links1")
+    each = reps.join(components(found).withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.explode(keys).alias("key"))
+    members = written(mixed(each), "mixed")
+    found = found.unionByName(against_centres(members.where("component <> main"), "links2"))
+    members = mixed(in_components(members.select("key", "id"), found)).join(short, "id")
+    left = members.where("component <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("component").alias("ca"), "main")
+    right = members.select(F.col("key").alias("kb"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"), F.col("component").alias("cb"))
+    apart = (F.col("key") == F.col("kb")) & ((F.col("cb") == F.col("main")) | (F.col("ca") < F.col("cb"))) & may_link
+    pairs = left.join(right, apart).select("a", "b").distinct()
+    return found.unionByName(verified(pairs, "links3"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, side: int = SIDE, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """Every row of docs with n_shingles, component_id and kept; its text is kept.
 
     Texts that are null, empty or without words have no shingles and are linked with
@@ -189,7 +185,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     plain = docs.where(id_.isNotNull()).select(key.alias("key"), id_.alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     found = written(signatures(plain, side, rows, shingle), "signatures").where("n > 0")
     reps = written(found.groupBy("n", "h1", "h2").agg(F.min(F.struct("id", "key")).alias("least"), F.first("sig").alias("sig")).select("n", "h1", "h2", "least.id", "least.key", "sig"), "representatives")
-    pairs = links(reps.select(F.col("key").alias("id"), "n", "sig"), plain, percent, side, rows, shingle, rounds)
+    pairs = links(reps.select(F.col("key").alias("id"), "n", "sig"), plain, percent, side, rows, shingle)
     classes = components(pairs).join(reps.select(F.col("key").alias("node"), "id"), "node")
     least = classes.groupBy("component").agg(F.min("id").alias("least"))
     of_rep = reps.join(classes.join(least, "component").select(F.col("node").alias("key"), "least"), "key", "left")
