@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentlake.llm import bpe, decontaminate, media, minhash, quality, records, suffix_dedup, tokens
+from patentlake.llm import bpe, decontaminate, html_wrapper, media, minhash, pii, quality, records, suffix_dedup, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract_pages(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -40,6 +44,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
 
@@ -48,7 +57,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_token_records, op4_quality, op6_minhash, op7_byte_bpe, op9_suffix_dedup, op10_media)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_token_records, op4_quality, op5_html_wrapper, op6_minhash, op7_byte_bpe, op8_pii, op9_suffix_dedup, op10_media)}
 
 #: distinct windows of items meet every run of as many document words
 OP2_SQL = r"""
