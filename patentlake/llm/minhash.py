@@ -17,7 +17,8 @@ each other:
    and minima allow a link, so that no candidate is lost.
 
 Before texts are fetched, pairs must pass a length bound and have at least `agree` of the
-minima in common (fewer than one in a million linked pairs fall below). What is left is
+minima, and of `FURTHER` ones that no table uses, in common (five deviations below what a
+linked pair has on average). What is left is
 verified on the full shingle sets. Links become components in the cluster.
 """
 
@@ -37,6 +38,8 @@ from patentlake.llm.components import components
 SHINGLE = 5
 SIDE = 8
 ROWS = 2
+#: minima that only sharpen the estimate by which candidates are dropped
+FURTHER = 64
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -81,9 +84,9 @@ def minima(sets: np.ndarray, offs: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, side: int = SIDE, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
+def signatures(docs: DataFrame, side: int = SIDE, rows: int = ROWS, shingle: int = SHINGLE, further: int = FURTHER) -> DataFrame:
     """key, id, n (set size), h1 and h2 (together the set's identity) and sig (minima) of docs (key, id, text)."""
-    n_minima = 2 * side * rows
+    n_minima = 2 * side * rows + further
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -131,7 +134,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
 
 def links(reps: DataFrame, texts: DataFrame, percent: int, side: int, rows: int, shingle: int) -> DataFrame:
     """Links (u, v) between reps (id: their key, n, sig) that give the components of all candidate pairs that meet the threshold."""
-    n_minima = 2 * side * rows
+    n_minima = 2 * side * rows + FURTHER
     t = percent / 100
     agree = int(n_minima * t - 5 * np.sqrt(n_minima * t * (1 - t)))  # five deviations below the mean
     short = reps.select("id", "n", F.transform("sig", lambda x: F.shiftright(x, 16).cast("short")).alias("sig"))
