@@ -27,6 +27,13 @@ from patentlake.llm.tokens import vocabulary_path
 RANKS = "byte_bpe_multi_50k.tiktoken"
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
+ROWS = 256  # taken from a record batch at a time, to bound what a worker holds
+
+
+def small(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -107,7 +114,7 @@ def encode_texts(docs: DataFrame, text: str = "text", path: str | None = None, c
     kinds = "".join(f"{n} {source.schema[n].dataType.simpleString()}, " for n in names)
 
     def whole(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in small(it):
             ids = [encode_in_chunks(t, path, chunk, overlap).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(ids, type=pa.binary())], names=[*names, "ids"])
 
@@ -170,7 +177,7 @@ def decode_ids(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(path)
-        for batch in it:
+        for batch in small(it):
             out = [enc.decode_bytes(np.frombuffer(x or b"", dtype="<u4").tolist()) for x in batch.column("ids").to_pylist()]
             kept = [c for c in names if c != "decoded"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.binary())], names=[*kept, "decoded"])
