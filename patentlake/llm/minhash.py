@@ -9,17 +9,22 @@ of similarity s share a table unless all of one collection differ, at most
 Equal sets are one class first. Members of a table's group are never all compared with
 each other:
 
-1. In `side` of the tables each member is verified against its group's least one (its
-   centre). That links most of a large group of copies, and the links become components.
+1. In `side` of the tables each member is verified against its group's centre: the member
+   that shares these tables with most others, so in a group of copies the text they come
+   from. That links most of a large group, and the links become components.
 2. Only groups of the tables that still hold several components can add anything. There
    each member is verified against the group's centre if that is in another component.
-3. What still lies in different components of one group is compared in full, if lengths
-   and minima allow a link, so that no candidate is lost.
+3. What then lies in different components of groups with one centre is joined by prefixes.
+   A member's shingles are ordered: those that its centre lacks, rarest first, then those
+   that it shares with the centre. Two sets meet the threshold only if they share one of
+   their first shingles at positions that leave enough after them, and if their distances
+   to the centre differ by no more than a linked pair's do. Copies with changes of their
+   own begin with shingles that nothing else has, so they meet in no row; no candidate
+   that could be linked is lost.
 
 Before texts are fetched, pairs must pass a length bound and have at least `agree` of the
-minima, and of `FURTHER` ones that no table uses, in common (five deviations below what a
-linked pair has on average). What is left is
-verified on the full shingle sets. Links become components in the cluster.
+minima in common (five deviations below what a linked pair has on average). What is left
+is verified on the full shingle sets. Links become components in the cluster.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patentlake.llm._io import written
@@ -38,8 +43,6 @@ from patentlake.llm.components import components
 SHINGLE = 5
 SIDE = 8
 ROWS = 2
-#: minima that only sharpen the estimate by which candidates are dropped
-FURTHER = 64
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -84,9 +87,9 @@ def minima(sets: np.ndarray, offs: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, side: int = SIDE, rows: int = ROWS, shingle: int = SHINGLE, further: int = FURTHER) -> DataFrame:
+def signatures(docs: DataFrame, side: int = SIDE, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """key, id, n (set size), h1 and h2 (together the set's identity) and sig (minima) of docs (key, id, text)."""
-    n_minima = 2 * side * rows + further
+    n_minima = 2 * side * rows
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -107,69 +110,119 @@ def table_keys(sig: Column, side: int, rows: int) -> Column:
     return F.array(*(F.xxhash64(F.lit(i * side + j), a, b) for i, a in enumerate(first) for j, b in enumerate(second)))
 
 
+def _texts_of(pairs: DataFrame, texts: DataFrame, a: str, b: str) -> DataFrame:
+    """pairs with the texts ta and tb of their columns a and b; rows of one a come together."""
+    right = pairs.join(texts.select(F.col("key").alias(b), F.col("text").alias("tb")), b)
+    return right.join(texts.select(F.col("key").alias(a), F.col("text").alias("ta")), a)
+
+
+def _sets_of(batch: pa.RecordBatch, a: str, shingle: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Row, set of ta and set of tb of each row; a set of ta serves all rows of its a that follow each other."""
+    ids, left = batch.column(a).to_numpy(zero_copy_only=False), batch.column("ta")
+    kept, a_set = None, None
+    for i, j, data, offs in text_slices(batch.column("tb")):
+        sets, at = shingle_sets(data, offs, shingle)
+        for r in range(i, j):
+            if kept != ids[r]:
+                (_, _, d, o), *_ = text_slices(left[r : r + 1])
+                kept, a_set = ids[r], shingle_sets(d, o, shingle)[0]
+            yield r, a_set, sets[at[r - i] : at[r - i + 1]]
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """Exact size of the intersection and union of pairs (a, b) of representatives, on their full sets."""
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             both, union = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows, dtype=np.int64)
-            kept, a_set = None, None
-            left = batch.column("ta")
-            ids = batch.column("a").to_numpy(zero_copy_only=False)
-            for i, j, data, offs in text_slices(batch.column("tb")):
-                sets, at = shingle_sets(data, offs, shingle)
-                for r in range(i, j):
-                    if kept != ids[r]:
-                        (_, _, d, o), *_ = text_slices(left[r : r + 1])
-                        kept, a_set = ids[r], shingle_sets(d, o, shingle)[0]
-                    b_set = sets[at[r - i] : at[r - i + 1]]
-                    n = int(np.isin(b_set, a_set, assume_unique=True).sum()) if len(b_set) else 0
-                    both[r], union[r] = n, len(a_set) + len(b_set) - n
+            for r, a_set, b_set in _sets_of(batch, "a", shingle):
+                both[r] = n = int(np.isin(b_set, a_set, assume_unique=True).sum())
+                union[r] = len(a_set) + len(b_set) - n
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both), pa.array(union)], names=["a", "b", "both", "union"])
 
-    right = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
-    full = right.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
-    return full.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, both long, union long").dropDuplicates(["a", "b"])
+    return _texts_of(pairs, texts, "a", "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, both long, union long").dropDuplicates(["a", "b"])
+
+
+def _against_centre(members: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Shingles of members (c, id) by which they can meet: all that c lacks, and as many others as a prefix may need.
+
+    n is the set's size, d its distance to c's set, own whether c lacks the shingle, and
+    at the position of one that c has (those come last, by their hash).
+    """
+
+    def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            cs, ids = batch.column("c").to_numpy(zero_copy_only=False), batch.column("id").to_numpy(zero_copy_only=False)
+            for r, c_set, own_set in _sets_of(batch, "c", shingle):
+                n = len(own_set)
+                known = np.isin(own_set, c_set, assume_unique=True)
+                own, rest = own_set[~known], own_set[known]
+                d = len(own) + len(c_set) - len(rest)
+                rest = rest[: max(0, n * (100 - percent) // 100 + 1 - len(own))]
+                token, m = np.concatenate([own, rest]).view(np.int64), len(own) + len(rest)
+                at = np.arange(m, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, x)) for x in (cs[r], ids[r], n, d)] + [pa.array(at < len(own)), pa.array(token), pa.array(at)], names=["c", "id", "n", "d", "own", "token", "at"])
+
+    return _texts_of(members, texts, "c", "id").select("c", "id", "ta", "tb").mapInArrow(run, "c long, id long, n long, d long, own boolean, token long, at long")
+
+
+def _prefix_pairs(members: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Pairs (a, b) of members (c, id, component, main) of one centre that can be linked and are in different components."""
+    tokens = written(_against_centre(members.select("c", "id"), texts, percent, shingle), "tokens")
+    own = tokens.where("own")
+    often = own.groupBy("c", "token").agg(F.count("*").alias("often"))
+    first = F.row_number().over(Window.partitionBy("c", "id").orderBy("often", "token")) - 1
+    ranked = own.join(often, ["c", "token"]).withColumn("at", first.cast("long")).where("often > 1")
+    prefix = ranked.select(tokens.columns).unionByName(tokens.where("not own")).where(F.col("at") <= F.floor(F.col("n") * (100 - percent) / 100))
+    prefix = written(prefix.join(members, ["c", "id"]).select("c", "token", "id", "n", "d", "at", "component", "main"), "prefixes")
+    left = prefix.where("component <> main").select("c", "token", *(F.col(x).alias(f"{x}a") for x in ("id", "n", "d", "at", "component")))
+    right = prefix.select("c", "token", "main", *(F.col(x).alias(f"{x}b") for x in ("id", "n", "d", "at", "component")))
+    both = F.col("na") + F.col("nb")
+    enough = (100 + percent) * F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) >= percent * both
+    near = (100 + percent) * F.abs(F.col("da") - F.col("db")) <= (100 - percent) * both
+    apart = (F.col("componentb") == F.col("main")) | (F.col("componenta") < F.col("componentb"))
+    return left.join(right, ["c", "token"]).where(enough & near & apart).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
 
 
 def links(reps: DataFrame, texts: DataFrame, percent: int, side: int, rows: int, shingle: int) -> DataFrame:
     """Links (u, v) between reps (id: their key, n, sig) that give the components of all candidate pairs that meet the threshold."""
-    n_minima = 2 * side * rows + FURTHER
+    n_minima = 2 * side * rows
     t = percent / 100
     agree = int(n_minima * t - 5 * np.sqrt(n_minima * t * (1 - t)))  # five deviations below the mean
     short = reps.select("id", "n", F.transform("sig", lambda x: F.shiftright(x, 16).cast("short")).alias("sig"))
-    may_link = (F.least("na", "nb") >= F.greatest("na", "nb") * t) & (F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) >= agree)
+    may_link = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) >= agree)
     side_of = {x: short.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}")) for x in "ab"}
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
+    def verified(asked: DataFrame, name: str) -> DataFrame:
+        pairs = asked.join(side_of["a"], "a").join(side_of["b"], "b").where(may_link).select("a", "b")
         both = _verify(pairs, texts, shingle).where(100 * F.col("both") >= percent * F.col("union"))
         return written(both.select(F.col("a").alias("u"), F.col("b").alias("v")), name)
 
     def against_centres(members: DataFrame, name: str) -> DataFrame:
-        asked = members.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
-        return verified(asked.join(side_of["a"], "a").join(side_of["b"], "b").where(may_link).select("a", "b"), name)
+        return verified(members.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct(), name)
 
     def in_components(keyed: DataFrame, found: DataFrame) -> DataFrame:
-        return keyed.join(components(found).withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        return keyed.join(components(found).withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
 
     def mixed(keyed: DataFrame) -> DataFrame:
-        """Members of groups with several components, with the group's centre c and its component."""
-        groups = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.struct("id", "component")).alias("at")).where("lo < hi")
+        """Members of groups with several components, with the group's centre c and its component main."""
+        groups = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(F.struct("shared", "id", "component")).alias("at")).where("lo < hi")
         return keyed.join(groups.select("key", F.col("at.id").alias("c"), F.col("at.component").alias("main")), "key")
 
     keys = table_keys(F.col("sig"), side, rows)
     few = reps.select("id", F.explode(F.array(*(keys[i * side + i] for i in range(side)))).alias("key"))
-    centres = few.groupBy("key").agg(F.min("id").alias("c"), F.count("*").alias("size")).where("size > 1")
+    sizes = few.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    few = written(few.join(sizes, "key"), "tables")
+    shared = few.groupBy("id").agg(F.sum("size").alias("shared"))
+    few = few.join(shared, "id")
+    centres = few.groupBy("key").agg(F.max(F.struct("shared", "id")).alias("at")).select("key", F.col("at.id").alias("c"))
     found = against_centres(few.join(centres, "key").where("id <> c"), "links1")
-    each = reps.join(components(found).withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.explode(keys).alias("key"))
-    members = written(mixed(each), "mixed")
+    each = in_components(reps.join(shared, "id", "left").select("id", "sig", F.coalesce("shared", F.lit(0)).alias("shared")), found)
+    members = written(mixed(each.select("id", "component", "shared", F.explode(keys).alias("key"))), "mixed")
     found = found.unionByName(against_centres(members.where("component <> main"), "links2"))
-    members = mixed(in_components(members.select("key", "id"), found)).join(short, "id")
-    left = members.where("component <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("component").alias("ca"), "main")
-    right = members.select(F.col("key").alias("kb"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"), F.col("component").alias("cb"))
-    apart = (F.col("key") == F.col("kb")) & ((F.col("cb") == F.col("main")) | (F.col("ca") < F.col("cb"))) & may_link
-    pairs = left.join(right, apart).select("a", "b").distinct()
-    return found.unionByName(verified(pairs, "links3"))
+    members = mixed(in_components(members.select("key", "id", "shared"), found))
+    members = written(members.select("c", "id", "component", "main").distinct(), "apart")
+    return found.unionByName(verified(_prefix_pairs(members, texts, percent, shingle), "links3"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, side: int = SIDE, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
