@@ -14,13 +14,14 @@ each other:
    from. That links most of a large group, and the links become components.
 2. Only groups of the tables that still hold several components can add anything. There
    each member is verified against the group's centre if that is in another component.
-3. What then lies in different components of groups with one centre is joined by prefixes.
-   A member's shingles are ordered: those that its centre lacks, rarest first, then those
-   that it shares with the centre. Two sets meet the threshold only if they share one of
-   their first shingles at positions that leave enough after them, and if their distances
-   to the centre differ by no more than a linked pair's do. Copies with changes of their
-   own begin with shingles that nothing else has, so they meet in no row; no candidate
-   that could be linked is lost.
+3. What then lies in different components of groups with one centre is joined by prefixes
+   of differences. The symmetric difference of two sets is that of their differences to
+   the centre, so sets of sizes m and n, at distances d and e from it, are linked only if
+   these differences share (d + e - (m + n) (1 - t) / (1 + t)) / 2 shingles. That is
+   more than none where one of the sets isn't linked with the centre. Differences are
+   ordered by rarity; a shared shingle counts if its positions leave enough after them.
+   Copies with changes of their own thus hardly ever meet, and no candidate that could
+   be linked is lost.
 
 Before texts are fetched, pairs must pass a length bound and have at least `agree` of the
 minima in common (five deviations below what a linked pair has on average). What is left
@@ -143,45 +144,37 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return _texts_of(pairs, texts, "a", "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, both long, union long").dropDuplicates(["a", "b"])
 
 
-def _against_centre(members: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """Shingles of members (c, id) by which they can meet: all that c lacks, and as many others as a prefix may need.
-
-    n is the set's size, d its distance to c's set, own whether c lacks the shingle, and
-    at the position of one that c has (those come last, by their hash).
-    """
+def _against_centre(members: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """Shingles (token) that only one of member and centre has, of members (c, id); n is the set's size, d how many these are."""
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             cs, ids = batch.column("c").to_numpy(zero_copy_only=False), batch.column("id").to_numpy(zero_copy_only=False)
             for r, c_set, own_set in _sets_of(batch, "c", shingle):
-                n = len(own_set)
-                known = np.isin(own_set, c_set, assume_unique=True)
-                own, rest = own_set[~known], own_set[known]
-                d = len(own) + len(c_set) - len(rest)
-                rest = rest[: max(0, n * (100 - percent) // 100 + 1 - len(own))]
-                token, m = np.concatenate([own, rest]).view(np.int64), len(own) + len(rest)
-                at = np.arange(m, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, x)) for x in (cs[r], ids[r], n, d)] + [pa.array(at < len(own)), pa.array(token), pa.array(at)], names=["c", "id", "n", "d", "own", "token", "at"])
+                token = np.setxor1d(own_set, c_set, assume_unique=True).view(np.int64)
+                d = len(token)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(d, x, dtype=np.int64)) for x in (cs[r], ids[r], len(own_set), d)] + [pa.array(token)], names=["c", "id", "n", "d", "token"])
 
-    return _texts_of(members, texts, "c", "id").select("c", "id", "ta", "tb").mapInArrow(run, "c long, id long, n long, d long, own boolean, token long, at long")
+    return _texts_of(members, texts, "c", "id").select("c", "id", "ta", "tb").mapInArrow(run, "c long, id long, n long, d long, token long")
 
 
 def _prefix_pairs(members: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """Pairs (a, b) of members (c, id, component, main) of one centre that can be linked and are in different components."""
-    tokens = written(_against_centre(members.select("c", "id"), texts, percent, shingle), "tokens")
-    own = tokens.where("own")
-    often = own.groupBy("c", "token").agg(F.count("*").alias("often"))
+    """Pairs (a, b) of members (c, id, component, main) of one centre that can be linked and are in different components.
+
+    Those outside the centre's component main are not linked with the centre.
+    """
+    tokens = written(_against_centre(members.select("c", "id"), texts, shingle), "tokens")
+    often = tokens.groupBy("c", "token").agg(F.count("*").alias("often"))
     first = F.row_number().over(Window.partitionBy("c", "id").orderBy("often", "token")) - 1
-    ranked = own.join(often, ["c", "token"]).withColumn("at", first.cast("long")).where("often > 1")
-    prefix = ranked.select(tokens.columns).unionByName(tokens.where("not own")).where(F.col("at") <= F.floor(F.col("n") * (100 - percent) / 100))
+    ranked = tokens.join(often, ["c", "token"]).withColumn("at", first.cast("long"))
+    prefix = ranked.where((percent * F.col("at") <= (100 - percent) * F.col("n")) & (F.col("often") > 1))  # the most that any partner can leave
     prefix = written(prefix.join(members, ["c", "id"]).select("c", "token", "id", "n", "d", "at", "component", "main"), "prefixes")
     left = prefix.where("component <> main").select("c", "token", *(F.col(x).alias(f"{x}a") for x in ("id", "n", "d", "at", "component")))
     right = prefix.select("c", "token", "main", *(F.col(x).alias(f"{x}b") for x in ("id", "n", "d", "at", "component")))
-    both = F.col("na") + F.col("nb")
-    enough = (100 + percent) * F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) >= percent * both
-    near = (100 + percent) * F.abs(F.col("da") - F.col("db")) <= (100 - percent) * both
+    rest = F.least(F.col("da") - F.col("ata"), F.col("db") - F.col("atb"))
+    enough = (100 - percent) * (F.col("na") + F.col("nb")) >= (100 + percent) * (F.col("da") + F.col("db") - 2 * rest)
     apart = (F.col("componentb") == F.col("main")) | (F.col("componenta") < F.col("componentb"))
-    return left.join(right, ["c", "token"]).where(enough & near & apart).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+    return left.join(right, ["c", "token"]).where(enough & apart).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
 
 
 def links(reps: DataFrame, texts: DataFrame, percent: int, side: int, rows: int, shingle: int) -> DataFrame:

@@ -154,6 +154,23 @@ def test_near_duplicates(spark, edge, nothing):
     assert minhash.near_duplicates(edge).count() == len(EDGE) and minhash.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_below_the_threshold(spark):
+    """Many variants of texts, most just below the threshold to each other, with changes of their own and common ones."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(2):  # the first text itself is not there
+        base = [f"g{g}t{i}" for i in range(120)]
+        for k in range(150):
+            words = list(base)
+            for p in rng.integers(0, 120, int(rng.integers(1 - g, 7))):
+                words[p] = f"u{k if k % 2 else k % 7}-{p // 3}"
+            rows.append((1000 * g + k, " ".join(words[: 120 - int(rng.integers(0, 12))])))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_components(rows)
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+    assert len({c for _, _, c in want}) > 20 and max(collections.Counter(c for _, _, c in want).values()) > 20
+
+
 def test_suffix_dedup(spark, edge, nothing, monkeypatch):
     rng = np.random.default_rng(2)
     part = lambda n: "".join(rng.choice(list("abcdé ")) for _ in range(n))
