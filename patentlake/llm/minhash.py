@@ -20,6 +20,8 @@ each other:
    these differences share (d + e - (m + n) (1 - t) / (1 + t)) / 2 shingles. That is
    more than none where one of the sets isn't linked with the centre. Differences are
    ordered by rarity; a shared shingle counts if its positions leave enough after them.
+   First each member meets only the one closest to the centre among those that share a
+   shingle with it; what is still apart then meets all of them.
    Copies with changes of their own thus hardly ever meet, and no candidate that could
    be linked is lost.
 
@@ -158,23 +160,41 @@ def _against_centre(members: DataFrame, texts: DataFrame, shingle: int) -> DataF
     return _texts_of(members, texts, "c", "id").select("c", "id", "ta", "tb").mapInArrow(run, "c long, id long, n long, d long, token long")
 
 
-def _prefix_pairs(members: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """Pairs (a, b) of members (c, id, component, main) of one centre that can be linked and are in different components.
-
-    Those outside the centre's component main are not linked with the centre.
-    """
+def _prefixes(members: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Prefixes of members (c, id, component, main): their rarest differences to c, and the position (at) of each."""
     tokens = written(_against_centre(members.select("c", "id"), texts, shingle), "tokens")
     often = tokens.groupBy("c", "token").agg(F.count("*").alias("often"))
     first = F.row_number().over(Window.partitionBy("c", "id").orderBy("often", "token")) - 1
     ranked = tokens.join(often, ["c", "token"]).withColumn("at", first.cast("long"))
     prefix = ranked.where((percent * F.col("at") <= (100 - percent) * F.col("n")) & (F.col("often") > 1))  # the most that any partner can leave
-    prefix = written(prefix.join(members, ["c", "id"]).select("c", "token", "id", "n", "d", "at", "component", "main"), "prefixes")
-    left = prefix.where("component <> main").select("c", "token", *(F.col(x).alias(f"{x}a") for x in ("id", "n", "d", "at", "component")))
-    right = prefix.select("c", "token", "main", *(F.col(x).alias(f"{x}b") for x in ("id", "n", "d", "at", "component")))
+    return written(prefix.join(members, ["c", "id"]).select("c", "token", "id", "n", "d", "at", "component", "main"), "prefixes")
+
+
+def _enough(percent: int) -> Column:
+    """Whether sides a and b can have enough differences in common from the positions ata and atb on."""
     rest = F.least(F.col("da") - F.col("ata"), F.col("db") - F.col("atb"))
-    enough = (100 - percent) * (F.col("na") + F.col("nb")) >= (100 + percent) * (F.col("da") + F.col("db") - 2 * rest)
-    apart = (F.col("componentb") == F.col("main")) | (F.col("componenta") < F.col("componentb"))
-    return left.join(right, ["c", "token"]).where(enough & apart).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+    return (100 - percent) * (F.col("na") + F.col("nb")) >= (100 + percent) * (F.col("da") + F.col("db") - 2 * rest)
+
+
+def _side(prefix: DataFrame, x: str) -> DataFrame:
+    return prefix.select("c", "token", *(F.col(k).alias(f"{k}{x}") for k in ("id", "n", "d", "at", "component")), F.col("main").alias(f"main{x}"))
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+
+
+def _head_pairs(prefix: DataFrame, percent: int) -> DataFrame:
+    """Each member of a shared token with the one of them that is closest to the centre, if in another component."""
+    heads = prefix.groupBy("c", "token").agg(F.min(F.struct("d", "id", "n", "at", "component")).alias("h"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    heads = heads.select("c", "token", *(F.col(f"h.{k}").alias(f"{k}a") for k in ("id", "n", "d", "at", "component")))
+    return _pairs(heads.join(_side(prefix, "b"), ["c", "token"]).where(_enough(percent) & (F.col("componenta") != F.col("componentb"))))
+
+
+def _prefix_pairs(prefix: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of one centre that can be linked and are in different components; two in the centre's component are in one."""
+    apart = (F.col("componentb") == F.col("mainb")) | (F.col("componenta") < F.col("componentb"))
+    return _pairs(_side(prefix.where("component <> main"), "a").join(_side(prefix, "b"), ["c", "token"]).where(_enough(percent) & apart))
 
 
 def links(reps: DataFrame, texts: DataFrame, percent: int, side: int, rows: int, shingle: int) -> DataFrame:
@@ -215,7 +235,18 @@ def links(reps: DataFrame, texts: DataFrame, percent: int, side: int, rows: int,
     found = found.unionByName(against_centres(members.where("component <> main"), "links2"))
     members = mixed(in_components(members.select("key", "id", "shared"), found))
     members = written(members.select("c", "id", "component", "main").distinct(), "apart")
-    return found.unionByName(verified(_prefix_pairs(members, texts, percent, shingle), "links3"))
+    prefix = _prefixes(members, texts, percent, shingle)
+    heads = verified(_head_pairs(prefix, percent), "links3")
+    component_of = members.select("id", "component").distinct()
+    between = heads
+    for x in "uv":
+        between = between.join(component_of.select(F.col("id").alias(x), F.col("component").alias(f"component_{x}")), x)
+    now = components(between.select(F.col("component_u").alias("u"), F.col("component_v").alias("v")))
+    for x in ("component", "main"):
+        prefix = prefix.join(now.select(F.col("node").alias(x), F.col("component").alias("now")), x, "left").withColumn(x, F.coalesce("now", x)).drop("now")
+    mixed_tokens = prefix.groupBy("c", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("c", "token")
+    prefix = written(prefix.join(mixed_tokens, ["c", "token"]), "prefixes_apart")
+    return found.unionByName(heads).unionByName(verified(_prefix_pairs(prefix, percent), "links4"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, side: int = SIDE, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
