@@ -1,44 +1,77 @@
-"""Connected components of a link table, by alternating large and small stars."""
+"""Connected components of a link table, by stars across tasks and forests inside them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from patentlake.llm._io import shared_dir
+from patentlake.llm._io import written
 
+LINKS = 1 << 20  # links that a task turns into a forest at a time
+
+
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of the links (u, v) that isn't the least of its component, and that least node."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        ra, rb = root[a], root[b]
+        if (ra == rb).all():
+            break
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while (root[root] != root).any():
+            root = root[root]
+    below = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[below], nodes[root[below]]
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Join every node's neighbours to the least of them: the larger ones, or the node and its smaller ones."""
-    if large:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        out = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        out = moved.unionByName(least.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
+
+def _forests(links: DataFrame) -> DataFrame:
+    """links (u, v) as forests of at most LINKS rows; every task makes its own."""
+
+    def flat(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        u, v = (np.concatenate([b.column(k).to_numpy() for b in batches]) for k in "uv")
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in forest(u, v)], names=["u", "v"])
+
+    def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in it:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= LINKS:
+                yield flat(held)
+                held, n = [], 0
+        if held:
+            yield flat(held)
+
+    return links.select("u", "v").mapInArrow(run, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with a link, the component being the least node it reaches.
 
     edges: u and v, integers. Direction, repeats and links of a node to itself don't
-    matter; links with a null end are left out. Every round works on the links in the
-    cluster, cut by checkpoint(); only two sums of them reach the driver.
+    matter; links with a null end are left out. In every round the neighbours of a node are
+    linked with the least of them and the node, and each task keeps a spanning forest of
+    what it has. (From any node, least neighbours lead to a node that is the least of its
+    own; its neighbours are linked with it and the others two steps on, so nothing comes
+    apart.) Rounds are written tables; only whether one had anything to do reaches the driver.
     """
-    spark = edges.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    now = edges.select("u", "v").where("u <> v").distinct().checkpoint()
-    seen = None
+    proper = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u <> v")
+    now = written(_forests(proper), "links")
     while True:
-        now = _star(_star(now, large=True), large=False).checkpoint()
-        sums = now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
-        if sums == seen:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # in stars, a node with a larger neighbour is the least one, and others have one neighbour
+        unsettled = ((F.col("v") > F.col("u")) & (F.col("m") < F.col("u"))) | ((F.col("v") < F.col("u")) & (F.col("m") != F.col("v")))
+        seen = Observation()
+        met = both.join(least, "u").observe(seen, F.coalesce(F.sum(unsettled.cast("long")), F.lit(0)).alias("unsettled"))
+        now = written(_forests(met.where("v <> m").select("v", F.col("m").alias("u"))), "links")
+        if not seen.get["unsettled"]:
             break
-        seen = sums
-    # all links are now from a node to its component's least node
+    # each node has one star, though several tasks may have written links of it
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
