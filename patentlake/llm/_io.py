@@ -28,9 +28,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df once as Parquet in the shared folder and read it back.
 
-    A lost executor then costs a re-read, not a recomputation of what came before.
+    A lost executor then costs a re-read, not a recomputation of what came before. What was
+    shuffled for df isn't needed any more: Spark removes those files once the driver has
+    collected its garbage, which a driver with memory to spare might not do for hours.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
