@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentlake.operators.cdc import apply_changes
+from patentlake.operators.cdc import latest_per_key, split_changes
 
 
 def ingest(source: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
@@ -16,23 +16,34 @@ def ingest(source: DataFrame, path: str, checkpoint: str, transform: Callable[[D
     rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def apply_stream(spark: SparkSession, changes: DataFrame, target: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> str:
-    """Apply micro-batches of changes in order; returns the path of the last version of the table.
+def apply_stream(spark: SparkSession, changes: DataFrame, target: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], status: str = "source_status") -> str:
+    """Apply micro-batches of changes; returns the path of the last version of the table.
 
+    A change counts only if it isn't earlier by `order` than what is stored for its key, so
+    the result doesn't depend on how the feed is cut into batches. For that, the versions
+    keep the order columns and the rows of deleted keys; the returned table has the columns
+    and rows of the target alone. A target without an order column is earlier than any change.
     Each batch writes a version of its own, so a batch that is run again replaces its version
-    by the same rows, and a failure leaves the version before in place.
+    by the same rows, and a failure leaves the version before in place. target has one row
+    for each key.
     """
-    columns = [c for c in target.columns]
-    target.write.mode("overwrite").parquet(f"{path}/version=-1")
+    missing = [F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in order if c not in target.columns]
+    columns = [*target.columns, *(c for c in order if c not in target.columns), "_gone"]
+    target.select("*", *missing, F.lit(False).alias("_gone")).write.mode("overwrite").parquet(f"{path}/version=-1")
     last = {"version": -1}
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         now = spark.read.parquet(f"{path}/version={batch_id - 1}")
-        apply_changes(now, rows, keys, order).select(*columns).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        deletes, others = split_changes(latest_per_key(rows, keys, order), status)
+        new = deletes.withColumn("_gone", F.lit(True)).unionByName(others.withColumn("_gone", F.lit(False))).select(*columns)
+        # of equal ones the change wins
+        both = now.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+        latest_per_key(both, keys, [*order, "_new"]).select(*columns).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
         last["version"] = batch_id
 
     changes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return f"{path}/version={last['version']}"
+    spark.read.parquet(f"{path}/version={last['version']}").where("NOT _gone").select(*target.columns).write.mode("overwrite").parquet(f"{path}/last")
+    return f"{path}/last"
 
 
 def latest_status(events: DataFrame, key: str, status: str, order: str) -> DataFrame:

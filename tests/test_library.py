@@ -1,6 +1,7 @@
 """Invariants of the merge, sources from files, and the open tree."""
 
 import json
+import os
 import zipfile
 
 import pytest
@@ -166,3 +167,29 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     spark.range(3, 5).write.mode("append").parquet(src)
     ingest.ingest(spark.readStream.schema("id long").parquet(src), out, mark)
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_stream_order_does_not_depend_on_batches(spark, tmp_path):
+    """Older changes in later files: one file a batch gives what one batch gives."""
+    target = changes(spark, [("US", "0", 0, "C", "old"), ("US", "1", 0, "C", "old"), ("US", "2", 0, "C", "old"), ("US", "5", 50, "D", "stays")])
+    files = [
+        [("US", "1", 9, "A", "new"), ("US", "2", 9, "D", None), ("US", "3", 9, "D", None), ("US", "4", 2, "D", None)],
+        [("US", "1", 5, "A", "older"), ("US", "2", 5, "A", "older"), ("US", "3", 5, "C", "older"), ("US", "4", 5, "C", "again")],
+        [("US", "1", 7, "D", None), ("US", "5", 7, "D", None)],
+    ]
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    for k, rows in enumerate(files):
+        changes(spark, rows).coalesce(1).write.parquet(f"file://{tmp_path}/part{k}")
+        (part,) = (tmp_path / f"part{k}").glob("*.parquet")
+        moved = part.rename(feed / f"{k}.parquet")
+        os.utime(moved, (1_700_000_000 + k, 1_700_000_000 + k))
+    got = []
+    for n in (1, 1000):
+        for without in ([], ["seq"]):
+            stream = spark.readStream.schema(target.schema).option("maxFilesPerTrigger", n).parquet(f"file://{feed}")
+            out = f"file://{tmp_path}/{n}{len(without)}"
+            last = ingest.apply_stream(spark, stream, target.drop(*without), f"{out}/table", f"{out}/mark", KEYS, ["seq"])
+            got.append(rows_of(spark.read.parquet(last).drop("seq")))
+    assert got[0] == got[2] == [("US", "0", "C", "old"), ("US", "1", "A", "new"), ("US", "4", "C", "again"), ("US", "5", "D", "stays")]
+    assert got[1] == got[3] == got[0][:3]
