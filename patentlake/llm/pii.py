@@ -3,14 +3,18 @@
 Generators propose overlapping spans of four kinds (email, ip, card, phone): those of the
 base rules, which always stay, and looser forms (written-out addresses, numbers without a
 country code, digit runs that fail a check). Gradient-boosted trees score the loose ones by
-format and context features. They learn from a bounded sample of documents where the base
-rules label candidates: a candidate that is a base span is positive, any other negative. The
-threshold of a kind is the least score with which held-out candidates reach the asked
-precision; a kind whose held-out candidates can't show it adds nothing.
+format and context features. They learn from a bounded sample of documents, and only from
+candidates whose label can be verified: base spans and base spans rewritten in a loose form
+are positive; digit runs that fail Luhn's check, addresses with a part over 255, calendar
+dates, pieces of longer numbers, web sites and ends of sentences are negative. Any other loose
+candidate has no label and teaches nothing. The threshold of a kind is the least score with
+which held-out loose candidates reach the asked precision; a kind whose held-out candidates
+can't show it, for want of either label, adds nothing.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -40,6 +44,13 @@ _LOOSE = {
 _HINTS = [re.compile(p, re.I) for p in (r"mail|contact|write", r"\bip\b|host|server|address", r"card|visa|credit|account|pay", r"tel|phone|call|fax|mobile", r"version|release|chapter|section|date|isbn|order|invoice|token|key")]
 
 
+_DATE = re.compile(r"(?:(?:19|20)[0-9]{2}([-./])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])|(?:0?[1-9]|[12][0-9]|3[01])([-./])(?:0?[1-9]|[12][0-9]|3[01])\2(?:19|20)[0-9]{2})")
+_AT = re.compile(r" ?(@|\[at\]|\(at\)| at ) ?")
+_DOT = re.compile(r" ?(?:\.|\[dot\]|\(dot\)| dot ) ?")
+# What a loose address is written with, in place of @ and of the dot.
+_REWRITTEN = ((" [at] ", " [dot] "), (" at ", " dot "), ("(at)", "(dot)"), (" at ", "."), (" @ ", "."))
+
+
 class Span(NamedTuple):
     start: int
     kind: int
@@ -89,13 +100,22 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+def _loose_emails(text: str, start: int = 0, end: int | None = None) -> Iterator[Span]:
+    """Loose addresses; where one runs past the end of a sentence, also without what follows."""
+    for m in _LOOSE["email"].finditer(text, start, len(text) if end is None else end):
+        yield Span(m.start(), 0, m.end())
+        cut = m.group().find(". ")
+        if cut > 0 and _LOOSE["email"].fullmatch(m.group()[:cut]):
+            yield Span(m.start(), 0, m.start() + cut)
+
+
 def loose_spans(text: str, base: list[Span]) -> list[Span]:
     """What the generators propose beside base spans; spans may overlap each other."""
     known = set(base)
     out = []
     digits = any(c in text for c in "0123456789")
-    if "@" in text or "[at]" in text or "(at)" in text or " dot " in text:
-        out += [Span(m.start(), 0, m.end()) for m in _LOOSE["email"].finditer(text)]
+    if "@" in text or "[at]" in text or "(at)" in text or " at " in text:  # no match without one of them
+        out += _loose_emails(text)
     if digits:
         for k in (1, 2, 3):
             for m in _LOOSE[KINDS[k]].finditer(text):
@@ -122,9 +142,66 @@ def features(text: str, span: Span) -> list[float]:
         sum(c.isalpha() for c in s) / len(s),
         float(last.isalnum()), float(nxt.isalnum()), float(last.isspace()), float(nxt in ".,;:!?)" or nxt.isspace()),
         *(float(bool(h.search(before))) for h in _HINTS),
+        *(_address(s) if span.kind == 0 else (0.0,) * 5),
     ]
 
 
+def _address(s: str) -> tuple[float, ...]:
+    """How an address is written: bracketed or bare at, dots spelled out, end of a sentence, web site, letters only before the at."""
+    at = _AT.search(s)
+    name, rest = (s[: at.start()], s[at.end() :]) if at else (s, "")
+    return (float(bool(at) and at[1][0] in "[("), float(bool(at) and at[1] == " at "), float("dot" in _DOT.sub(lambda m: m.group().replace(".", ""), rest)), float(". " in rest), float(rest.lower().startswith("www.")) + 2.0 * name.isalpha())
+
+
+def _inside(span: Span, base: list[Span]) -> bool:
+    """Whether a span lies in a base address of either kind; base is sorted, and spans of a kind don't overlap."""
+    wanted = {0, 1}
+    for b in reversed(base[max(0, bisect.bisect_right(base, Span(span.start, 9, 0)) - 64) : bisect.bisect_right(base, Span(span.start, 9, 0))]):
+        if b.kind in wanted:
+            if span.end <= b.end:
+                return True
+            wanted.discard(b.kind)
+    return False
+
+
+def refuted(text: str, span: Span, base: list[Span]) -> bool:
+    """Whether a loose candidate is shown not to be what its kind says."""
+    s = text[span.start : span.end]
+    digits = _digits(s)
+    if span.kind == 0:
+        at = _AT.search(s)
+        rest = s[at.end() :] if at else ""
+        # a site, past the end of a sentence, or no letters where a domain ends
+        return bool(at) and (at[1] == " at " and rest.lower().startswith("www.") or bool(re.search(r"[a-z]\. [A-Z]", rest)) or not _DOT.split(rest)[-1].isalpha())
+    if span.kind == 1:
+        return any(int(g[-6:]) > 255 for g in re.findall(r"[0-9]+", s))
+    if span.kind == 2:
+        return not luhn(digits)
+    if _DATE.fullmatch(s) or _inside(span, base):
+        return True
+    # a piece of a longer number
+    return bool(re.search(r"[0-9][.,:/-]?$", text[max(0, span.start - 2) : span.start]) or re.match(r"[.,:/-]?[0-9]", text[span.end : span.end + 2]))
+
+
+def rewritten(text: str, span: Span, form: int) -> tuple[str, Span] | None:
+    """The text around a base span in a loose form, and the candidate that stands there; None for kinds without one."""
+    s, first = text[span.start : span.end], max(0, span.start - 64)
+    text, span = text[first : span.end + 96], Span(span.start - first, span.kind, span.end - first)  # what features can see
+    if span.kind == 0:
+        at, dot = _REWRITTEN[form % len(_REWRITTEN)]
+        name, _, host = s.partition("@")
+        s = f"{name}{at}{host.replace('.', dot)}"
+    elif span.kind == 3:
+        s = s[1:] if form % 2 else re.sub(r"^\+[0-9]{1,3}(?:[ .-]+|(?=\())", "", s)
+    else:
+        return None
+    loose = Span(span.start, span.kind, span.start + len(s))
+    changed = text[: span.start] + s + text[span.end : span.end + 96]
+    window = max(0, span.start - 1), loose.end + 80
+    found = _loose_emails(changed, *window) if span.kind == 0 else (Span(m.start(), span.kind, m.end()) for m in _LOOSE[KINDS[span.kind]].finditer(changed, *window))
+    return (changed, loose) if loose in found else None
+
+
 N_FEATURES = len(features("1", Span(0, 1, 1)))
 
 
@@ -183,8 +260,8 @@ class Model(NamedTuple):
     thresholds: tuple[float, ...]  # of each kind; above 1: the kind adds nothing
 
 
-def fit(x: np.ndarray, y: np.ndarray, precision: float = PRECISION, least: int = 20) -> Model | None:
-    """Trees from three of four rows, thresholds from the others; None without both labels."""
+def fit(x: np.ndarray, y: np.ndarray, loose: np.ndarray, precision: float = PRECISION, least: int = 20) -> Model | None:
+    """Trees from three of four rows, thresholds from the loose ones of the others; None without both labels."""
     if len(y) < 4 * least or y.min() == y.max():
         return None
     test = np.arange(len(y)) % 4 == 0
@@ -194,13 +271,13 @@ def fit(x: np.ndarray, y: np.ndarray, precision: float = PRECISION, least: int =
     score = trees.score(x[test])
     thresholds = []
     for k in range(len(KINDS)):
-        own = x[test][:, k] == 1
+        own = (x[test][:, k] == 1) & loose[test]
         order = np.argsort(-score[own], kind="stable")
         s, good = score[own][order], np.cumsum(y[test][own][order])
         n = np.arange(1, len(s) + 1)
         last = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, dtype=bool)
         # one more failure than was seen: a bound for what a small sample can't show
-        ok = last & (good / (n + 1) >= precision) & (n >= least)
+        ok = last & (good / (n + 1) >= precision) & (n >= least) & (len(s) - good[-1:].sum() >= least)
         thresholds.append(float(s[ok].min()) if ok.any() else 2.0)
     return Model(trees, tuple(thresholds))
 
@@ -212,19 +289,23 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE_TEXTS, **opt
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            rows, good, key = [], [], []
+            rows, good, loose, key = [], [], [], []
             for t, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True):
                 base = base_spans(t)
-                for s in base + loose_spans(t, base):
-                    rows.append(np.array(features(t, s)).tobytes())
-                    good.append(s in base)
-                    key.append(f"{h}:{s.start}:{s.end}:{s.kind}")
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(good, pa.bool_()), pa.array(key, pa.string())], names=["x", "y", "key"])
+                labelled = [(t, s, True, False) for s in base]
+                labelled += [(*r, True, True) for k, s in enumerate(base) if (r := rewritten(t, s, (h + k) % 20))]
+                labelled += [(t, s, False, True) for s in loose_spans(t, base) if refuted(t, s, base)]
+                for where, s, y, free in labelled:
+                    rows.append(np.array(features(where, s)).tobytes())
+                    good.append(y)
+                    loose.append(free)
+                    key.append(f"{h}:{s.start}:{s.end}:{s.kind}:{y}:{free}")
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(good, pa.bool_()), pa.array(loose, pa.bool_()), pa.array(key, pa.string())], names=["x", "y", "loose", "key"])
 
     seen = some.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), "h", "left_semi")
-    got = seen.mapInArrow(run, "x binary, y boolean, key string").toPandas().drop_duplicates("key").sort_values("key")
+    got = seen.mapInArrow(run, "x binary, y boolean, loose boolean, key string").toPandas().drop_duplicates("key").sort_values("key")
     x = np.frombuffer(b"".join(got["x"]), dtype=np.float64).reshape(-1, N_FEATURES)
-    return fit(x, got["y"].to_numpy(dtype=bool), **options)
+    return fit(x, got["y"].to_numpy(dtype=bool), got["loose"].to_numpy(dtype=bool), **options)
 
 
 def select(text: str, model: Model | None) -> tuple[list[Span], list[Span]]:

@@ -262,6 +262,20 @@ def test_pii(spark, edge, nothing):
     assert pii.find_pii(nothing).count() == 0
 
 
+def test_pii_in_loose_forms(spark):
+    """Loose forms that are common in the corpus are found, and what is refuted stays."""
+    rows = []
+    for k in range(1200):
+        odd = [f"b{k}.x [at] host [dot] org", f"b{k}.x at host.org", f"(555) 555-{1000 + k}"][k % 3]
+        rows.append((k, f"call +1 (555) 555-{1000 + k} or mail b{k}.x@host.org. They stayed at home. Then 4111-1111-1111-{1000 + k} on 2024-01-{k % 28 + 1:02d}, build {k % 9}.2.999.4. mail or call {odd} today"))
+    got = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, text in rows:
+        at = text.rindex("call ") + 5
+        kind, end = "phone" if k % 3 == 2 else "email", text.index(" today")
+        assert f"{kind}:{at}:{end}" in got[k].spans.split(",") and got[k].redacted.endswith(f"call [{kind}] today")
+        assert "They stayed at home. Then" in got[k].redacted and "2024-01-" in got[k].redacted and ".2.999.4" in got[k].redacted
+
+
 def test_boosted_trees_learn():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 5))
