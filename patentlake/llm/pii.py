@@ -16,17 +16,20 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_TEXTS = 4000
+SAMPLE_ROWS = 4000  # candidates of a kind and label that reach the driver
+PART = 1000  # candidates handed on at once
 PRECISION = 0.995
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -282,28 +285,42 @@ def fit(x: np.ndarray, y: np.ndarray, loose: np.ndarray, precision: float = PREC
     return Model(trees, tuple(thresholds))
 
 
-def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE_TEXTS, **options) -> Model | None:
-    """Model from the candidates of up to `sample` distinct texts with a digit or @, chosen by hash."""
+def training_rows(docs: DataFrame, text: str = "text", sample: int = SAMPLE_TEXTS, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Labelled candidates (kind, x, y, loose, key) of up to `sample` distinct texts with a digit or @.
+
+    Of each kind, label and looseness at most `rows`, those of least key hash. Texts and
+    candidates are made distinct in Spark, so copies never reach the driver.
+    """
     some = docs.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
     chosen = some.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(sample)
 
+    def labelled(t: str, h: int) -> Iterator[tuple[str, Span, bool, bool, str]]:
+        base = base_spans(t)
+        for k, s in enumerate(base):
+            yield t, s, True, False, f"{h}:{s.start}:{s.end}:{s.kind}:base"
+            if r := rewritten(t, s, (h + k) % 20):
+                yield *r, True, True, f"{h}:{s.start}:{s.end}:{s.kind}:rewritten"
+        for s in loose_spans(t, base):
+            if refuted(t, s, base):
+                yield t, s, False, True, f"{h}:{s.start}:{s.end}:{s.kind}:refuted"
+
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            rows, good, loose, key = [], [], [], []
             for t, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True):
-                base = base_spans(t)
-                labelled = [(t, s, True, False) for s in base]
-                labelled += [(*r, True, True) for k, s in enumerate(base) if (r := rewritten(t, s, (h + k) % 20))]
-                labelled += [(t, s, False, True) for s in loose_spans(t, base) if refuted(t, s, base)]
-                for where, s, y, free in labelled:
-                    rows.append(np.array(features(where, s)).tobytes())
-                    good.append(y)
-                    loose.append(free)
-                    key.append(f"{h}:{s.start}:{s.end}:{s.kind}:{y}:{free}")
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(good, pa.bool_()), pa.array(loose, pa.bool_()), pa.array(key, pa.string())], names=["x", "y", "loose", "key"])
-
-    seen = some.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), "h", "left_semi")
-    got = seen.mapInArrow(run, "x binary, y boolean, loose boolean, key string").toPandas().drop_duplicates("key").sort_values("key")
+                each = labelled(t, h)
+                while some := list(itertools.islice(each, PART)):
+                    kinds, x, good, loose, key = zip(*((s.kind, np.array(features(w, s)).tobytes(), y, free, k) for w, s, y, free, k in some), strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(x, pa.binary()), pa.array(good, pa.bool_()), pa.array(loose, pa.bool_()), pa.array(key, pa.string())], names=["kind", "x", "y", "loose", "key"])
+
+    seen = some.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"])
+    found = seen.mapInArrow(run, "kind int, x binary, y boolean, loose boolean, key string").dropDuplicates(["key"])
+    place = F.row_number().over(Window.partitionBy("kind", "y", "loose").orderBy(F.xxhash64("key"), "key"))
+    return found.withColumn("place", place).where(F.col("place") <= rows).drop("place")
+
+
+def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE_TEXTS, rows: int = SAMPLE_ROWS, **options) -> Model | None:
+    """Model from the bounded training rows of docs."""
+    got = training_rows(docs, text, sample, rows).toPandas().sort_values("key")
     x = np.frombuffer(b"".join(got["x"]), dtype=np.float64).reshape(-1, N_FEATURES)
     return fit(x, got["y"].to_numpy(dtype=bool), got["loose"].to_numpy(dtype=bool), **options)
 

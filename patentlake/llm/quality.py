@@ -155,9 +155,10 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     drawn = F.xxhash64("doc_id", F.lit(7))
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).where(F.col("id").isNotNull())
     positive = known.where("quality = 1").orderBy(drawn, "doc_id").limit(max_positive).select(F.col("doc_id").alias("id"))
-    unlabelled = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").orderBy(drawn, "doc_id").limit(max_unlabelled).select(F.col("doc_id").alias("id")).distinct()
-    # the samples are bounded, so either may be broadcast
-    p, u = (_features_of(texts.join(F.broadcast(ids), "id", "left_semi")) for ids in (positive, unlabelled))
+    unlabelled = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct().orderBy(drawn, "doc_id").limit(max_unlabelled).select(F.col("doc_id").alias("id"))
+    # the samples are bounded, so either may be broadcast; a repeated id gives one row, that of its text of least hash
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    p, u = (_features_of(texts.join(F.broadcast(ids), "id", "left_semi").groupBy("id").agg(one)) for ids in (positive, unlabelled))
     return fit(p, u, prior) if len(p) and len(u) else None
 
 

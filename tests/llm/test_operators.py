@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from patentlake.llm import bpe, components, decontaminate, html_wrapper, media, minhash, pii, quality, records, suffix_dedup, tokens
 
@@ -276,6 +277,21 @@ def test_pii_in_loose_forms(spark):
         assert "They stayed at home. Then" in got[k].redacted and "2024-01-" in got[k].redacted and ".2.999.4" in got[k].redacted
 
 
+def test_training_samples_are_bounded(spark, monkeypatch):
+    """Copies, repeated ids and long texts don't grow what reaches the driver."""
+    text = "mail a@x.org or call +1 (555) 555-1000, card 4111-1111-1111-1112. "
+    docs = spark.createDataFrame([(1, text)] * 500 + [(2, text * 400), (3, "a " + text), (4, "b " + text)], "doc_id long, text string")
+    got = pii.training_rows(docs, rows=30).collect()
+    sizes = collections.Counter((r.kind, r.y, r.loose) for r in got)
+    assert len({r.key for r in got}) == len(got) and max(sizes.values()) == 30
+    counted, features_of = [], quality._features_of
+    monkeypatch.setattr(quality, "_features_of", lambda rows: counted.append(rows.count()) or features_of(rows))
+    ids = [k for k, out in ((r.k, r.o) for r in spark.range(40).select(F.col("id").alias("k"), quality.held_out(F.col("id")).alias("o")).collect()) if not out]
+    rows = [(ids[0], "one text " * 20)] * 300 + [(k, f"text {k} " * 30) for k in ids[1:]]
+    quality.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, quality int"))
+    assert counted[0] <= len(ids) and counted[1] == len(ids)
+
+
 def test_boosted_trees_learn():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 5))
