@@ -172,6 +172,19 @@ def test_near_duplicates_below_the_threshold(spark):
     assert len({c for _, _, c in want}) > 20 and max(collections.Counter(c for _, _, c in want).values()) > 20
 
 
+def test_pipeline_drops_near_copies_from_080(spark):
+    """Pairs of similarity 0.80 to 0.849 are near copies in the corpus."""
+    import corpus_pipeline
+
+    rows = []
+    for g in range(20):  # 104 shingles, of which 10 to 11 differ: 94 / 114 = 0.825
+        words = [f"g{g}w{i}" for i in range(108)]
+        rows.append((2 * g, " ".join(words)))
+        rows.append((2 * g + 1, " ".join([*words[:20], "x", *words[21:60], "y", *words[61:]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_distinct(spark, docs, "").collect()) == list(range(0, 40, 2))
+
+
 def test_suffix_dedup(spark, edge, nothing, monkeypatch):
     rng = np.random.default_rng(2)
     part = lambda n: "".join(rng.choice(list("abcdé ")) for _ in range(n))
