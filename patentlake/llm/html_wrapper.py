@@ -40,7 +40,7 @@ _SPACE = re.compile(r"\s+")
 # Element names of HTML.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math object video audio canvas".split())
+RAW = frozenset("script style textarea title noscript iframe template".split())
 SKIPPED = frozenset("nav header footer aside form fieldset select option button dialog menu search".split())
 # Names that mark parts of a page other than its article.
 MARKS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo banner nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside complementary contentinfo notice cookie cookies consent gdpr popup modal alert comment comments reply replies disqus respond share sharing social related newsletter subscribe signup login form search widget pagination pager".split())

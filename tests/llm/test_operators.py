@@ -239,6 +239,12 @@ def test_html(spark):
     assert html_wrapper.extract_pages(df.limit(0)).count() == 0
 
 
+def test_embedded_elements_keep_their_text():
+    """Only raw elements are skipped whole; an unclosed video doesn't take the rest of the page."""
+    page = "<article><p>a <math><mi>x</mi></math> b<object data=o>fallback</object><video src=v><p>c<svg><title>t</title></svg> d<script>no</script></article>"
+    assert html_wrapper.extract(page) == "a x bfallback\nc d"
+
+
 def test_tree_matching():
     a = html_wrapper.parse("<div class=x><p>1</p><ul><li>a</ul></div><footer>f</footer>")[0]
     b = html_wrapper.parse("<div class=x><h1>t</h1><p>2</p></div><p>z</p><footer>g</footer>")[0]
