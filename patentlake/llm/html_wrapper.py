@@ -7,10 +7,11 @@ have there are counted: a node with mostly one text on enough different pages is
 template, a node whose text varies is a content slot. Per host only counts by (node, text
 hash) are shuffled, summed before the shuffle, so a host's size doesn't matter.
 
-A page's main text is what lies in its article or main element, else all blocks outside
-template nodes; blocks inside elements that by name hold menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles or comments are left out. Nodes inside
-an article are never template: copies of one article on a host aren't its layout.
+A page's main text is what template nodes leave: of that the blocks in its article or main
+element, if there are any, else all. Blocks inside elements that by name hold menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles or comments are left
+out. A node inside an article counts once for all pages whose article has the same longest
+block beside it: copies and near copies of one article on a host aren't its layout.
 """
 
 from __future__ import annotations
@@ -190,9 +191,21 @@ def extract(page: str | None, reference: str | None = None, template: Iterable[i
     if reference and template:
         ref = from_skeleton(reference)
         number = {id(n): k for k, n in enumerate(preorder(ref))}
-        gone = {id(a) for a, b in match(root, ref)[1] if number[id(b)] in template and not a.main}
-    has_main = any(n.main and not n.skip for n, _ in blocks)
-    return "\n".join(t for n, t in blocks if not n.skip and (n.main if has_main else id(n) not in gone))
+        gone = {id(a) for a, b in match(root, ref)[1] if number[id(b)] in template}
+    left = [(n, t) for n, t in blocks if not n.skip and id(n) not in gone]
+    has_main = any(n.main for n, _ in left)
+    return "\n".join(t for n, t in left if n.main or not has_main)
+
+
+def beside(blocks: list[tuple[Node, str]]) -> dict[int, int]:
+    """For the nodes of an article, by id: digest of the longest block of the article beside the node; 0 if there is none."""
+    inner = sorted(((len(t), t, id(n)) for n, t in blocks if n.main and not n.skip), reverse=True)
+    if not inner:
+        return {}
+    first = inner[0]
+    other = next((x for x in inner if x[2] != first[2]), None)
+    one, two = _digest(first[1]), _digest(other[1]) if other else 0
+    return {id(n): two if id(n) == first[2] else one for n, _ in blocks if n.main}
 
 
 def host_of(url):
@@ -207,23 +220,25 @@ def induce(pages: DataFrame) -> DataFrame:
         for batch in it:
             bones, slots, whole = [], [], []
             for page in batch.column("html").to_pylist():
-                root, _ = parse(page or "")
+                root, blocks = parse(page or "")
                 bones.append(skeleton(root))
                 nodes = preorder(root)
-                # nodes of an article are never template, and need no count
-                slots.append([{"node": k, "text": _digest("\n".join(n.texts))} for k, n in enumerate(nodes) if n.texts and not n.main])
-                whole.append(_digest("\n".join(t for n in nodes for t in n.texts)))
-            kind = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.int64())]))
+                of = _digest("\n".join(t for n in nodes for t in n.texts))
+                rest = beside(blocks)
+                # what is left out by name needs no count
+                slots.append([{"node": k, "text": _digest("\n".join(n.texts)), "page": rest.get(id(n), of)} for k, n in enumerate(nodes) if n.texts and not (n.main and n.skip)])
+                whole.append(of)
+            kind = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.int64()), ("page", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(bones, pa.string()), pa.array(slots, kind), pa.array(whole, pa.int64())], names=["host", "bones", "slots", "whole"])
 
-    outlined = written(pages.mapInArrow(outline, "host string, bones string, slots array<struct<node:int,text:bigint>>, whole long"), "outlines")
+    outlined = written(pages.mapInArrow(outline, "host string, bones string, slots array<struct<node:int,text:bigint,page:bigint>>, whole long"), "outlines")
     references = outlined.groupBy("host").agg(F.min(F.struct("whole", "bones")).alias("least")).select("host", F.col("least.bones").alias("reference"))
 
     def align(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple[str, str], list[int]] = {}
         for batch in it:
             hosts, nodes, texts, wholes = [], [], [], []
-            for host, bones, slots, whole, reference in zip(*(batch.column(c).to_pylist() for c in ("host", "bones", "slots", "whole", "reference")), strict=True):
+            for host, bones, slots, reference in zip(*(batch.column(c).to_pylist() for c in ("host", "bones", "slots", "reference")), strict=True):
                 if (bones, reference) not in known:
                     a, b = from_skeleton(bones), from_skeleton(reference)
                     number = {id(n): k for k, n in enumerate(preorder(b))}
@@ -234,10 +249,10 @@ def induce(pages: DataFrame) -> DataFrame:
                 place = known[bones, reference]
                 for s in slots:
                     if place[s["node"]] >= 0:
-                        hosts.append(host), nodes.append(place[s["node"]]), texts.append(s["text"]), wholes.append(whole)
+                        hosts.append(host), nodes.append(place[s["node"]]), texts.append(s["text"]), wholes.append(s["page"])
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(nodes, pa.int32()), pa.array(texts, pa.int64()), pa.array(wholes, pa.int64())], names=["host", "node", "text", "whole"])
 
-    joined = outlined.join(references, "host").select("host", "bones", "slots", "whole", "reference")
+    joined = outlined.join(references, "host").select("host", "bones", "slots", "reference")
     aligned = joined.mapInArrow(align, "host string, node int, text long, whole long").distinct()  # copies of a page count once
     counts = aligned.groupBy("host", "node", "text").agg(F.count("*").alias("n"))
     nodes = counts.groupBy("host", "node").agg(F.sum("n").alias("n"), F.max("n").alias("most"))

@@ -245,6 +245,20 @@ def test_embedded_elements_keep_their_text():
     assert html_wrapper.extract(page) == "a x bfallback\nc d"
 
 
+def test_template_inside_articles(spark):
+    """A constant block without a listed name goes from all articles of a host; copies of one article stay whole."""
+    body = lambda k: f"<h1>t{k}</h1><p>long text of the article number {k}</p>"
+    box = '<section class="offer"><p>Take our offer now</section>'
+    pages = [(k, "http://a.org/", f"<article>{body(k)}{box}</article>") for k in range(12)]
+    pages += [(20 + k, "http://b.org/", f'<div class="top">ad {k}</div><article>{body(0)}{"<h2>same</h2>"}</article>') for k in range(12)]
+    pages += [(40 + k, "http://c.org/", f"<article>{body(0)}<ul><li>n {k}</ul></article>") for k in range(12)]
+    got = {r.page_id: r.text for r in html_wrapper.extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    text = lambda k: f"t{k}\nlong text of the article number {k}"
+    assert all(got[k] == text(k) for k in range(12))
+    assert all(got[20 + k] == text(0) + "\nsame" for k in range(12))
+    assert all(got[40 + k].startswith("t0") and got[40 + k].endswith(f"n {k}") for k in range(12))
+
+
 def test_tree_matching():
     a = html_wrapper.parse("<div class=x><p>1</p><ul><li>a</ul></div><footer>f</footer>")[0]
     b = html_wrapper.parse("<div class=x><h1>t</h1><p>2</p></div><p>z</p><footer>g</footer>")[0]
