@@ -7,7 +7,8 @@ anti-join with a small table of rules, and statistics of names are plain aggrega
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Iterable, Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -126,17 +127,55 @@ def rebuild(paths: DataFrame) -> DataFrame:
     """(record, json): path rows as nested JSON again. A group is one record's paths."""
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree: dict = {}
-        for path, value in sorted(zip(map(list, pdf["path"]), pdf["value"], strict=True), key=lambda x: [(int(s[1:-1]), "") if s.startswith("[") else (0, s) for s in x[0]]):
-            at = tree
-            for step in path[:-1]:
-                at = at.setdefault(step, {})
-            at[path[-1]] = None if value is None or value != value else value
-        return pd.DataFrame({"record": [pdf["record"].iloc[0]], "json": [json.dumps(_lists(tree), sort_keys=True, ensure_ascii=False)]})
+        return pd.DataFrame({"record": [pdf["record"].iloc[0]], "json": [_nested(zip(map(list, pdf["path"]), pdf["value"], strict=True))]})
 
     return paths.where(F.size("path") > 0).groupBy("record").applyInPandas(build, "record long, json string")
 
 
+def _nested(leaves: Iterable[tuple[Sequence[str], str | None]]) -> str:
+    """(path, value) pairs as one JSON object."""
+    tree: dict = {}
+    for path, value in sorted(leaves, key=lambda x: [(int(s[1:-1]), "") if s.startswith("[") else (0, s) for s in x[0]]):
+        at = tree
+        for step in path[:-1]:
+            at = at.setdefault(step, {})
+        at[path[-1]] = None if value is None or value != value else value
+    return json.dumps(_lists(tree), sort_keys=True, ensure_ascii=False)
+
+
+def _handled(path: tuple[str, ...]) -> bool:
+    """Whether a rule takes the path; the rules are those of `rules` and `prune`."""
+    steps = [p for p in path if not p.startswith("[")]
+    if any(k in steps for k in HANDLED_KEYS) or len(path) == 1 and path[0] in KNOWN_ATTRIBUTES:
+        return True
+    return len(steps) > 1 and steps[-1] in HANDLED_PAIRS.get(steps[-2], ())
+
+
+def _split_of(text: str | None) -> tuple[str, str]:
+    """(application's, publication's) JSON of what an XML record holds beside known fields."""
+    for prefixed in (False, True):
+        try:
+            root = ElementTree.fromstring(re.sub(r"(\s)[\w.-]+:([\w.-]+\s*=)", r"\1\2", text or "") if prefixed else text or "")
+            break
+        except ElementTree.ParseError:  # perhaps for a prefix that the record doesn't declare
+            continue
+    else:
+        return "{}", "{}"
+    left = [(p, v) for p, v in _leaves(root, ()) if p and not _handled(p)]
+    inside = lambda x: x[0][:2] == ("bibliographic-data", "application-reference")
+    return _nested(filter(inside, left)), _nested(x for x in left if not inside(x))
+
+
+def split_extra(xml: Column) -> Column:
+    """Struct of app_extra_data and pub_extra_data (JSON objects, never null) of XML records without element prefixes."""
+
+    @F.pandas_udf("app_extra_data string, pub_extra_data string")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_split_of(t) for t in texts], columns=["app_extra_data", "pub_extra_data"])
+
+    return run(xml)
+
+
 def _lists(x):
     if not isinstance(x, dict):
         return x

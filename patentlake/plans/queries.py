@@ -607,9 +607,13 @@ def extra_fields_all(spark, sf_dir):
 
 @query("SELECT event_id, CASE WHEN payload LIKE '%ext_error%' THEN 'application' ELSE 'publication' END AS part FROM payloads")
 def extra_split(spark, sf_dir):
-    inside = F.array(F.lit("bibliographic-data"), F.lit("application-reference"), F.lit("note"))
-    rows = view(spark, sf_dir, "payloads").withColumn("path", F.when(F.col("payload").contains("ext_error"), inside).otherwise(F.array(F.lit("note"))))
-    return rows.select("event_id", F.when(extra.is_application_path(F.col("path")), "application").otherwise("publication").alias("part"))
+    # errors stand in the record's application, other fields at its top
+    error = F.get_json_object("payload", "$.ext_error")
+    inside = F.when(error.isNotNull(), F.struct(F.struct(error.alias("ext_error")).alias("application-reference")))
+    record = F.struct(inside.alias("bibliographic-data"), F.when(error.isNull(), F.col("payload")).alias("note"))
+    rows = view(spark, sf_dir, "payloads").select("event_id", F.to_xml(record, {"rowTag": "exchange-document"}).alias("record_xml"))
+    split = rows.select("event_id", extra.split_extra(F.col("record_xml")).alias("x"))
+    return split.select("event_id", F.when(F.col("x.app_extra_data") != "{}", "application").otherwise("publication").alias("part"))
 
 
 # --- XML ----------------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patentlake.functions import scalars as S
+from patentlake.operators.extra import split_extra
 from patentlake.sources.xml import AVAILABILITY
 
 _B = "bibliographic-data"
@@ -48,7 +49,11 @@ def _id_of(d: Column) -> Column:
 
 
 def wide_rows(records: DataFrame, keep_void_stubs: bool = False) -> DataFrame:
-    """Wide rows of records parsed with xml.RECORD; void records are left out unless their stubs are asked for."""
+    """Wide rows of records parsed with xml.RECORD; void records are left out unless their stubs are asked for.
+
+    Records with their record_xml (from xml.parse_records) also give app_extra_data and
+    pub_extra_data: what they hold beside known fields, as JSON. Void stubs have none.
+    """
     b = F.col(f"`{_B}`")
     root = {c: F.col(f"`_{c}`") for c in ("country", "doc-number", "kind", "date-publ", "doc-id", "family-id", "status", "is-representative", "originating-office", "date-added-docdb", "date-of-last-exchange")}
     country, number, kind = (F.coalesce(root[c], F.lit("")) for c in ("country", "doc-number", "kind"))
@@ -113,6 +118,9 @@ def wide_rows(records: DataFrame, keep_void_stubs: bool = False) -> DataFrame:
     granted = F.coalesce(b["dates-of-public-availability"]["printed-with-grant"].isNotNull(), F.lit(False))
     rows = records if keep_void_stubs else records.where(~void)
     extra = [c for c in records.columns if c in ("path_", "path", "doc_seq", "delivery", "archive_rank")]
+    if "record_xml" in records.columns:
+        rows = rows.withColumn("_open", split_extra(F.col("record_xml")))
+        extra += [F.when(void, "{}").otherwise(F.col(f"_open.{c}")).alias(c) for c in ("app_extra_data", "pub_extra_data")]
     return rows.select(
         country.alias("country"), pub.alias("pub_doc_id"), number.alias("doc_number"), kind.alias("kind_code"), F.lit(None).cast("string").alias("extended_kind"), root["family-id"].alias("family_id"), root["originating-office"].alias("originating_office"),
         S.parse_date(root["date-publ"]).alias("date_publ"), S.parse_date(root["date-added-docdb"]).alias("date_added_docdb"), S.parse_date(root["date-of-last-exchange"]).alias("date_last_exchange"),

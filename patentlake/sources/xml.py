@@ -57,8 +57,8 @@ def decode_entities(xml: Column, entities: Mapping[str, str]) -> Column:
 
 
 def parse_records(rows: DataFrame, xml: str, schema: str = RECORD, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Records from a column of XML strings."""
-    return rows.select(*keep, F.from_xml(bare_tags(F.col(xml)), schema).alias("_r")).select(*keep, "_r.*")
+    """Records from a column of XML strings, which stay beside them as record_xml, without element prefixes."""
+    return rows.select(*keep, bare_tags(F.col(xml)).alias("record_xml")).select(*keep, "record_xml", F.from_xml("record_xml", schema).alias("_r")).select(*keep, "record_xml", "_r.*")
 
 
 def read_index(spark: SparkSession, path: str, folder: str) -> DataFrame:

@@ -193,3 +193,15 @@ def test_stream_order_does_not_depend_on_batches(spark, tmp_path):
             got.append(rows_of(spark.read.parquet(last).drop("seq")))
     assert got[0] == got[2] == [("US", "0", "C", "old"), ("US", "1", "A", "new"), ("US", "4", "C", "again"), ("US", "5", "D", "stays")]
     assert got[1] == got[3] == got[0][:3]
+
+
+def test_wide_rows_keep_unknown_fields(spark):
+    """Unknown elements and attributes, repeated ones too, come back as JSON, split by where they stand."""
+    text = RECORD.replace('status="C"', 'status="C" exch:mood="odd"').replace("<date>20190102</date>", "<date>20190102</date><room>7</room>")
+    text = text.replace("<exch:parties>", "<exch:notes><n>1</n><n>2</n></exch:notes><exch:parties>")
+    rows = extract.wide_rows(xml.parse_records(spark.createDataFrame([(text,), (VOID,)], "x string"), "x"), keep_void_stubs=True).collect()
+    row, stub = sorted(rows, key=lambda r: r.source_status)
+    check_wide(row)
+    assert json.loads(row.app_extra_data) == {"bibliographic-data": {"application-reference": {"document-id": {"room": "7"}}}}
+    assert json.loads(row.pub_extra_data)["mood"] == "odd" and json.loads(row.pub_extra_data)["bibliographic-data"]["notes"] == {"n": ["1", "2"]}
+    assert (stub.app_extra_data, stub.pub_extra_data) == ("{}", "{}")
