@@ -7,15 +7,23 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: bytes of an Arrow batch, in and out of Python: what a task holds doesn't grow with the length of texts
+BATCH_BYTES = "4m"
+
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; one of our own only where it is unset (tests)."""
+    """Folder named by spark.checkpoint.dir; one of our own only where it is unset, which a cluster must not do (tests)."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="patentlake-")
     spark.sparkContext.setCheckpointDir(path)
     return f"file://{path}"
@@ -25,15 +33,36 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """df, whose session hands batches of at most BATCH_BYTES to Python; a bound that the session has already stays."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, BATCH_BYTES)
+    return df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df once as Parquet in the shared folder and read it back.
 
     A lost executor then costs a re-read, not a recomputation of what came before. What was
-    shuffled for df isn't needed any more: Spark removes those files once the driver has
-    collected its garbage, which a driver with memory to spare might not do for hours.
+    shuffled for df isn't needed any more, and Spark removes it at the end of the write.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables whose readers are done."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -32,12 +32,13 @@ _Q = np.uint64(0xD6E8FEB86659FD93)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """The splitmix64 finaliser: spreads what polynomial hashes leave in high bits."""
+    """The splitmix64 finaliser: every bit of the result depends on every bit of x."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class _Powers:
@@ -106,14 +107,35 @@ def words(low: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple[np.nd
 
 
 def word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word: its lanes of eight bytes are mixed with their place and summed, so that no structure of the bytes makes two words meet."""
     out = np.empty(len(start), dtype=np.uint64)
     i = 0
     while i < len(start):
         j = max(i + 1, int(np.searchsorted(end, start[i] + SLICE_BYTES, side="right")))
-        lo, hi = start[i], end[j - 1]
-        out[i:j] = span_hash(prefix_hash(low[lo:hi]), start[i:j] - lo, end[i:j] - lo)
+        data = np.concatenate([low[start[i] : end[j - 1]], np.zeros(8, dtype=np.uint8)])
+        out[i:j] = _lane_sums(data, start[i:j] - start[i], end[i:j] - start[i])
         i = j
-    return out
+    return mix(out + (end - start).astype(np.uint64) * _P)
+
+
+def _lane_sums(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sum of the mixed lanes of each word; eight bytes follow the last one. One word alone may be of any size."""
+    eight = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    if len(start) == 1:
+        with np.errstate(over="ignore"):
+            blocks = (np.arange(a, min(int(end[0]), a + SLICE_BYTES), 8) for a in range(0, int(end[0]), SLICE_BYTES))
+            return np.array([sum((_lanes(eight, at, end[0], at).sum() for at in blocks), np.uint64(0))], dtype=np.uint64)
+    count = (end - start + 7) >> 3
+    first = np.cumsum(count) - count
+    of = np.repeat(np.arange(len(start)), count)
+    inner = (np.arange(len(of)) - first[of]) << 3
+    return np.add.reduceat(_lanes(eight, start[of] + inner, end[of], inner), first)
+
+
+def _lanes(eight: np.ndarray, at: np.ndarray, end, inner) -> np.ndarray:
+    """Mixed lanes at the given bytes, of words that end at `end`; inner is a lane's first byte within its word."""
+    beyond = (np.maximum(8 - (end - at), 0) << 3).astype(np.uint64)
+    return mix(((eight[at] << beyond) >> beyond) ^ mix((inner + 1).astype(np.uint64) * _P))
 
 
 def shingle_hashes(wh: np.ndarray, n: int) -> np.ndarray:
@@ -121,8 +143,8 @@ def shingle_hashes(wh: np.ndarray, n: int) -> np.ndarray:
     m = len(wh) - n + 1
     if m <= 0:
         return np.zeros(0, dtype=np.uint64)
-    out = wh[:m].copy()
+    out = mix(wh[:m] + np.uint64(n * int(_Q) % (1 << 64)))
     for k in range(1, n):
-        out *= _Q
-        out += wh[k : k + m]
-    return mix(out + np.uint64(n))
+        out ^= wh[k : k + m]
+        out = mix(out)
+    return out

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patentlake.llm._io import bounded
 from patentlake.llm.tokens import vocabulary_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -110,7 +111,7 @@ def encode_texts(docs: DataFrame, text: str = "text", path: str | None = None, c
     path = path or vocabulary_path(RANKS)
     keep = [c for c in docs.columns if c not in (text, "ids")]
     names = [f"k{i}" for i in range(len(keep))]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    source = bounded(docs).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     kinds = "".join(f"{n} {source.schema[n].dataType.simpleString()}, " for n in names)
 
     def whole(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patentlake.llm._io import bounded
+
 FRAME = 64  # bytes of a frame; payloads are padded to a multiple of it
 RATE = 8000  # samples a second
 SYNC_EVERY = 64  # frames from one keyframe to the next
@@ -164,7 +166,7 @@ def pack_texts(docs: DataFrame, text: str = "text", column: str = "media") -> Da
     one; columns named like a result are replaced, others pass through.
     """
     keep, names, kinds = _columns(docs, text, "n_bytes", column)
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("text"))
+    source = bounded(docs).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("text"))
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -187,7 +189,7 @@ def probe(df: DataFrame, column: str = "media") -> DataFrame:
     """
     results = [x.split()[0] for x in PROBED.replace("struct<offset:long,length:long>", "x").split(", ")]
     keep, names, kinds = _columns(df, *results)
-    source = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
+    source = bounded(df).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
     at = names[keep.index(column)]
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

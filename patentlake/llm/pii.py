@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from patentlake.llm._io import bounded
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_TEXTS = 4000
 SAMPLE_ROWS = 4000  # candidates of a kind and label that reach the driver
@@ -365,7 +367,7 @@ def find_pii(docs: DataFrame, text: str = "text", model: Model | None = None, fi
     results = (*(f"n_{k}" for k in KINDS), "base", "spans", "redacted")
     keep = [c for c in docs.columns if c not in results]
     names = [f"k{i}" for i in range(len(keep))]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
+    source = bounded(docs).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
     at = names[keep.index(text)]
     kinds = "".join(f"{n} {source.schema[n].dataType.simpleString()}, " for n in names)
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patentlake.llm._io import bounded
 from patentlake.llm._text import LOWER, SPACED_WORD, shingle_hashes, text_slices, word_hashes, words
 
 MAX_POSITIVE = 6000
@@ -175,7 +176,7 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     keep = [c for c in docs.columns if c not in results]
     names = [f"k{i}" for i in range(len(keep))]
     at = names[keep.index(text)]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
+    source = bounded(docs).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
     kinds = "".join(f"{n} {source.schema[n].dataType.simpleString()}, " for n in names)
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

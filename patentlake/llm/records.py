@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from patentlake.llm._io import new_folder
+from patentlake.llm._io import bounded, new_folder
 from patentlake.llm.tokens import batches, vocabulary_path, word_encoder
 
 END_ID = 1
@@ -116,7 +116,7 @@ def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: st
     written. One shuffle, of the texts, by ranges of the document id.
     """
     path = path or vocabulary_path()
-    source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    source = bounded(docs).select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     spread = source.repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"))
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patentlake.llm._io import bounded
 from patentlake.llm._text import text_slices
 
 VOCABULARY = "word_bpe_49k.json"
@@ -139,7 +140,7 @@ def count_tokens(docs: DataFrame, text: str = "text", path: str | None = None, l
     path = path or vocabulary_path()
     keep = [c for c in docs.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
     names = [f"k{i}" for i in range(len(keep))]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").cast("string").alias("text"))
+    source = bounded(docs).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
