@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from patentlake.llm._io import written
+from patentlake.llm._io import discard, written
 
 LINKS = 1 << 20  # links that a task turns into a forest at a time
 
@@ -65,12 +65,14 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(_forests(proper), "links")
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # written, so that Spark can split the many links of one node at run time
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         # in stars, a node with a larger neighbour is the least one, and others have one neighbour
         unsettled = ((F.col("v") > F.col("u")) & (F.col("m") < F.col("u"))) | ((F.col("v") < F.col("u")) & (F.col("m") != F.col("v")))
         seen = Observation()
         met = both.join(least, "u").observe(seen, F.coalesce(F.sum(unsettled.cast("long")), F.lit(0)).alias("unsettled"))
-        now = written(_forests(met.where("v <> m").select("v", F.col("m").alias("u"))), "links")
+        then, now = now, written(_forests(met.where("v <> m").select("v", F.col("m").alias("u"))), "links")
+        discard(then, least)
         if not seen.get["unsettled"]:
             break
     # each node has one star, though several tasks may have written links of it

@@ -37,7 +37,7 @@ def op5_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85, side=10).drop("text")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
