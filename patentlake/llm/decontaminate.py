@@ -7,9 +7,11 @@ these prefix shingles only. A match gives the one place where the window can sta
 (positional bound), which must leave room for the window inside the document (length
 bound); there the window's words are compared, by hash and then byte by byte.
 
-Windows are held by tasks in blocks of at most `block_windows`, whose size is thus
-bounded; a larger benchmark takes several blocks, each a further narrow pass in the same
-job. Documents are never shuffled.
+Up to `block_windows` rows of windows and 64 MB (bounds on what is broadcast) documents aren't
+shuffled: every task holds the windows. A larger benchmark is joined by a shuffle: of the
+documents' shingles those that a sieve of fixed size lets pass, with the words around them,
+meet the windows of their prefix; what is found meets the documents again by the hash of
+their text.
 """
 
 from __future__ import annotations
@@ -18,16 +20,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patentlake.llm._io import written
+from patentlake.llm._io import bounded, written
 from patentlake.llm._text import ALNUM_WORD, LOWER, shingle_hashes, text_slices, word_hashes, words
 
 WINDOW = 13
 SHINGLE = 5
 BLOCK_WINDOWS = 100_000
-BLOCK_SHINGLES = 1_000_000
+BLOCK_BYTES = 1 << 26
+SIEVE_BITS = 1 << 27  # at most; 16 MB
 
 
 def _words_of(data: np.ndarray, offs: np.ndarray):
@@ -81,34 +85,46 @@ def _inside(at: np.ndarray, n: int, rows: np.ndarray) -> np.ndarray:
     return at + n <= rows[np.searchsorted(rows, at, side="right")]
 
 
+class Sieve:
+    """A bitmap of hashes; lets all of them pass, and few others while it isn't full."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words, self.mask = words, np.uint64(64 * len(words) - 1)
+
+    def passing(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes & self.mask
+        return np.flatnonzero((self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1))
+
+
+def _sieve(hashes: DataFrame, column: str) -> Broadcast:
+    """Sieve of a column of hashes; what reaches the driver is bounded by SIEVE_BITS."""
+    n = hashes.agg(F.approx_count_distinct(column)).first()[0]
+    bits = min(SIEVE_BITS, max(1 << 16, 1 << (16 * n + 1).bit_length()))
+    place = F.col(column).bitwiseAND(F.lit(bits - 1))
+    rows = hashes.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 63 as int))")).alias("bits")).toPandas()
+    words = np.zeros(bits >> 6, dtype=np.uint64)
+    words[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(words)
+
+
 def _shingle_counts(docs: DataFrame, shingles: DataFrame) -> DataFrame:
     """How often each of the given shingles (shingle, s) occurs in all documents."""
-    spark = docs.sparkSession
-    n_blocks = max(1, -(-shingles.count() // BLOCK_SHINGLES))
-    out = None
-    for block in range(n_blocks):
-        part = shingles.where(F.pmod(F.col("shingle"), F.lit(n_blocks)) == block) if n_blocks > 1 else shingles
-        pdf = part.toPandas()  # bounded by the block
-        held = spark.sparkContext.broadcast({int(s): np.sort(g["shingle"].to_numpy().view(np.uint64)) for s, g in pdf.groupby("s")})
-
-        def run(it: Iterable[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            probes = {s: Probe(keys) for s, keys in held.value.items()}
-            counts = {s: np.zeros(len(p.keys), dtype=np.int64) for s, p in probes.items()}
-            for batch in it:
-                for _, _, data, offs in text_slices(batch.column("text")):
-                    _, _, _, rows, wh = _words_of(data, offs)
-                    for s, p in probes.items():
-                        hashes = shingle_hashes(wh, s)
-                        at = p.hits(hashes)
-                        at = at[_inside(at, s, rows)]
-                        counts[s] += np.bincount(np.searchsorted(p.keys, hashes[at]), minlength=len(p.keys))
-            for s, p in probes.items():
-                some = counts[s] > 0
-                yield pa.RecordBatch.from_arrays([pa.array(p.keys[some].view(np.int64)), pa.array(counts[s][some])], names=["shingle", "n"])
-
-        counted = docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-        out = counted if out is None else out.unionByName(counted)
-    return out
+    sieve = _sieve(shingles, "shingle")
+    sizes = [r[0] for r in shingles.select("s").distinct().collect()]  # at most five
+
+    def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Sieve(sieve.value)
+        for batch in it:
+            for _, _, data, offs in text_slices(batch.column("text")):
+                _, _, _, rows, wh = _words_of(data, offs)
+                for s in sizes:
+                    hashes = shingle_hashes(wh, s)
+                    at = held.passing(hashes)
+                    some, n = np.unique(hashes[at[_inside(at, s, rows)]], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(np.full(len(some), s)), pa.array(n)], names=["shingle", "s", "n"])
+
+    counted = docs.select("text").mapInArrow(run, "shingle long, s long, n long").groupBy("shingle", "s").agg(F.sum("n").alias("n"))
+    return counted.join(shingles, ["shingle", "s"], "left_semi")
 
 
 class _Block:
@@ -160,73 +176,118 @@ def _merge(spans: np.ndarray) -> np.ndarray:
     return np.column_stack([spans[at, 0], np.append(reach[at[1:] - 1], reach[-1])])
 
 
+def _broadcast_join(source: DataFrame, names: list[str], prefixed: DataFrame) -> DataFrame:
+    """source with n_words, items and spans (word positions); the windows are held by every task."""
+    pdf = prefixed.toPandas()
+    rows = {c: pdf[c].to_numpy(dtype=np.int64) for c in ("n", "s", "hash", "offset", "prefix")} | {"words": [bytes(w) for w in pdf["words"]], "item": pdf["item"].tolist()}
+    held = source.sparkSession.sparkContext.broadcast(rows)
+
+    def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, item, size = _Block(held.value), held.value["item"], held.value["n"]
+        for batch in it:
+            m = batch.num_rows
+            n_words = np.zeros(m, dtype=np.int64)
+            spans, items = [np.zeros((0, 2), dtype=np.int64)] * m, [[]] * m
+            for i, _, data, offs in text_slices(batch.column("text")):
+                low, start, end, bounds, wh = _words_of(data, offs)
+                n_words[i : i + len(bounds) - 1] = np.diff(bounds)
+                at, found = index.find(low, start, end, bounds, wh)
+                row = np.searchsorted(bounds, at, side="right") - 1
+                for r in np.unique(row).tolist():
+                    own = row == r
+                    f = at[own] - bounds[r]
+                    spans[i + r] = _merge(np.column_stack([f, f + size[found[own]]]))
+                    items[i + r] = sorted({item[v] for v in found[own].tolist()})
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(n_words), pa.array(items, pa.list_(pa.string())), pa.array([x.tolist() for x in spans], PAIRS)], names=[*names, "n_words", "items", "hit_spans"])
+
+    return source.mapInArrow(run, _kinds(source, names) + "n_words long, items array<string>, hit_spans array<array<long>>")
+
+
+def _shuffle_join(source: DataFrame, names: list[str], prefixed: DataFrame, window: int) -> DataFrame:
+    """What _broadcast_join gives, with the windows met by a shuffle of the prefix shingles."""
+    sieve = _sieve(prefixed, "prefix")
+    sizes = [r[0] for r in prefixed.select("s").distinct().collect()]  # at most five
+    said = F.coalesce("text", F.lit(""))
+    named = source.withColumn("h1", F.xxhash64(said)).withColumn("h2", F.xxhash64(F.lit(1), said))
+
+    def probes(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Sieve(sieve.value)
+        names_ = ["h1", "h2", "prefix", "s", "at", "first", "around"]
+        for batch in it:
+            h1, h2 = (batch.column(c).to_numpy() for c in ("h1", "h2"))
+            for i, _, data, offs in text_slices(batch.column("text")):
+                low, start, end, bounds, wh = _words_of(data, offs)
+                for s in sizes:
+                    hashes = shingle_hashes(wh, s)
+                    at = held.passing(hashes)
+                    at = at[_inside(at, s, bounds)]
+                    row = np.searchsorted(bounds, at, side="right") - 1
+                    # all words that a window with this shingle can have
+                    lo, hi = np.maximum(at - window + s, bounds[row]), np.minimum(at + window, bounds[row + 1])
+                    around = [b" ".join(low[x:y].tobytes() for x, y in zip(start[a:b].tolist(), end[a:b].tolist(), strict=True)) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(h1[i + row]), pa.array(h2[i + row]), pa.array(hashes[at].view(np.int64)), pa.array(np.full(len(at), s)), pa.array(at - bounds[row]), pa.array(lo - bounds[row]), pa.array(around, pa.binary())], names=names_)
+
+    def verify(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            ok, firsts = np.zeros(batch.num_rows, dtype=bool), np.zeros(batch.num_rows, dtype=np.int64)
+            for r, x in enumerate(batch.select(["at", "first", "around", "offset", "n", "words"]).to_pylist()):
+                firsts[r] = x["at"] - x["offset"]
+                skip = firsts[r] - x["first"]  # positional bound: the window starts among these words, and they are enough
+                ok[r] = skip >= 0 and b" ".join(x["around"].split(b" ")[skip : skip + x["n"]]) == x["words"]
+            cols = [batch.column(c) for c in ("h1", "h2", "n", "item")]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(firsts)], names=["h1", "h2", "n", "item", "first"]).filter(pa.array(ok))
+
+    def count(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            n_words = np.zeros(batch.num_rows, dtype=np.int64)
+            for i, j, data, offs in text_slices(batch.column("text")):
+                n_words[i:j] = np.diff(words(LOWER[data], offs, ALNUM_WORD)[2])
+            spans = [_merge(np.array([(f, f + n) for f, n in zip(x or (), y or (), strict=True)], dtype=np.int64).reshape(-1, 2)).tolist() for x, y in zip(batch.column("firsts").to_pylist(), batch.column("ns").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(n_words), batch.column("items"), pa.array(spans, PAIRS)], names=[*names, "n_words", "items", "hit_spans"])
+
+    met = named.select("h1", "h2", "text").mapInArrow(probes, "h1 long, h2 long, prefix long, s long, at long, first long, around binary").join(prefixed, ["prefix", "s"])
+    hits = met.mapInArrow(verify, "h1 long, h2 long, n long, item string, first long").distinct()
+    found = written(hits.groupBy("h1", "h2").agg(F.array_sort(F.collect_set("item")).alias("items"), F.collect_list(F.struct("first", "n")).alias("at")), "found")
+    joined = named.join(found, ["h1", "h2"], "left").select(*names, "text", F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("at.first").alias("firsts"), F.col("at.n").alias("ns"))
+    return joined.mapInArrow(count, _kinds(source, names) + "n_words long, items array<string>, hit_spans array<array<long>>")
+
+
+PAIRS = pa.list_(pa.list_(pa.int64()))
+
+
+def _kinds(source: DataFrame, names: list[str]) -> str:
+    return "".join(f"{n} {source.schema[n].dataType.simpleString()}, " for n in names)
+
+
 def find_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Every row of docs with n_words, n_hit, items (sorted ids as strings) and hit_spans ([first word, end) pairs).
 
     Null or empty texts have no words. Items with null text have no windows; items with a
     null id are ignored; rows of one id are one item. Empty docs give an empty table; an
     empty benchmark hits nothing. Repeated rows each get a row; columns named like a
-    result are replaced, others pass through.
+    result are replaced, others pass through. At most block_windows rows of windows (and
+    BLOCK_BYTES) are broadcast; more are joined by a shuffle, with the same result.
     """
-    spark = docs.sparkSession
     results = ("n_words", "n_hit", "items", "hit_spans")
     keep = [c for c in docs.columns if c not in results]
     names = [f"k{i}" for i in range(len(keep))]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").cast("string").alias("text"))
+    source = bounded(docs).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").cast("string").alias("text"))
 
     tidy = items.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").cast("string").alias("text")).where("item is not null")
     windows = tidy.mapInArrow(lambda it: _window_rows(it, window, shingle), "item string, n long, s long, hash long, words binary, shingles array<long>").distinct()
     windows = written(windows, "windows")
-    n_windows = windows.count()
     each = windows.select("item", "n", "s", "hash", "words", F.posexplode("shingles").alias("offset", "shingle"))
-    counts = _shingle_counts(source.select("text"), each.select("s", "shingle").distinct()) if n_windows else None
-    if counts is None:
-        prefixed = each.withColumn("prefix", F.col("shingle"))
-    else:
-        rank = F.struct(F.coalesce("count", F.lit(0)), "offset")
-        counted = each.join(counts.withColumnRenamed("n", "count"), "shingle", "left")
-        prefixed = counted.groupBy("item", "n", "s", "hash", "words").agg(F.min_by("offset", rank).alias("offset"), F.min_by("shingle", rank).alias("prefix"), F.min("count").alias("least"))
-    # a shingle that no document holds needs no probe
-    prefixed = written(prefixed.where("least is not null").select("item", "n", "s", "hash", "words", "offset", "prefix") if counts is not None else prefixed.select("item", "n", "s", "hash", "words", "offset", "prefix"), "prefixes")
-    n_blocks = max(1, -(-n_windows // block_windows))
-
-    kinds = "".join(f"{n} {source.schema[n].dataType.simpleString()}, " for n in names)
-    out = source
-    for block in range(n_blocks):
-        pdf = (prefixed.where(F.pmod(F.xxhash64("words"), F.lit(n_blocks)) == block) if n_blocks > 1 else prefixed).toPandas()  # bounded by the block
-        rows = {c: pdf[c].to_numpy(dtype=np.int64) for c in ("n", "s", "hash", "offset", "prefix")} | {"words": [bytes(w) for w in pdf["words"]], "item": pdf["item"].tolist()}
-        held = spark.sparkContext.broadcast(rows)
-        first, last = block == 0, block == n_blocks - 1
-
-        def run(it: Iterable[pa.RecordBatch], held=held, first=first, last=last) -> Iterator[pa.RecordBatch]:
-            index = _Block(held.value)
-            item = held.value["item"]
-            for batch in it:
-                m = batch.num_rows
-                n_words, n_hit = np.zeros(m, dtype=np.int64), np.zeros(m, dtype=np.int64)
-                spans = [np.zeros((0, 2), dtype=np.int64)] * m if first else [np.frombuffer(x, dtype=np.int64).reshape(-1, 2) for x in batch.column("spans").to_pylist()]
-                items = [[]] * m if first else batch.column("items").to_pylist()
-                for i, _, data, offs in text_slices(batch.column("text")):
-                    low, start, end, bounds, wh = _words_of(data, offs)
-                    n_words[i : i + len(bounds) - 1] = np.diff(bounds)
-                    at, found = index.find(low, start, end, bounds, wh)
-                    row = np.searchsorted(bounds, at, side="right") - 1
-                    for r in np.unique(row).tolist():
-                        own = row == r
-                        f = at[own] - bounds[r]
-                        got = np.column_stack([f, f + held.value["n"][found[own]]])
-                        spans[i + r] = _merge(np.concatenate([spans[i + r], got]))
-                        items[i + r] = sorted({*items[i + r], *(item[v] for v in found[own].tolist())})
-                n_hit[:] = [int((s[:, 1] - s[:, 0]).sum()) for s in spans]
-                kept = [batch.column(c) for c in names]
-                if last:
-                    pairs = pa.array([s.tolist() for s in spans], pa.list_(pa.list_(pa.int64())))
-                    yield pa.RecordBatch.from_arrays([*kept, pa.array(n_words), pa.array(n_hit), pa.array(items, pa.list_(pa.string())), pairs], names=[*names, *results])
-                else:
-                    yield pa.RecordBatch.from_arrays([*kept, batch.column("text"), pa.array([s.tobytes() for s in spans], pa.binary()), pa.array(items, pa.list_(pa.string()))], names=[*names, "text", "spans", "items"])
-
-        out = out.mapInArrow(run, kinds + ("n_words long, n_hit long, items array<string>, hit_spans array<array<long>>" if last else "text string, spans binary, items array<string>"))
-    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], *results)
+    counts = _shingle_counts(source.select("text"), each.select("s", "shingle").distinct())
+    rank = F.struct("count", "offset")
+    # a window with a shingle that no document holds isn't found anywhere
+    counted = each.join(counts.withColumnRenamed("n", "count"), ["shingle", "s"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    prefixed = counted.groupBy("item", "n", "s", "hash", "words").agg(F.min_by("offset", rank).alias("offset"), F.min_by("shingle", rank).alias("prefix"), F.min("count").alias("least")).where("least > 0").drop("least")
+    prefixed = written(prefixed.withColumn("offset", F.col("offset").cast("long")), "prefixes")
+    size = prefixed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words") + F.octet_length("item")), F.lit(0))).first()
+    small = size[0] <= block_windows and size[1] <= BLOCK_BYTES
+    out = _broadcast_join(source, names, prefixed) if small else _shuffle_join(source, names, prefixed, window)
+    n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, x: n + x[1] - x[0])
+    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "n_words", n_hit.alias("n_hit"), "items", "hit_spans")
 
 
 def contamination(docs: DataFrame, items: DataFrame, share: int = 20, **options) -> DataFrame:
