@@ -1,8 +1,7 @@
 """Byte-level BPE encoding and decoding by overlapping chunks.
 
-Texts of at most `long_chars` are encoded where they lie. A longer one is cut into chunks
-that overlap and spread over tasks; each chunk is pre-tokenised on its own. Whether a
-match starts at a place and where it ends depends on the text from there on only, so that
+A text longer than a chunk is cut into chunks that overlap; each is pre-tokenised on its
+own, those of texts of more than `long_chars` in tasks of their own. Whether a match starts at a place and where it ends depends on the text from there on only, so that
 two chunks that share one boundary agree on all later ones: the first common boundary in
 the overlap is where they are stitched. The pieces between stitches are encoded, and the
 ids joined in order. Where an overlap holds no common boundary (one pre-token longer than
@@ -26,8 +25,9 @@ from patentlake.llm._io import bounded
 from patentlake.llm.tokens import vocabulary_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-CHUNK_CHARS = 1 << 16
-OVERLAP_CHARS = 1 << 10
+CHUNK_CHARS = 1 << 13
+OVERLAP_CHARS = 1 << 9
+LONG_CHARS = 1 << 15  # longer texts' chunks are dealt over tasks
 ROWS = 256  # taken from a record batch at a time, to bound what a worker holds
 
 
@@ -58,11 +58,19 @@ def pattern():
     return regex.compile(public_tokenizers.PATTERN)
 
 
-def boundaries(text: str, last: bool) -> list[int]:
-    """Starts of pre-tokens that what follows the chunk can't change and where a text may be cut."""
-    # a match that ends before the last character has seen the character after it; after white
-    # space no cut is safe, because white space at a text's end is matched in another way
-    return [a for a, b in (m.span() for m in pattern().finditer(text)) if (last or b < len(text) - 1) and not text[a - 1 : a].isspace()]
+def boundaries(text: str, last: bool, chunk: int, overlap: int) -> list[int]:
+    """Starts of pre-tokens where a chunk may meet its neighbours: those that what follows can't change and where a text may be cut."""
+    matches = pattern().findall(text)
+    ends = np.cumsum([len(m) for m in matches], dtype=np.int64)
+    if len(ends) and ends[-1] == len(text):
+        starts = np.append(0, ends[:-1])
+    else:  # a pattern that leaves gaps
+        spans = np.array([m.span() for m in pattern().finditer(text)], dtype=np.int64).reshape(-1, 2)
+        starts, ends = spans[:, 0], spans[:, 1]
+    # a match that ends before the last character has seen the character after it
+    near = ((starts <= overlap) | (starts >= chunk)) & (last | (ends < len(text) - 1))
+    # after white space no cut is safe, because white space at a text's end is matched in another way
+    return [a for a in starts[near].tolist() if not text[a - 1 : a].isspace()]
 
 
 def stitch(chunks: list[tuple[int, int, list[int]]]) -> list[int] | None:
@@ -90,7 +98,7 @@ def encode_in_chunks(text: str, path: str, chunk: int = CHUNK_CHARS, overlap: in
         return enc.encode_to_numpy(text, disallowed_special=()) if text else np.zeros(0, dtype=np.uint32)
     while True:
         parts = cut(text, chunk, overlap)
-        cuts = stitch([(a, len(t), boundaries(t, a + len(t) >= len(text))) for a, t in parts])
+        cuts = stitch([(a, len(t), boundaries(t, a + len(t) >= len(text), chunk, overlap)) for a, t in parts])
         if cuts is not None:
             break
         overlap *= 2
@@ -101,7 +109,7 @@ def encode_in_chunks(text: str, path: str, chunk: int = CHUNK_CHARS, overlap: in
     return np.concatenate([np.asarray(enc.encode_ordinary(text[a:b]), dtype=np.uint32) for a, b in zip(edges, edges[1:], strict=False)])
 
 
-def encode_texts(docs: DataFrame, text: str = "text", path: str | None = None, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, long_chars: int = 1 << 22) -> DataFrame:
+def encode_texts(docs: DataFrame, text: str = "text", path: str | None = None, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, long_chars: int = LONG_CHARS) -> DataFrame:
     """Every row of docs with `ids` (binary: little-endian unsigned 32-bit integers) in place of its text.
 
     Null or empty text: empty ids. Repeated rows each get a row; an empty table gives an
@@ -128,9 +136,7 @@ def encode_texts(docs: DataFrame, text: str = "text", path: str | None = None, c
 
     def edge_lists(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            found = [boundaries(c, a + len(c) >= n) for a, n, c in zip(*(batch.column(x).to_pylist() for x in ("start", "size", "chunk")), strict=True)]
-            # those that the neighbours can meet: the overlap with the chunk before and with the one after
-            near = [[b for b in bs if b <= overlap or b >= chunk] for bs in found]
+            near = [boundaries(c, a + len(c) >= n, chunk, overlap) for a, n, c in zip(*(batch.column(x).to_pylist() for x in ("start", "size", "chunk")), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("row", "part", "start")), pa.array([len(c) for c in batch.column("chunk").to_pylist()], pa.int64()), pa.array(near, pa.list_(pa.int64()))], names=["row", "part", "start", "len", "near"])
 
     def join_cuts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:

@@ -48,6 +48,19 @@ def test_chunked_bpe_is_whole_bpe(text):
     assert bpe.encode_in_chunks(text, path, chunk=16, overlap=8).tolist() == bpe.encoding(path).encode_ordinary(text)
 
 
+def test_long_texts_are_stitched(spark, monkeypatch):
+    """With the production sizes: texts of several chunks, in one task and in several, awkward ones too."""
+    rng = np.random.default_rng(3)
+    words = ["the", "don't", "naïve", "été", "12345", "?!", "\n\n", "   ", "x" * 50, "，", "a\u0301"]
+    texts = [" ".join(rng.choice(words, n)) for n in (3000, 9000, 20000)] + ["y" * 40_000, " " * 40_000, "z" * 9000 + " end. " * 6000, "\n" * 9000, "it's" * 9000]
+    path = tokens.vocabulary_path(bpe.RANKS)
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {k: bpe.brute_digests(t, path) for k, t in enumerate(texts)}
+    calls = []
+    monkeypatch.setattr(bpe, "stitch", lambda chunks, f=bpe.stitch: calls.append(len(chunks)) or f(chunks))
+    assert bpe.encode_in_chunks(texts[0], path).tolist() == bpe.encoding(path).encode_ordinary(texts[0]) and calls == [-(-len(texts[0]) // bpe.CHUNK_CHARS)]
+
+
 @pytest.mark.parametrize("long_chars", [1 << 22, 100])
 def test_bpe_digests(edge, nothing, long_chars):
     path = tokens.vocabulary_path(bpe.RANKS)
