@@ -5,12 +5,15 @@ minimises the non-negative unbiased risk
 
     prior * R_p(+1)  +  max(0, R_u(-1) - prior * R_p(-1))
 
-with the class prior estimated as the share of good labels among all labelled rows of the
-training folds. Where the second term falls below zero the step goes against it instead,
-which keeps the model from fitting noise. The features describe a text's form (character
-classes and their transitions, letter case, words, repetition) and are counted over whole
-texts. Sampling is bounded by `max_positive` and `max_unlabelled` rows, taken by a hash of
-the document id; all documents are scored.
+where the second term falls below zero the step goes against it instead, which keeps the
+model from fitting noise. The class prior is estimated from positives and unlabelled texts
+alone: among the texts that a first classifier puts on top nearly all are positive, so the
+share of unlabelled texts there, over that of positives, is the prior; the best place to
+read it is where that ratio with its confidence bound is least (best bin estimation, on
+rows that the first classifier hasn't seen). Labels of bad texts teach nothing. The features
+describe a text's form (character classes and their transitions, letter case, words,
+repetition) and are counted over whole texts. Sampling is bounded by `max_positive` and
+`max_unlabelled` rows, taken by a hash of the document id; all documents are scored.
 """
 
 from __future__ import annotations
@@ -93,7 +96,7 @@ def features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         last_mark / w,
         lone_mark / w,
         np.log1p(n_words),
-        (end - start).sum() * 0 + np.bincount(word_row, weights=end - start, minlength=n) / w / 10,
+        np.bincount(word_row, weights=end - start, minlength=n) / w / 10,
     ]
     return np.column_stack([one / some[:, None], two / some[:, None], *extra]).astype(np.float64)
 
@@ -110,24 +113,57 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, rate: float = 0.03, decay: float = 3e-4) -> Model:
-    """Minimise the non-negative risk by Adam over all rows."""
-    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0)
-    scale = np.where(scale > 1e-9, scale, 1.0)
-    p, u = (np.clip((x - mean) / scale, -6, 6) for x in (positive, unlabelled))
-    p, u = (np.column_stack([x, np.ones(len(x))]) for x in (p, u))
+def risk(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """prior * R_p(+1) and R_u(-1) - prior * R_p(-1) of logistic loss, and the gradients of both. p, u: rows of positives and unlabelled."""
+    zp, zu = p @ w, u @ w
+    sp, su = (1 / (1 + np.exp(-np.clip(z, -40, 40))) for z in (zp, zu))
+    positive = prior * np.mean(np.logaddexp(0, -zp))
+    negative = np.mean(np.logaddexp(0, zu)) - prior * np.mean(np.logaddexp(0, zp))
+    return positive, negative, -prior * (p.T @ (1 - sp)) / len(p), (u.T @ su) / len(u) - prior * (p.T @ sp) / len(p)
+
+
+def _descend(p: np.ndarray, u: np.ndarray, prior: float, steps: int, rate: float, decay: float) -> np.ndarray:
     w = np.zeros(p.shape[1])
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for k in range(1, steps + 1):
-        sp, su = (1 / (1 + np.exp(-np.clip(x @ w, -40, 40))) for x in (p, u))
-        good = -prior * (p.T @ (1 - sp)) / len(p)
-        negative = np.mean(-np.log1p(-np.minimum(su, 1 - 1e-12))) - prior * np.mean(-np.log1p(-np.minimum(sp, 1 - 1e-12)))
-        rest = (u.T @ su) / len(u) - prior * (p.T @ sp) / len(p)
+        _, negative, good, rest = risk(w, p, u, prior)
         g = good + rest if negative >= 0 else -rest
         g[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
+    return w
+
+
+def best_bin(positive: np.ndarray, unlabelled: np.ndarray, delta: float = 0.1, gamma: float = 0.01) -> float:
+    """Class prior from scores that rank positives first: the least ratio of the shares above a score, with its confidence bound."""
+    cuts = np.unique(positive)
+    share_p = 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
+    share_u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
+    noise = sum(np.sqrt(np.log(4 / delta) / (2 * len(x))) for x in (positive, unlabelled))
+    at = int(np.argmin((share_u + (1 + gamma) * noise) / share_p))
+    return float(np.clip(share_u[at] / share_p[at], 0.01, 0.99))
+
+
+def estimated_prior(p: np.ndarray, u: np.ndarray, steps: int = STEPS) -> float:
+    """Share of positives among unlabelled rows: two halves of either rank each other's rows."""
+    found = []
+    for k in (0, 1):
+        (a, b), (c, d) = ((x[k::2], x[1 - k :: 2]) for x in (p, u))
+        if not all(map(len, (a, b, c, d))):
+            return 0.5
+        w = _descend(a, c, 0.5, steps, 0.03, 1e-3)
+        found.append(best_bin(b @ w, d @ w))
+    return float(np.mean(found))
+
+
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, steps: int = STEPS, rate: float = 0.03, decay: float = 3e-4) -> Model:
+    """Minimise the non-negative risk by Adam over all rows; the prior is estimated where none is given."""
+    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0)
+    scale = np.where(scale > 1e-9, scale, 1.0)
+    p, u = (np.column_stack([np.clip((x - mean) / scale, -6, 6), np.ones(len(x))]) for x in (positive, unlabelled))
+    prior = estimated_prior(p, u) if prior is None else prior
+    w = _descend(p, u, prior, steps, rate, decay)
     return Model(mean, scale, w[:-1], float(w[-1]), prior)
 
 
@@ -149,10 +185,6 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     A document with any label but 1 isn't trusted; null ids and null labels are left out.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    total = known.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("quality") == 1).cast("int")), F.lit(0)).alias("good")).first()
-    if not total["good"]:
-        return None
-    prior = min(max(total["good"] / total["n"], 0.01), 0.99)
     drawn = F.xxhash64("doc_id", F.lit(7))
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).where(F.col("id").isNotNull())
     positive = known.where("quality = 1").orderBy(drawn, "doc_id").limit(max_positive).select(F.col("doc_id").alias("id"))
@@ -160,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     # the samples are bounded, so either may be broadcast; a repeated id gives one row, that of its text of least hash
     one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
     p, u = (_features_of(texts.join(F.broadcast(ids), "id", "left_semi").groupBy("id").agg(one)) for ids in (positive, unlabelled))
-    return fit(p, u, prior) if len(p) and len(u) else None
+    return fit(p, u) if len(p) and len(u) else None
 
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **bounds) -> DataFrame:
