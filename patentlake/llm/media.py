@@ -26,6 +26,8 @@ RATE = 8000  # samples a second
 SYNC_EVERY = 64  # frames from one keyframe to the next
 PER_CHUNK = 256  # frames of a chunk
 
+DEEPEST = 64  # containers within each other; the format needs seven
+
 #: boxes that hold boxes
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf", b"mvex", b"moof", b"traf", b"udta"}
 
@@ -40,9 +42,12 @@ class Track(NamedTuple):
 
 
 def boxes(data: memoryview, lo: int = 0, hi: int | None = None, within: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
-    """(path of box types, start and end of the content) of every box, parents before children."""
-    hi = len(data) if hi is None else hi
-    while lo + 8 <= hi:
+    """(path of box types, start and end of the content) of every box, parents before children, at any depth up to DEEPEST."""
+    open_ = [(lo, len(data) if hi is None else hi, within)]
+    while open_:
+        lo, hi, within = open_.pop()
+        if lo + 8 > hi:
+            continue
         size, kind = struct.unpack_from(">I4s", data, lo)
         head = 8
         if size == 1:
@@ -52,9 +57,11 @@ def boxes(data: memoryview, lo: int = 0, hi: int | None = None, within: tuple[by
             raise ValueError(f"box {kind!r} at {lo} runs past its parent")
         path = (*within, kind)
         yield path, lo + head, end
+        open_.append((end, hi, within))
         if kind in CONTAINERS:
-            yield from boxes(data, lo + head, end, path)
-        lo = end
+            if len(path) > DEEPEST:
+                raise ValueError(f"box {kind!r} at {lo} lies {len(path)} boxes deep")
+            open_.append((lo + head, end, path))
 
 
 def _table(data: memoryview, at: int, kind: str, columns: int = 1) -> np.ndarray:
@@ -80,10 +87,14 @@ def tracks(media: bytes) -> list[Track]:
         scale, duration = struct.unpack_from(">IQ", data, at + 20) if data[at] == 1 else struct.unpack_from(">II", data, at + 12)
         codec = bytes(data[t[b"stsd"][0] + 12 : t[b"stsd"][0] + 16]).decode("latin-1")
         same, n = struct.unpack_from(">II", data, t[b"stsz"][0] + 4)
+        if same * n > len(data):
+            raise ValueError(f"{n} samples of {same} bytes are more than the file holds")
         sizes = np.full(n, same, dtype=np.int64) if same else _table(data, t[b"stsz"][0] + 8, ">u4")
         starts = _table(data, t[b"co64"][0] + 4, ">u8") if b"co64" in t else _table(data, t[b"stco"][0] + 4, ">u4")
         runs = _table(data, t[b"stsc"][0] + 4, ">u4", 3)
         lengths = np.diff(np.append(runs[:, 0], len(starts) + 1))
+        if sum(k * m for k, m in zip(runs[:, 1].tolist(), lengths.tolist(), strict=True)) != n or (lengths < 0).any():
+            raise ValueError(f"chunks don't hold the {n} samples")
         per = np.repeat(runs[:, 1], lengths)
         chunk = np.repeat(np.arange(len(starts)), per)[:n]
         before = np.cumsum(sizes) - sizes
@@ -200,7 +211,7 @@ def probe(df: DataFrame, column: str = "media") -> DataFrame:
                 try:
                     t = tracks(media.as_py())[0]
                     rows.append((t.codec, t.timescale, t.duration, len(t.sizes), [{"offset": a, "length": n} for a, n in keyframe_ranges(t)], None))
-                except (ValueError, IndexError, TypeError, KeyError, struct.error) as e:
+                except (ValueError, IndexError, TypeError, KeyError, MemoryError, OverflowError, struct.error) as e:
                     rows.append((None, None, None, None, None, f"{type(e).__name__}: {e}"))
             got = zip(*rows, strict=True) if rows else [[]] * len(results)
             kinds_ = (pa.string(), pa.int64(), pa.int64(), pa.int64(), ranges, pa.string())

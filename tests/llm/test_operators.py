@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import struct
 import time
 import zlib
 
@@ -82,6 +83,8 @@ def test_records_round_trip(spark, edge, nothing, tmp_path):
     assert [r.start for r in order] == np.cumsum([0, *(r.n_tokens for r in order)])[:-1].tolist()
     again = records.read_shuffled(spark, folder, seed=3).collect()
     assert collections.Counter((r.doc_id, tuple(np.frombuffer(r.ids, dtype="<u4").tolist())) for r in again) == want
+    sums = collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in records.written_digests(edge).collect())
+    assert sums == collections.Counter({(i, len(x), zlib.crc32(np.array(x, dtype="<u4").tobytes())): n for (i, x), n in want.items()})
     assert records.written_digests(nothing).count() == 0
 
 
@@ -142,6 +145,30 @@ def test_quality_held_out_accuracy(spark):
     assert len(rows) > 50 and np.mean([r.predicted == r.quality for r in rows]) > 0.97
 
 
+def test_quality_risk_and_gradient():
+    rng = np.random.default_rng(1)
+    p, u, w = rng.normal(size=(30, 4)) + 1, rng.normal(size=(50, 4)), rng.normal(size=4)
+    loss = lambda z: np.log1p(np.exp(-z))
+    good, rest, g_good, g_rest = quality.risk(w, p, u, 0.4)
+    assert np.isclose(good, 0.4 * loss(p @ w).mean()) and np.isclose(rest, loss(-(u @ w)).mean() - 0.4 * loss(-(p @ w)).mean())
+    for k in range(4):
+        step = np.eye(4)[k] * 1e-6
+        up, down = quality.risk(w + step, p, u, 0.4), quality.risk(w - step, p, u, 0.4)
+        assert np.isclose((up[0] - down[0]) / 2e-6, g_good[k], atol=1e-6) and np.isclose((up[1] - down[1]) / 2e-6, g_rest[k], atol=1e-6)
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.85])
+def test_quality_prior_is_estimated(share):
+    """From positives and a mixture alone, where the classes can be told apart."""
+    rng = np.random.default_rng(2)
+    draw = lambda n, at: rng.normal(size=(n, 6)) + at
+    n = int(4000 * share)
+    u = rng.permutation(np.concatenate([draw(n, 1.5), draw(4000 - n, -1.5)]))
+    model = quality.fit(draw(2000, 1.5), u)
+    assert abs(model.prior - share) < 0.06
+    assert np.mean(model.score(draw(500, 1.5)) >= 0.5) > 0.97 and np.mean(model.score(draw(500, -1.5)) < 0.5) > 0.97
+
+
 def test_quality_edges(spark, edge, nothing):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality.classify(edge, none).collect()} == {0.5}
@@ -482,16 +509,50 @@ def test_boosted_trees_learn():
     assert np.mean((pii.boost(x, y).score(x) > 0.5) == y) > 0.97
 
 
+def plain_boxes(data, lo=0, hi=None):
+    """{path: [contents]} by the format's rules alone."""
+    hi, out = len(data) if hi is None else hi, collections.defaultdict(list)
+    while lo < hi:
+        size, kind = struct.unpack_from(">I4s", data, lo)
+        out[kind].append(data[lo + 8 : lo + size])
+        if kind in (b"moov", b"trak", b"mdia", b"minf", b"stbl"):
+            for k, v in plain_boxes(data, lo + 8, lo + size).items():
+                out[k] += v
+        lo += size
+    return out
+
+
 def test_media(edge, nothing):
-    got = collections.Counter((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in media.digests(edge).collect())
+    """All columns against what a plain reader of the stored container finds."""
+    stored = {(r.doc_id, r.n_bytes): bytes(r.media) for r in media.pack_texts(edge).collect()}
+    got = collections.Counter((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256, r.feature) for r in media.digests(edge).collect())
     want = collections.Counter()
     for i, t, _ in EDGE:
         raw = (t or "").encode()
         full = raw + b"\0" * (max(64, -(-len(raw) // 64) * 64) - len(raw))
-        want[i, len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-64:])] += 1
+        kept = stored[i, len(raw)]
+        found = plain_boxes(kept)
+        (payload,), (stss,), (stco,), (mdhd,) = found[b"mdat"], found[b"stss"], found[b"stco"], found[b"mdhd"]
+        assert payload == full and kept[struct.unpack_from(">I", stco, 8)[0] :].startswith(full[:64])
+        keys = [kept.index(payload) + 64 * (struct.unpack_from(">I", stss, 8 + 4 * k)[0] - 1) for k in range(struct.unpack_from(">I", stss, 4)[0])]
+        scale, units = struct.unpack_from(">II", mdhd, 12)
+        feature = f"codec=raw;seconds={units / scale:.6f};samples={len(full) // 64};keyframes={','.join(f'{k}+64' for k in keys)}"
+        want[i, len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-64:]), len(kept), hashlib.sha256(kept).hexdigest(), feature] += 1
     assert got == want and media.digests(nothing).count() == 0
 
 
+def test_forged_containers_are_reported(spark):
+    good = media.pack(b"\1" * 64 * 700)
+    at = {k: good.index(k) + 4 for k in (b"stsz", b"stsc", b"stco", b"stss")}
+    forged = [good[: at[b"stsz"] + 8] + b"\xff\xff\xff\xf0" + good[at[b"stsz"] + 12 :], good[: at[b"stsc"] + 12] + b"\x7f\xff\xff\xf0" + good[at[b"stsc"] + 16 :], good[: at[b"stco"] + 4] + b"\xff\xff\xff\xf0" + good[at[b"stco"] + 8 :]]
+    deep = b""
+    for _ in range(1500):
+        deep = media._box(b"moov", deep)
+    rows = [(k, m, "c", 1) for k, m in enumerate([*forged, deep, b"", good])]
+    got = {r.id: r for r in media.probe(spark.createDataFrame(rows, "id int, media binary, codec string, k0 int")).collect()}
+    assert all(got[k].error and got[k].codec is None for k in range(5)) and got[5].error is None and got[5].k0 == 1
+
+
 def test_probe(spark):
     good = media.pack(b"\1" * 64 * 700)
     df = spark.createDataFrame([(1, good), (2, None), (3, b"junk" * 9), (4, good[:100])], "id long, media binary")
