@@ -295,6 +295,64 @@ def test_pipeline_drops_near_copies_from_080(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.keep_distinct(spark, docs, "").collect()) == list(range(0, 40, 2))
 
 
+SF = "/root/testdata/sf0.001"
+
+
+def test_pipeline_against_brute_force(spark):
+    """Every stage on all that its predecessor kept, and run() as a whole."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    low = lambda t: re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
+    all_ = rows(docs)
+    good = stages["quality"](spark, docs, SF).cache()
+    bad = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 0").collect()}
+    assert good.columns == docs.columns and set(rows(good)) < set(all_) and len(bad & {r.doc_id for r in good.collect()}) < 0.5 * len(bad)
+    distinct = stages["near_duplicates"](spark, good, SF).cache()
+    least = {c for _, _, c in brute_components([(r.doc_id, r.text) for r in good.collect()], 80)}
+    assert rows(distinct) == [r for r in rows(good) if r[0] in least] and distinct.count() < good.count()
+    items = [re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    windows = {tuple(w[k : k + 13]) for w in items for k in range(max(1, len(w) - 12)) if w}
+    sizes = {len(w) for w in windows}
+
+    def dirty(text):
+        w = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(text))
+        hit = {x for n in sizes for k in range(len(w) - n + 1) if tuple(w[k : k + n]) in windows for x in range(k, k + n)}
+        return hit and 20 * len(hit) >= len(w)
+
+    clean = stages["decontamination"](spark, distinct, SF).cache()
+    assert rows(clean) == [r for r in rows(distinct) if not dirty(r[1])]
+    hidden = stages["pii"](spark, clean, SF).cache()
+    for a, b in zip(rows(clean), rows(hidden), strict=True):
+        assert (a[0], *a[2:4]) == (b[0], *b[2:4]) and b[1] == pii.redact(a[1], pii.base_spans(a[1])) and b[4] == len(b[1])
+    path = tokens.vocabulary_path(bpe.RANKS)
+    want = [(r[0], *bpe.brute_digests(r[1], path)) for r in rows(hidden)]
+    assert rows(stages["byte_bpe"](spark, hidden, SF)) == want == rows(corpus_pipeline.run(spark, SF))
+
+
+def test_stages_on_awkward_rows(spark):
+    """Nulls in any column, empty and long texts, repeated rows, empty tables, columns named like results."""
+    import corpus_pipeline
+
+    columns = "doc_id long, text string, lang string, source string, n_chars long, predicted string, kept string, contaminated string, spans string, redacted string, ids string, k0 int"
+    more = ("p", "k", "c", "s", "r", "i", 0)
+    docs = spark.createDataFrame([(i, t, la, None, None, *more) for i, t, la in EDGE] + [(None,) * 12] * 2, columns)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF).collect()
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        if name == "byte_bpe":
+            assert len(out) == len(EDGE) + 2
+            continue
+        assert stage(spark, docs, SF).columns == docs.columns and all(tuple(r)[5:] in {more, (None,) * 7} for r in out)
+        texts = collections.Counter((r.doc_id, r.text) for r in out)
+        if name == "near_duplicates":
+            assert texts == collections.Counter((i, t) for i, t, _ in [*EDGE, (None, None, None), (None, None, None)] if i not in (2, 6, 7))
+        elif name in ("decontamination", "pii"):
+            assert sum(texts.values()) == len(EDGE) + 2 and (3, None) in texts and (4, "") in texts
+
+
 def test_suffix_dedup(spark, edge, nothing, monkeypatch):
     rng = np.random.default_rng(2)
     part = lambda n: "".join(rng.choice(list("abcdé ")) for _ in range(n))
