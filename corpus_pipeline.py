@@ -3,6 +3,11 @@
 Every stage works on all rows that its predecessor kept, and returns the columns of
 `documents` (the last one: ids and digests). The stages are written as Parquet and read
 again between each other.
+
+In every stage a null text is an empty one and stays null, rows with a null id are
+documents of their own, repeated rows are each decided alike (of near copies the one of
+least id stays, so rows that repeat it stay too), and an empty table gives an empty one.
+Other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,27 +25,31 @@ def _table(docs: DataFrame, sf_dir: str, name: str) -> DataFrame:
     return docs.sparkSession.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _through(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What an operator keeps of docs, as docs has it: columns but id and text pass under names that no operator uses."""
+    aside = {c: f"_column_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    return operator(docs.withColumnsRenamed(aside)).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop what the quality classifier rejects."""
-    scored = quality.classify(docs, _table(docs, sf_dir, "labels"))
-    return scored.where("predicted = 1").select(docs.columns)
+    """Drop what the quality classifier rejects; without a trusted positive in `labels` nothing is rejected."""
+    return _through(docs, lambda d: quality.classify(d, _table(docs, sf_dir, "labels")).where("predicted = 1"))
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
-    return minhash.near_duplicates(docs).where("kept").select(docs.columns)
+    """Keep one document of each group of near copies: five words, similarity 0.8. Texts without words are all kept."""
+    return _through(docs, lambda d: minhash.near_duplicates(d).where("kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold too much of the benchmark."""
-    return decontaminate.contamination(docs, _table(docs, sf_dir, "benchmark")).where(~F.col("contaminated")).select(docs.columns)
+    """Drop documents that hold too much of the benchmark; an empty benchmark drops nothing."""
+    return _through(docs, lambda d: decontaminate.contamination(d, _table(docs, sf_dir, "benchmark")).where(~F.col("contaminated")))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put the kind in place of personal data; n_chars follows the text."""
-    found = pii.find_pii(docs)
-    changed = {"text": F.col("redacted"), "n_chars": F.when(F.col("spans") != "", F.length("redacted").cast("long")).otherwise(F.col("n_chars"))}
-    return found.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    """Put the kind in place of personal data; n_chars, if there is one, follows the text."""
+    out = _through(docs, lambda d: pii.find_pii(d).withColumn("text", F.col("redacted")))
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")) if "n_chars" in docs.columns else out
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
