@@ -1,14 +1,15 @@
 """Unknown fields of open records: path rows, pruning rules, and what is left as JSON.
 
-A record's open tree is exploded to (path, parent, key, value) rows, so that pruning is an
-anti-join with a small table of rules, and statistics of names are plain aggregates.
+A record's open tree is exploded to (path, parent, key, value) rows, so that pruning is a
+filter by expressions and statistics of names are plain aggregates.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections import Counter
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -41,28 +42,35 @@ def _local(name: str) -> str:
     return name.rpartition("}")[2].rpartition(":")[2]
 
 
-def _leaves(node: ElementTree.Element, path: tuple[str, ...]) -> Iterator[tuple[tuple[str, ...], str | None]]:
-    """Leaves of an XML tree in order; `[k]` steps tell repeated names apart."""
-    if len(path) // 2 >= MAX_DEPTH:
+def _leaves(node: ElementTree.Element, path: tuple[str, ...] = (), depth: int = 0) -> Iterator[tuple[tuple[str, ...], str | None]]:
+    """Leaves of an XML tree in order; `[k]` steps tell repeated names apart.
+
+    Text between children is `#text` before the first and `name#tail` after the last child
+    of that name that any follows. What lies more than MAX_DEPTH elements deep is null.
+    """
+    if depth > MAX_DEPTH:
         yield path, None
         return
-    names = [*map(_local, node.attrib), *(_local(c.tag) for c in node)]
-    seen: dict[str, int] = {}
+    times = Counter([*map(_local, node.attrib), *(_local(c.tag) for c in node)])
+    seen: Counter[str] = Counter()
 
     def step(name: str) -> tuple[str, ...]:
-        if names.count(name) == 1:
-            return (*path, name)
-        seen[name] = seen.get(name, -1) + 1
-        return (*path, name, f"[{seen[name]}]")
+        seen[name] += 1
+        return (*path, name) if times[name] == 1 else (*path, name, f"[{seen[name] - 1}]")
 
     for k, v in node.attrib.items():
         yield step(_local(k)), v
+    tails = {}
     for child in node:
-        yield from _leaves(child, step(_local(child.tag)))
+        yield from _leaves(child, step(_local(child.tag)), depth + 1)
+        if tail := (child.tail or "").strip():
+            tails[f"{_local(child.tag)}#tail"] = tail
+    for name, tail in tails.items():
+        yield (*path, name), tail
     text = (node.text or "").strip()
     if text:
-        yield ((*path, "#text") if names else path), text
-    elif not names:
+        yield ((*path, "#text") if times else path), text
+    elif not times:
         yield path, None
 
 
@@ -77,7 +85,7 @@ def xml_paths(records: DataFrame, record: str, xml: str) -> DataFrame:
                     root = ElementTree.fromstring(text or "")
                 except ElementTree.ParseError:
                     continue
-                for path, value in _leaves(root, ()):
+                for path, value in _leaves(root):
                     steps = [p for p in path if not p.startswith("[")]
                     rows.append((rid, list(path), steps[-2] if len(steps) > 1 else None, steps[-1] if steps else None, value))
             yield pd.DataFrame(rows, columns=["record", "path", "parent", "key", "value"])
@@ -91,20 +99,17 @@ def json_paths(records: DataFrame, record: str, payload: str) -> DataFrame:
     return each.select("record", F.array("key").alias("path"), F.lit(None).cast("string").alias("parent"), "key", "value")
 
 
-def rules(spark, keys: Iterable[str] = HANDLED_KEYS, pairs=HANDLED_PAIRS, root: Iterable[str] = KNOWN_ATTRIBUTES) -> DataFrame:
-    """Small table of rules: kind any (a key anywhere), pair (key below parent), root (top level only)."""
-    rows = [("any", None, k) for k in keys] + [("pair", p, k) for p, ks in pairs.items() for k in ks] + [("root", None, k) for k in root]
-    return spark.createDataFrame(rows, "kind string, rule_parent string, rule_key string")
-
-
-def prune(paths: DataFrame, rule_rows: DataFrame) -> DataFrame:
-    """Path rows that no rule takes. The rules are a fixed few, so they are broadcast."""
-    r = F.broadcast(rule_rows)
-    return (
-        paths.join(r.where("kind = 'any'").select("rule_key"), F.expr("array_contains(path, rule_key)"), "left_anti")
-        .join(r.where("kind = 'pair'").select("rule_parent", "rule_key"), F.expr("key = rule_key AND parent = rule_parent"), "left_anti")
-        .join(r.where("kind = 'root'").select("rule_key"), F.expr("size(path) = 1 AND key = rule_key"), "left_anti")
+def prune(paths: DataFrame, keys: Iterable[str] = HANDLED_KEYS, pairs: Mapping[str, Sequence[str]] = HANDLED_PAIRS, root: Iterable[str] = KNOWN_ATTRIBUTES) -> DataFrame:
+    """Path rows that have a value and that no rule takes: a key anywhere, a key below its parent, a name at the top. By expressions, without a join."""
+    steps = F.filter("path", lambda s: ~s.startswith("["))
+    below = F.transform(F.sequence(F.lit(0), F.size(steps) - 2), lambda i: F.concat(steps[i], F.lit("\n"), steps[i + 1]))
+    literal = lambda values: F.array(*map(F.lit, values)).cast("array<string>")
+    taken = (
+        F.arrays_overlap(steps, literal(keys))
+        | F.when(F.size(steps) > 1, F.arrays_overlap(below, literal(f"{p}\n{k}" for p, ks in pairs.items() for k in ks))).otherwise(False)
+        | F.coalesce(F.get(steps, F.lit(0)).isin(*root), F.lit(False))
     )
+    return paths.where(F.col("value").isNotNull() & ~taken)
 
 
 def without_keys(payload: Column, known: Iterable[str]) -> Column:
@@ -144,11 +149,9 @@ def _nested(leaves: Iterable[tuple[Sequence[str], str | None]]) -> str:
 
 
 def _handled(path: tuple[str, ...]) -> bool:
-    """Whether a rule takes the path; the rules are those of `rules` and `prune`."""
+    """Whether a rule takes the path; the rules are those of `prune`."""
     steps = [p for p in path if not p.startswith("[")]
-    if any(k in steps for k in HANDLED_KEYS) or len(path) == 1 and path[0] in KNOWN_ATTRIBUTES:
-        return True
-    return len(steps) > 1 and steps[-1] in HANDLED_PAIRS.get(steps[-2], ())
+    return steps[0] in KNOWN_ATTRIBUTES or any(k in HANDLED_KEYS for k in steps) or any(k in HANDLED_PAIRS.get(p, ()) for p, k in zip(steps, steps[1:], strict=False))
 
 
 def _split_of(text: str | None) -> tuple[str, str]:
@@ -161,7 +164,7 @@ def _split_of(text: str | None) -> tuple[str, str]:
             continue
     else:
         return "{}", "{}"
-    left = [(p, v) for p, v in _leaves(root, ()) if p and not _handled(p)]
+    left = [(p, v) for p, v in _leaves(root) if p and v is not None and not _handled(p)]
     inside = lambda x: x[0][:2] == ("bibliographic-data", "application-reference")
     return _nested(filter(inside, left)), _nested(x for x in left if not inside(x))
 

@@ -587,7 +587,7 @@ def path_explode(spark, sf_dir):
 @query("SELECT event_id, k AS key FROM (SELECT event_id, unnest(json_keys(payload)) AS k FROM payloads) WHERE k NOT IN ('country', 'status')")
 def rule_prune(spark, sf_dir):
     paths = extra.json_paths(view(spark, sf_dir, "payloads"), "event_id", "payload")
-    return extra.prune(paths, extra.rules(spark)).select(F.col("record").alias("event_id"), "key")
+    return extra.prune(paths).select(F.col("record").alias("event_id"), "key")
 
 
 @query("""SELECT event_id, '{"' || k || '":"' || json_extract_string(payload, '$.' || k) || '"}' AS extra FROM (SELECT event_id, payload, unnest(json_keys(payload)) AS k FROM payloads) WHERE k LIKE 'ext_%'""")

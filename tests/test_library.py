@@ -123,14 +123,11 @@ def test_index_and_manifest(spark, tmp_path):
 @pytest.mark.parametrize(
     ("text", "want"),
     [
-        ("<r><name>Test</name><value>123</value></r>", {"name": "Test", "value": "123"}),
-        ("<r><a><b><c>deep</c></b></a></r>", {"a": {"b": {"c": "deep"}}}),
-        ("<r><item>1</item><item>2</item></r>", {"item": ["1", "2"]}),
-        ('<r><p q="v">text</p></r>', {"p": {"q": "v", "#text": "text"}}),
-        ("<r>some text<child>v</child></r>", {"#text": "some text", "child": "v"}),
-        ("<x:r xmlns:x='u'><x:a>1</x:a></x:r>", {"a": "1"}),
-        ("<r><e/></r>", {"e": None}),
-        ("<r><n>0.95</n></r>", {"n": "0.95"}),
+        ("<lot><colour>red</colour><weight unit='kg'>7</weight></lot>", {"colour": "red", "weight": {"unit": "kg", "#text": "7"}}),
+        ("<lot><bid>5</bid>then<bid>9</bid> sold <!-- late --></lot>", {"bid": ["5", "9"], "bid#tail": "sold"}),
+        ("<lot>intro<b>x</b>middle<i/>end</lot>", {"#text": "intro", "b": "x", "b#tail": "middle", "i": None, "i#tail": "end"}),
+        ("<lot bid='1'><bid>2</bid><bid s='t'/></lot>", {"bid": ["1", "2", {"s": "t"}]}),
+        ("<q:lot xmlns:q='urn:q' q:no='4'><q:room><q:shelf/></q:room></q:lot>", {"no": "4", "room": {"shelf": None}}),
     ],
 )
 def test_open_tree(spark, text, want):
@@ -140,16 +137,22 @@ def test_open_tree(spark, text, want):
 
 
 def test_pruning_rules(spark):
-    text = "<r country='US' note='n'><bibliographic-data><document-id><country>X</country><odd>1</odd></document-id><doc-fake><country>kept</country></doc-fake><invention-title>t</invention-title></bibliographic-data></r>"
+    """A name at the top, a key anywhere, a key below its parent, all with what they hold; empty leaves; the same names elsewhere stay."""
+    text = """<r kind='x' colour='blue'><bibliographic-data><publication-reference sequence='1' shelf='2'><document-id><date>9</date><doc-number><part>4</part></doc-number><era>old</era></document-id>
+    </publication-reference><box><date>kept</date><sequence>3</sequence><applicants><name>gone</name></applicants></box><void/><box/></bibliographic-data><status><deep>gone</deep></status></r>"""
+    want = {"colour": "blue", "bibliographic-data": {"publication-reference": {"shelf": "2", "document-id": {"era": "old"}}, "box": [{"date": "kept", "sequence": "3"}]}}
     paths = extra.xml_paths(spark.createDataFrame([(1, text)], "id long, x string"), "id", "x")
-    left = extra.rebuild(extra.prune(paths, extra.rules(spark))).collect()[0].json
-    assert json.loads(left) == {"note": "n", "bibliographic-data": {"document-id": {"odd": "1"}, "doc-fake": {"country": "kept"}}}
+    left = extra.rebuild(extra.prune(paths)).collect()[0].json
+    both = spark.createDataFrame([(text,)], "x string").select(extra.split_extra(F.col("x")).alias("x")).select("x.*").first()
+    assert json.loads(left) == want == json.loads(both.pub_extra_data) and both.app_extra_data == "{}"
 
 
-def test_deep_and_broken_trees(spark):
-    deep = "<r>" + "".join(f"<l{i}>" for i in range(60)) + "x" + "".join(f"</l{59 - i}>" for i in range(60)) + "</r>"
-    df = spark.createDataFrame([(1, deep), (2, "<r>"), (3, None)], "id long, x string")
-    assert {r.record for r in extra.xml_paths(df, "id", "x").collect()} == {1}
+def test_depth_counts_elements(spark):
+    """50 elements below the root are kept, what lies deeper is null; broken and missing records give nothing."""
+    nested = lambda n: "<r>" + "<l>" * n + "x" + "</l>" * n + "</r>"
+    df = spark.createDataFrame([(1, nested(50)), (2, nested(51)), (3, "<r>"), (4, None)], "id long, x string")
+    got = {r.record: (len(r.path), r.value) for r in extra.xml_paths(df, "id", "x").collect()}
+    assert got == {1: (50, "x"), 2: (51, None)}
 
 
 def test_scalars(spark):
