@@ -113,5 +113,5 @@ def pick_title(titles: Column, lang: str = "en") -> Column:
 
 
 def joined_paragraphs(paragraphs: Column) -> Column:
-    """Non-empty paragraphs, one a line; null if there is none."""
-    return empty_to_null(F.array_join(F.filter(F.transform(paragraphs, F.trim), lambda p: p != ""), "\n"))
+    """Paragraphs that aren't empty, as they are, one a line; null if there is none."""
+    return empty_to_null(F.array_join(F.filter(paragraphs, lambda p: p != ""), "\n"))

@@ -523,7 +523,7 @@ def title_extract(spark, sf_dir):
     return view(spark, sf_dir, "texts").where("text_type = 'TITLE'").select("doc_seq", F.trim(F.concat(F.lit("  "), "content")).alias("title")).where("title <> ''")
 
 
-@query("SELECT doc_seq, array_to_string([trim(x, ' ') for x in string_split(content, chr(10)) if trim(x, ' ') <> ''], chr(10)) AS abstract FROM texts WHERE text_type = 'ABSTRACT' AND content IS NOT NULL AND trim(content, ' ' || chr(10)) <> ''")
+@query("SELECT doc_seq, array_to_string([x for x in string_split(content, chr(10)) if x <> ''], chr(10)) AS abstract FROM texts WHERE text_type = 'ABSTRACT' AND content IS NOT NULL AND trim(content, chr(10)) <> ''")
 def abstract_join(spark, sf_dir):
     return view(spark, sf_dir, "texts").where("text_type = 'ABSTRACT'").select("doc_seq", S.joined_paragraphs(F.split("content", "\n")).alias("abstract")).where("abstract IS NOT NULL")
 

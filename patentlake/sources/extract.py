@@ -7,15 +7,29 @@ from pyspark.sql import functions as F
 
 from patentlake.functions import scalars as S
 from patentlake.operators.extra import split_extra
-from patentlake.sources.xml import AVAILABILITY
 
 _B = "bibliographic-data"
 
 
-def _list(c: Column, kind: str | None = None) -> Column:
+# a child of a block that stayed XML: its name and what it holds, whatever prefixes there are
+_CHILD = r"(?s)<(?:[\w.-]+:)?([\w.-]+)(?:\s[^>]*)?(?<!/)>(.*?)</(?:[\w.-]+:)?\1\s*>"
+
+
+def _list(c: Column) -> Column:
     return F.coalesce(c, F.array())
 
 
+def _children(block: Column) -> Column:
+    """(name, content) of the children of a block of XML, in order; empty ones have nothing to give."""
+    parts = [F.regexp_extract_all(block, F.lit(_CHILD), F.lit(k)) for k in (1, 2)]
+    return F.when(block.isNotNull(), F.arrays_zip(parts[0].alias("name"), parts[1].alias("content")))
+
+
+def _inner(content: Column, tag: str) -> Column:
+    """Texts of the elements with this name inside a block of XML."""
+    return F.regexp_extract_all(content, F.lit(rf"<(?:[\w.-]+:)?{tag}(?:\s[^>]*)?>([^<]*)</"), F.lit(1))
+
+
 def _first(parties: Column, name: str) -> Column:
     """One party row; the name stands in its own element or bare."""
     return F.transform(
@@ -24,13 +38,16 @@ def _first(parties: Column, name: str) -> Column:
             p["_data-format"].alias("format"),
             S.int_or_zero(p["_sequence"]).alias("sequence"),
             F.coalesce(p[f"{name}-name"]["name"], p["name"]).alias("name"),
-            p["residence"]["country"].alias("residence"),
-            p["address"]["text"].alias("address_text"),
+            F.coalesce(p["residence"]["country"], p["country"], p[f"{name}-name"]["country"], p["address"]["country"]).alias("residence"),
+            F.coalesce(p["address"]["text"], p["text"], p[f"{name}-name"]["text"]).alias("address_text"),
             i.alias("pos"),
         ),
     )
 
 
+PARTIES = "array<struct<name:string,format:string,sequence:int,residence:string,address_text:string>>"
+
+
 def _best(parties: Column) -> Column:
     """Named parties of known formats, the most preferred format of each sequence, in list order."""
     rank = lambda f: F.when(f == "docdb", 3).when(f == "docdba", 2).when(f == "original", 1).otherwise(0)
@@ -40,8 +57,11 @@ def _best(parties: Column) -> Column:
     return F.transform(best, lambda p: F.struct(p["name"].alias("name"), p["format"].alias("format"), p["sequence"].alias("sequence"), p["residence"].alias("residence"), p["address_text"].alias("address_text")))
 
 
-def _designation(treaty: str, tag: str):
-    return lambda c: F.struct(F.lit(treaty).alias("treaty_type"), F.lit(tag).alias("designation_type"), F.lit(None).cast("string").alias("region_code"), c.alias("country_code"))
+def _designations(treaty: str, block: Column) -> Column:
+    """The different countries of each child of a treaty's block."""
+    row = lambda kind: lambda c: F.struct(F.lit(treaty).alias("treaty_type"), kind.alias("designation_type"), F.lit(None).cast("string").alias("region_code"), c.alias("country_code"))
+    of_child = lambda x: F.transform(F.array_distinct(F.filter(_inner(x["content"], "country"), lambda c: c != "")), row(x["name"]))
+    return F.flatten(F.transform(_children(block), of_child))
 
 
 def _id_of(d: Column) -> Column:
@@ -81,21 +101,12 @@ def wide_rows(records: DataFrame, keep_void_stubs: bool = False) -> DataFrame:
     same = lambda p, q: (p["sequence"] == q["sequence"]) & p["country"].eqNullSafe(q["country"]) & p["doc_number"].eqNullSafe(q["doc_number"])
     priorities = F.transform(F.filter(claims, lambda p: ~F.exists(claims, lambda q: same(p, q) & (q["pos"] < p["pos"]))), lambda p: p.dropFields("pos"))
 
-    blocks = [(t, b["designation-of-states"][f"designation-{t}"]) for t in ("epc", "pct")]
-    designations = F.flatten(
-        F.array(
-            *(
-                F.transform(F.array_distinct(F.filter(_list(block[tag]["country"]), lambda c: F.coalesce(c, F.lit("")) != "")), _designation(t.upper(), tag))
-                for t, block in blocks
-                for tag in ("contracting-states", "extension-states", "validation-states", "national", "regional")
-            )
-        )
-    )
+    designations = F.concat(*(_list(_designations(t.upper(), b["designation-of-states"][f"designation-{t}"])) for t in ("epc", "pct")))
     symbol = lambda c: F.trim(F.coalesce(S.empty_to_null(c["classification-symbol"]), c["text"]))
     classifications = F.transform(
         F.filter(_list(b["patent-classifications"]["patent-classification"]), lambda c: F.coalesce(symbol(c), F.lit("")) != ""),
         lambda c: F.struct(
-            c["classification-scheme"]["_scheme"].alias("scheme_name"), S.int_or_zero(c["_sequence"]).alias("sequence"), S.int_or_null(c["_group-number"]).alias("group_number"), S.int_or_null(c["_rank-number"]).alias("rank_number"),
+            F.coalesce(S.empty_to_null(c["classification-scheme"]["_scheme"]), c["_scheme"], F.lit("")).alias("scheme_name"), S.int_or_zero(c["_sequence"]).alias("sequence"), S.int_or_null(c["_group-number"]).alias("group_number"), S.int_or_null(c["_rank-number"]).alias("rank_number"),
             symbol(c).alias("symbol"), c["classification-value"].alias("class_value"), c["symbol-position"].alias("symbol_pos"), c["generating-office"].alias("generating_office"),
         ),
     )
@@ -109,13 +120,14 @@ def wide_rows(records: DataFrame, keep_void_stubs: bool = False) -> DataFrame:
             F.transform(_list(c["rel-passage"]), lambda r: F.struct(r["category"].alias("category"), r["rel-claims"].alias("rel_claims"), r["passage"].alias("passage_text"))).alias("passages"),
         ),
     )
-    dates = F.filter(F.array(*(F.struct(F.lit(k).alias("availability_type"), S.parse_date(b["dates-of-public-availability"][k]["document-id"]["date"]).alias("availability_date")) for k in AVAILABILITY)), lambda d: d["availability_date"].isNotNull())
+    dated = F.transform(_list(_children(b["dates-of-public-availability"])), lambda x: F.struct(x["name"].alias("availability_type"), S.parse_date(F.get(_inner(x["content"], "date"), F.lit(0))).alias("availability_date")))
+    dates = F.filter(dated, lambda d: d["availability_date"].isNotNull())
     text = lambda kind, lang, fmt, source, content: F.struct(F.lit(kind).alias("text_type"), lang.alias("lang"), fmt.alias("format_type"), source.alias("source"), content.alias("content"))
     titles = F.transform(_list(b["invention-title"]), lambda t: text("TITLE", t["_lang"], t["_data-format"], F.lit(None).cast("string"), F.trim(F.get(t["_VALUE"], F.lit(0)))))
     abstracts = F.transform(_list(F.col("abstract")), lambda a: text("ABSTRACT", a["_lang"], a["_data-format"], a["_abstract-source"], S.joined_paragraphs(_list(a["p"]))))
     texts = F.filter(F.concat(abstracts, titles), lambda t: F.coalesce(t["content"], F.lit("")) != "")
 
-    granted = F.coalesce(b["dates-of-public-availability"]["printed-with-grant"].isNotNull(), F.lit(False))
+    granted = F.coalesce(b["dates-of-public-availability"].rlike(r"<(?:[\w.-]+:)?printed-with-grant[\s/>]"), F.lit(False))
     rows = records if keep_void_stubs else records.where(~void)
     extra = [c for c in records.columns if c in ("path_", "path", "doc_seq", "delivery", "archive_rank")]
     if "record_xml" in records.columns:
@@ -127,6 +139,6 @@ def wide_rows(records: DataFrame, keep_void_stubs: bool = False) -> DataFrame:
         S.representative(root["is-representative"]).alias("is_representative"), (S.is_grant(kind) | granted).alias("is_grant"),
         app_id.alias("app_doc_id"), app_country.alias("app_country"), app_number.alias("app_number"), at["kind"].alias("app_kind_code"), S.parse_date(at["date"]).alias("app_date"),
         F.when(void, "SKIP").otherwise(F.coalesce(root["status"], F.lit("C"))).alias("source_status"),
-        F.struct(_best(_first(_list(b["parties"]["applicants"]["applicant"]), "applicant")).alias("applicants"), _best(_first(_list(b["parties"]["inventors"]["inventor"]), "inventor")).alias("inventors")).alias("parties"),
+        F.struct(_best(_first(_list(b["parties"]["applicants"]["applicant"]), "applicant")).alias("applicants"), _best(_first(_list(b["parties"]["inventors"]["inventor"]), "inventor")).alias("inventors"), F.array().cast(PARTIES).alias("others")).alias("parties"),
         priorities.alias("priorities"), classifications.alias("classifications"), citations.alias("citations"), texts.alias("texts"), designations.alias("designations"), dates.alias("availability_dates"), *extra,
     )

@@ -14,11 +14,7 @@ from pyspark.sql import functions as F
 ROW_TAG = "exchange-document"
 
 _DOC_ID = "struct<`_doc-id`:string,country:string,`doc-number`:string,kind:string,date:string,name:string>"
-_PARTY = "array<struct<`_data-format`:string,_sequence:string,{0}:struct<name:string>,name:string,residence:struct<country:string>,address:struct<text:string>>>"
-_COUNTRIES = "struct<`contracting-states`:struct<country:array<string>>,`extension-states`:struct<country:array<string>>,`validation-states`:struct<country:array<string>>,national:struct<country:array<string>>,regional:struct<country:array<string>>>"
-_DATED = "struct<`document-id`:struct<date:string>>"
-#: kinds of availability: element names below dates-of-public-availability
-AVAILABILITY = ("gazette-reference", "abstract-reference", "supplemental-srep-reference", "gazette-pub-announcement", "modified-first-page-pub", "modified-complete-spec-pub", "unexamined-not-printed-without-grant", "examined-not-printed-without-grant", "unexamined-printed-without-grant", "examined-printed-without-grant", "printed-with-grant", "claims-only-available", "not-printed-with-grant", "invalidation-of-patent", "printed-as-amended")
+_PARTY = "array<struct<`_data-format`:string,_sequence:string,{0}:struct<name:string,country:string,text:string>,name:string,country:string,text:string,residence:struct<country:string>,address:struct<text:string,country:string>>>"
 
 RECORD = (
     "`_country` string, `_doc-number` string, `_kind` string, `_date-publ` string, `_doc-id` string, `_family-id` string, `_status` string, "
@@ -27,10 +23,11 @@ RECORD = (
     f"`application-reference`:array<struct<`_data-format`:string,`_doc-id`:string,`document-id`:{_DOC_ID}>>,"
     f"`priority-claims`:struct<`priority-claim`:array<struct<`_data-format`:string,_sequence:string,`document-id`:{_DOC_ID},`priority-linkage-type`:string,`priority-active-indicator`:string>>>,"
     f"parties:struct<applicants:struct<applicant:{_PARTY.format('`applicant-name`')}>,inventors:struct<inventor:{_PARTY.format('`inventor-name`')}>>,"
-    f"`designation-of-states`:struct<`designation-epc`:{_COUNTRIES},`designation-pct`:{_COUNTRIES}>,"
-    "`patent-classifications`:struct<`patent-classification`:array<struct<_sequence:string,`_group-number`:string,`_rank-number`:string,`classification-scheme`:struct<_scheme:string,_VALUE:string>,`classification-symbol`:string,text:string,`classification-value`:string,`symbol-position`:string,`generating-office`:string>>>,"
+    # blocks with children of any name stay XML
+    "`designation-of-states`:struct<`designation-epc`:string,`designation-pct`:string>,"
+    "`patent-classifications`:struct<`patent-classification`:array<struct<_scheme:string,_sequence:string,`_group-number`:string,`_rank-number`:string,`classification-scheme`:struct<_scheme:string,_VALUE:string>,`classification-symbol`:string,text:string,`classification-value`:string,`symbol-position`:string,`generating-office`:string>>>,"
     f"`references-cited`:struct<citation:array<struct<`_cited-phase`:string,_sequence:string,`_srep-office`:string,patcit:struct<`_dnum-type`:string,`document-id`:{_DOC_ID}>,nplcit:struct<`_npl-type`:string,`_extracted-xp`:string,text:string>,`rel-passage`:array<struct<category:string,`rel-claims`:string,passage:string>>>>>,"
-    f"`dates-of-public-availability`:struct<{','.join(f'`{k}`:{_DATED}' for k in AVAILABILITY)}>,"
+    "`dates-of-public-availability`:string,"
     "`invention-title`:array<struct<_lang:string,`_data-format`:string,_VALUE:array<string>>>>, "
     "abstract array<struct<_lang:string,`_data-format`:string,`_abstract-source`:string,p:array<string>>>"
 )
@@ -38,7 +35,7 @@ RECORD = (
 
 def read_records(spark: SparkSession, path: str, row_tag: str = ROW_TAG, schema: str = RECORD, glob: str | None = None) -> DataFrame:
     """One row for each record element of XML files; `path_` is the file it came from."""
-    reader = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).option("recursiveFileLookup", True).schema(schema)
+    reader = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).option("ignoreSurroundingSpaces", False).option("recursiveFileLookup", True).schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path).withColumn("path_", F.col("_metadata.file_path"))
@@ -58,7 +55,7 @@ def decode_entities(xml: Column, entities: Mapping[str, str]) -> Column:
 
 def parse_records(rows: DataFrame, xml: str, schema: str = RECORD, keep: tuple[str, ...] = ()) -> DataFrame:
     """Records from a column of XML strings, which stay beside them as record_xml, without element prefixes."""
-    return rows.select(*keep, bare_tags(F.col(xml)).alias("record_xml")).select(*keep, "record_xml", F.from_xml("record_xml", schema).alias("_r")).select(*keep, "record_xml", "_r.*")
+    return rows.select(*keep, bare_tags(F.col(xml)).alias("record_xml")).select(*keep, "record_xml", F.from_xml("record_xml", schema, {"ignoreSurroundingSpaces": "false"}).alias("_r")).select(*keep, "record_xml", "_r.*")
 
 
 def read_index(spark: SparkSession, path: str, folder: str) -> DataFrame:

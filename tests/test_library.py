@@ -78,7 +78,7 @@ def check_wide(row):
     assert (row.app_doc_id, row.app_number, str(row.app_date)) == ("55", "999", "2019-01-02")
     assert [(p.name, p.format, p.residence) for p in row.parties.applicants] == [("ACME", "docdb", "US")]
     assert [(p.priority_doc_id, p.is_active) for p in row.priorities] == [("1", True)]
-    assert [(t.text_type, t.content) for t in row.texts] == [("ABSTRACT", "one\ntwo"), ("TITLE", "A")]
+    assert [(t.text_type, t.content) for t in row.texts] == [("ABSTRACT", " one \ntwo"), ("TITLE", "A")]
     assert [(c.citation_type, c.cited_doc_id, c.passages[0].category) for c in row.citations] == [("PATENT", "EP1A1", "X")]
 
 
@@ -198,6 +198,24 @@ def test_stream_order_does_not_depend_on_batches(spark, tmp_path):
     assert got[1] == got[3] == got[0][:3]
 
 
+def test_wide_rows_take_any_child(spark, tmp_path):
+    """Designation and availability tags of any name, schemes and residences where they stand, with and without prefixes."""
+    blocks = """<exch:designation-of-states><exch:designation-epc><exch:contracting-states><exch:country>AT</exch:country><exch:country>BE</exch:country><exch:country>AT</exch:country></exch:contracting-states>
+    <exch:other-states at="1"><country>ME</country></exch:other-states><exch:none/></exch:designation-epc><designation-pct><national><country>JP</country></national></designation-pct></exch:designation-of-states>
+    <exch:dates-of-public-availability><exch:printed-with-grant><document-id><date>20200203</date></document-id></exch:printed-with-grant><new-kind-of-date><document-id><country>US</country><date>2020-02-04</date></document-id></new-kind-of-date><exch:undated/></exch:dates-of-public-availability>
+    <exch:patent-classifications><patent-classification scheme="OWN" sequence="2"><text> A01B </text></patent-classification><patent-classification sequence="1"><classification-scheme scheme="CPC"/><classification-symbol>H04L</classification-symbol></patent-classification></exch:patent-classifications>"""
+    text = RECORD.replace('kind="B1"', 'kind="A1"').replace("<exch:parties>", blocks + "<exch:parties>")
+    text = text.replace("</exch:applicants>", '<exch:applicant data-format="docdb" sequence="2"><exch:applicant-name><name>Beta</name></exch:applicant-name><exch:country>FR</exch:country><exch:text>Lyon</exch:text></exch:applicant></exch:applicants>')
+    (tmp_path / "a.xml").write_text(f'<d xmlns:exch="urn:x">{text}</d>')
+    parsed = xml.parse_records(spark.createDataFrame([(text,)], "x string"), "x")
+    for records in (parsed, xml.read_records(spark, f"file://{tmp_path}", glob="*.xml")):
+        row = extract.wide_rows(records).first()
+        assert [(d.treaty_type, d.designation_type, d.country_code) for d in row.designations] == [("EPC", "contracting-states", "AT"), ("EPC", "contracting-states", "BE"), ("EPC", "other-states", "ME"), ("PCT", "national", "JP")]
+        assert [(d.availability_type, str(d.availability_date)) for d in row.availability_dates] == [("printed-with-grant", "2020-02-03"), ("new-kind-of-date", "2020-02-04")] and row.is_grant
+        assert [(c.scheme_name, c.sequence, c.symbol) for c in row.classifications] == [("OWN", 2, "A01B"), ("CPC", 1, "H04L")]
+        assert [(p.name, p.residence, p.address_text) for p in row.parties.applicants] == [("ACME", "US", None), ("Beta", "FR", "Lyon")]
+
+
 def test_wide_rows_keep_unknown_fields(spark):
     """Unknown elements and attributes, repeated ones too, come back as JSON, split by where they stand."""
     text = RECORD.replace('status="C"', 'status="C" exch:mood="odd"').replace("<date>20190102</date>", "<date>20190102</date><room>7</room>")
