@@ -15,7 +15,7 @@ from patentlake.functions.scalars import DELETE_STATUSES
 
 
 def latest_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row of each key that is last by `order`, as max_by: partial sums, one shuffle, no sort.
+    """The row of each key that is last by `order`, as max_by: reduced before its one shuffle (by sorting, as rows are structs).
 
     order must be total within a key; null keys form a key. The columns stay as they are.
     """
@@ -48,9 +48,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], keep: Sequ
     return delete_using(target, source, keys).unionByName(source, allowMissingColumns=True)
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], status: str = "source_status") -> DataFrame:
-    """Collapse changes, remove deleted keys, upsert the others. Running it again changes nothing."""
+def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], status: str = "source_status", now: Column | None = None) -> DataFrame:
+    """Collapse changes, remove deleted keys, upsert the others. Running it again changes nothing.
+
+    With `now` the target's columns created_at (when a key first came, kept) and updated_at are stamped.
+    """
     deletes, rows = split_changes(latest_per_key(changes, keys, order), status)
+    if now is not None:
+        born = target.select(*keys, F.col("created_at").alias("_born"))
+        rows = rows.drop("created_at", "updated_at").join(born, list(keys), "left")
+        rows = rows.withColumn("created_at", F.coalesce("_born", now)).withColumn("updated_at", now).drop("_born")
     touched = deletes.select(*keys).unionByName(rows.select(*keys))
     return target.join(touched, list(keys), "left_anti").unionByName(rows.select(*target.columns))
 

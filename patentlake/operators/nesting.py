@@ -25,7 +25,7 @@ def unnest_positions(parents: DataFrame, keys: Sequence[str], name: str) -> Data
 
 
 def best_format(rows: DataFrame, keys: Sequence[str], fmt: str, position: str, ranks: Mapping[str, int]) -> DataFrame:
-    """Per keys the row of the most preferred format; ties go to the first position. max_by, so no sort."""
+    """Per keys the row of the most preferred format; ties go to the first position. Reduced before its one shuffle."""
     rank = F.coalesce(F.create_map(*(F.lit(x) for kv in ranks.items() for x in kv))[F.col(fmt)], F.lit(0))
     rest = [c for c in rows.columns if c not in keys]
     best = rows.where(F.col(fmt).isin(*ranks)).groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(rank, -F.col(position))).alias("_b"))
@@ -69,6 +69,3 @@ def union_tagged(parts: Mapping[str, DataFrame], tag: str = "role") -> DataFrame
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
-
-def first_position(keys: Sequence[str], order: Sequence[str]) -> Column:
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

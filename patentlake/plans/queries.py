@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patentlake.functions import scalars as S
 from patentlake.operators import biblio, cdc, extra, nesting, stats
 from patentlake.plans.views import table, view, with_views
-from patentlake.sources import manifest, xml
+from patentlake.sources import archives, extract, manifest, sinks, xml
 from patentlake.sources.shared import shared_folder
 from patentlake.streaming import ingest
 
@@ -146,7 +146,7 @@ def related_pubs(spark, sf_dir):
 
 @query("SELECT a.pub_doc_id, coalesce(string_agg(b.pub_doc_id, ',' ORDER BY b.date_publ NULLS LAST, b.pub_doc_id), '') AS related FROM publications a LEFT JOIN publications b ON a.app_doc_id = b.app_doc_id AND a.pub_doc_id <> b.pub_doc_id GROUP BY a.pub_doc_id")
 def related_pubs_nested(spark, sf_dir):
-    return biblio.related_nested(view(spark, sf_dir, "publications")).select("pub_doc_id", F.array_join("related.related_id", ",").alias("related"))
+    return biblio.with_related(view(spark, sf_dir, "publications")).select("pub_doc_id", F.array_join("related.pub_doc_id", ",").alias("related"))
 
 
 @query("SELECT family_id, count(*) AS n_members, count(DISTINCT country) AS n_countries FROM publications GROUP BY family_id")
@@ -193,21 +193,6 @@ def display_label(spark, sf_dir):
     return view(spark, sf_dir, "publications").select("pub_doc_id", S.shown(F.col("date_publ")).alias("shown"), S.shown_flag(S.is_grant(F.col("kind_code"))).alias("granted"))
 
 
-@query("SELECT pub_doc_id, CASE WHEN kind_code = 'A' THEN 'UNKNOWN_' || pub_doc_id ELSE app_doc_id END AS app_id, CASE WHEN kind_code = 'A' THEN 'XX' ELSE country END AS app_country, CASE WHEN kind_code = 'A' THEN 'UNKNOWN' ELSE doc_number END AS app_number FROM publications")
-def application_pick(spark, sf_dir):
-    ref = lambda fmt, number: F.struct(fmt.alias("format"), F.col("app_doc_id").alias("id"), F.col("country").alias("country"), number.alias("number"))
-    refs = F.array(ref(F.lit("epodoc"), F.lit("0")), ref(F.when(F.col("kind_code") == "A", "original").otherwise("docdb"), F.col("doc_number")))
-    pick = F.get(F.filter("refs", lambda r: r["format"] == "docdb"), F.lit(0))
-    p = view(spark, sf_dir, "publications").withColumn("refs", refs)
-    return p.select("pub_doc_id", F.coalesce(pick["id"], F.concat(F.lit("UNKNOWN_"), "pub_doc_id")).alias("app_id"), F.coalesce(pick["country"], F.lit("XX")).alias("app_country"), F.coalesce(pick["number"], F.lit("UNKNOWN")).alias("app_number"))
-
-
-@query("SELECT pub_doc_id, kind AS availability_type, d AS availability_date FROM (SELECT pub_doc_id, 'gazette-reference' AS kind, date_publ AS d FROM publications UNION ALL SELECT pub_doc_id, 'printed-with-grant', CASE WHEN kind_code = 'B1' THEN date_publ END FROM publications) WHERE d IS NOT NULL")
-def avail_unpivot(spark, sf_dir):
-    p = view(spark, sf_dir, "publications").select("pub_doc_id", F.col("date_publ").alias("gazette-reference"), F.when(F.col("kind_code") == "B1", F.col("date_publ")).alias("printed-with-grant"))
-    return p.unpivot("pub_doc_id", ["gazette-reference", "printed-with-grant"], "availability_type", "availability_date").where("availability_date IS NOT NULL")
-
-
 @query("""SELECT pub_doc_id, '{"application":{"app_doc_id":"' || app_doc_id || '"},"publication":{"pub_doc_id":"' || pub_doc_id || '","country":"' || country || '","date_publ":' || coalesce('"' || CAST(date_publ AS VARCHAR) || '"', 'null') || '}}' AS biblio FROM publications""")
 def biblio_json(spark, sf_dir):
     c = F.col
@@ -215,11 +200,155 @@ def biblio_json(spark, sf_dir):
     return view(spark, sf_dir, "publications").select("pub_doc_id", biblio.biblio_json(fields).alias("biblio"))
 
 
-@query("SELECT p.pub_doc_id, country, kind_code, source_status, coalesce(n, 0) AS n_children FROM publications p LEFT JOIN (SELECT pub_doc_id, count(*) AS n FROM children GROUP BY pub_doc_id) USING (pub_doc_id)")
+# --- records: the views written as XML, parsed and typed again ---------------------------
+
+
+def _record_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record of XML for each publication, with its children and texts in the places that the feed has for them."""
+    c, p = F.col, F.col
+    day, dashed = F.date_format("date_publ", "yyyyMMdd"), F.date_format("date_publ", "yyyy-MM-dd")
+    children = nesting.nest(view(spark, sf_dir, "children"), ["pub_doc_id"], ["pos"], ["party_type", "format_type", "sequence", "party_name", "residence", "scheme_name", "symbol", "citation_type", "cited_doc_id"], "rows")
+    texts = nesting.nest(view(spark, sf_dir, "texts"), ["pub_doc_id"], ["doc_seq"], ["text_type", "lang"], "texts")
+    own = view(spark, sf_dir, "publications").join(children, "pub_doc_id", "left").join(texts, "pub_doc_id", "left")
+    of_type = lambda name, value: F.filter("rows", lambda r: r[name] == value)
+    text = lambda r: r.cast("string")
+    reference = lambda fmt, room: F.struct(fmt.alias("_data-format"), c("app_doc_id").alias("_doc-id"), F.struct(c("country").alias("country"), c("doc_number").alias("doc-number"), F.lit("A").alias("kind"), day.alias("date"), room.alias("room")).alias("document-id"))
+
+    def party(role: str, name: str):
+        return F.transform(of_type("party_type", role), lambda r: F.struct(r["format_type"].alias("_data-format"), text(r["sequence"]).alias("_sequence"), F.struct(r["party_name"].alias("name")).alias(f"{name}-name"), F.when(r["residence"].isNotNull(), F.struct(r["residence"].alias("country"))).alias("residence")))
+
+    claim = F.transform("rows", lambda r: F.struct(r["format_type"].alias("_data-format"), text(r["sequence"]).alias("_sequence"), F.struct(r["residence"].alias("country"), r["cited_doc_id"].alias("doc-number")).alias("document-id"), F.when(r["pos"] % 2 == 0, "Y").otherwise("N").alias("priority-active-indicator")))
+    padded = lambda r: F.concat(F.lit(" "), r["symbol"], F.lit(" "))
+    scheme = F.transform("rows", lambda r: F.struct(r["scheme_name"].alias("_scheme"), text(r["pos"]).alias("_sequence"), F.when(r["residence"].isNotNull(), F.struct(r["residence"].alias("_scheme"))).alias("classification-scheme"), F.when(r["pos"] % 2 == 0, padded(r)).alias("classification-symbol"), padded(r).alias("text")))
+    cited = lambda r: F.struct(F.struct(r["residence"].alias("country"), r["cited_doc_id"].alias("doc-number"), F.lit("A").alias("kind")).alias("document-id"))
+    citation = F.transform("rows", lambda r: F.struct(F.lit("SEA").alias("_cited-phase"), text(r["pos"]).alias("_sequence"), F.when(r["citation_type"] == "PATENT", cited(r)).alias("patcit"), F.when((r["citation_type"] != "PATENT") & r["residence"].isNotNull(), F.struct(r["symbol"].alias("text"))).alias("nplcit"), F.array(F.struct(F.lit("X").alias("category"), r["symbol"].alias("passage"))).alias("rel-passage")))
+    dated = lambda when: F.when(c("date_publ").isNotNull() & when, F.struct(F.struct(day.alias("date")).alias("document-id")))
+    titled = lambda kind: F.filter("texts", lambda t: t["text_type"] == kind)
+    biblio_data = F.struct(
+        F.array(reference(F.lit("epodoc"), F.lit(None).cast("string")), reference(F.when(c("kind_code") == "A", "original").otherwise("docdb"), F.when(c("kind_code") == "A1", c("family_id")))).alias("application-reference"),
+        F.struct(claim.alias("priority-claim")).alias("priority-claims"),
+        F.struct(F.struct(party("APPLICANT", "applicant").alias("applicant")).alias("applicants"), F.struct(party("INVENTOR", "inventor").alias("inventor")).alias("inventors")).alias("parties"),
+        F.struct(F.struct(F.struct(F.filter(F.transform("rows", lambda r: r["residence"]), lambda x: x.isNotNull()).alias("country")).alias("any-states")).alias("designation-epc")).alias("designation-of-states"),
+        F.struct(scheme.alias("patent-classification")).alias("patent-classifications"),
+        F.struct(citation.alias("citation")).alias("references-cited"),
+        F.struct(dated(F.lit(True)).alias("gazette-reference"), dated(c("kind_code") == "B1").alias("printed-with-grant")).alias("dates-of-public-availability"),
+        F.transform(titled("TITLE"), lambda t: F.struct(t["lang"].alias("_lang"), F.concat(F.lit(" T"), text(t["doc_seq"])).alias("_VALUE"))).alias("invention-title"),
+    )
+    root = F.struct(
+        p("country").alias("_country"), p("doc_number").alias("_doc-number"), p("kind_code").alias("_kind"), p("pub_doc_id").alias("_doc-id"), p("family_id").alias("_family-id"), p("source_status").alias("_status"),
+        day.alias("_date-publ"), dashed.alias("_date-added-docdb"), F.when(c("kind_code") == "B1", "yes").alias("_is-representative"), p("country").alias("_originating-office"), c("app_doc_id").alias("note"),
+        biblio_data.alias("bibliographic-data"),
+        F.transform(titled("ABSTRACT"), lambda t: F.struct(t["lang"].alias("_lang"), F.array(F.concat(F.lit(" a"), text(t["doc_seq"])), F.lit("b")).alias("p"))).alias("abstract"),
+    )
+    return own.select(F.to_xml(root, {"rowTag": "exchange-document"}).alias("record_xml"))
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.wide_rows(xml.parse_records(_record_xml(spark, sf_dir), "record_xml"))
+
+
+def _said(rows: str, label: Callable[[Column], Column]) -> Column:
+    """A nested array as one string."""
+    return nesting.summary(F.col(rows), lambda r: F.concat_ws(":", label(r)), ";").alias(rows)
+
+
+RECORDS = """recs AS (SELECT * FROM publications WHERE source_status <> 'CV'),
+    bests AS (SELECT * FROM children WHERE party_name <> '' QUALIFY row_number() OVER (PARTITION BY pub_doc_id, party_type, sequence ORDER BY CASE format_type WHEN 'docdb' THEN 3 WHEN 'docdba' THEN 2 ELSE 1 END DESC, pos) = 1),
+    pris AS (SELECT * FROM children WHERE format_type = 'docdb' QUALIFY row_number() OVER (PARTITION BY pub_doc_id, sequence, residence, cited_doc_id ORDER BY pos) = 1),
+    parts AS (SELECT pub_doc_id, coalesce(string_agg(party_name || coalesce(' [' || residence || ']', ''), ' | ' ORDER BY pos) FILTER (party_type = 'APPLICANT'), '') AS applicants, coalesce(string_agg(party_name || coalesce(' [' || residence || ']', ''), ' | ' ORDER BY pos) FILTER (party_type = 'INVENTOR'), '') AS inventors FROM bests GROUP BY pub_doc_id),
+    pricount AS (SELECT pub_doc_id, count(*) AS n_pri, string_agg(sequence || ':' || coalesce(residence, '') || ':' || cited_doc_id || ':' || CASE WHEN pos % 2 = 0 THEN 'true' ELSE 'false' END, ';' ORDER BY pos) AS priorities FROM pris GROUP BY pub_doc_id),
+    kids AS (SELECT pub_doc_id, count(*) AS n_kids, string_agg(coalesce(residence, scheme_name) || ':' || pos || ':' || symbol, ';' ORDER BY pos) AS classifications,
+             string_agg(CASE WHEN citation_type = 'PATENT' THEN 'PATENT:' || coalesce(residence, '') || cited_doc_id || 'A' WHEN residence IS NOT NULL THEN 'NPL:' || symbol ELSE 'UNKNOWN' END || ':X' || symbol, ';' ORDER BY pos) AS citations,
+             coalesce(array_to_string(list_sort(list_distinct(list(residence) FILTER (residence IS NOT NULL))), ';'), '') AS designations FROM children GROUP BY pub_doc_id),
+    said AS (SELECT pub_doc_id, string_agg(text_type || ':' || lang || ':' || CASE text_type WHEN 'TITLE' THEN 'T' || doc_seq ELSE ' a' || doc_seq || chr(10) || 'b' END, ';' ORDER BY text_type, doc_seq) AS texts,
+             coalesce(nullif(arg_min('T' || doc_seq, doc_seq) FILTER (text_type = 'TITLE' AND lang = 'en'), ''), arg_min('T' || doc_seq, doc_seq) FILTER (text_type = 'TITLE'), '') AS title FROM texts GROUP BY pub_doc_id)"""
+APP = "CASE WHEN kind_code = 'A' THEN 'UNKNOWN_' || pub_doc_id ELSE app_doc_id END AS app_doc_id, CASE WHEN kind_code = 'A' THEN 'XX' ELSE country END AS app_country, CASE WHEN kind_code = 'A' THEN 'UNKNOWN' ELSE doc_number END AS app_number, CASE WHEN kind_code <> 'A' THEN 'A' END AS app_kind_code, CASE WHEN kind_code <> 'A' THEN date_publ END AS app_date"
+
+
+@query(f"""WITH {RECORDS} SELECT country, pub_doc_id, doc_number, kind_code, NULL::VARCHAR AS extended_kind, date_publ, family_id, kind_code = 'B1' AS is_representative, kind_code = 'B1' AS is_grant, country AS originating_office, date_publ AS date_added_docdb, NULL::DATE AS date_last_exchange,
+    {APP}, source_status, CASE WHEN kind_code = 'A1' THEN '{{"bibliographic-data": {{"application-reference": [{{"document-id": {{"room": "' || family_id || '"}}}}]}}}}' ELSE '{{}}' END AS app_extra_data, '{{"note": "' || app_doc_id || '"}}' AS pub_extra_data,
+    coalesce(applicants, '') || '/' || coalesce(inventors, '') AS parties, coalesce(priorities, '') AS priorities, coalesce(classifications, '') AS classifications, coalesce(citations, '') AS citations, coalesce(texts, '') AS texts, coalesce(designations, '') AS designations,
+    CASE WHEN date_publ IS NULL THEN '' ELSE 'gazette-reference:' || date_publ || CASE WHEN kind_code = 'B1' THEN ';printed-with-grant:' || date_publ ELSE '' END END AS availability_dates
+    FROM recs LEFT JOIN parts USING (pub_doc_id) LEFT JOIN pricount USING (pub_doc_id) LEFT JOIN kids USING (pub_doc_id) LEFT JOIN said USING (pub_doc_id)""")
 def wide_row(spark, sf_dir):
-    nested = nesting.nest(view(spark, sf_dir, "children"), ["pub_doc_id"], ["pos"], ["symbol"], "classifications")
-    wide = view(spark, sf_dir, "publications").join(nested, "pub_doc_id", "left")
-    return wide.select("pub_doc_id", "country", "kind_code", "source_status", F.coalesce(F.size("classifications"), F.lit(0)).cast("long").alias("n_children"))
+    label = lambda p: S.party_label(p["name"], p["residence"])
+    nested = {
+        "parties": F.concat_ws("/", nesting.summary(F.col("parties.applicants"), label), nesting.summary(F.col("parties.inventors"), label)).alias("parties"),
+        "priorities": nesting.summary(F.col("priorities"), lambda r: F.concat_ws(":", r["sequence"].cast("string"), F.coalesce(r["country"], F.lit("")), r["doc_number"], r["is_active"].cast("string")), ";").alias("priorities"),
+        "classifications": _said("classifications", lambda r: F.concat_ws(":", r["scheme_name"], r["sequence"].cast("string"), r["symbol"])),
+        "citations": _said("citations", lambda r: F.concat_ws(":", r["citation_type"], r["cited_doc_id"], r["citation_text"], F.concat(r["passages"][0]["category"], r["passages"][0]["passage_text"]))),
+        "texts": _said("texts", lambda r: F.concat_ws(":", r["text_type"], r["lang"], r["content"])),
+        "designations": F.array_join(F.array_sort("designations.country_code"), ";").alias("designations"),
+        "availability_dates": _said("availability_dates", lambda r: F.concat_ws(":", r["availability_type"], r["availability_date"].cast("string"))),
+    }
+    wide = _wide(spark, sf_dir)
+    return wide.select(*(nested.get(c, F.col(c)) for c in wide.columns))
+
+
+@query(f"""WITH {RECORDS}, full_ AS (SELECT *, {APP.replace(" AS app_doc_id", " AS app_id")} FROM recs)
+    SELECT a.pub_doc_id, app_id AS app_doc_id, date_publ IS NOT NULL AS dated, coalesce(applicants, '') AS applicants, coalesce(inventors, '') AS inventors, 0 AS n_others, coalesce(n_pri, 0) AS n_claims, coalesce(n_kids, 0) AS n_classifications,
+    CAST((SELECT count(*) FROM texts t WHERE t.pub_doc_id = a.pub_doc_id AND text_type = 'TITLE') AS BIGINT) AS n_titles, CAST((SELECT count(*) FROM texts t WHERE t.pub_doc_id = a.pub_doc_id AND text_type = 'ABSTRACT') AS BIGINT) AS n_abstracts,
+    coalesce((SELECT string_agg(b.country || b.doc_number || b.kind_code, ',' ORDER BY b.date_publ NULLS LAST, b.pub_doc_id) FROM full_ b WHERE b.app_id = a.app_id AND b.pub_doc_id <> a.pub_doc_id), '') AS related
+    FROM full_ a LEFT JOIN parts USING (pub_doc_id) LEFT JOIN pricount USING (pub_doc_id) LEFT JOIN kids USING (pub_doc_id)""")
+def biblio_full(spark, sf_dir):
+    b = biblio.full_biblio(_wide(spark, sf_dir))
+    label = lambda p: S.party_label(p["name"], p["residence"])
+    size = lambda c, n: F.size(c).cast("long").alias(n)
+    related = nesting.summary(F.col("related_publications"), lambda r: S.display_number(r["country"], r["doc_number"], r["kind_code"]), ",")
+    return b.select(
+        "pub_doc_id", "application.app_doc_id", F.col("publication.date_publ").isNotNull().alias("dated"), nesting.summary(F.col("applicants"), label).alias("applicants"), nesting.summary(F.col("inventors"), label).alias("inventors"),
+        F.size("other_parties").alias("n_others"), size("priority_claims", "n_claims"), size("classifications", "n_classifications"), size("titles", "n_titles"), size("abstracts", "n_abstracts"), related.alias("related"),
+    )
+
+
+@query("SELECT pub_doc_id, pos, date_publ AS priority_date FROM children JOIN publications USING (pub_doc_id) WHERE format_type = 'docdb'")
+def legacy_alias(spark, sf_dir):
+    """Priority claims as an older store has them, under `date`."""
+    rows = view(spark, sf_dir, "children").where("format_type = 'docdb'").join(view(spark, sf_dir, "publications").select("pub_doc_id", "date_publ"), "pub_doc_id")
+    stored = nesting.nest(rows.withColumn("date", F.col("date_publ")), ["pub_doc_id"], ["pos"], ["date"], "priorities")
+    empty = {c: F.lit(None).cast("string") for c in ("app_doc_id", "app_country", "app_number", "app_kind_code", "app_date", "country", "doc_number", "kind_code", "extended_kind", "date_publ", "family_id", "is_representative", "is_grant", "originating_office", "date_added_docdb", "date_last_exchange")}
+    none = {"parties": f"struct<applicants:{extract.PARTIES},inventors:{extract.PARTIES},others:{extract.PARTIES}>", "texts": "array<struct<text_type:string>>", **{c: "array<string>" for c in ("classifications", "citations", "availability_dates")}}
+    full = biblio.full_biblio(stored.withColumns(empty | {c: F.lit(None).cast(t) for c, t in none.items()}))
+    return nesting.unnest(full, ["pub_doc_id"], "priority_claims").select("pub_doc_id", "pos", "priority_date")
+
+
+@query(f"WITH {RECORDS} SELECT pub_doc_id, {APP.replace('app_doc_id END AS app_doc_id', 'app_doc_id END AS app_id')} FROM recs")
+def application_pick(spark, sf_dir):
+    return _wide(spark, sf_dir).select("pub_doc_id", F.col("app_doc_id").alias("app_id"), "app_country", "app_number", "app_kind_code", "app_date")
+
+
+@query("SELECT pub_doc_id, kind AS availability_type, d AS availability_date FROM (SELECT pub_doc_id, source_status, 'gazette-reference' AS kind, date_publ AS d FROM publications UNION ALL SELECT pub_doc_id, source_status, 'printed-with-grant', CASE WHEN kind_code = 'B1' THEN date_publ END FROM publications) WHERE d IS NOT NULL AND source_status <> 'CV'")
+def avail_unpivot(spark, sf_dir):
+    return nesting.unnest(_wide(spark, sf_dir), ["pub_doc_id"], "availability_dates").select("pub_doc_id", "availability_type", "availability_date")
+
+
+@query("SELECT pub_doc_id, pos, coalesce(residence, scheme_name) AS scheme, symbol FROM children JOIN publications USING (pub_doc_id) WHERE source_status <> 'CV'")
+def classif_extract(spark, sf_dir):
+    return nesting.unnest(_wide(spark, sf_dir), ["pub_doc_id"], "classifications").select("pub_doc_id", F.col("sequence").alias("pos"), F.col("scheme_name").alias("scheme"), "symbol")
+
+
+@query("SELECT pub_doc_id, pos, CASE citation_type WHEN 'PATENT' THEN coalesce(residence, '') || cited_doc_id || 'A' END AS cited, CASE WHEN citation_type = 'PATENT' THEN 'PATENT' WHEN residence IS NOT NULL THEN 'NPL' ELSE 'UNKNOWN' END AS kind FROM children JOIN publications USING (pub_doc_id) WHERE source_status <> 'CV'")
+def citation_type(spark, sf_dir):
+    return nesting.unnest(_wide(spark, sf_dir), ["pub_doc_id"], "citations").select("pub_doc_id", F.col("sequence").alias("pos"), F.col("cited_doc_id").alias("cited"), F.col("citation_type").alias("kind"))
+
+
+@query("SELECT DISTINCT pub_doc_id, residence FROM children JOIN publications USING (pub_doc_id) WHERE residence IS NOT NULL AND source_status <> 'CV'")
+def designation_extract(spark, sf_dir):
+    return nesting.unnest(_wide(spark, sf_dir), ["pub_doc_id"], "designations").where("treaty_type = 'EPC' AND designation_type = 'any-states'").select("pub_doc_id", F.col("country_code").alias("residence"))
+
+
+@query(f"""WITH {RECORDS} SELECT pub_doc_id, country || doc_number || kind_code AS publication_number, date_publ, kind_code = 'B1' AS is_grant, coalesce(title, '') AS title, app_country || app_number || coalesce(app_kind_code, '') AS application_number, app_date, coalesce(applicants, '') AS applicants, coalesce(inventors, '') AS inventors, coalesce(n_pri, 0) AS n_priorities, coalesce(n_kids, 0) AS n_classifications, coalesce(n_kids, 0) AS n_citations
+    FROM (SELECT *, {APP.replace('END AS app_doc_id', 'END AS app_id')} FROM recs) LEFT JOIN parts USING (pub_doc_id) LEFT JOIN pricount USING (pub_doc_id) LEFT JOIN kids USING (pub_doc_id) LEFT JOIN said USING (pub_doc_id)""")
+def flat_main(spark, sf_dir):
+    return biblio.flat_main(biblio.full_biblio(_wide(spark, sf_dir)))
+
+
+@query("SELECT pub_doc_id, country FROM publications WHERE doc_number = '11' AND source_status <> 'CV' ORDER BY country, kind_code, pub_doc_id LIMIT 1")
+def first_match(spark, sf_dir):
+    """The first record with a number, by country, kind and id, found by its text before it is parsed."""
+    raw = _record_xml(spark, sf_dir).withColumn("r", F.from_xml("record_xml", ROOT))
+    found = manifest.first_match(raw, "record_xml", ('doc-number="11"',), (F.col("r.`_doc-number`") == "11") & (F.col("r._status") != "CV"), ("r._country", "r._kind", "r.`_doc-id`"))
+    return found.select(F.col("r.`_doc-id`").alias("pub_doc_id"), F.col("r._country").alias("country"))
 
 
 # --- ledgers ---------------------------------------------------------------------------
@@ -376,20 +505,6 @@ def designations_distinct(spark, sf_dir):
     return nesting.distinct_within(view(spark, sf_dir, "children"), ["pub_doc_id", "party_type"], "residence")
 
 
-@query("SELECT pub_doc_id, pos, CASE WHEN residence IS NULL THEN scheme_name ELSE residence END AS scheme, symbol, sequence AS seq FROM children")
-def classif_extract(spark, sf_dir):
-    padded = F.concat(F.lit(" "), "symbol", F.lit(" "))
-    rows = view(spark, sf_dir, "children").withColumn("c", F.struct(F.col("residence").alias("nested"), F.col("scheme_name").alias("own"), F.when(F.col("pos") % 2 == 0, padded).alias("symbol"), padded.alias("text")))
-    return rows.select("pub_doc_id", "pos", F.coalesce("c.nested", "c.own").alias("scheme"), F.trim(F.coalesce("c.symbol", "c.text")).alias("symbol"), F.col("sequence").cast("string").try_cast("int").alias("seq")).where("symbol <> ''")
-
-
-@query("SELECT pub_doc_id, pos, CASE citation_type WHEN 'PATENT' THEN residence || cited_doc_id END AS cited, CASE WHEN citation_type = 'PATENT' THEN 'PATENT' WHEN residence IS NOT NULL THEN 'NPL' ELSE 'UNKNOWN' END AS kind FROM children")
-def citation_type(spark, sf_dir):
-    patcit = F.when(F.col("citation_type") == "PATENT", F.struct(F.concat("residence", "cited_doc_id").alias("id")))
-    nplcit = F.when(F.col("citation_type") != "PATENT", F.col("residence"))
-    return view(spark, sf_dir, "children").select("pub_doc_id", "pos", patcit["id"].alias("cited"), F.when(patcit.isNotNull(), "PATENT").when(nplcit.isNotNull(), "NPL").otherwise("UNKNOWN").alias("kind"))
-
-
 @query("SELECT pub_doc_id, pos, CASE WHEN citation_type = 'PATENT' THEN 'PATENT ' || cited_doc_id ELSE 'NPL ' || substr(symbol, 1, 6) END AS label FROM children")
 def citation_label(spark, sf_dir):
     return view(spark, sf_dir, "children").select("pub_doc_id", "pos", S.citation_label(F.col("citation_type"), F.col("cited_doc_id"), F.col("symbol"), 6).alias("label"))
@@ -459,13 +574,6 @@ def rich_topn(spark, sf_dir):
     return rows.orderBy("country", "doc_number", "kind_code", "pub_doc_id").limit(100).select("pub_doc_id", "country", "doc_number", "kind_code")
 
 
-@query("SELECT pub_doc_id, country || doc_number || kind_code AS number, date_publ, coalesce(n_priorities, 0) AS n_priorities, coalesce(n_citations, 0) AS n_citations FROM publications LEFT JOIN (SELECT pub_doc_id, count(*) FILTER (format_type = 'docdb') AS n_priorities, count(*) AS n_citations FROM children GROUP BY pub_doc_id) USING (pub_doc_id)")
-def flat_main(spark, sf_dir):
-    wide = view(spark, sf_dir, "publications").join(_nested(spark, sf_dir), "pub_doc_id", "left")
-    n = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
-    return wide.select("pub_doc_id", S.display_number(F.col("country"), F.col("doc_number"), F.col("kind_code")).alias("number"), "date_publ", n(F.filter("rows", lambda r: r["format_type"] == "docdb")).alias("n_priorities"), n(F.col("rows")).alias("n_citations"))
-
-
 @query(f"WITH {BEST} SELECT pub_doc_id, party_type AS role, sequence, party_name AS name, residence AS country FROM best")
 def flat_parties(spark, sf_dir):
     parties = _parties(spark, sf_dir)
@@ -568,14 +676,66 @@ def stream_ingest(spark, sf_dir):
 
 @query(f"WITH {TARGET}, {SOURCE} SELECT {FEED} FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.country = t.country AND s.pub_doc_id = t.pub_doc_id) UNION ALL SELECT {FEED} FROM source WHERE source_status <> 'D'")
 def stream_cdc(spark, sf_dir):
+    """The feed arrives in three parts, later ones with older changes; each is applied by a call of its own, in micro-batches of one file."""
     out = shared_folder(spark, "cdc")
     target, changes = _feed(spark, sf_dir)
-    changes.write.parquet(f"{out}/feed")
-    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1000).parquet(f"{out}/feed")
-    last = ingest.apply_stream(spark, stream, target, f"{out}/table", f"{out}/checkpoint", KEY, ["ts", "event_id"])
+    for part in range(3):
+        changes.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).repartition(2).write.mode("append").parquet(f"{out}/feed")
+        stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/feed")
+        last = ingest.apply_stream(spark, stream, target, f"{out}/table", f"{out}/checkpoint", KEY, ["ts", "event_id"])
     return spark.read.parquet(last).select(*FEED.split(", "))
 
 
+# --- sources and sinks -----------------------------------------------------------------------
+
+
+@query("SELECT pub_doc_id, country, CASE WHEN country IN ('US','EP','WO','CN','JP','KR','DE','GB','FR') THEN country ELSE 'default' END AS country_part, kind_code FROM publications")
+def partitioned_write(spark, sf_dir):
+    path = f"{shared_folder(spark, 'table')}/t"
+    sinks.write_table(view(spark, sf_dir, "publications"), path)
+    return spark.read.parquet(path).select("pub_doc_id", "country", "country_part", "kind_code")
+
+
+@query(f"WITH {TARGET}, {SOURCE} SELECT {FEED}, DATE '2024-01-01' AS created_at, DATE '2024-01-01' AS updated_at FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.country = t.country AND s.pub_doc_id = t.pub_doc_id) UNION ALL SELECT s.country, s.pub_doc_id, s.event_id, s.source_status, s.value, CASE WHEN t.pub_doc_id IS NULL THEN DATE '2024-02-02' ELSE DATE '2024-01-01' END, DATE '2024-02-02' FROM source s LEFT JOIN target t ON s.country = t.country AND s.pub_doc_id = t.pub_doc_id WHERE s.source_status <> 'D'")
+def merged_table(spark, sf_dir):
+    """A stored table in buckets after a merge that stamps what it changes."""
+    path = f"{shared_folder(spark, 'table')}/t"
+    target, changes = _feed(spark, sf_dir)
+    day = lambda d: F.lit(d).cast("date")
+    sinks.write_table(target.withColumns({c: day("2024-01-01") for c in ("created_at", "updated_at")}), path, sort=("pub_doc_id",), keys=KEY, buckets=4)
+    sinks.merge_into(spark, path, changes, KEY, ["ts", "event_id"], now=day("2024-02-02"), buckets=4, sort=("pub_doc_id",))
+    return spark.read.parquet(path).select(*FEED.split(", "), "created_at", "updated_at")
+
+
+@query("SELECT filename, count(*) AS documents_processed, count(DISTINCT lang) AS n_langs FROM texts GROUP BY filename")
+def stats_json(spark, sf_dir):
+    path = f"{shared_folder(spark, 'stats')}/s"
+    sinks.write_stats(file_stats(spark, sf_dir), path)
+    return spark.read.schema("filename string, documents_processed long, n_langs long").json(path)
+
+
+@query("SELECT pub_doc_id, kind_code FROM publications WHERE source_status <> 'D'")
+def resumable_append(spark, sf_dir):
+    """A copy into another store that has some of the keys, in chunks; a second call finds nothing left to do."""
+    path = f"{shared_folder(spark, 'store')}/s"
+    p = view(spark, sf_dir, "publications")
+    present = p.where("source_status = 'C'").select("pub_doc_id", "kind_code")
+    rest = p.where("source_status <> 'D'")
+    for _ in range(2):
+        sinks.append_resumable(spark, rest, path, ["pub_doc_id", "kind_code"], "pub_doc_id", present, chunks=3)
+    return present.unionByName(spark.read.parquet(path).select("pub_doc_id", "kind_code"))
+
+
+@query("SELECT pub_doc_id, country FROM publications WHERE source_status <> 'CV'")
+def archive_scan(spark, sf_dir):
+    """Records zipped by country, some archives within archives, found below a folder and read again."""
+    folder = shared_folder(spark, "archives")
+    rows = _xml_records(spark, sf_dir, F.col("app_doc_id")).join(view(spark, sf_dir, "publications").where("source_status <> 'CV'").select("pub_doc_id", "country"), "pub_doc_id")
+    archives.write_archives(rows.withColumn("delivery", F.concat("country", F.lit("/Amend-"), F.pmod(F.xxhash64("pub_doc_id"), F.lit(8)).cast("string"))), folder, "delivery", "record_xml")
+    found = archives.read_archives(spark, folder)
+    return xml.parse_records(found, "record_xml", ROOT).select(F.col("`_doc-id`").alias("pub_doc_id"), F.col("_country").alias("country"))
+
+
 # --- open payloads --------------------------------------------------------------------------
 
 
@@ -618,7 +778,7 @@ def extra_split(spark, sf_dir):
 
 # --- XML ----------------------------------------------------------------------------------
 
-ROOT = "`_country` string, `_doc-number` string, `_kind` string, `_doc-id` string, title string"
+ROOT = "`_country` string, `_doc-number` string, `_kind` string, `_doc-id` string, `_status` string, title string"
 
 
 def _xml_records(spark, sf_dir, title):

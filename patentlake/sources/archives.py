@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import codecs
 import io
 import re
 import zipfile
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentlake.functions.scalars import archive_rank
+from patentlake.functions.scalars import archive_rank, basename
 
 ARCHIVE_ROWS = "path string, member string, doc_seq long, record_xml string, error string"
 ROWS_PER_BATCH = 1000
@@ -20,30 +22,58 @@ ROWS_PER_BATCH = 1000
 def find_archives(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFrame:
     """Archives below a folder (path, filename, archive_rank), to be taken by rank and name."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder).select("path")
-    return files.withColumn("filename", F.substring_index("path", "/", -1)).withColumn("archive_rank", archive_rank(F.col("filename")))
+    return files.withColumn("filename", basename(F.col("path"))).withColumn("archive_rank", archive_rank(F.col("filename")))
 
 
-def _records(data: bytes, tag: str, depth: int = 0) -> Iterator[tuple[str, int, str]]:
+DEEPEST = 16  # archives within archives
+BLOCK = 1 << 20
+_DECLARED = re.compile(rb"<\?xml[^>]*encoding=[\"']([A-Za-z0-9._-]+)")
+_MARKS = ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16"))
+
+
+def _encoding(head: bytes) -> str:
+    """Of an XML file by its byte order mark or declaration."""
+    declared = _DECLARED.search(head)
+    return next((name for mark, name in _MARKS if head.startswith(mark)), declared[1].decode() if declared else "utf-8")
+
+
+def _stream(handle: io.BufferedIOBase, tag: str) -> Iterator[str]:
+    """Records of an XML file, read in blocks: what is held is one record and a block."""
+    whole = re.compile(rf"<((?:[\w.-]+:)?{re.escape(tag)})(?=[\s>/])(?:[^>]*/>|.*?</\1\s*>)", re.S)
+    block = handle.read(BLOCK)
+    text, held = codecs.getincrementaldecoder(_encoding(block[:200]))(), ""
+    while block:
+        held += text.decode(block)
+        at = 0
+        for m in whole.finditer(held):
+            yield m.group()
+            at = m.end()
+        held, block = held[at:], handle.read(BLOCK)
+    text.decode(b"", True)
+
+
+def _records(data: io.BufferedIOBase, tag: str, depth: int = 0) -> Iterator[tuple[str, int, str]]:
     """(member, position, record) of an archive's first XML member; of archives inside it where it has none."""
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
+    if depth > DEEPEST:
+        raise zipfile.BadZipFile(f"more than {DEEPEST} archives within each other")
+    with zipfile.ZipFile(data) as z:
         names = z.namelist()
         first = next((n for n in names if n.endswith(".xml")), None)
         if first is None:
-            for n in names if depth < 3 else ():
+            for n in names:
                 if n.endswith(".zip"):
-                    yield from _records(z.read(n), tag, depth + 1)
+                    with z.open(n) as inner:
+                        yield from _records(inner, tag, depth + 1)
             return
-        whole = re.compile(rf"<((?:[\w.-]+:)?{re.escape(tag)})(?=[\s>/])(?:[^>]*/>|.*?</\1\s*>)", re.S)
-        text = z.read(first).decode("utf-8", errors="replace")
-        for k, m in enumerate(whole.finditer(text)):
-            yield first, k, m.group()
+        with z.open(first) as member:
+            yield from ((first, k, xml) for k, xml in enumerate(_stream(member, tag)))
 
 
 def read_archives(spark: SparkSession, folder: str, tag: str = "exchange-document", glob: str = "*.zip") -> DataFrame:
     """Records of all archives below a folder, with their position in the file.
 
-    An archive without XML has no rows; a broken one has a single row that says so in
-    `error`. Archives aren't splittable: a task reads each whole.
+    An archive without XML has no rows. A broken one, or one whose bytes aren't in the
+    encoding it declares, ends with a row that says so in `error`. Archives aren't splittable: a task reads each whole.
     """
 
     def run(it: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -52,15 +82,42 @@ def read_archives(spark: SparkSession, folder: str, tag: str = "exchange-documen
             for path, data in zip(pdf["path"], pdf["content"], strict=True):
                 rows: list[tuple] = []
                 try:
-                    for member, k, xml in _records(data, tag):
+                    for member, k, xml in _records(io.BytesIO(data), tag):
                         rows.append((path, member, k, xml, None))
                         if len(rows) >= ROWS_PER_BATCH:
                             yield pd.DataFrame(rows, columns=names)
                             rows = []
-                except zipfile.BadZipFile as e:
+                except (zipfile.BadZipFile, LookupError, UnicodeDecodeError) as e:
                     rows.append((path, None, -1, None, str(e)))
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
     return files.select("path", "content").mapInPandas(run, ARCHIVE_ROWS)
+
+
+def write_archives(rows: DataFrame, folder: str, name: str, record: str, tag: str = "exchange-documents") -> None:
+    """A zip below folder for each name (which may hold sub-folders), with the records of that name in one XML file.
+
+    Every second archive, by the hash of its name, lies in another one. An archive is as
+    large as its records: names are the caller's way to bound it.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        of = pdf["name"].iloc[0]
+        inner, outer = io.BytesIO(), io.BytesIO()
+        with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("records.xml", f"<{tag}>{''.join(pdf['record'])}</{tag}>")
+        if pdf["nested"].iloc[0]:
+            with zipfile.ZipFile(outer, "w") as z:
+                z.writestr("inner.zip", inner.getvalue())
+        store, root = fs.FileSystem.from_uri(folder)
+        path = f"{root}/{of}.zip"
+        store.create_dir(path.rpartition("/")[0], recursive=True)
+        with store.open_output_stream(path) as out:
+            out.write((outer if pdf["nested"].iloc[0] else inner).getvalue())
+        return pd.DataFrame({"path": [path]})
+
+    named = rows.select(F.col(name).alias("name"), F.col(record).alias("record"), (F.pmod(F.xxhash64(name), F.lit(2)) == 1).alias("nested"))
+    written = named.groupBy("name").applyInPandas(run, "path string")
+    written.write.format("noop").mode("overwrite").save()

@@ -25,3 +25,8 @@ def prefilter_search(raw: DataFrame, column: str, contains: tuple[str, ...], exa
     for text in contains:
         raw = raw.where(F.col(column).contains(text))
     return raw.where(exact)
+
+
+def first_match(raw: DataFrame, column: str, contains: tuple[str, ...], exact: Column, order: tuple[str, ...]) -> DataFrame:
+    """The first of these rows in a total order, or none: each task keeps one."""
+    return prefilter_search(raw, column, contains, exact).orderBy(*order).limit(1)

@@ -1,4 +1,4 @@
-"""The folder that driver and executors share."""
+"""The folder that driver and executors share, and what lies in such folders."""
 
 from __future__ import annotations
 
@@ -9,6 +9,31 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; below a temporary one of our own only where that is unset (tests)."""
-    top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="patentlake-")
+    """A new folder below spark.checkpoint.dir; a temporary one only where that is unset and all runs in one process (tests)."""
+    top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        top = f"file://{tempfile.mkdtemp(prefix='patentlake-')}"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _of(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _of(spark, path)
+    return fs.exists(hadoop)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where it isn't there."""
+    fs, hadoop = _of(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _of(spark, path)
+    fs.delete(hadoop, True)

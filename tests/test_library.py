@@ -198,6 +198,74 @@ def test_stream_order_does_not_depend_on_batches(spark, tmp_path):
     assert got[1] == got[3] == got[0][:3]
 
 
+def test_stream_goes_on_after_a_restart(spark, tmp_path):
+    """Run, run again with nothing new, new files: nothing is lost, and the target given later is not used."""
+    target = changes(spark, [("US", "1", 0, "C", "a")])
+    feed, out = f"file://{tmp_path}/feed", f"file://{tmp_path}/out"
+
+    def run(given):
+        stream = spark.readStream.schema(target.schema).parquet(feed)
+        return rows_of(spark.read.parquet(ingest.apply_stream(spark, stream, given, f"{out}/t", f"{out}/mark", KEYS, ["seq"])))
+
+    changes(spark, [("US", "1", 1, "A", "b"), ("US", "2", 2, "C", "c")]).coalesce(1).write.parquet(feed)
+    first = [("US", "1", 1, "A", "b"), ("US", "2", 2, "C", "c")]
+    assert run(target) == first and run(target) == first and run(changes(spark, [])) == first
+    changes(spark, [("US", "2", 3, "D", None), ("EP", "1", 4, "C", "n")]).coalesce(1).write.mode("append").parquet(feed)
+    assert run(target) == [("EP", "1", 4, "C", "n"), ("US", "1", 1, "A", "b")]
+    changes(spark, [("US", "2", 2, "A", "older than its deletion")]).coalesce(1).write.mode("append").parquet(feed)
+    assert run(target) == [("EP", "1", 4, "C", "n"), ("US", "1", 1, "A", "b")]
+
+
+def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
+    path = f"file://{tmp_path}/table"
+    rows = [("US" if k % 2 else "EP", str(k), k, "C", "a") for k in range(60)]
+    stamped = changes(spark, rows).withColumns({"created_at": F.lit(1), "updated_at": F.lit(1), "doc_number": F.lit("1")})
+    sinks.write_table(stamped, path, keys=KEYS, buckets=8)
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "table").rglob("*.parquet")}
+    before = files()
+    new = changes(spark, [("US", "1", 99, "A", "b"), ("US", "999", 99, "C", "c")]).withColumn("doc_number", F.lit("1"))
+    sinks.merge_into(spark, path, new, KEYS, ["seq"], now=F.lit(2), buckets=8)
+    left = {f for f, t in files().items() if before.get(f) == t}
+    assert len({f.parent for f in before} - {f.parent for f in left}) in (1, 2)
+    got = {(r.country, r.pub_doc_id): (r.v, r.created_at, r.updated_at) for r in spark.read.parquet(path).collect()}
+    assert got == {**{(c, k): ("a", 1, 1) for c, k, *_ in rows}, ("US", "1"): ("b", 1, 2), ("US", "999"): ("c", 2, 2)}
+    sinks.merge_into(spark, path, new.limit(0), KEYS, ["seq"], buckets=8)
+    assert spark.read.parquet(path).count() == 61
+
+
+def test_a_broken_copy_goes_on(spark, tmp_path):
+    path = f"file://{tmp_path}/store"
+    rows = spark.range(100).withColumn("v", F.col("id") * 2)
+    assert sinks.append_resumable(spark, rows, path, ["id", "v"], "id", chunks=4) == [0, 1, 2, 3]
+    (tmp_path / "store" / "chunk=2" / "_SUCCESS").unlink()
+    assert sinks.append_resumable(spark, rows, path, ["id", "v"], "id", chunks=4) == [2]
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(100))
+    assert sinks.append_resumable(spark, rows, f"{path}2", ["id"], "id", present=spark.range(90), chunks=2) == [0, 1]
+    assert sorted(r.id for r in spark.read.parquet(f"{path}2").collect()) == list(range(90, 100))
+
+
+def test_archives_keep_their_encoding(spark, tmp_path):
+    """Declared encodings, records over several blocks, bytes that don't fit, and archives too deep within others."""
+    said = '<?xml version="1.0" encoding="{}"?><d><exchange-document country="é"/>x</d>'
+    long = "<d>" + "".join(f'<exchange-document kind="{k}">{"ü" * 5000}</exchange-document>' for k in range(400)) + "</d>"
+    files = {"latin": said.format("ISO-8859-1").encode("latin-1"), "wide": said.format("UTF-16").encode("utf-16"), "bad": said.format("UTF-8").encode("latin-1"), "odd": said.format("no-such").encode(), "long": long.encode()}
+    for name, data in files.items():
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:
+            z.writestr("a.xml", data)
+    deep = (tmp_path / "latin.zip").read_bytes()
+    for k in range(20):
+        with zipfile.ZipFile(tmp_path / f"deep{k}.zip", "w") as z:
+            z.writestr("in.zip", deep)
+        deep = (tmp_path / f"deep{k}.zip").read_bytes()
+        if k not in (3, 19):
+            (tmp_path / f"deep{k}.zip").unlink()
+    got = {}
+    for r in archives.read_archives(spark, f"file://{tmp_path}").collect():
+        got.setdefault(r.path.rpartition("/")[2][:-4], []).append("error" if r.error else r.record_xml)
+    assert got["latin"] == got["wide"] == got["deep3"] == ['<exchange-document country="é"/>']
+    assert got["bad"] == got["odd"] == got["deep19"] == ["error"] and len(got["long"]) == 400 and "error" not in got["long"]
+
+
 def test_wide_rows_take_any_child(spark, tmp_path):
     """Designation and availability tags of any name, schemes and residences where they stand, with and without prefixes."""
     blocks = """<exch:designation-of-states><exch:designation-epc><exch:contracting-states><exch:country>AT</exch:country><exch:country>BE</exch:country><exch:country>AT</exch:country></exch:contracting-states>
