@@ -469,8 +469,9 @@ def _parties(spark, sf_dir):
     return nested.select("pub_doc_id", nesting.by_role(F.col("parties"), {"applicants": "APPLICANT", "inventors": "INVENTOR"}).alias("parties"))
 
 
-def _nested(spark, sf_dir):
-    return nesting.nest(view(spark, sf_dir, "children"), ["pub_doc_id"], ["pos"], ["party_type", "format_type", "sequence", "party_name", "residence", "scheme_name", "symbol", "citation_type", "cited_doc_id"], "rows")
+def _nested(spark, sf_dir, *fields):
+    """Children of each publication as an array, with no more fields than are asked for: what is collected isn't pruned."""
+    return nesting.nest(view(spark, sf_dir, "children"), ["pub_doc_id"], ["pos"], fields, "rows")
 
 
 @query(f"WITH {BEST} SELECT pub_doc_id, party_type, sequence, party_name, format_type, pos FROM best")
@@ -512,7 +513,7 @@ def citation_label(spark, sf_dir):
 
 @query("SELECT pub_doc_id, string_agg(cited_doc_id, ',' ORDER BY pos) AS cited FROM children WHERE pos <= 3 GROUP BY pub_doc_id")
 def first_k_citations(spark, sf_dir):
-    return _nested(spark, sf_dir).select("pub_doc_id", F.array_join(F.slice("rows.cited_doc_id", 1, 3), ",").alias("cited"))
+    return _nested(spark, sf_dir, "cited_doc_id").select("pub_doc_id", F.array_join(F.slice("rows.cited_doc_id", 1, 3), ",").alias("cited"))
 
 
 @query("SELECT cited_doc_id, count(*) AS n_citations, count(DISTINCT pub_doc_id) AS n_citing FROM children WHERE citation_type = 'PATENT' GROUP BY cited_doc_id")
@@ -521,14 +522,14 @@ def forward_citations(spark, sf_dir):
 
 
 @query("SELECT pub_doc_id, string_agg(CAST(pos AS VARCHAR) || ':' || symbol, ';' ORDER BY pos) AS symbols FROM children GROUP BY pub_doc_id")
-def collect_nested(spark, sf_dir):
+def collect_nested(spark, sf_dir, "symbol"):
     label = lambda r: F.concat(r["pos"].cast("string"), F.lit(":"), r["symbol"])
-    return _nested(spark, sf_dir).select("pub_doc_id", nesting.summary(F.col("rows"), label, ";").alias("symbols"))
+    return _nested(spark, sf_dir, "symbol").select("pub_doc_id", nesting.summary(F.col("rows"), label, ";").alias("symbols"))
 
 
 @query("SELECT c.pub_doc_id, country, pos, symbol FROM children c JOIN publications p USING (pub_doc_id)")
 def reassemble(spark, sf_dir):
-    full = view(spark, sf_dir, "publications").select("pub_doc_id", "country").join(_nested(spark, sf_dir), "pub_doc_id")
+    full = view(spark, sf_dir, "publications").select("pub_doc_id", "country").join(_nested(spark, sf_dir, "symbol"), "pub_doc_id")
     return nesting.unnest(full, ["pub_doc_id", "country"], "rows").select("pub_doc_id", "country", "pos", "symbol")
 
 
@@ -541,17 +542,17 @@ def nested_two_level(spark, sf_dir):
 
 @query("SELECT DISTINCT pub_doc_id FROM children WHERE party_type = 'INVENTOR' AND regexp_matches(party_name, '(?i)name 1[0-9]$')")
 def nested_regex(spark, sf_dir):
-    return _nested(spark, sf_dir).where(F.exists("rows", lambda r: (r["party_type"] == "INVENTOR") & r["party_name"].rlike("(?i)name 1[0-9]$"))).select("pub_doc_id")
+    return _nested(spark, sf_dir, "party_type", "party_name").where(F.exists("rows", lambda r: (r["party_type"] == "INVENTOR") & r["party_name"].rlike("(?i)name 1[0-9]$"))).select("pub_doc_id")
 
 
 @query("SELECT DISTINCT pub_doc_id FROM children WHERE scheme_name = 'CPC' AND symbol LIKE 'A61K%'")
 def nested_prefix(spark, sf_dir):
-    return _nested(spark, sf_dir).where(F.exists("rows", lambda r: (r["scheme_name"] == "CPC") & r["symbol"].startswith("A61K"))).select("pub_doc_id")
+    return _nested(spark, sf_dir, "scheme_name", "symbol").where(F.exists("rows", lambda r: (r["scheme_name"] == "CPC") & r["symbol"].startswith("A61K"))).select("pub_doc_id")
 
 
 @query("SELECT DISTINCT pub_doc_id FROM children WHERE residence = 'US'")
 def nested_equals(spark, sf_dir):
-    return _nested(spark, sf_dir).where(F.exists("rows", lambda r: r["residence"] == "US")).select("pub_doc_id")
+    return _nested(spark, sf_dir, "residence").where(F.exists("rows", lambda r: r["residence"] == "US")).select("pub_doc_id")
 
 
 RICH = "rich AS (SELECT pub_doc_id, count(*) FILTER (party_type = 'INVENTOR') AS i, count(*) FILTER (scheme_name = 'CPC') AS c, count(*) FILTER (format_type = 'docdb') AS p, count(*) FILTER (citation_type = 'NPL') AS n FROM children GROUP BY pub_doc_id)"
@@ -559,7 +560,7 @@ RICH = "rich AS (SELECT pub_doc_id, count(*) FILTER (party_type = 'INVENTOR') AS
 
 def _rich(spark, sf_dir):
     only = lambda field, value: F.filter("rows", lambda r: r[field] == value)
-    nested = _nested(spark, sf_dir).select("pub_doc_id", only("party_type", "INVENTOR").alias("inventors"), only("scheme_name", "CPC").alias("classifications"), only("format_type", "docdb").alias("priorities"), only("citation_type", "NPL").alias("citations"))
+    nested = _nested(spark, sf_dir, "party_type", "scheme_name", "format_type", "citation_type").select("pub_doc_id", only("party_type", "INVENTOR").alias("inventors"), only("scheme_name", "CPC").alias("classifications"), only("format_type", "docdb").alias("priorities"), only("citation_type", "NPL").alias("citations"))
     return biblio.rich(nested, "inventors", ("classifications", "priorities", "citations"))
 
 
@@ -583,17 +584,17 @@ def flat_parties(spark, sf_dir):
 
 @query("SELECT pub_doc_id, pos, sequence, residence AS priority_country, cited_doc_id AS priority_number FROM children WHERE format_type = 'docdb'")
 def flat_priorities(spark, sf_dir):
-    return nesting.unnest(_nested(spark, sf_dir), ["pub_doc_id"], "rows").where("format_type = 'docdb'").select("pub_doc_id", "pos", "sequence", F.col("residence").alias("priority_country"), F.col("cited_doc_id").alias("priority_number"))
+    return nesting.unnest(_nested(spark, sf_dir, "format_type", "sequence", "residence", "cited_doc_id"), ["pub_doc_id"], "rows").where("format_type = 'docdb'").select("pub_doc_id", "pos", "sequence", F.col("residence").alias("priority_country"), F.col("cited_doc_id").alias("priority_number"))
 
 
 @query("SELECT pub_doc_id, pos, scheme_name, symbol FROM children")
 def flat_classifications(spark, sf_dir):
-    return nesting.unnest(_nested(spark, sf_dir), ["pub_doc_id"], "rows").select("pub_doc_id", "pos", "scheme_name", "symbol")
+    return nesting.unnest(_nested(spark, sf_dir, "scheme_name", "symbol"), ["pub_doc_id"], "rows").select("pub_doc_id", "pos", "scheme_name", "symbol")
 
 
 @query("SELECT pub_doc_id, pos, citation_type, CASE WHEN citation_type = 'PATENT' THEN 'PATENT ' || cited_doc_id ELSE 'NPL ' || symbol END AS reference FROM children")
 def flat_citations(spark, sf_dir):
-    rows = nesting.unnest(_nested(spark, sf_dir), ["pub_doc_id"], "rows")
+    rows = nesting.unnest(_nested(spark, sf_dir, "citation_type", "cited_doc_id", "symbol"), ["pub_doc_id"], "rows")
     return rows.select("pub_doc_id", "pos", "citation_type", S.citation_label(F.col("citation_type"), F.col("cited_doc_id"), F.col("symbol")).alias("reference"))
 
 
