@@ -7,8 +7,9 @@ format and context features. They learn from a bounded sample of documents, and
 candidates whose label can be verified: base spans and base spans rewritten in a loose form
 are positive; digit runs that fail Luhn's check, addresses with a part over 255, calendar
 dates, pieces of longer numbers, web sites and ends of sentences are negative. Any other loose
-candidate has no label and teaches nothing. The threshold of a kind is the least score with
-which held-out loose candidates reach the asked precision; a kind whose held-out candidates
+candidate has no label and teaches nothing. On held-out loose candidates of a kind the trees'
+margins are calibrated to probabilities (Platt's sigmoid), and its threshold is the least
+probability with which they reach the asked precision; a kind whose held-out candidates
 can't show it, for want of either label, adds nothing.
 """
 
@@ -219,6 +220,9 @@ class Trees(NamedTuple):
     bias: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.margin(x), -30, 30)))
+
+    def margin(self, x: np.ndarray) -> np.ndarray:
         z = np.full(len(x), self.bias)
         rows = np.arange(len(x))
         for f, c, v in zip(self.feature, self.cut, self.value, strict=True):
@@ -226,7 +230,7 @@ class Trees(NamedTuple):
             for _ in range(3):
                 node = 2 * node + 1 + (x[rows, f[node]] > c[node])
             z += v[node - 7]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return z
 
 
 def boost(x: np.ndarray, y: np.ndarray, rounds: int = 30, rate: float = 0.3, smooth: float = 1.0) -> Trees:
@@ -260,31 +264,54 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 30, rate: float = 0.3, smo
     return Trees(*(np.array(t) for t in zip(*trees, strict=True)), bias)
 
 
+def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the sigmoid that turns margins into probabilities, by Newton's method on smoothed labels."""
+    good = int(y.sum())
+    target = np.where(y, (good + 1) / (good + 2), 1 / (len(y) - good + 2))
+    x = np.column_stack([margin, np.ones(len(margin))])
+    w = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + 1e-6 * np.eye(2), x.T @ (p - target) + 1e-6 * (w - [1.0, 0.0]))
+        w = w - np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(w[0]), float(w[1])
+
+
 class Model(NamedTuple):
     trees: Trees
-    thresholds: tuple[float, ...]  # of each kind; above 1: the kind adds nothing
+    sigmoids: tuple[tuple[float, float], ...]  # of each kind
+    thresholds: tuple[float, ...]  # probabilities; above 1: the kind adds nothing
+
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        """Of candidates being what their kind says."""
+        slope, offset = np.array(self.sigmoids)[np.argmax(x[:, : len(KINDS)], axis=1)].T
+        return 1 / (1 + np.exp(-np.clip(slope * self.trees.margin(x) + offset, -30, 30)))
 
 
 def fit(x: np.ndarray, y: np.ndarray, loose: np.ndarray, precision: float = PRECISION, least: int = 20) -> Model | None:
-    """Trees from three of four rows, thresholds from the loose ones of the others; None without both labels."""
+    """Trees from three of four rows, sigmoids and thresholds from the loose ones of the others; None without both labels."""
     if len(y) < 4 * least or y.min() == y.max():
         return None
     test = np.arange(len(y)) % 4 == 0
     if y[~test].min() == y[~test].max():
         return None
     trees = boost(x[~test], y[~test].astype(float))
-    score = trees.score(x[test])
+    kept = [test & loose & (x[:, k] == 1) for k in range(len(KINDS))]
+    sigmoids = tuple(calibrate(trees.margin(x[own]), y[own]) if 0 < y[own].sum() < own.sum() else (1.0, 0.0) for own in kept)
+    model = Model(trees, sigmoids, (2.0,) * len(KINDS))
     thresholds = []
-    for k in range(len(KINDS)):
-        own = (x[test][:, k] == 1) & loose[test]
-        order = np.argsort(-score[own], kind="stable")
-        s, good = score[own][order], np.cumsum(y[test][own][order])
+    for own in kept:
+        p = model.probability(x[own])
+        order = np.argsort(-p, kind="stable")
+        s, good = p[order], np.cumsum(y[own][order])
         n = np.arange(1, len(s) + 1)
         last = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, dtype=bool)
         # one more failure than was seen: a bound for what a small sample can't show
         ok = last & (good / (n + 1) >= precision) & (n >= least) & (len(s) - good[-1:].sum() >= least)
         thresholds.append(float(s[ok].min()) if ok.any() else 2.0)
-    return Model(trees, tuple(thresholds))
+    return model._replace(thresholds=tuple(thresholds))
 
 
 def training_rows(docs: DataFrame, text: str = "text", sample: int = SAMPLE_TEXTS, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -335,7 +362,7 @@ def select(text: str, model: Model | None) -> tuple[list[Span], list[Span]]:
     loose = loose_spans(text, base)
     if not loose:
         return base, base
-    score = model.trees.score(np.array([features(text, s) for s in loose]))
+    score = model.probability(np.array([features(text, s) for s in loose]))
     added = [s for s, p in zip(loose, score.tolist(), strict=True) if p >= model.thresholds[s.kind]]
     return base, sorted({*base, *added})
 

@@ -545,6 +545,34 @@ def test_pii_in_loose_forms(spark):
         assert "They stayed at home. Then" in got[k].redacted and "2024-01-" in got[k].redacted and ".2.999.4" in got[k].redacted
 
 
+def test_pii_precision_and_recall(spark):
+    """Added spans against planted loose ones, among dates, versions, numbers that fail a check and phrases that only look alike."""
+    rng = np.random.default_rng(7)
+    names, hosts = ("ann", "b.cole", "dora_e", "f-g", "h99"), ("mail", "post", "web-box", "inbox")
+    no = lambda n: "".join(map(str, rng.integers(1, 10, n)))
+    rows, planted = [], set()
+    for k in range(1500):
+        name, host = f"{names[k % 5]}{k}", hosts[k % 4]
+        loose = [("email", f"{name} [at] {host} [dot] org"), ("email", f"{name}(at){host}(dot)net"), ("email", f"{name} at {host}.com"), ("phone", f"({no(3)}) {no(3)}-{no(4)}"), ("phone", f"1 ({no(3)}) {no(3)}-{no(4)}")][k % 5]
+        head = f"mail {name}@{host}.org, call +1 ({no(3)}) {no(3)}-{no(4)}. On 20{no(2)}-0{no(1)}-1{no(1)} version {no(1)}.{no(1)}.999.{no(1)} met at {host}. Then they were at home. No {no(3)}9-{no(4)}-{no(4)}-{no(4)} is {no(2)}.{no(2)}. Please contact "
+        rows.append((k, head + loose[1] + " today, or " + f"{no(3)} of {no(5)} at noon."))
+        planted.add((k, loose[0], len(head), len(head) + len(loose[1])))
+    got = set()
+    for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        base = set(r.base.split(","))
+        got |= {(r.doc_id, kind, int(a), int(b)) for x in r.spans.split(",") if x not in base for kind, a, b in [x.split(":")]}
+    assert len(got & planted) >= 0.95 * len(planted) and len(got & planted) >= 0.99 * len(got)
+
+
+def test_probabilities_are_calibrated():
+    rng = np.random.default_rng(3)
+    margin = rng.normal(size=6000) * 3
+    y = rng.random(6000) < 1 / (1 + np.exp(-(0.5 * margin - 1)))
+    slope, offset = pii.calibrate(margin, y)
+    assert abs(slope - 0.5) < 0.05 and abs(offset + 1) < 0.1
+    assert pii.calibrate(np.array([5.0, 6, -5, -6]), np.array([True, True, False, False]))[0] > 0
+
+
 def test_training_samples_are_bounded(spark, monkeypatch):
     """Copies, repeated ids and long texts don't grow what reaches the driver."""
     text = "mail a@x.org or call +1 (555) 555-1000, card 4111-1111-1111-1112. "
