@@ -9,12 +9,17 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; a temporary one only where that is unset and all runs in one process (tests)."""
-    top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder below spark.checkpoint.dir; one of our own is set only where that is unset and all runs in one process (tests)."""
+    context = spark.sparkContext
+    top = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not top:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        top = f"file://{tempfile.mkdtemp(prefix='patentlake-')}"
+        known = context._jsc.sc().getCheckpointDir()
+        if not known.isDefined():
+            if not context.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+            context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='patentlake-')}")
+            known = context._jsc.sc().getCheckpointDir()
+        top = known.get()
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
