@@ -1,11 +1,10 @@
-"""Where jobs keep what executors must share: the cluster's own folder."""
+"""Tables that jobs write on their way, and the size of what Python is handed."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from patentlake.sources.shared import remove, shared_folder
 
 #: bytes of an Arrow batch, in and out of Python: what a task holds doesn't grow with the length of texts
 BATCH_BYTES = "4m"
@@ -14,25 +13,6 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; one of our own only where it is unset, which a cluster must not do (tests)."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        return conf.rstrip("/")
-    known = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if known.isDefined():
-        return known.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    path = tempfile.mkdtemp(prefix="patentlake-")
-    spark.sparkContext.setCheckpointDir(path)
-    return f"file://{path}"
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def bounded(df: DataFrame) -> DataFrame:
     """df, whose session hands batches of at most BATCH_BYTES to Python; a bound that the session has already stays."""
     conf = df.sparkSession.conf
@@ -48,7 +28,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     shuffled for df isn't needed any more, and Spark removes it at the end of the write.
     """
     spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = shared_folder(spark, name)
     before = spark.conf.get(_CLEAN)
     spark.conf.set(_CLEAN, "true")
     try:
@@ -63,6 +43,4 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete written tables whose readers are done."""
     for table in tables:
-        spark = table.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_to)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(table.sparkSession, table.written_to)

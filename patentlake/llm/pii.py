@@ -390,7 +390,7 @@ def find_pii(docs: DataFrame, text: str = "text", model: Model | None = None, fi
     are found. Repeated rows each get a row; empty docs give an empty table; columns named
     like a result are replaced, others pass through. Narrow but for the sample's hashes.
     """
-    model = train(docs, text) if model is None and fit_model else model
+    model = train(bounded(docs), text) if model is None and fit_model else model
     results = (*(f"n_{k}" for k in KINDS), "base", "spans", "redacted")
     keep = [c for c in docs.columns if c not in results]
     names = [f"k{i}" for i in range(len(keep))]

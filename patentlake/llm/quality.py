@@ -202,13 +202,13 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     every row scores 0.5. A null id is not held out. Repeated rows each get a row; empty
     docs give an empty table; columns named like a result are replaced, others pass through.
     """
-    ids = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    ids = bounded(docs).select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     model = train(ids, labels.select("doc_id", "quality"), **bounds)
     results = ("held_out", "score", "predicted")
     keep = [c for c in docs.columns if c not in results]
     names = [f"k{i}" for i in range(len(keep))]
     at = names[keep.index(text)]
-    source = bounded(docs).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
+    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
     kinds = "".join(f"{n} {source.schema[n].dataType.simpleString()}, " for n in names)
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

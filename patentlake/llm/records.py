@@ -32,8 +32,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from patentlake.llm._io import bounded, new_folder
+from patentlake.llm._io import bounded
 from patentlake.llm.tokens import batches, vocabulary_path, word_encoder
+from patentlake.sources.shared import shared_folder
 
 END_ID = 1
 _LENGTH, _CRC, _HEAD, _PLACE = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BBq"), struct.Struct("<QQ")
@@ -230,6 +231,6 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int = 0) -> DataFrame:
 def written_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write every row's ids, read the files back: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
-    folder = new_folder(spark, "records")
+    folder = shared_folder(spark, "records")
     write_records(docs, folder, doc_id, text)
     return read_records(spark, folder, digest=True)
