@@ -766,15 +766,35 @@ def extra_fields_all(spark, sf_dir):
     return extra.extra_names(view(spark, sf_dir, "payloads"), "payload", extra.KNOWN_ATTRIBUTES).select("field").distinct().orderBy("field")
 
 
-@query("SELECT event_id, CASE WHEN payload LIKE '%ext_error%' THEN 'application' ELSE 'publication' END AS part FROM payloads")
+FOUND = "regexp_extract(payload, '\"ext_[^\"]+\":\"([^\"]*)\"', 1)"
+
+
+@query(f"""SELECT event_id, CASE WHEN payload LIKE '%ext_error%' THEN '{{"bibliographic-data": {{"application-reference": {{"ext_error": "' || {FOUND} || '"}}}}}}' ELSE '{{}}' END AS app_extra_data,
+    CASE WHEN payload LIKE '%ext_error%' THEN '{{}}' ELSE '{{"bibliographic-data": {{"kind": "x"}}, "note": "' || {FOUND} || '"}}' END AS pub_extra_data FROM payloads""")
 def extra_split(spark, sf_dir):
     # errors stand in the record's application, other fields at its top
-    error = F.get_json_object("payload", "$.ext_error")
-    inside = F.when(error.isNotNull(), F.struct(F.struct(error.alias("ext_error")).alias("application-reference")))
-    record = F.struct(inside.alias("bibliographic-data"), F.when(error.isNull(), F.col("payload")).alias("note"))
+    found = F.regexp_extract("payload", '"ext_[^"]+":"([^"]*)"', 1)
+    error = F.col("payload").contains("ext_error")
+    inside = F.struct(F.when(error, F.struct(found.alias("ext_error"))).alias("application-reference"), F.when(~error, "x").alias("kind"))
+    record = F.struct(F.lit("US").alias("_country"), inside.alias("bibliographic-data"), F.when(~error, found).alias("note"))
     rows = view(spark, sf_dir, "payloads").select("event_id", F.to_xml(record, {"rowTag": "exchange-document"}).alias("record_xml"))
-    split = rows.select("event_id", extra.split_extra(F.col("record_xml")).alias("x"))
-    return split.select("event_id", F.when(F.col("x.app_extra_data") != "{}", "application").otherwise("publication").alias("part"))
+    return rows.select("event_id", extra.split_extra(F.col("record_xml")).alias("x")).select("event_id", "x.app_extra_data", "x.pub_extra_data")
+
+
+@query("SELECT CAST(pub_doc_id AS BIGINT) AS record, 'note' AS path, app_doc_id AS value FROM publications UNION ALL SELECT CAST(pub_doc_id AS BIGINT), 'bibliographic-data.application-reference.[1].document-id.room', family_id FROM publications WHERE kind_code = 'A1'")
+def record_prune(spark, sf_dir):
+    """What the rules leave of whole records: attributes at the top, blocks anywhere and pairs of parent and key go."""
+    rows = _record_xml(spark, sf_dir).withColumn("id", F.regexp_extract("record_xml", 'doc-id="([0-9]+)"', 1).cast("long"))
+    return extra.prune(extra.xml_paths(rows, "id", "record_xml")).select("record", F.array_join("path", ".").alias("path"), "value")
+
+
+@query("SELECT pub_doc_id, pos, scheme_name, symbol, 'classifications' AS sheet FROM children UNION ALL SELECT pub_doc_id, pos, NULL, citation_type, 'citations' FROM children")
+def flat_export(spark, sf_dir):
+    """Two sheets written as CSV and read again."""
+    path = shared_folder(spark, "export")
+    sinks.export_flat({"classifications": flat_classifications(spark, sf_dir), "citations": flat_citations(spark, sf_dir).select("pub_doc_id", "pos", F.col("citation_type").alias("symbol"))}, path, "csv")
+    sheets = {n: spark.read.option("header", True).schema(kind).csv(f"{path}/{n}") for n, kind in (("classifications", "pub_doc_id string, pos int, scheme_name string, symbol string"), ("citations", "pub_doc_id string, pos int, symbol string"))}
+    return nesting.union_tagged(sheets, "sheet").select("pub_doc_id", "pos", "scheme_name", "symbol", "sheet")
 
 
 # --- XML ----------------------------------------------------------------------------------
