@@ -340,12 +340,13 @@ def test_stages_on_awkward_rows(spark):
     more = ("p", "k", "c", "s", "r", "i", 0)
     docs = spark.createDataFrame([(i, t, la, None, None, *more) for i, t, la in EDGE] + [(None,) * 12] * 2, columns)
     for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, docs, SF).collect()
+        result = stage(spark, docs, SF)
+        out = result.collect()
         assert stage(spark, docs.limit(0), SF).count() == 0
         if name == "byte_bpe":
             assert len(out) == len(EDGE) + 2
             continue
-        assert stage(spark, docs, SF).columns == docs.columns and all(tuple(r)[5:] in {more, (None,) * 7} for r in out)
+        assert result.columns == docs.columns and all(tuple(r)[5:] in {more, (None,) * 7} for r in out)
         texts = collections.Counter((r.doc_id, r.text) for r in out)
         if name == "near_duplicates":
             assert texts == collections.Counter((i, t) for i, t, _ in [*EDGE, (None, None, None), (None, None, None)] if i not in (2, 6, 7))
