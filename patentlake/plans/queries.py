@@ -301,6 +301,15 @@ def biblio_full(spark, sf_dir):
     )
 
 
+@query(f"""WITH {RECORDS} SELECT pub_doc_id, CAST(date_publ AS VARCHAR) AS date_publ, CASE WHEN kind_code = 'A' THEN 'UNKNOWN' ELSE doc_number END AS app_number, kind_code = 'B1' AS is_grant, (SELECT arg_min(cited_doc_id, pos) FROM pris WHERE pris.pub_doc_id = recs.pub_doc_id) AS first_claim,
+    (SELECT arg_min(citation_type = 'PATENT', pos) FROM children c WHERE c.pub_doc_id = recs.pub_doc_id) AS first_is_patent, (SELECT 'T' || min(doc_seq) FROM texts t WHERE t.pub_doc_id = recs.pub_doc_id AND text_type = 'TITLE') AS first_title FROM recs""")
+def biblio_document(spark, sf_dir):
+    """Bibliographies as JSON documents, read again by path."""
+    written = biblio.as_json(biblio.full_biblio(_wide(spark, sf_dir)))
+    at = lambda path: F.get_json_object("biblio", f"$.{path}")
+    return written.select("pub_doc_id", at("publication.date_publ").alias("date_publ"), at("application.app_number").alias("app_number"), (at("publication.is_grant") == "true").alias("is_grant"), at("priority_claims[0].doc_number").alias("first_claim"), (at("citations[0].citation_type") == "PATENT").alias("first_is_patent"), at("titles[0].content").alias("first_title"))
+
+
 @query("SELECT pub_doc_id, pos, date_publ AS priority_date FROM children JOIN publications USING (pub_doc_id) WHERE format_type = 'docdb'")
 def legacy_alias(spark, sf_dir):
     """Priority claims as an older store has them, under `date`."""
