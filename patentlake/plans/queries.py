@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from patentlake.functions import scalars as S
 from patentlake.operators import biblio, cdc, extra, nesting, stats
-from patentlake.plans.views import table, view, with_views
+from patentlake.plans.views import VIEWS, table, view, with_views
 from patentlake.sources import archives, extract, manifest, sinks, xml
-from patentlake.sources.shared import shared_folder
+from patentlake.sources.shared import exists, modified, shared_folder
 from patentlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,8 +243,21 @@ def _record_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select(F.to_xml(root, {"rowTag": "exchange-document"}).alias("record_xml"))
 
 
+_STORED: dict[tuple, str] = {}
+
+
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.wide_rows(xml.parse_records(_record_xml(spark, sf_dir), "record_xml"))
+    """Wide rows of all records; stored once in a session and read from there, as the feed's table is."""
+    sources = (f"{sf_dir}/{VIEWS[v][0]}.parquet" for v in ("publications", "children", "texts"))
+    key = (spark.sparkContext.applicationId, sf_dir, *(modified(spark, path) for path in sources))
+    if not (key in _STORED and exists(spark, f"{_STORED[key]}/_SUCCESS")):
+        path = shared_folder(spark, "wide")
+        # the feed's XML first: written in the same job, it would be made again for each use
+        _record_xml(spark, sf_dir).write.parquet(f"{path}/records")
+        wide = extract.wide_rows(xml.parse_records(spark.read.parquet(f"{path}/records"), "record_xml"))
+        wide.write.parquet(f"{path}/rows")
+        _STORED[key] = f"{path}/rows"
+    return spark.read.parquet(_STORED[key])
 
 
 def _said(rows: str, label: Callable[[Column], Column]) -> Column:

@@ -33,6 +33,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed."""
+    fs, hadoop = _of(spark, path)
+    return fs.getFileStatus(hadoop).getModificationTime()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none where it isn't there."""
     fs, hadoop = _of(spark, path)

@@ -55,7 +55,9 @@ def decode_entities(xml: Column, entities: Mapping[str, str]) -> Column:
 
 def parse_records(rows: DataFrame, xml: str, schema: str = RECORD, keep: tuple[str, ...] = ()) -> DataFrame:
     """Records from a column of XML strings, which stay beside them as record_xml, without element prefixes."""
-    return rows.select(*keep, bare_tags(F.col(xml)).alias("record_xml")).select(*keep, "record_xml", F.from_xml("record_xml", schema, {"ignoreSurroundingSpaces": "false"}).alias("_r")).select(*keep, "record_xml", "_r.*")
+    bare = rows.select(*keep, bare_tags(F.col(xml)).alias("record_xml"))
+    # by inline, which is evaluated once: a struct would be parsed again for each use of one of its fields
+    return bare.select(*keep, "record_xml", F.inline(F.array(F.from_xml("record_xml", schema, {"ignoreSurroundingSpaces": "false"}))))
 
 
 def read_index(spark: SparkSession, path: str, folder: str) -> DataFrame:
