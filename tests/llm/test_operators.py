@@ -478,7 +478,7 @@ def test_awkward_pages_take_linear_time():
     for page in ("<a " * 330_000, '<p class="x' * 90_000, "<p x='" * 160_000 + ">", "<div>" * 200_000 + "end", "<div>" * 80_000 + "</nav>" * 80_000, "<" * 1_000_000, "<!--" * 250_000, "<script>" * 120_000, "<body>" + "".join(f"<p>{k}</p><div class=c{k % 89}>y</div><h2>{k}</h2>" for k in range(4000))):
         began = time.process_time()
         html_wrapper.extract(page, [{"layout": "", "reference": reference, "template": [1]}])
-        assert time.process_time() - began < 8  # about 2 on an idle machine
+        assert time.process_time() - began < 20  # about 2 on an idle machine; minutes if it weren't linear
     assert html_wrapper.extract('<p class="x>First para</p><p>Second</p>') == "First para\nSecond"
     deep = "<div>" * 70 + "<nav>menu</nav><p>body</p>" + "</div>" * 70
     assert html_wrapper.extract(deep) == html_wrapper.extract(deep.replace("<div>", "").replace("</div>", "")) == "body"
