@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentlake.llm import bpe, decontaminate, html_wrapper, media, minhash, pii, quality, records, suffix_dedup, tokens
+from patentlake.llm import bpe, decontaminate, html_wrapper, media, minhash, pii, quality, quality_rules, records, suffix_dedup, tokens, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,7 +57,16 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_token_records, op4_quality, op5_html_wrapper, op6_minhash, op7_byte_bpe, op8_pii, op9_suffix_dedup, op10_media)}
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.apply_rules(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_token_records, op4_quality, op5_html_wrapper, op6_minhash, op7_byte_bpe, op8_pii, op9_suffix_dedup, op10_media, op12_prefix_trie, op13_quality_rules)}
 
 #: distinct windows of items meet every run of as many document words
 OP2_SQL = r"""
@@ -76,4 +85,64 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op2_decontamination": OP2_SQL}
+#: digests of turns strung together are the keys of prefixes; the checksum of an id is computed bit by bit
+OP12_SQL = r"""
+WITH turns AS (SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ordered AS (SELECT c, role, text, md5(concat(length(role), ':', role, text)) AS t, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, md5(concat(length(role), ':', role, text))) AS p FROM turns),
+convs AS (SELECT c, CAST(c AS VARCHAR) AS s FROM (SELECT DISTINCT c FROM turns)),
+bytes AS (SELECT c, flatten(list_transform(range(1, length(s) + 1), lambda i: [ascii(s[i]), -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM convs),
+heads AS (SELECT c, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], steps),
+                       lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, CAST(3988292384 AS BIGINT) * (a & 1)) END), CAST(4294967295 AS BIGINT)) % 4 AS h FROM bytes),
+paths AS (SELECT c, h, p, t, text FROM heads JOIN ordered USING (c) WHERE p > h
+          UNION ALL SELECT heads.c, h, p, t, text FROM heads JOIN ordered o ON o.c = heads.c - heads.c % 20 WHERE p <= h),
+turned AS (SELECT c, t, text, row_number() OVER (PARTITION BY c ORDER BY p) AS d FROM paths),
+prefixes AS (SELECT c, 0 AS d, '' AS k, '' AS text FROM convs
+             UNION ALL SELECT c, d, string_agg(t, '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS k, text FROM turned),
+ended AS (SELECT c, max(d) AS d FROM prefixes GROUP BY c),
+nodes AS (SELECT k, max(p.d) AS depth, min(p.c) AS conv_id, count(*) AS n, max(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))) AS words,
+                 coalesce(string_agg(CASE WHEN ended.d = p.d THEN CAST(p.c AS VARCHAR) END, ',' ORDER BY p.c), '') AS ends
+          FROM prefixes p JOIN ended ON p.c = ended.c GROUP BY k),
+kids AS (SELECT substr(k, 1, length(k) - 32) AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (k)),
+sums AS (SELECT k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n - 1) * words) AS saved
+         FROM (SELECT substr(k, 1, 32 * a) AS k, n, words, n_children FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM full_nodes)) GROUP BY k)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_nodes f JOIN sums USING (k) LEFT JOIN nodes up ON f.depth > 0 AND up.k = substr(f.k, 1, length(f.k) - 32)
+"""
+
+#: sketches, quartiles and fences as the operator has them
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) AS n_lines
+          FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+windows AS (SELECT r, i, concat(w[i], ' ', w[i + 1], ' ', w[i + 2]) AS win FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)),
+twice AS (SELECT r, win FROM windows GROUP BY r, win HAVING count(*) > 1),
+repeats AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 3)) AS p FROM windows JOIN twice USING (r, win)) GROUP BY r),
+c AS (SELECT r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+      FROM d LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)),
+rates AS (SELECT r, lang, source, unnest(['symbols', 'repeats', 'lines', 'length']) AS signal,
+                 unnest([n_symbols * 1000000 // n_words, n_repeat_words * 1000000 // n_words, n_dup_lines * 1000000 // n_lines, word_chars * 1000000 // n_words]) AS rate
+          FROM c WHERE n_words > 0),
+sketch AS (SELECT lang, source, signal, (rate >> b) << b AS bucket, count(*) AS n FROM (SELECT *, greatest(length(bin(rate)) - 6, 0) AS b FROM rates) GROUP BY ALL),
+levels AS (SELECT 0 AS k, lang, source, signal, bucket, n FROM sketch
+           UNION ALL SELECT 1, lang, NULL, signal, bucket, sum(n) FROM sketch GROUP BY lang, signal, bucket
+           UNION ALL SELECT 2, NULL, NULL, signal, bucket, sum(n) FROM sketch GROUP BY signal, bucket),
+upto AS (SELECT *, sum(n) OVER (PARTITION BY k, lang, source, signal ORDER BY bucket) AS u, sum(n) OVER (PARTITION BY k, lang, source, signal) AS total FROM levels),
+q AS (SELECT k, lang, source, signal, max(total) AS total, min(CASE WHEN u * 4 >= total THEN bucket END) AS q1, min(CASE WHEN u * 2 >= total THEN bucket END) AS q2,
+             min(CASE WHEN u * 4 >= total * 3 THEN bucket END) AS q3 FROM upto GROUP BY k, lang, source, signal),
+chosen AS (SELECT o.lang, o.source, o.signal, q.q1, q.q2, q.q3 FROM q o
+           JOIN q ON q.signal = o.signal AND (q.k = 2 OR (q.k = 1 AND q.lang IS NOT DISTINCT FROM o.lang AND q.total >= 200)
+                     OR (q.k = 0 AND q.lang IS NOT DISTINCT FROM o.lang AND q.source IS NOT DISTINCT FROM o.source AND q.total >= 200))
+           WHERE o.k = 0 QUALIFY row_number() OVER (PARTITION BY o.lang, o.source, o.signal ORDER BY q.k) = 1),
+fences AS (SELECT lang, source, signal, q2 + 4 * (q3 - q2) + CASE signal WHEN 'symbols' THEN 100000 WHEN 'length' THEN 1000000 ELSE 350000 END AS most,
+                  CASE WHEN signal = 'length' THEN q2 - 4 * (q2 - q1) - 1000000 ELSE -1 END AS least FROM chosen),
+outside AS (SELECT r, count(*) AS n FROM rates JOIN fences f ON f.signal = rates.signal AND f.lang IS NOT DISTINCT FROM rates.lang AND f.source IS NOT DISTINCT FROM rates.source
+            WHERE rate > most OR rate < least GROUP BY r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n IS NULL AS kept
+FROM c LEFT JOIN outside USING (r)
+"""
+
+SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op12_prefix_trie": OP12_SQL, "op13_quality_rules": OP13_SQL}
