@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentlake.llm import bpe, decontaminate, html_wrapper, media, minhash, pii, quality, quality_rules, records, suffix_dedup, tokens, trie
+from patentlake.llm import bpe, decontaminate, html_wrapper, media, minhash, phrases, pii, quality, quality_rules, records, suffix_dedup, tokens, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
@@ -66,7 +70,7 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_token_records, op4_quality, op5_html_wrapper, op6_minhash, op7_byte_bpe, op8_pii, op9_suffix_dedup, op10_media, op12_prefix_trie, op13_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_token_records, op4_quality, op5_html_wrapper, op6_minhash, op7_byte_bpe, op8_pii, op9_suffix_dedup, op10_media, op11_phrases, op12_prefix_trie, op13_quality_rules)}
 
 #: distinct windows of items meet every run of as many document words
 OP2_SQL = r"""
@@ -85,6 +89,29 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+#: every phrase counted by itself, every cut looked up
+OP11_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+sizes AS (SELECT unnest([1, 2, 3, 4]) AS size),
+f AS (SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, sizes WHERE len(w) >= size) GROUP BY ALL),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 30),
+cuts AS (SELECT lang, phrase, a, size, k, array_to_string(list_slice(w, 1, k), ' ') AS head, array_to_string(list_slice(w, k + 1, size), ' ') AS tail
+         FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+scored AS (SELECT cuts.lang, cuts.phrase, size, a, h.f AS l, t.f AS r, CAST(2000000 * CAST(a AS HUGEINT) // (h.f + t.f) AS BIGINT) AS score, k
+           FROM cuts JOIN (SELECT lang, phrase AS head, f FROM f) h ON h.lang = cuts.lang AND h.head = cuts.head
+           JOIN (SELECT lang, phrase AS tail, f FROM f) t ON t.lang = cuts.lang AND t.tail = cuts.tail),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, size AS longer_size, a AS longer, array_to_string(list_slice(w, i, i + n - 1), ' ') AS phrase
+           FROM (SELECT *, unnest(range(1, size - n + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS n FROM c))),
+most AS (SELECT lang, phrase, max(longer) AS longer FROM inside GROUP BY lang, phrase),
+ranked AS (SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+           FROM worst w LEFT JOIN most m ON m.lang = w.lang AND m.phrase = w.phrase WHERE longer IS NULL OR 100 * longer < 80 * a),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 #: digests of turns strung together are the keys of prefixes; the checksum of an id is computed bit by bit
 OP12_SQL = r"""
 WITH turns AS (SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
@@ -145,4 +172,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 FROM c LEFT JOIN outside USING (r)
 """
 
-SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op12_prefix_trie": OP12_SQL, "op13_quality_rules": OP13_SQL}
+SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op11_phrases": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_quality_rules": OP13_SQL}
