@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -35,18 +35,25 @@ HANDLED_PAIRS = {
     "classification-ipcr": ("sequence",),
 }
 
-PATHS = "record long, path array<string>, parent string, key string, value string"
+PATHS = "path array<string>, parent string, key string, value string"
 
 
 def _local(name: str) -> str:
     return name.rpartition("}")[2].rpartition(":")[2]
 
 
-def _leaves(node: ElementTree.Element, path: tuple[str, ...] = (), depth: int = 0) -> Iterator[tuple[tuple[str, ...], str | None]]:
+def _taken(path: tuple[str, ...], name: str) -> bool:
+    """Whether a rule takes all that lies below a name at a path; the rules are those of `prune`."""
+    parent = next((s for s in reversed(path) if not s.startswith("[")), None)
+    return name in HANDLED_KEYS or (name in KNOWN_ATTRIBUTES if parent is None else name in HANDLED_PAIRS.get(parent, ()))
+
+
+def _leaves(node: ElementTree.Element, path: tuple[str, ...] = (), depth: int = 0, taken: Callable[[tuple[str, ...], str], bool] = lambda *_: False) -> Iterator[tuple[tuple[str, ...], str | None]]:
     """Leaves of an XML tree in order; `[k]` steps tell repeated names apart.
 
     Text between children is `#text` before the first and `name#tail` after the last child
     of that name that any follows. What lies more than MAX_DEPTH elements deep is null.
+    Names that are `taken` aren't entered.
     """
     if depth > MAX_DEPTH:
         yield path, None
@@ -59,10 +66,12 @@ def _leaves(node: ElementTree.Element, path: tuple[str, ...] = (), depth: int =
         return (*path, name) if times[name] == 1 else (*path, name, f"[{seen[name] - 1}]")
 
     for k, v in node.attrib.items():
-        yield step(_local(k)), v
+        if not taken(path, _local(k)):
+            yield step(_local(k)), v
     tails = {}
     for child in node:
-        yield from _leaves(child, step(_local(child.tag)), depth + 1)
+        if not taken(path, _local(child.tag)):
+            yield from _leaves(child, step(_local(child.tag)), depth + 1, taken)
         if tail := (child.tail or "").strip():
             tails[f"{_local(child.tag)}#tail"] = tail
     for name, tail in tails.items():
@@ -75,7 +84,7 @@ def _leaves(node: ElementTree.Element, path: tuple[str, ...] = (), depth: int =
 
 
 def xml_paths(records: DataFrame, record: str, xml: str) -> DataFrame:
-    """Path rows of XML records; values stay text, empty elements are null, broken records give no rows."""
+    """Path rows of XML records, whose ids may be of any type; values stay text, empty elements are null, broken records give no rows."""
 
     def run(it: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -90,7 +99,8 @@ def xml_paths(records: DataFrame, record: str, xml: str) -> DataFrame:
                     rows.append((rid, list(path), steps[-2] if len(steps) > 1 else None, steps[-1] if steps else None, value))
             yield pd.DataFrame(rows, columns=["record", "path", "parent", "key", "value"])
 
-    return records.select(F.col(record).cast("long").alias("record"), F.col(xml).alias("xml")).mapInPandas(run, PATHS)
+    rows = records.select(F.col(record).alias("record"), F.col(xml).alias("xml"))
+    return rows.mapInPandas(run, f"record {rows.schema['record'].dataType.simpleString()}, {PATHS}")
 
 
 def json_paths(records: DataFrame, record: str, payload: str) -> DataFrame:
@@ -134,7 +144,7 @@ def rebuild(paths: DataFrame) -> DataFrame:
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"record": [pdf["record"].iloc[0]], "json": [_nested(zip(map(list, pdf["path"]), pdf["value"], strict=True))]})
 
-    return paths.where(F.size("path") > 0).groupBy("record").applyInPandas(build, "record long, json string")
+    return paths.where(F.size("path") > 0).groupBy("record").applyInPandas(build, f"record {paths.schema['record'].dataType.simpleString()}, json string")
 
 
 def _nested(leaves: Iterable[tuple[Sequence[str], str | None]]) -> str:
@@ -148,12 +158,6 @@ def _nested(leaves: Iterable[tuple[Sequence[str], str | None]]) -> str:
     return json.dumps(_lists(tree), sort_keys=True, ensure_ascii=False)
 
 
-def _handled(path: tuple[str, ...]) -> bool:
-    """Whether a rule takes the path; the rules are those of `prune`."""
-    steps = [p for p in path if not p.startswith("[")]
-    return steps[0] in KNOWN_ATTRIBUTES or any(k in HANDLED_KEYS for k in steps) or any(k in HANDLED_PAIRS.get(p, ()) for p, k in zip(steps, steps[1:], strict=False))
-
-
 def _split_of(text: str | None) -> tuple[str, str]:
     """(application's, publication's) JSON of what an XML record holds beside known fields."""
     for prefixed in (False, True):
@@ -164,7 +168,7 @@ def _split_of(text: str | None) -> tuple[str, str]:
             continue
     else:
         return "{}", "{}"
-    left = [(p, v) for p, v in _leaves(root) if p and v is not None and not _handled(p)]
+    left = [(p, v) for p, v in _leaves(root, taken=_taken) if p and v is not None]
     inside = lambda x: x[0][:2] == ("bibliographic-data", "application-reference")
     return _nested(filter(inside, left)), _nested(x for x in left if not inside(x))
 

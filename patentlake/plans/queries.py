@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patentlake.functions import scalars as S
-from patentlake.operators import biblio, cdc, extra, nesting, stats
+from patentlake.operators import biblio, cdc, extra, nesting, ranking, stats
 from patentlake.plans.views import VIEWS, table, view, with_views
-from patentlake.sources import archives, extract, manifest, sinks, xml
+from patentlake.sources import archives, extract, manifest, quarantine, record_scan, sinks, xml
 from patentlake.sources.shared import exists, modified, shared_folder
+from patentlake.sources.versions import VersionedTable
 from patentlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,10 +72,17 @@ def cdc_upsert(spark, sf_dir):
 
 
 @query("SELECT country, event_id, row_number() OVER (PARTITION BY country, pub_doc_id ORDER BY ts, event_id) AS stage_seq FROM changes")
-def stage_sequence(spark, sf_dir):
+def key_sequence(spark, sf_dir):
+    """Places of changes among those of their key."""
     return cdc.numbered(view(spark, sf_dir, "changes"), KEY, ["ts", "event_id"]).select("country", "event_id", "stage_seq")
 
 
+@query("SELECT country, event_id, row_number() OVER (ORDER BY ts, event_id) AS stage_seq FROM changes")
+def stage_sequence(spark, sf_dir):
+    """Places of changes in their batch."""
+    return ranking.ranked(view(spark, sf_dir, "changes"), ["ts", "event_id"], "stage_seq").select("country", "event_id", "stage_seq")
+
+
 @query(f"WITH {TARGET}, {LATEST} SELECT t.country, t.pub_doc_id FROM target t JOIN latest l ON t.country = l.country AND t.pub_doc_id = l.pub_doc_id WHERE t.value <> l.value OR t.source_status <> l.source_status")
 def change_hash(spark, sf_dir):
     target, _ = _feed(spark, sf_dir)
@@ -426,7 +434,7 @@ def ledger_update(spark, sf_dir):
 
 @query("SELECT file_id, filename FROM files ORDER BY file_id LIMIT 20 OFFSET 9")
 def slice_files(spark, sf_dir):
-    return cdc.sliced(view(spark, sf_dir, "files"), ["file_id"], start=10, count=20).select("file_id", "filename")
+    return ranking.page(view(spark, sf_dir, "files"), ["file_id"], start=10, count=20).orderBy("file_id").select("file_id", "filename")
 
 
 @query("SELECT file_id, rnk AS archive_rank, row_number() OVER (PARTITION BY delivery_id ORDER BY rnk, filename) AS place FROM (SELECT *, CASE WHEN filename LIKE '%DeleteRekey%' THEN 1 WHEN filename LIKE '%CreateDelete%' THEN 2 WHEN filename LIKE '%Amend%' THEN 3 ELSE 4 END AS rnk FROM files)")
@@ -702,11 +710,12 @@ def stream_cdc(spark, sf_dir):
     """The feed arrives in three parts, later ones with older changes; each is applied by a call of its own, in micro-batches of one file."""
     out = shared_folder(spark, "cdc")
     target, changes = _feed(spark, sf_dir)
+    store = VersionedTable.create(spark, f"{out}/table", target, KEY, ["ts", "event_id"], buckets=4)
     for part in range(3):
         changes.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).repartition(2).write.mode("append").parquet(f"{out}/feed")
         stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/feed")
-        last = ingest.apply_stream(spark, stream, target, f"{out}/table", f"{out}/checkpoint", KEY, ["ts", "event_id"])
-    return spark.read.parquet(last).select(*FEED.split(", "))
+        ingest.merge_stream(store, stream, f"{out}/checkpoint")
+    return store.read().select(*FEED.split(", "))
 
 
 # --- sources and sinks -----------------------------------------------------------------------
@@ -721,13 +730,34 @@ def partitioned_write(spark, sf_dir):
 
 @query(f"WITH {TARGET}, {SOURCE} SELECT {FEED}, DATE '2024-01-01' AS created_at, DATE '2024-01-01' AS updated_at FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.country = t.country AND s.pub_doc_id = t.pub_doc_id) UNION ALL SELECT s.country, s.pub_doc_id, s.event_id, s.source_status, s.value, CASE WHEN t.pub_doc_id IS NULL THEN DATE '2024-02-02' ELSE DATE '2024-01-01' END, DATE '2024-02-02' FROM source s LEFT JOIN target t ON s.country = t.country AND s.pub_doc_id = t.pub_doc_id WHERE s.source_status <> 'D'")
 def merged_table(spark, sf_dir):
-    """A stored table in buckets after a merge that stamps what it changes."""
-    path = f"{shared_folder(spark, 'table')}/t"
+    """A stored table after a merge that stamps what it changes, compacted."""
     target, changes = _feed(spark, sf_dir)
     day = lambda d: F.lit(d).cast("date")
-    sinks.write_table(target.withColumns({c: day("2024-01-01") for c in ("created_at", "updated_at")}), path, sort=("pub_doc_id",), keys=KEY, buckets=4)
-    sinks.merge_into(spark, path, changes, KEY, ["ts", "event_id"], now=day("2024-02-02"), buckets=4, sort=("pub_doc_id",))
-    return spark.read.parquet(path).select(*FEED.split(", "), "created_at", "updated_at")
+    stamped = target.withColumns({c: day("2024-01-01") for c in ("created_at", "updated_at")})
+    store = VersionedTable.create(spark, f"{shared_folder(spark, 'table')}/t", stamped, KEY, ["ts", "event_id"], buckets=4)
+    store.merge(changes, now=day("2024-02-02"))
+    store.compact()
+    return store.read().select(*FEED.split(", "), "created_at", "updated_at")
+
+
+@query(f"WITH {TARGET}, {SOURCE} SELECT {FEED}, 'before' AS version FROM target UNION ALL SELECT {FEED}, 'after' FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.country = t.country AND s.pub_doc_id = t.pub_doc_id) UNION ALL SELECT {FEED}, 'after' FROM source WHERE source_status <> 'D'")
+def table_versions(spark, sf_dir):
+    """A version read while and after a later one is made, beside that one; its changes aren't compacted."""
+    target, changes = _feed(spark, sf_dir)
+    store = VersionedTable.create(spark, f"{shared_folder(spark, 'table')}/t", target, KEY, ["ts", "event_id"], buckets=4)
+    first = store.manifest()["version"]
+    before = store.read(first)
+    store.merge(changes)
+    return nesting.union_tagged({"before": before.select(*FEED.split(", ")), "after": store.read().select(*FEED.split(", "))}, "version")
+
+
+@query("SELECT country, pub_doc_id, source_status FROM publications WHERE country IN ('EP', 'AU') AND source_status <> 'D'")
+def table_lookup(spark, sf_dir):
+    """Two countries of a stored table: the log names the parts that can hold them, and others are not read."""
+    p = view(spark, sf_dir, "publications").withColumn("seq", F.lit(0))
+    store = VersionedTable.create(spark, f"{shared_folder(spark, 'table')}/t", p, KEY, ["seq"], buckets=2)
+    store.merge(p.where("source_status = 'D'").withColumn("seq", F.lit(1)))
+    return store.read(countries=["EP", "AU"]).select("country", "pub_doc_id", "source_status")
 
 
 @query("SELECT filename, count(*) AS documents_processed, count(DISTINCT lang) AS n_langs FROM texts GROUP BY filename")
@@ -759,6 +789,44 @@ def archive_scan(spark, sf_dir):
     return xml.parse_records(found, "record_xml", ROOT).select(F.col("`_doc-id`").alias("pub_doc_id"), F.col("_country").alias("country"))
 
 
+DEFECT = "CASE event_id % 40 WHEN 3 THEN 'the XML doesn''t parse' WHEN 7 THEN 'sequence of priority-claim is no number: x1' END"
+
+
+def _defective(spark, sf_dir):
+    """(event_id, file_no, record_xml): changes as records, some of which don't parse or have a sequence that is no number."""
+    k = F.col("event_id") % 40
+    claim = F.struct(F.lit("docdb").alias("_data-format"), F.when(k == 7, "x1").otherwise("1").alias("_sequence"), F.struct(F.lit("FR").alias("country"), F.col("event_id").alias("doc-number")).alias("document-id"))
+    root = F.struct(F.col("country").alias("_country"), F.col("event_id").alias("_doc-number"), F.col("source_status").alias("_status"), F.struct(F.struct(claim.alias("priority-claim")).alias("priority-claims")).alias("bibliographic-data"))
+    made = view(spark, sf_dir, "changes").select("event_id", (F.col("event_id") % 20).alias("file_no"), F.to_xml(root, {"rowTag": "exchange-document"}).alias("x"))
+    return made.select("event_id", "file_no", F.when(k == 3, F.replace("x", F.lit("</priority-claim>"), F.lit("</claim>"))).otherwise(F.col("x")).alias("record_xml"))
+
+
+@query(f"SELECT event_id % 20 AS file_no, CASE WHEN {DEFECT} IS NULL THEN CAST(event_id AS VARCHAR) END AS doc_number, CASE WHEN {DEFECT} IS NULL THEN CAST(event_id AS VARCHAR) END AS first_claim, {DEFECT} AS reason FROM changes")
+def quarantine_rows(spark, sf_dir):
+    """Good and bad records of one pass; a bad one stops nothing."""
+    good, bad = quarantine.quarantine(_defective(spark, sf_dir), keep=("file_no",))
+    right = good.select("file_no", "doc_number", F.get("priorities", F.lit(0))["doc_number"].alias("first_claim"), F.lit(None).cast("string").alias("reason"))
+    return right.unionByName(bad.select("file_no", F.lit(None).cast("string").alias("doc_number"), F.lit(None).cast("string").alias("first_claim"), F.array_join("reasons", "; ").alias("reason")))
+
+
+@query(f"SELECT event_id % 20 AS file_no, count(*) FILTER ({DEFECT} IS NULL) AS n_good, count({DEFECT}) AS n_bad, CASE WHEN count({DEFECT}) > 0.1 * count(*) THEN 'FAILED' ELSE 'COMPLETED' END AS status FROM changes GROUP BY 1")
+def file_outcomes(spark, sf_dir):
+    """Each file's status by its own bad records."""
+    good, bad = quarantine.quarantine(_defective(spark, sf_dir), keep=("file_no",))
+    return quarantine.file_outcomes(good, bad, "file_no", most=0.1).select("file_no", "n_good", "n_bad", "status")
+
+
+@query("SELECT event_id, 'first ' || CAST(event_id AS VARCHAR) AS passage, 'FR' AS claim_country FROM changes")
+def passage_first(spark, sf_dir):
+    """Of elements that come several times in the place of one, the first."""
+    text = lambda c: F.concat(F.lit(c), F.col("event_id").cast("string"))
+    citation = F.struct(F.array(F.struct(F.lit("X").alias("category"), F.array(text("first "), text("last ")).alias("passage"))).alias("rel-passage"))
+    claim = F.struct(F.lit("docdb").alias("_data-format"), F.struct(F.array(F.lit("FR"), F.lit("DE")).alias("country"), F.col("event_id").alias("doc-number")).alias("document-id"))
+    root = F.struct(F.col("country").alias("_country"), F.col("event_id").alias("_doc-number"), F.struct(F.struct(claim.alias("priority-claim")).alias("priority-claims"), F.struct(citation.alias("citation")).alias("references-cited")).alias("bibliographic-data"))
+    wide = extract.wide_rows(xml.parse_records(view(spark, sf_dir, "changes").select(F.to_xml(root, {"rowTag": "exchange-document"}).alias("x")), "x"))
+    return wide.select(F.col("doc_number").cast("long").alias("event_id"), F.expr("citations[0].passages[0].passage_text").alias("passage"), F.expr("priorities[0].country").alias("claim_country"))
+
+
 # --- open payloads --------------------------------------------------------------------------
 
 
@@ -836,6 +904,48 @@ def xml_roundtrip(spark, sf_dir):
     return parsed.select(F.col("`_doc-id`").alias("pub_doc_id"), F.col("_country").alias("country"), F.col("`_doc-number`").alias("doc_number"), F.col("_kind").alias("kind_code"), "title")
 
 
+SCANNED = "scanned AS (SELECT *, event_id % 5 AS file_no, row_number() OVER (PARTITION BY event_id % 5 ORDER BY ts, event_id) AS place FROM changes)"
+
+
+def _written_files(spark, sf_dir):
+    """Five files of records with a head and an end each, in the order of time; those of odd number have prefixed tags."""
+    folder = shared_folder(spark, "records")
+    c = view(spark, sf_dir, "changes").withColumn("file_no", F.col("event_id") % 5)
+    attrs = F.struct(F.col("country").alias("_country"), F.col("pub_doc_id").alias("_doc-id"), F.col("event_id").alias("_doc-number"), F.col("source_status").alias("_status"), F.struct(F.col("value").cast("string").alias("worth")).alias("note"))
+    prefixed = F.regexp_replace("x", "<(/?)(?=exchange-document)", "<$1exch:")
+    records = c.withColumn("x", F.to_xml(attrs, {"rowTag": "exchange-document"})).select("file_no", "ts", "event_id", F.when(F.col("file_no") % 2 == 1, prefixed).otherwise(F.col("x")).alias("x"))
+    ends = c.groupBy("file_no").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    head, tail = (ends.select("file_no", F.col(t).alias("ts"), F.lit(i).cast("long").alias("event_id"), F.lit(x).alias("x")) for t, i, x in (("a", -1, "<feed>"), ("b", 1 << 62, "</feed>")))
+    every = records.unionByName(head).unionByName(tail)
+    every.repartition("file_no").sortWithinPartitions("file_no", "ts", "event_id").select("file_no", "x").write.partitionBy("file_no").text(folder)
+    return folder
+
+
+def _scanned(spark, sf_dir):
+    """(file_no, ordinal, country, pub_doc_id, event_id, source_status, worth) of a scan of these files in splits of less than most files."""
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        found = record_scan.with_ordinals(record_scan.scan_records(spark, _written_files(spark, sf_dir), prefix=""))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    wide = extract.wide_rows(xml.parse_records(found, "record_xml", keep=("path_", "ordinal")))
+    file_no = F.regexp_extract("path_", "file_no=([0-9]+)", 1).cast("long")
+    return wide.select(file_no.alias("file_no"), "ordinal", "country", "pub_doc_id", F.col("doc_number").cast("long").alias("event_id"), "source_status", F.get_json_object("pub_extra_data", "$.note.worth").cast("double").alias("worth"))
+
+
+@query(f"WITH {SCANNED} SELECT file_no, place AS ordinal, country, pub_doc_id, event_id, source_status, value AS worth FROM scanned")
+def xml_scan(spark, sf_dir):
+    """Records of plain files with their places in them and their unknown fields."""
+    return _scanned(spark, sf_dir)
+
+
+@query(f"WITH {SCANNED} SELECT country, pub_doc_id, event_id, source_status FROM scanned QUALIFY row_number() OVER (PARTITION BY country, pub_doc_id ORDER BY file_no DESC, place DESC) = 1")
+def xml_scan_latest(spark, sf_dir):
+    """The last record of each key, by file and place in it."""
+    return cdc.latest_per_key(_scanned(spark, sf_dir), KEY, ["file_no", "ordinal"]).select(*KEY, "event_id", "source_status")
+
+
 @query("SELECT pub_doc_id, app_doc_id || ' δ' AS title FROM publications")
 def entity_decode(spark, sf_dir):
     rows = _xml_records(spark, sf_dir, F.concat("app_doc_id", F.lit(" {delta}")))

@@ -129,7 +129,7 @@ def wide_rows(records: DataFrame, keep_void_stubs: bool = False) -> DataFrame:
 
     granted = F.coalesce(b["dates-of-public-availability"].rlike(r"<(?:[\w.-]+:)?printed-with-grant[\s/>]"), F.lit(False))
     rows = records if keep_void_stubs else records.where(~void)
-    extra = [c for c in records.columns if c in ("path_", "path", "doc_seq", "delivery", "archive_rank")]
+    extra = [c for c in records.columns if c in ("path_", "block_", "row_", "ordinal", "path", "member", "doc_seq", "delivery", "archive_rank", "file_no", "reasons", "raw_xml")]
     if "record_xml" in records.columns:
         rows = rows.withColumn("_open", split_extra(F.col("record_xml")))
         extra += [F.when(void, "{}").otherwise(F.col(f"_open.{c}")).alias(c) for c in ("app_extra_data", "pub_extra_data")]

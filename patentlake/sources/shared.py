@@ -48,3 +48,37 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop = _of(spark, path)
     fs.delete(hadoop, True)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes in a file or below a folder."""
+    fs, hadoop = _of(spark, path)
+    return fs.getContentSummary(hadoop).getLength()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; one that is there already is an error."""
+    fs, hadoop = _of(spark, path)
+    out = fs.create(hadoop, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    fs, hadoop = _of(spark, path)
+    opened = fs.open(hadoop)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file in one step; an error, and no change, where the target is there already."""
+    jvm = spark.sparkContext._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(paths[0].toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(*paths, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 ROW_TAG = "exchange-document"
 
@@ -33,12 +34,49 @@ RECORD = (
 )
 
 
+def _element(field: StructField) -> bool:
+    return not field.name.startswith("_")
+
+
+def _many(kind: DataType) -> DataType:
+    """The type with an array in place of every element that may come once, so that none is lost in parsing."""
+    if isinstance(kind, ArrayType):
+        return ArrayType(_many(kind.elementType))
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, ArrayType(_many(f.dataType)) if _element(f) and not isinstance(f.dataType, ArrayType) else _many(f.dataType)) for f in kind])
+    return kind
+
+
+def _first_of(value: Column, kind: DataType) -> Column:
+    """A value of the type _many(kind) as one of kind: of elements that came several times the first."""
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _first_of(x, kind.elementType)) if isinstance(kind.elementType, ArrayType | StructType) else value
+    if isinstance(kind, StructType):
+        fields = (_first_of(F.get(value[f.name], F.lit(0)) if _element(f) and not isinstance(f.dataType, ArrayType) else value[f.name], f.dataType).alias(f.name) for f in kind)
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
+
+
+def _firsts(rows: DataFrame, schema: StructType, keep: tuple[str, ...]) -> DataFrame:
+    """Rows parsed by _many(schema), in the columns of schema."""
+    at = lambda f: F.get(F.col(f"`{f.name}`"), F.lit(0)) if _element(f) and not isinstance(f.dataType, ArrayType) else F.col(f"`{f.name}`")
+    return rows.select(*keep, *(_first_of(at(f), f.dataType).alias(f.name) for f in schema))
+
+
+def _of(schema: str) -> StructType:
+    return StructType.fromDDL(schema)
+
+
 def read_records(spark: SparkSession, path: str, row_tag: str = ROW_TAG, schema: str = RECORD, glob: str | None = None) -> DataFrame:
-    """One row for each record element of XML files; `path_` is the file it came from."""
-    reader = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).option("ignoreSurroundingSpaces", False).option("recursiveFileLookup", True).schema(schema)
+    """One row for each record element of XML files; `path_` is the file it came from.
+
+    Order and unknown fields are lost: record_scan.scan_records keeps them. Of elements
+    that the schema has once the first counts.
+    """
+    reader = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).option("ignoreSurroundingSpaces", False).option("recursiveFileLookup", True).schema(_many(_of(schema)))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).withColumn("path_", F.col("_metadata.file_path"))
+    return _firsts(reader.load(path).withColumn("path_", F.col("_metadata.file_path")), _of(schema), ("path_",)).select(*(F.col(f"`{f.name}`") for f in _of(schema)), "path_")
 
 
 def bare_tags(xml: Column) -> Column:
@@ -54,10 +92,14 @@ def decode_entities(xml: Column, entities: Mapping[str, str]) -> Column:
 
 
 def parse_records(rows: DataFrame, xml: str, schema: str = RECORD, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Records from a column of XML strings, which stay beside them as record_xml, without element prefixes."""
+    """Records from a column of XML strings, which stay beside them as record_xml, without element prefixes.
+
+    Of elements that the schema has once the first counts.
+    """
     bare = rows.select(*keep, bare_tags(F.col(xml)).alias("record_xml"))
     # by inline, which is evaluated once: a struct would be parsed again for each use of one of its fields
-    return bare.select(*keep, "record_xml", F.inline(F.array(F.from_xml("record_xml", schema, {"ignoreSurroundingSpaces": "false"}))))
+    parsed = bare.select(*keep, "record_xml", F.inline(F.array(F.from_xml("record_xml", _many(_of(schema)), {"ignoreSurroundingSpaces": "false"}))))
+    return _firsts(parsed, _of(schema), (*keep, "record_xml"))
 
 
 def read_index(spark: SparkSession, path: str, folder: str) -> DataFrame:

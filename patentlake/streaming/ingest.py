@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patentlake.operators.cdc import latest_per_key, split_changes
-from patentlake.sources.shared import children, exists, remove
+from patentlake.sources.versions import VersionedTable
 
 
 def ingest(source: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
@@ -17,52 +16,21 @@ def ingest(source: DataFrame, path: str, checkpoint: str, transform: Callable[[D
     rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def apply_stream(spark: SparkSession, changes: DataFrame, target: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], status: str = "source_status") -> str:
-    """Apply micro-batches of changes; returns the path of the table as it is after the last one.
+def merge_stream(table: VersionedTable, changes: DataFrame, checkpoint: str, status: str = "source_status") -> int:
+    """Merge what is new in a stream of changes, a version for each micro-batch; returns the last one.
 
-    A change counts only if it isn't earlier by `order` than what is stored for its key, so
-    the result doesn't depend on how the feed is cut into batches. Below path lie a base
-    (what all batches up to its number gave, rows of deleted keys and order columns
-    included), a delta for each later batch, which holds no more than that batch's own
-    keys, and the table, with the columns and rows of the target alone. The target is
-    only written where there is no base yet; a call that follows goes on from there, with
-    the same checkpoint. A batch that is run again replaces its delta by the same rows, and
-    a new base counts when it is complete, so a failure at any place loses nothing. At the
-    end of a call the deltas are merged into a new base. target has one row for each key; one
-    without an order column is earlier than any change.
+    A change counts only if it isn't earlier by the table's order than what is stored for
+    its key, so the result doesn't depend on how the feed is cut into batches. A batch that
+    runs again, because the job ended between its version and the checkpoint, finds its
+    number in the table's log and does nothing. Parts that ask for it are compacted at the
+    end of a call; a call that ends before that leaves the table right, and the next does it.
     """
-    missing = [F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in order if c not in target.columns]
-    columns = [*target.columns, *(c for c in order if c not in target.columns), "_gone"]
-    if not _complete(spark, path, "base"):
-        target.select("*", *missing, F.lit(False).alias("_gone")).write.mode("overwrite").parquet(f"{path}/base=-1")
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        deletes, others = split_changes(latest_per_key(rows, keys, order), status)
-        new = deletes.withColumn("_gone", F.lit(True)).unionByName(others.withColumn("_gone", F.lit(False)))
-        new.select(*columns).write.mode("overwrite").parquet(f"{path}/delta={batch_id}")
+        table.merge(rows, status, batch=(checkpoint, batch_id))
 
     changes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    base = max(_complete(spark, path, "base"))
-    deltas = [n for n in _complete(spark, path, "delta") if n > base]
-    last = max(deltas, default=base)
-    if deltas:
-        schema = spark.read.parquet(f"{path}/base={base}").schema
-        read = lambda *names: spark.read.schema(schema).parquet(*(f"{path}/{n}" for n in names))
-        # of equal ones the change wins
-        both = read(f"base={base}").withColumn("_new", F.lit(0)).unionByName(read(*(f"delta={n}" for n in deltas)).withColumn("_new", F.lit(1)))
-        latest_per_key(both, keys, [*order, "_new"]).select(*columns).write.mode("overwrite").parquet(f"{path}/base={last}")
-    if last not in _complete(spark, path, "table"):
-        spark.read.parquet(f"{path}/base={last}").where("NOT _gone").select(*target.columns).write.mode("overwrite").parquet(f"{path}/table={last}")
-    for kind in ("base", "delta", "table"):
-        for n in _complete(spark, path, kind):
-            if n < last or kind == "delta":
-                remove(spark, f"{path}/{kind}={n}")
-    return f"{path}/table={last}"
-
-
-def _complete(spark: SparkSession, path: str, kind: str) -> list[int]:
-    """Numbers of the tables of a kind below path that were written to the end."""
-    return sorted(int(n.partition("=")[2]) for n in children(spark, path) if n.startswith(f"{kind}=") and exists(spark, f"{path}/{n}/_SUCCESS"))
+    return table.compact()
 
 
 def latest_status(events: DataFrame, key: str, status: str, order: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from patentlake.functions import scalars as S
 from patentlake.operators import cdc, extra, nesting
-from patentlake.sources import archives, extract, manifest, sinks, xml
+from patentlake.sources import archives, extract, manifest, sinks, versions, xml
 from patentlake.streaming import ingest
 
 KEYS = ["country", "pub_doc_id"]
@@ -60,14 +60,6 @@ def test_upsert_keeps_created(spark):
     assert rows_of(cdc.upsert(old, new, ["k"], keep=["created"])) == [(1, "x", 10), (2, "z", 20), (3, "w", 99)]
 
 
-def test_merge_removes_emptied_partitions(spark, tmp_path):
-    path = f"file://{tmp_path}/table"
-    sinks.write_table(changes(spark, [("US", "1", 1, "C", "a"), ("EP", "1", 2, "C", "b"), ("AU", "5", 3, "C", "c")]).withColumn("doc_number", F.lit("1")), path)
-    delta = changes(spark, [("EP", "1", 9, "D", None), ("US", "2", 10, "C", "new")]).withColumn("doc_number", F.lit("2"))
-    sinks.merge_into(spark, path, delta, KEYS, ["seq"])
-    assert sorted((r.country, r.pub_doc_id) for r in spark.read.parquet(path).collect()) == [("AU", "5"), ("US", "1"), ("US", "2")]
-
-
 def test_nest_and_unnest_are_inverse(spark):
     rows = spark.createDataFrame([("a", 2, "y"), ("a", 1, "x"), ("b", 1, None)], "k string, pos int, v string")
     assert rows_of(nesting.unnest(nesting.nest(rows, ["k"], ["pos"], ["v"], "c"), ["k"], "c")) == rows_of(rows)
@@ -192,8 +184,10 @@ def test_stream_order_does_not_depend_on_batches(spark, tmp_path):
         for without in ([], ["seq"]):
             stream = spark.readStream.schema(target.schema).option("maxFilesPerTrigger", n).parquet(f"file://{feed}")
             out = f"file://{tmp_path}/{n}{len(without)}"
-            last = ingest.apply_stream(spark, stream, target.drop(*without), f"{out}/table", f"{out}/mark", KEYS, ["seq"])
-            got.append(rows_of(spark.read.parquet(last).drop("seq")))
+            given = target.withColumns({c: F.lit(None).cast("long") for c in without})
+            table = versions.VersionedTable.create(spark, f"{out}/table", given, KEYS, ["seq"], buckets=3)
+            ingest.merge_stream(table, stream, f"{out}/mark")
+            got.append(rows_of(table.read().drop("seq")))
     assert got[0] == got[2] == [("US", "0", "C", "old"), ("US", "1", "A", "new"), ("US", "4", "C", "again"), ("US", "5", "D", "stays")]
     assert got[1] == got[3] == got[0][:3]
 
@@ -205,7 +199,9 @@ def test_stream_goes_on_after_a_restart(spark, tmp_path):
 
     def run(given):
         stream = spark.readStream.schema(target.schema).parquet(feed)
-        return rows_of(spark.read.parquet(ingest.apply_stream(spark, stream, given, f"{out}/t", f"{out}/mark", KEYS, ["seq"])))
+        table = versions.VersionedTable.create(spark, f"{out}/t", given, KEYS, ["seq"], buckets=3)
+        ingest.merge_stream(table, stream, f"{out}/mark")
+        return rows_of(table.read())
 
     changes(spark, [("US", "1", 1, "A", "b"), ("US", "2", 2, "C", "c")]).coalesce(1).write.parquet(feed)
     first = [("US", "1", 1, "A", "b"), ("US", "2", 2, "C", "c")]
@@ -216,23 +212,6 @@ def test_stream_goes_on_after_a_restart(spark, tmp_path):
     assert run(target) == [("EP", "1", 4, "C", "n"), ("US", "1", 1, "A", "b")]
 
 
-def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
-    path = f"file://{tmp_path}/table"
-    rows = [("US" if k % 2 else "EP", str(k), k, "C", "a") for k in range(60)]
-    stamped = changes(spark, rows).withColumns({"created_at": F.lit(1), "updated_at": F.lit(1), "doc_number": F.lit("1")})
-    sinks.write_table(stamped, path, keys=KEYS, buckets=8)
-    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "table").rglob("*.parquet")}
-    before = files()
-    new = changes(spark, [("US", "1", 99, "A", "b"), ("US", "999", 99, "C", "c")]).withColumn("doc_number", F.lit("1"))
-    sinks.merge_into(spark, path, new, KEYS, ["seq"], now=F.lit(2), buckets=8)
-    left = {f for f, t in files().items() if before.get(f) == t}
-    assert len({f.parent for f in before} - {f.parent for f in left}) in (1, 2)
-    got = {(r.country, r.pub_doc_id): (r.v, r.created_at, r.updated_at) for r in spark.read.parquet(path).collect()}
-    assert got == {**{(c, k): ("a", 1, 1) for c, k, *_ in rows}, ("US", "1"): ("b", 1, 2), ("US", "999"): ("c", 2, 2)}
-    sinks.merge_into(spark, path, new.limit(0), KEYS, ["seq"], buckets=8)
-    assert spark.read.parquet(path).count() == 61
-
-
 def test_a_broken_copy_goes_on(spark, tmp_path):
     path = f"file://{tmp_path}/store"
     rows = spark.range(100).withColumn("v", F.col("id") * 2)
