@@ -14,6 +14,9 @@ A page's main text is what template nodes and menus leave: of that the blocks in
 or main element, if there are any, else all. Blocks inside elements that by name hold menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles or comments are left
 out: where such a part differs from page to page, induction alone takes it for content. A
+name marks what is below it only as a whole or with plain words (`site-footer`, not
+`no-sidebar`), outside articles also by a part of it; nothing but comments and elements of
+such kinds is left out past the beginning of an article below it. A
 node inside an article counts once for all pages whose article has the same longest block
 beside it: copies and near copies of one article on a host aren't its layout.
 """
@@ -52,20 +55,41 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
 SKIPPED = frozenset("nav header footer aside form fieldset select option button dialog menu search".split())
+# Elements that may stand around a whole page.
+SOFT = frozenset("form fieldset".split())
 # Names that mark parts of a page other than its article.
 MARKS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo banner nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside complementary contentinfo notice cookie cookies consent gdpr popup modal alert comment comments reply replies disqus respond share sharing social related newsletter subscribe signup login form search widget pagination pager".split())
+# Names that mark readers' comments; MARKS has them too.
+COMMENTS = frozenset("comment comments reply replies disqus respond".split())
+# Words that leave a mark's meaning as it is in a name of several words.
+PLAIN = frozenset("site page main top bottom left right box list bar area section wrap wrapper container inner outer block slot link links unit item items content panel group primary secondary global js".split())
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 
 class Node:
-    __slots__ = ("label", "kids", "texts", "links", "skip", "main", "tag")
+    __slots__ = ("label", "kids", "texts", "links", "hard", "soft", "main", "tag")
 
-    def __init__(self, tag: str, label: str, skip: bool, main: bool) -> None:
-        self.tag, self.label, self.skip, self.main = tag, label, skip, main
+    def __init__(self, tag: str, label: str, hard: bool, main: bool, soft: bool = False) -> None:
+        self.tag, self.label, self.hard, self.soft, self.main = tag, label, hard, soft, main
         self.kids: list[Node] = []
         self.texts: list[str] = []
         self.links = 0  # characters that are links
 
+    @property
+    def skip(self) -> bool:
+        """Left out by name. What is soft ends where an article or main element begins below it."""
+        return self.hard or self.soft
+
+
+@functools.lru_cache(maxsize=10_000)
+def marked(attributes: str) -> tuple[list[str], str]:
+    """(words of an element's class, id and role; how they mark it): `comments`, `other`, `weak` where only a part of a name does, or nothing."""
+    names = [x for found in _NAMES.findall(attributes) for x in "".join(found).lower().split()]
+    parts = [[x for x in _SPLIT.split(n) if x] for n in names]
+    sure = [p for p in parts if any(x in MARKS for x in p) and all(x in MARKS or x in PLAIN or x.isdigit() for x in p)]
+    kind = "comments" if any(x in COMMENTS for p in sure for x in p) else "other" if sure else "weak" if any(x in MARKS for p in parts for x in p) else ""
+    return [x for p in parts for x in p], kind
+
 
 def tokens(page: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, name, attributes) of markup in order; name is empty for comments, and begins with / for end tags. Linear in the page."""
@@ -151,15 +175,18 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
             continue
         while len(stack) > 1 and (stack[-1][1] == "p" or stack[-1][1] in CLOSES.get(tag, ())):  # a block ends a paragraph
             pop()
-        marks = [x for found in _NAMES.findall(attributes) for x in _SPLIT.split("".join(found).lower()) if x] if attributes else []
+        marks, kind = marked(attributes) if attributes else ([], "")
         top = stack[-1][0]
         main = top.main or tag in ("article", "main") or "main" in marks and "role" in attributes.lower()
-        skip = top.skip or tag in SKIPPED or tag not in ("body", "html", "article", "main") and any(x in MARKS for x in marks)
+        if tag in ("body", "html", "article", "main"):
+            kind = ""
+        hard = top.hard or tag in SKIPPED and tag not in SOFT or kind == "comments"
+        soft = top.soft and main <= top.main or tag in SOFT or kind == "other" or kind == "weak" and not top.main
         label = f"{tag}.{marks[0]}" if marks else tag
-        if top.kids and top.kids[-1].label == label and top.kids[-1].skip == skip:
+        if top.kids and top.kids[-1].label == label and (top.kids[-1].hard, top.kids[-1].soft) == (hard, soft):
             node = top.kids[-1]  # a repeated sibling
         else:
-            node = Node(tag, label, skip, main)
+            node = Node(tag, label, hard, main, soft)
             top.kids.append(node)
         stack.append((node, tag))
         opened[tag] += 1

@@ -1,16 +1,18 @@
 """Personal data: high-recall generators, boosted trees, calibrated thresholds.
 
 Generators propose overlapping spans of four kinds (email, ip, card, phone): those of the
-base rules, which always stay, and looser forms (written-out addresses, numbers without a
-country code, digit runs that fail a check). Gradient-boosted trees score the loose ones by
-format and context features. They learn from a bounded sample of documents, and only from
-candidates whose label can be verified: base spans and base spans rewritten in a loose form
-are positive; digit runs that fail Luhn's check, addresses with a part over 255, calendar
-dates, pieces of longer numbers, web sites and ends of sentences are negative. Any other loose
-candidate has no label and teaches nothing. On held-out loose candidates of a kind the trees'
-margins are calibrated to probabilities (Platt's sigmoid), and its threshold is the least
-probability with which they reach the asked precision; a kind whose held-out candidates
-can't show it, for want of either label, adds nothing.
+base rules, which always stay, and looser forms (written-out addresses, other separators,
+digits of other scripts, numbers without a country code). Loose candidates that a check
+refutes (Luhn's, a part over 255, digits of another kind's base span, calendar dates, pieces of
+longer numbers, web sites, ends of sentences) are never added. Gradient-boosted trees score the others by format and
+context features; the checks are no features. They learn from a bounded sample of
+documents, and only from candidates with a verifiable label: base spans and base spans
+rewritten in loose forms are positive; refuted candidates are negative, as they are written
+like, and stand where, digit runs do that pass a check by chance. On held-out loose
+candidates of a kind, all forms of a base span held out together, the trees' margins are
+calibrated to probabilities (Platt's sigmoid), and its threshold is the least probability
+with which Wilson's lower bound of their precision reaches the asked one; a kind whose
+held-out candidates can't show it, for want of either label, adds nothing.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ import bisect
 import hashlib
 import itertools
 import re
+import unicodedata
+import zlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -33,7 +37,11 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_TEXTS = 4000
 SAMPLE_ROWS = 4000  # candidates of a kind and label that reach the driver
 PART = 1000  # candidates handed on at once
-PRECISION = 0.995
+PRECISION = 0.95
+Z = 1.2816  # of the bound: one in ten samples would show more than there is
+FORMS = 3  # in which a base span is rewritten
+#: candidates of a kind that pass its checks by chance, for each one that they refute: Luhn's passes one number in ten
+CHANCE = (1.0, 1.0, 1 / 9, 1.0)
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -43,18 +51,26 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOOSE = {
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:@|\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\[dot\]|\(dot\)| dot ) ?[A-Za-z0-9-]{1,63}){1,5}"),
-    "ip": re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,4}(?:[.,][0-9]{1,4}){3}(?![0-9A-Za-z])"),
-    "card": _CARD,
-    "phone": re.compile(r"(?<![0-9A-Za-z])\+?\(?[0-9]{1,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9A-Za-z])"),
+    "ip": re.compile(r"(?<![\w.])\d{1,4}(?: ?(?:[.,:\u00b7\uff0e]|\[\.\]|\(\.\)|\[dot\]|\(dot\)| dot ) ?\d{1,4}){3}(?!\w)"),
+    "card": re.compile(r"(?<!\w)\d(?:[ ._/\u00a0\u2010-\u2015\u2212-]{0,3}+\d)++"),
+    "phone": re.compile(r"(?<!\w)\+?\(?\d{1,4}\)?(?:[ ./\u00a0\u2010-\u2015\u2212-]{1,2}\(?\d{2,5}\)?){1,5}(?!\w)"),
 }
+_ANY_DIGIT = re.compile(r"\d")
 _HINTS = [re.compile(p, re.I) for p in (r"mail|contact|write", r"\bip\b|host|server|address", r"card|visa|credit|account|pay", r"tel|phone|call|fax|mobile", r"version|release|chapter|section|date|isbn|order|invoice|token|key")]
 
 
 _DATE = re.compile(r"(?:(?:19|20)[0-9]{2}([-./])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])|(?:0?[1-9]|[12][0-9]|3[01])([-./])(?:0?[1-9]|[12][0-9]|3[01])\2(?:19|20)[0-9]{2})")
 _AT = re.compile(r" ?(@|\[at\]|\(at\)| at ) ?")
 _DOT = re.compile(r" ?(?:\.|\[dot\]|\(dot\)| dot ) ?")
+_RUNS = re.compile(r"\d+")
+_GAP = re.compile(r"[ -]")
+_FULL_WIDTH = {48 + k: 0xFF10 + k for k in range(10)}
 # What a loose address is written with, in place of @ and of the dot.
 _REWRITTEN = ((" [at] ", " [dot] "), (" at ", " dot "), ("(at)", "(dot)"), (" at ", "."), (" @ ", "."))
+# What separates the parts of a loose IP address, the groups of a loose card number or of a phone number.
+_IP_DOTS = (",", " . ", "[.]", " dot ", "(dot)", "\uff0e")
+_CARD_GAPS = (".", "/", " - ", "\u2011", "\u00a0", "_", "  ")
+_PHONE_GAPS = ("\u2011", "\u00a0", "/", ".")
 
 
 class Span(NamedTuple):
@@ -64,7 +80,8 @@ class Span(NamedTuple):
 
 
 def _digits(s: str) -> str:
-    return "".join(c for c in s if c.isascii() and c.isdigit())
+    """The decimal digits, of any script, as ASCII."""
+    return "".join(c if c.isascii() else str(unicodedata.decimal(c)) for c in s if c.isdecimal())
 
 
 def luhn(digits: str) -> bool:
@@ -119,7 +136,7 @@ def loose_spans(text: str, base: list[Span]) -> list[Span]:
     """What the generators propose beside base spans; spans may overlap each other."""
     known = set(base)
     out = []
-    digits = any(c in text for c in "0123456789")
+    digits = _ANY_DIGIT.search(text)
     if "@" in text or "[at]" in text or "(at)" in text or " at " in text:  # no match without one of them
         out += _loose_emails(text)
     if digits:
@@ -136,15 +153,14 @@ def features(text: str, span: Span) -> list[float]:
     s = text[span.start : span.end]
     before, after = text[max(0, span.start - 32) : span.start], text[span.end : span.end + 16]
     digits = _digits(s)
-    groups = re.findall(r"[0-9]+", s)
+    groups = _RUNS.findall(s)
     last = before[-1:] or " "
     nxt = after[:1] or " "
     return [
         *(float(span.kind == k) for k in range(len(KINDS))),
         len(s), len(digits), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
         float(s.startswith("+")), s.count("("), s.count("."), s.count("-"), s.count(" "), s.count("/"), float("@" in s),
-        float(luhn(digits)) if 12 <= len(digits) <= 19 else 0.0,
-        float(all(int(g[-6:]) <= 255 for g in groups)) if groups else 0.0,
+        s.count(","), float(len({len(g) for g in groups}) == 1), len(set(_RUNS.sub("", s))), float(not s.isascii()), float("[" in s or "dot" in s),
         sum(c.isalpha() for c in s) / len(s),
         float(last.isalnum()), float(nxt.isalnum()), float(last.isspace()), float(nxt in ".,;:!?)" or nxt.isspace()),
         *(float(bool(h.search(before))) for h in _HINTS),
@@ -170,6 +186,12 @@ def _inside(span: Span, base: list[Span]) -> bool:
     return False
 
 
+def _crosses(span: Span, base: list[Span]) -> bool:
+    """Whether a run of digits shares some with a base span of another kind; base is sorted."""
+    at = bisect.bisect_left(base, Span(span.end, -1, 0))
+    return any(b.end > span.start and b.kind != span.kind for b in base[max(0, at - 64) : at])
+
+
 def refuted(text: str, span: Span, base: list[Span]) -> bool:
     """Whether a loose candidate is shown not to be what its kind says."""
     s = text[span.start : span.end]
@@ -178,11 +200,13 @@ def refuted(text: str, span: Span, base: list[Span]) -> bool:
         at = _AT.search(s)
         rest = s[at.end() :] if at else ""
         # a site, past the end of a sentence, or no letters where a domain ends
-        return bool(at) and (at[1] == " at " and rest.lower().startswith("www.") or bool(re.search(r"[a-z]\. [A-Z]", rest)) or not _DOT.split(rest)[-1].isalpha())
+        return bool(at) and (at[1] == " at " and (rest.lower().startswith("www.") or ". " in rest) or bool(re.search(r"[a-z]\. [A-Z]", rest)) or not _DOT.split(rest)[-1].isalpha())
+    if _crosses(span, base):
+        return True
     if span.kind == 1:
-        return any(int(g[-6:]) > 255 for g in re.findall(r"[0-9]+", s))
+        return any(int(_digits(g)[-6:]) > 255 for g in _RUNS.findall(s))
     if span.kind == 2:
-        return not luhn(digits)
+        return not luhn(digits) or len(set(digits)) == 1
     if _DATE.fullmatch(s) or _inside(span, base):
         return True
     # a piece of a longer number
@@ -190,22 +214,27 @@ def refuted(text: str, span: Span, base: list[Span]) -> bool:
 
 
 def rewritten(text: str, span: Span, form: int) -> tuple[str, Span] | None:
-    """The text around a base span in a loose form, and the candidate that stands there; None for kinds without one."""
+    """The text around a base span in a loose form, and the candidate that stands there; None where the generators wouldn't find it."""
     s, first = text[span.start : span.end], max(0, span.start - 64)
     text, span = text[first : span.end + 96], Span(span.start - first, span.kind, span.end - first)  # what features can see
     if span.kind == 0:
         at, dot = _REWRITTEN[form % len(_REWRITTEN)]
         name, _, host = s.partition("@")
         s = f"{name}{at}{host.replace('.', dot)}"
-    elif span.kind == 3:
-        s = s[1:] if form % 2 else re.sub(r"^\+[0-9]{1,3}(?:[ .-]+|(?=\())", "", s)
+    elif span.kind == 1:
+        s = s.replace(".", _IP_DOTS[form % len(_IP_DOTS)])
+    elif span.kind == 2:
+        gap = _CARD_GAPS[form % len(_CARD_GAPS)]
+        s = _GAP.sub(gap, s) if _GAP.search(s) else gap.join(s[k : k + 4] for k in range(0, len(s), 4)) if form % 2 else s.translate(_FULL_WIDTH)
+    elif form % 3 < 2:
+        s = s[1:] if form % 3 else re.sub(r"^\+[0-9]{1,3}(?:[ .-]+|(?=\())", "", s)
     else:
-        return None
+        s = _GAP.sub(_PHONE_GAPS[form % len(_PHONE_GAPS)], s)
     loose = Span(span.start, span.kind, span.start + len(s))
     changed = text[: span.start] + s + text[span.end : span.end + 96]
     window = max(0, span.start - 1), loose.end + 80
     found = _loose_emails(changed, *window) if span.kind == 0 else (Span(m.start(), span.kind, m.end()) for m in _LOOSE[KINDS[span.kind]].finditer(changed, *window))
-    return (changed, loose) if loose in found else None
+    return (changed, loose) if loose in found and loose not in base_spans(changed) else None
 
 
 N_FEATURES = len(features("1", Span(0, 1, 1)))
@@ -290,11 +319,19 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(slope * self.trees.margin(x) + offset, -30, 30)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, loose: np.ndarray, precision: float = PRECISION, least: int = 20) -> Model | None:
-    """Trees from three of four rows, sigmoids and thresholds from the loose ones of the others; None without both labels."""
+def wilson(good: np.ndarray, n: np.ndarray, z: float = Z) -> np.ndarray:
+    """Lower bound of a share of which good of n were seen."""
+    p = good / n
+    return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def fit(x: np.ndarray, y: np.ndarray, loose: np.ndarray, group: np.ndarray, precision: float = PRECISION, least: int = 20) -> Model | None:
+    """Trees from three of four groups, sigmoids and thresholds from the loose rows of the others; None without both labels."""
     if len(y) < 4 * least or y.min() == y.max():
         return None
-    test = np.arange(len(y)) % 4 == 0
+    test = group % 4 == 0
+    if not test.any() or test.all():
+        return None
     if y[~test].min() == y[~test].max():
         return None
     trees = boost(x[~test], y[~test].astype(float))
@@ -302,14 +339,19 @@ def fit(x: np.ndarray, y: np.ndarray, loose: np.ndarray, precision: float = PREC
     sigmoids = tuple(calibrate(trees.margin(x[own]), y[own]) if 0 < y[own].sum() < own.sum() else (1.0, 0.0) for own in kept)
     model = Model(trees, sigmoids, (2.0,) * len(KINDS))
     thresholds = []
-    for own in kept:
+    for own, chance in zip(kept, CHANCE, strict=True):
         p = model.probability(x[own])
         order = np.argsort(-p, kind="stable")
         s, good = p[order], np.cumsum(y[own][order])
         n = np.arange(1, len(s) + 1)
         last = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, dtype=bool)
-        # one more failure than was seen: a bound for what a small sample can't show
-        ok = last & (good / (n + 1) >= precision) & (n >= least) & (len(s) - good[-1:].sum() >= least)
+        right = int(good[-1]) if len(s) else 0
+        if not 0 < right < len(s):
+            thresholds.append(2.0)
+            continue
+        # as if there were as many of either label: the sample's share of positives is our own doing
+        hit, miss = wilson(good, right), 1 - wilson(len(s) - right - (n - good), len(s) - right)
+        ok = last & (hit >= precision * (hit + chance * miss)) & (n >= least)
         thresholds.append(float(s[ok].min()) if ok.any() else 2.0)
     return model._replace(thresholds=tuple(thresholds))
 
@@ -327,8 +369,9 @@ def training_rows(docs: DataFrame, text: str = "text", sample: int = SAMPLE_TEXT
         base = base_spans(t)
         for k, s in enumerate(base):
             yield t, s, True, False, f"{h}:{s.start}:{s.end}:{s.kind}:base"
-            if r := rewritten(t, s, (h + k) % 20):
-                yield *r, True, True, f"{h}:{s.start}:{s.end}:{s.kind}:rewritten"
+            for form in range(FORMS):
+                if r := rewritten(t, s, (h + k + form * 5) % 420):
+                    yield *r, True, True, f"{h}:{s.start}:{s.end}:{s.kind}:rewritten{form}"
         for s in loose_spans(t, base):
             if refuted(t, s, base):
                 yield t, s, False, True, f"{h}:{s.start}:{s.end}:{s.kind}:refuted"
@@ -351,7 +394,8 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE_TEXTS, rows:
     """Model from the bounded training rows of docs."""
     got = training_rows(docs, text, sample, rows).toPandas().sort_values("key")
     x = np.frombuffer(b"".join(got["x"]), dtype=np.float64).reshape(-1, N_FEATURES)
-    return fit(x, got["y"].to_numpy(dtype=bool), got["loose"].to_numpy(dtype=bool), **options)
+    group = np.array([zlib.crc32(k.rpartition(":")[0].encode()) for k in got["key"]], dtype=np.int64)
+    return fit(x, got["y"].to_numpy(dtype=bool), got["loose"].to_numpy(dtype=bool), group, **options)
 
 
 def select(text: str, model: Model | None) -> tuple[list[Span], list[Span]]:
@@ -359,7 +403,7 @@ def select(text: str, model: Model | None) -> tuple[list[Span], list[Span]]:
     base = base_spans(text)
     if model is None:
         return base, base
-    loose = loose_spans(text, base)
+    loose = [s for s in loose_spans(text, base) if not refuted(text, s, base)]
     if not loose:
         return base, base
     score = model.probability(np.array([features(text, s) for s in loose]))

@@ -325,8 +325,9 @@ def test_pipeline_against_brute_force(spark):
     clean = stages["decontamination"](spark, distinct, SF).cache()
     assert rows(clean) == [r for r in rows(distinct) if not dirty(r[1])]
     hidden = stages["pii"](spark, clean, SF).cache()
+    model = pii.train(clean)
     for a, b in zip(rows(clean), rows(hidden), strict=True):
-        assert (a[0], *a[2:4]) == (b[0], *b[2:4]) and b[1] == pii.redact(a[1], pii.base_spans(a[1])) and b[4] == len(b[1])
+        assert (a[0], *a[2:4]) == (b[0], *b[2:4]) and b[1] == pii.redact(a[1], pii.select(a[1], model)[1]) and b[4] == len(b[1])
     path = tokens.vocabulary_path(bpe.RANKS)
     want = [(r[0], *bpe.brute_digests(r[1], path)) for r in rows(hidden)]
     assert rows(stages["byte_bpe"](spark, hidden, SF)) == want == rows(corpus_pipeline.run(spark, SF))
@@ -417,6 +418,19 @@ def test_embedded_elements_keep_their_text():
     assert html_wrapper.extract(page) == "a x bfallback\nc d"
 
 
+def test_names_drop_no_article():
+    """Parts of names around or inside an article leave it whole; whole names mark what they say; forms may stand around a page."""
+    cases = {
+        '<div class="layout no-sidebar"><article><p>Main text here.</p></article></div>': "Main text here.",
+        '<div id="page" class="has-ads"><main><p>Text</p></main></div>': "Text",
+        '<article><p>a</p><section class="related-work"><p>b</p></section><div class="form-factor">c</div><div class="ad">x</div><div class="related"><article>n</article></div></article>': "a\nb\nc",
+        "<form id=aspnet><header>h</header><article>A</article><p>z</p></form>": "A",
+        '<p>t</p><div class="comments"><article class="comment">c</article></div><div class="site-footer">f</div><div class="has-ads">w</div>': "t",
+        '<div class="sidebar"><p>s</p></div><p>x</p>': "x",
+    }
+    assert {p: html_wrapper.extract(p) for p in cases} == cases
+
+
 def test_template_inside_articles(spark):
     """A constant block without a listed name goes from all articles of a host; copies of one article stay whole."""
     body = lambda k: f"<h1>t{k}</h1><p>long text of the article number {k}</p>"
@@ -546,23 +560,69 @@ def test_pii_in_loose_forms(spark):
         assert "They stayed at home. Then" in got[k].redacted and "2024-01-" in got[k].redacted and ".2.999.4" in got[k].redacted
 
 
+def luhn_number(rng, n=16):
+    body = "".join(map(str, rng.integers(1, 10, n - 1)))
+    return next(body + str(c) for c in range(10) if pii.luhn(body + str(c)))
+
+
 def test_pii_precision_and_recall(spark):
-    """Added spans against planted loose ones, among dates, versions, numbers that fail a check and phrases that only look alike."""
+    """Added spans of all four kinds against planted loose ones, among others that look alike and fail a check."""
     rng = np.random.default_rng(7)
     names, hosts = ("ann", "b.cole", "dora_e", "f-g", "h99"), ("mail", "post", "web-box", "inbox")
     no = lambda n: "".join(map(str, rng.integers(1, 10, n)))
+    part = lambda: str(rng.integers(1, 255))
+    fours = lambda d, gap: gap.join(d[i : i + 4] for i in range(0, len(d), 4))
     rows, planted = [], set()
-    for k in range(1500):
+    for k in range(2400):
         name, host = f"{names[k % 5]}{k}", hosts[k % 4]
-        loose = [("email", f"{name} [at] {host} [dot] org"), ("email", f"{name}(at){host}(dot)net"), ("email", f"{name} at {host}.com"), ("phone", f"({no(3)}) {no(3)}-{no(4)}"), ("phone", f"1 ({no(3)}) {no(3)}-{no(4)}")][k % 5]
-        head = f"mail {name}@{host}.org, call +1 ({no(3)}) {no(3)}-{no(4)}. On 20{no(2)}-0{no(1)}-1{no(1)} version {no(1)}.{no(1)}.999.{no(1)} met at {host}. Then they were at home. No {no(3)}9-{no(4)}-{no(4)}-{no(4)} is {no(2)}.{no(2)}. Please contact "
-        rows.append((k, head + loose[1] + " today, or " + f"{no(3)} of {no(5)} at noon."))
-        planted.add((k, loose[0], len(head), len(head) + len(loose[1])))
+        card = luhn_number(rng)
+        loose = [
+            ("email", f"{name} [at] {host} [dot] org"), ("email", f"{name}(at){host}(dot)net"), ("email", f"{name} at {host}.com"), ("phone", f"({no(3)}) {no(3)}-{no(4)}"), ("phone", f"1 ({no(3)}) {no(3)}-{no(4)}"),
+            ("ip", f"{part()}[.]{part()}[.]{part()}[.]{part()}"), ("ip", " dot ".join(part() for _ in range(4))), ("card", fours(card, ".")), ("card", fours(card, "\u2011")), ("card", fours(card, "_")),
+        ][k % 10]
+        wrong = str((int(card[-1]) + 1 + k % 9) % 10)
+        alike = [f"{part()},{part()},{part()},9{no(2)}", fours(card[:-1] + wrong, ".-_"[k % 3]), f"{no(1)}.{no(1)}.999.{no(1)}", f"20{no(2)}-0{no(1)}-1{no(1)}"][k % 4]
+        lead = {"email": "mail", "phone": "call", "ip": "from", "card": "with"}
+        base = {"email": f"{name}@{host}.org", "phone": f"+1 ({no(3)}) {no(3)}-{no(4)}", "ip": f"{part()}.{part()}.{part()}.{part()}", "card": fours(luhn_number(rng), " ")}
+        clauses = [*(f"{lead[kind]} {x}" for kind, x in base.items()), f"saw {alike}", f"met at {host}. then left", f"on {no(2)}.{no(2)} of {no(5)}", f"{lead[loose[0]]} {loose[1]}"]
+        text = "We " + "; ".join(clauses[i] for i in rng.permutation(len(clauses))) + "."
+        rows.append((k, text))
+        at = text.index(clauses[-1]) + 5
+        planted.add((k, loose[0], at, at + len(loose[1])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(t < 1 for t in pii.train(docs).thresholds)
     got = set()
-    for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+    for r in pii.find_pii(docs).collect():
         base = set(r.base.split(","))
         got |= {(r.doc_id, kind, int(a), int(b)) for x in r.spans.split(",") if x not in base for kind, a, b in [x.split(":")]}
-    assert len(got & planted) >= 0.95 * len(planted) and len(got & planted) >= 0.99 * len(got)
+    for kind in pii.KINDS:
+        want = {x for x in planted if x[1] == kind}
+        assert len(got & want) >= 0.95 * len(want), kind
+    assert len(got & planted) >= 0.99 * len(got)
+
+
+def test_rewritten_forms_are_candidates():
+    """Every form of a base span is a candidate of its kind, is no base span, and no check refutes it."""
+    for kind, s in (("email", "ann.b@mail.example.org"), ("ip", "10.20.30.40"), ("card", "4111 1111 1111 1111"), ("card", "4111111111111111"), ("phone", "+1 (555) 123-4567")):
+        text = f"call or write {s} today"
+        (span,) = [b for b in pii.base_spans(text) if pii.KINDS[b.kind] == kind]
+        forms = [r for f in range(420) if (r := pii.rewritten(text, span, f))]
+        assert len({t for t, _ in forms}) >= 4, kind
+        for changed, loose in forms:
+            assert loose in pii.loose_spans(changed, pii.base_spans(changed)) and not pii.refuted(changed, loose, pii.base_spans(changed)), changed
+
+
+def test_bounds_of_few_rows():
+    """Forty of forty show 0.95; thirty-nine don't, nor do twenty. Kinds without negatives are never on."""
+    assert [float(pii.wilson(np.array([g]), np.array([n]))[0]) >= 0.95 for g, n in ((40, 40), (39, 40), (20, 20))] == [True, False, False]
+    rng = np.random.default_rng(2)
+    x = np.zeros((800, pii.N_FEATURES))
+    x[:400, 1] = x[400:, 3] = 1
+    y = np.ones(800, dtype=bool)
+    y[400::2] = False
+    x[:, 10] = y + rng.normal(size=800) * 0.01
+    model = pii.fit(x, y, np.ones(800, dtype=bool), np.arange(800) // 2)
+    assert model.thresholds[1] > 1 and model.thresholds[3] < 1
 
 
 def test_probabilities_are_calibrated():
