@@ -13,6 +13,7 @@ from patentlake.plans.views import VIEWS, table, view, with_views
 from patentlake.sources import archives, extract, manifest, quarantine, record_scan, sinks, xml
 from patentlake.sources.shared import exists, modified, shared_folder
 from patentlake.sources.versions import VersionedTable
+from patentlake.streaming import archives as deliveries
 from patentlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -760,6 +761,18 @@ def table_lookup(spark, sf_dir):
     return store.read(countries=["EP", "AU"]).select("country", "pub_doc_id", "source_status")
 
 
+@query("SELECT a.pub_doc_id, b.pub_doc_id AS related_id FROM publications a JOIN publications b ON a.app_doc_id = b.app_doc_id AND a.pub_doc_id <> b.pub_doc_id WHERE CAST(a.doc_number AS BIGINT) BETWEEN 1 AND 99 AND a.country = 'EP' AND a.source_status <> 'D' AND b.source_status <> 'D'")
+def table_siblings(spark, sf_dir):
+    """Relatives of some publications from a stored table: their numbers and then their applications are looked up in indexes, and only parts that can hold them are read."""
+    p = view(spark, sf_dir, "publications").withColumn("seq", F.lit(0))
+    store = VersionedTable.create(spark, f"{shared_folder(spark, 'table')}/t", p, KEY, ["seq"], buckets=8, indexes=("doc_number", "app_doc_id"))
+    store.merge(p.where("source_status = 'D'").withColumn("seq", F.lit(1)))
+    asked = store.read(countries=["EP"], where={"doc_number": [str(k) for k in range(1, 100)]}).select("pub_doc_id", "app_doc_id")
+    applications = [r.app_doc_id for r in asked.select("app_doc_id").distinct().collect()]  # of the numbers asked for
+    family = store.read(where={"app_doc_id": applications}).select("app_doc_id", F.col("pub_doc_id").alias("related_id"))
+    return asked.join(family, "app_doc_id").where("pub_doc_id <> related_id").select("pub_doc_id", "related_id")
+
+
 @query("SELECT filename, count(*) AS documents_processed, count(DISTINCT lang) AS n_langs FROM texts GROUP BY filename")
 def stats_json(spark, sf_dir):
     path = f"{shared_folder(spark, 'stats')}/s"
@@ -827,6 +840,43 @@ def passage_first(spark, sf_dir):
     return wide.select(F.col("doc_number").cast("long").alias("event_id"), F.expr("citations[0].passages[0].passage_text").alias("passage"), F.expr("priorities[0].country").alias("claim_country"))
 
 
+@query("SELECT pub_doc_id, country FROM publications WHERE source_status <> 'CV'")
+def stream_archives(spark, sf_dir):
+    """Two deliveries of archives, each taken when it is there, in rounds of a few members."""
+    out = shared_folder(spark, "deliveries")
+    rows = _xml_records(spark, sf_dir, F.col("app_doc_id")).join(view(spark, sf_dir, "publications").where("source_status <> 'CV'").select("pub_doc_id", "country"), "pub_doc_id")
+    named = rows.withColumn("delivery", F.concat("country", F.lit("/Amend-"), F.pmod(F.xxhash64("pub_doc_id"), F.lit(2)).cast("string")))
+    for part in (F.col("country") < "F", F.col("country") >= "F"):
+        archives.write_archives(named.where(part), f"{out}/in", "delivery", "record_xml")
+        deliveries.stream_archives(spark, f"{out}/in", f"{out}/out", f"{out}/checkpoint", size=8)
+    return xml.parse_records(deliveries.delivered(spark, f"{out}/out"), "record_xml", ROOT).select(F.col("`_doc-id`").alias("pub_doc_id"), F.col("_country").alias("country"))
+
+
+@query("SELECT filename, archive_rank, row_number() OVER (ORDER BY archive_rank, filename) AS place FROM (SELECT country || '-' || CASE WHEN source_status = 'D' THEN 'DeleteRekey' ELSE 'Amend' END || '.zip' AS filename, CASE WHEN source_status = 'D' THEN 1 ELSE 3 END AS archive_rank FROM publications GROUP BY ALL)")
+def folder_scan(spark, sf_dir):
+    """Archives found in folders of countries, in the order in which they are to be taken."""
+    folder = shared_folder(spark, "folders")
+    p = view(spark, sf_dir, "publications")
+    name = F.concat("country", F.lit("/"), "country", F.lit("-"), F.when(F.col("source_status") == "D", "DeleteRekey").otherwise("Amend"))
+    archives.write_archives(p.select(name.alias("name"), F.concat(F.lit("<x>"), "pub_doc_id", F.lit("</x>")).alias("x")), folder, "name", "x")
+    return ranking.ranked(archives.find_archives(spark, folder), ["archive_rank", "filename"]).select("filename", "archive_rank", "place")
+
+
+@query("SELECT file_id, status FROM (SELECT file_id, status FROM files WHERE status <> 'PENDING' UNION ALL SELECT file_id, 'PENDING' FROM files WHERE status = 'PENDING')")
+def stream_status(spark, sf_dir):
+    """Each file's life as events, the late ones first, in two calls of a stream; the table has the last status of each."""
+    out = shared_folder(spark, "status")
+    steps = F.array(*map(F.lit, ("PENDING", "DOWNLOADED", "PARSING", "COMPLETED", "FAILED")))
+    every = view(spark, sf_dir, "files").select("file_id", F.col("status").alias("last"), F.posexplode(steps).alias("step", "status"))
+    upto = F.array_position(steps, F.col("last")) - 1
+    events = every.where(F.col("step") <= upto).where((F.col("last") != "FAILED") | (F.col("status") != "COMPLETED")).select("file_id", "status", "step")
+    store = VersionedTable.create(spark, f"{out}/table", events.limit(0), ["file_id"], ["step"], buckets=4)
+    for part in (F.col("step") >= 2, F.col("step") < 2):
+        events.where(part).write.mode("append").parquet(f"{out}/events")
+        ingest.status_table(store, spark.readStream.schema(events.schema).parquet(f"{out}/events"), f"{out}/checkpoint", "file_id", "status", "step")
+    return store.read().select("file_id", "status")
+
+
 # --- open payloads --------------------------------------------------------------------------
 
 
@@ -953,6 +1003,20 @@ def entity_decode(spark, sf_dir):
     return xml.parse_records(rows, "record_xml", ROOT).select(F.col("`_doc-id`").alias("pub_doc_id"), "title")
 
 
+@query("SELECT o_orderkey AS record, 'from ' || c_name || ' (' || c_name || ') & others' AS title FROM orders JOIN customer ON c_custkey = o_custkey")
+def entity_file(spark, sf_dir):
+    """An entity for each customer, and one that holds it, declared in files; records with references to them."""
+    folder = shared_folder(spark, "entities")
+    c = table(spark, sf_dir, "customer")
+    own = F.concat(F.lit('<!ENTITY c'), "c_custkey", F.lit(' "'), "c_name", F.lit('">'))
+    both = F.concat(F.lit("<!ENTITY d"), "c_custkey", F.lit(" 'from &c"), "c_custkey", F.lit("; (&c"), "c_custkey", F.lit(";)'>"))
+    c.select(F.concat(both, F.lit("\n"), own)).write.text(folder)
+    orders = table(spark, sf_dir, "orders")
+    record = F.concat(F.lit('<exchange-document doc-id="'), "o_orderkey", F.lit('"><title>&d'), "o_custkey", F.lit("; &amp; others</title></exchange-document>"))
+    rows = orders.select(xml.decode_entities(record, xml.read_entities(spark, folder)).alias("record_xml"))
+    return xml.parse_records(rows, "record_xml", ROOT).select(F.col("`_doc-id`").cast("long").alias("record"), "title")
+
+
 @query("SELECT pub_doc_id, country FROM publications WHERE doc_number = '11' AND kind_code = 'A1'")
 def raw_prefilter_search(spark, sf_dir):
     rows = _xml_records(spark, sf_dir, F.col("app_doc_id")).withColumn("r", F.from_xml("record_xml", ROOT))

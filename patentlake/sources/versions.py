@@ -7,6 +7,9 @@ exists when its manifest does, which is put there by one rename that fails if an
 writer was first; readers of a version are never disturbed, and what a broken writer left
 behind is in no manifest.
 
+Columns may be indexed: (value, part) pairs in buckets of the value. A merge adds those of its
+changes, and a lookup reads one bucket and then only parts that can hold the value.
+
 A merge writes the last change of each key, to the parts that it touches alone. A part whose
 changes are many or large against its base is compacted, in a version of its own. Rows of
 deleted keys stay, marked, so that older changes that come later don't bring them back.
@@ -30,6 +33,7 @@ from patentlake.sources.shared import children, exists, read_text, remove, renam
 
 #: a part is compacted when its changes have this share of the bytes of its base, or came in so many merges
 COMPACT_SHARE, COMPACT_MERGES = 0.25, 8
+INDEX_SLOTS = 64
 _GONE = "_gone"
 
 
@@ -46,7 +50,7 @@ class VersionedTable:
             raise ValueError(f"there is no table at {path}")
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> VersionedTable:
+    def create(cls, spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int = 64, indexes: Sequence[str] = ()) -> VersionedTable:
         """A table of rows, one for each key; order columns that they lack are null, which is earlier than any change.
 
         With a column `country` it is partitioned by country_part (K1's ten) as well as by
@@ -60,17 +64,18 @@ class VersionedTable:
             if (m["keys"], m["order"], m["buckets"]) != (list(keys), list(order), buckets):
                 raise ValueError(f"the table at {path} has keys {m['keys']}, order {m['order']} and {m['buckets']} buckets")
             return table
-        table._create(rows, keys, order, buckets)
+        table._create(rows, keys, order, buckets, indexes)
         return table
 
-    def _create(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int) -> None:
+    def _create(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int, indexes: Sequence[str]) -> None:
         for c in (_GONE, "country_part", "bucket"):
             if c in rows.columns:
                 raise ValueError(f"a column must not be called {c}")
         if absent := [c for c in order if c not in rows.columns]:
             raise ValueError(f"rows lack the order columns {absent}; add them, null if they are not known")
-        m = {"version": 0, "keys": list(keys), "order": list(order), "buckets": buckets, "columns": rows.columns, "schema": json.loads(rows.withColumn(_GONE, F.lit(False)).schema.json()), "parts": {}, "batches": {}}
+        m = {"version": 0, "keys": list(keys), "order": list(order), "buckets": buckets, "columns": rows.columns, "schema": json.loads(rows.withColumn(_GONE, F.lit(False)).schema.json()), "parts": {}, "batches": {}, "indexes": {c: [] for c in indexes}}
         parts = self._write(rows.withColumn(_GONE, F.lit(False)), m)
+        self._add_to_indexes(m, parts)
         m["parts"] = {p: {"base": folder, "bytes": size, "deltas": [], "delta_bytes": 0} for p, (folder, size) in parts.items()}
         self._commit(m)
 
@@ -109,6 +114,33 @@ class VersionedTable:
             found = [f"{f}/{n}" for f in found for n in children(self.spark, f"{self.path}/{f}") if n.startswith(f"{c}=")]
         return {f.removeprefix(f"{folder}/"): (f, size_of(self.spark, f"{self.path}/{f}")) for f in found}
 
+    def _add_to_indexes(self, manifest: dict, parts: Mapping[str, tuple[str, int]]) -> None:
+        """Write (value, part) of what was just written; pairs that are there already do no harm."""
+        if not parts or not manifest["indexes"]:
+            return
+        top = next(iter(parts.values()))[0].split("/")[1]
+        by = [p.split("=")[0] for p in next(iter(parts)).split("/")]
+        read = self.spark.read.schema(StructType.fromJson(manifest["schema"])).option("basePath", f"{self.path}/data/{top}").parquet(f"{self.path}/data/{top}")
+        written, _ = self._routed(read.select(*manifest["columns"]), manifest)
+        name = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in by))
+        for column, folders in manifest["indexes"].items():
+            folder = f"index/{uuid.uuid4().hex}"
+            pairs = written.select(F.col(column).cast("string").alias("value"), name.alias("part")).where("value IS NOT NULL").distinct()
+            pairs.withColumn("slot", self._slot(F.col("value"))).repartition("slot").sortWithinPartitions("slot", "value").write.partitionBy("slot").parquet(f"{self.path}/{folder}")
+            folders.append(folder)
+
+    @staticmethod
+    def _slot(value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(INDEX_SLOTS)).cast("int")
+
+    def _indexed(self, manifest: Mapping, column: str, values: Sequence[str]) -> list[str]:
+        """Parts that can hold one of the values."""
+        slots = [r[0] for r in self.spark.createDataFrame([(v,) for v in values], "v string").select(self._slot(F.col("v"))).distinct().collect()] if values else []
+        found = [f"{self.path}/{f}/slot={k}" for f in manifest["indexes"][column] for k in slots if exists(self.spark, f"{self.path}/{f}/slot={k}")]
+        if not found:
+            return []
+        return [r[0] for r in self.spark.read.schema("value string, part string").parquet(*found).where(F.col("value").isin(*values)).select("part").distinct().collect()]
+
     def _files(self, manifest: Mapping, folders: Sequence[str]) -> DataFrame:
         reader = self.spark.read.schema(StructType.fromJson(manifest["schema"]))
         return reader.parquet(*(f"{self.path}/{f}" for f in folders)) if folders else self.spark.createDataFrame([], StructType.fromJson(manifest["schema"]))
@@ -129,14 +161,19 @@ class VersionedTable:
             every = every.unionByName(layer)
         return out.unionByName(latest_per_key(every, manifest["keys"], [*manifest["order"], "_merge"]).drop("_merge"))
 
-    def read(self, version: int | None = None, countries: Sequence[str] | None = None) -> DataFrame:
-        """The rows of a version; with countries, only the parts that can hold them are read."""
+    def read(self, version: int | None = None, countries: Sequence[str] | None = None, where: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+        """The rows of a version; with countries, or values of indexed columns (as text) in `where`, only the parts that can hold them are read."""
         m = self.manifest(version)
         known = sorted(m["parts"])
         if countries is not None and "country" in m["columns"]:
             named = {r[0] for r in self.spark.createDataFrame([(c,) for c in countries], "c string").select(country_partition(F.col("c"))).collect()} if countries else set()
             known = [p for p in known if p.split("/")[0].partition("=")[2] in named]
+        for column, values in (where or {}).items():
+            able = set(self._indexed(m, column, values))
+            known = [p for p in known if p in able]
         rows = self._state(m, known).where(f"NOT {_GONE}").select(*m["columns"])
+        for column, values in (where or {}).items():
+            rows = rows.where(F.col(column).cast("string").isin(*values))
         return rows if countries is None or "country" not in m["columns"] else rows.where(F.col("country").isin(*countries))
 
     # --- changes ---
@@ -161,6 +198,7 @@ class VersionedTable:
         parts = self._write(rows.select(*m["columns"], _GONE), m)
         if not parts and batch is None:
             return m["version"]
+        self._add_to_indexes(m, parts)
         for p, (folder, size) in parts.items():
             part = m["parts"].setdefault(p, {"base": None, "bytes": 0, "deltas": [], "delta_bytes": 0})
             part["deltas"].append(folder)
@@ -206,6 +244,10 @@ class VersionedTable:
         gone = [n for n in children(self.spark, f"{self.path}/data") if n not in named]
         for n in gone:
             remove(self.spark, f"{self.path}/data/{n}")
+        kept = {f for v in left for folders in self.manifest(v)["indexes"].values() for f in folders}
+        for n in children(self.spark, f"{self.path}/index"):
+            if f"index/{n}" not in kept:
+                remove(self.spark, f"{self.path}/index/{n}")
         return gone
 
 

@@ -6,8 +6,10 @@ string columns are taken off before from_xml for the same effect.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructField, StructType
@@ -84,11 +86,60 @@ def bare_tags(xml: Column) -> Column:
     return F.regexp_replace(xml, r"<(/?)[A-Za-z_][\w.-]*:", "<$1")
 
 
+_DECLARED = re.compile(r"<!ENTITY\s+([\w.:-]+)\s+(?:\"([^\"]*)\"|'([^']*)')\s*>")
+_REFERENCE = re.compile(r"&([A-Za-z_][\w.:-]*);")
+_CHARACTER = re.compile(r"&#(?:x([0-9A-Fa-f]+)|([0-9]+));")
+# The entities of XML itself, which the parser knows.
+OWN_ENTITIES = ("amp", "lt", "gt", "quot", "apos")
+
+
+def entity_set(declarations: str) -> dict[str, str]:
+    """Texts of declared entities, those inside them resolved; the first declaration of a name counts.
+
+    An entity that leads back to itself is an error. References to unknown names stay.
+    """
+    raw: dict[str, str] = {}
+    for name, one, two in _DECLARED.findall(re.sub(r"(?s)<!--.*?-->", "", declarations)):
+        raw.setdefault(name, _CHARACTER.sub(lambda m: chr(int(m[1], 16) if m[1] else int(m[2])), one or two))
+    out: dict[str, str] = {}
+    for name in raw:
+        todo = [(name, False)]
+        open_: set[str] = set()
+        while todo:  # without recursion: chains may be long
+            at, inside_done = todo.pop()
+            if at in out:
+                continue
+            if inside_done:
+                open_.discard(at)
+                out[at] = _REFERENCE.sub(lambda m: out.get(m[1], m[0]), raw[at])
+                continue
+            if at in open_:
+                raise ValueError(f"the entity {at} leads back to itself")
+            open_.add(at)
+            todo.append((at, True))
+            inside = [x for x in dict.fromkeys(_REFERENCE.findall(raw[at])) if x in raw and x not in out]
+            if back := next((x for x in inside if x in open_), None):
+                raise ValueError(f"the entity {back} leads back to itself")
+            todo += [(x, False) for x in inside]
+    return out
+
+
+def read_entities(spark: SparkSession, path: str) -> dict[str, str]:
+    """Entities of declaration files (DTDs), which are small, in the order of their names."""
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path")).collect()
+    return entity_set("\n".join(r.value for r in sorted(files, key=lambda r: r.path)))
+
+
 def decode_entities(xml: Column, entities: Mapping[str, str]) -> Column:
-    """Custom entities replaced by their text, before parsing; the five of XML stay."""
-    for name, text in entities.items():
-        xml = F.replace(xml, F.lit(f"&{name};"), F.lit(text))
-    return xml
+    """Custom entities replaced by their text, before parsing, in one pass however many there are; the five of XML and unknown ones stay."""
+    known = {k: v for k, v in entities.items() if k not in OWN_ENTITIES}
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _REFERENCE.sub(lambda m: known.get(m[1], m[0]), t), na_action="ignore")
+
+    # texts with no reference but XML's own stay in the JVM
+    return F.when(xml.rlike(rf"&(?!(?:{'|'.join(OWN_ENTITIES)});)[A-Za-z_]"), run(xml)).otherwise(xml) if known else xml
 
 
 def parse_records(rows: DataFrame, xml: str, schema: str = RECORD, keep: tuple[str, ...] = ()) -> DataFrame:

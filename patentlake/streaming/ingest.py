@@ -36,3 +36,18 @@ def merge_stream(table: VersionedTable, changes: DataFrame, checkpoint: str, sta
 def latest_status(events: DataFrame, key: str, status: str, order: str) -> DataFrame:
     """Last status of each file; works on batches and, in update mode, on streams. State: a row for each file."""
     return events.groupBy(key).agg(F.max_by(status, order).alias("status"))
+
+
+def status_table(table: VersionedTable, events: DataFrame, checkpoint: str, key: str, status: str, order: str) -> int:
+    """Keep a table of the last status of each file, from a stream of events in any order; returns its last version.
+
+    The stream's state is a row for each file, and only files whose row changed are merged.
+    The table is keyed by `key`, ordered by `order`.
+    """
+    last = events.groupBy(key).agg(F.max_by(F.struct(status, order), order).alias("last")).select(key, f"last.{status}", f"last.{order}")
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        table.merge(rows, status, batch=(checkpoint, batch_id))
+
+    last.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return table.compact()
