@@ -82,3 +82,11 @@ def rename_new(spark: SparkSession, source: str, target: str) -> None:
     paths = [jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(paths[0].toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     context.rename(*paths, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+
+
+def rename_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder in one step; an error where the target is there already."""
+    fs, hadoop = _of(spark, source)
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(to) or not fs.rename(hadoop, to):
+        raise FileExistsError(target)

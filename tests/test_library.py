@@ -212,12 +212,26 @@ def test_stream_goes_on_after_a_restart(spark, tmp_path):
     assert run(target) == [("EP", "1", 4, "C", "n"), ("US", "1", 1, "A", "b")]
 
 
-def test_a_broken_copy_goes_on(spark, tmp_path):
+def test_a_broken_copy_goes_on(spark, tmp_path, monkeypatch):
+    """Ended between two chunks: what is there stays, the next call computes and adds the rest, once."""
     path = f"file://{tmp_path}/store"
     rows = spark.range(100).withColumn("v", F.col("id") * 2)
-    assert sinks.append_resumable(spark, rows, path, ["id", "v"], "id", chunks=4) == [0, 1, 2, 3]
-    (tmp_path / "store" / "chunk=2" / "_SUCCESS").unlink()
-    assert sinks.append_resumable(spark, rows, path, ["id", "v"], "id", chunks=4) == [2]
+    rename, moved = sinks.rename_folder, []
+
+    def then_die(*a):
+        if len(moved) == 2:
+            raise RuntimeError("killed")
+        moved.append(a)
+        rename(*a)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "rename_folder", then_die)
+        with pytest.raises(RuntimeError, match="killed"):
+            sinks.append_resumable(spark, rows, path, ["id", "v"], "id", chunks=4)
+    kept = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("chunk=*/*.parquet") if "_stage" not in str(f)}
+    assert sinks.append_resumable(spark, rows, path, ["id", "v"], "id", chunks=4) == [2, 3]
+    assert {f: f.stat().st_mtime_ns for f in kept} == kept
+    assert sinks.append_resumable(spark, rows, path, ["id", "v"], "id", chunks=4) == []
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(100))
     assert sinks.append_resumable(spark, rows, f"{path}2", ["id"], "id", present=spark.range(90), chunks=2) == [0, 1]
     assert sorted(r.id for r in spark.read.parquet(f"{path}2").collect()) == list(range(90, 100))
