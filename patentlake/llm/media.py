@@ -1,7 +1,10 @@
 """Media columns: ISO media containers whose boxes are walked and whose sample tables are decoded.
 
 `probe` reads a column of containers and gives codec, duration, samples and the byte
-ranges of keyframes from the boxes alone: payloads are neither decoded nor copied.
+ranges and times of keyframes from the boxes alone: payloads are neither decoded nor
+copied. Sample tables (sizes of full and compact form, chunks, times, composition offsets,
+edits, sync samples) and the runs of movie fragments are decoded; a track that lacks one
+of those it needs, or whose tables disagree, is an error, never a track without samples.
 `pack` stores bytes losslessly in such a container as frames of unsigned 8-bit samples
 (one track, codec `raw `), and `payload_of` finds them again by the sample table.
 """
@@ -39,6 +42,7 @@ class Track(NamedTuple):
     sizes: np.ndarray  # bytes of each sample
     offsets: np.ndarray  # its place in the file
     sync: np.ndarray  # indexes of keyframes
+    times: np.ndarray  # when each sample is shown, in units of timescale, by its composition offset and the track's first edit
 
 
 def boxes(data: memoryview, lo: int = 0, hi: int | None = None, within: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
@@ -70,38 +74,177 @@ def _table(data: memoryview, at: int, kind: str, columns: int = 1) -> np.ndarray
     return out.reshape(n, columns) if columns > 1 else out
 
 
+def _runs(data: memoryview, at: int, n: int, kind: str, what: str) -> np.ndarray:
+    """Values of n samples out of (count, value) pairs."""
+    found = np.frombuffer(data, dtype=[("n", ">u4"), ("value", kind)], count=struct.unpack_from(">I", data, at + 4)[0], offset=at + 8)
+    counts = found["n"].astype(np.int64)
+    if int(counts.sum()) != n:
+        raise ValueError(f"{what} has {int(counts.sum())} samples, not {n}")
+    return np.repeat(found["value"].astype(np.int64), counts)
+
+
+def _sizes(data: memoryview, t: dict[bytes, tuple[int, int]]) -> np.ndarray:
+    """Bytes of each sample, by the full or the compact table."""
+    if b"stsz" in t:
+        at = t[b"stsz"][0]
+        same, n = struct.unpack_from(">II", data, at + 4)
+        if same * n > len(data):
+            raise ValueError(f"{n} samples of {same} bytes are more than the file holds")
+        return np.full(n, same, dtype=np.int64) if same else _table(data, at + 8, ">u4")
+    at = t[b"stz2"][0]
+    width, n = data[at + 7], struct.unpack_from(">I", data, at + 8)[0]
+    if width == 4:
+        halves = np.frombuffer(data, dtype=np.uint8, count=(n + 1) // 2, offset=at + 12)
+        return np.column_stack([halves >> 4, halves & 15]).ravel()[:n].astype(np.int64)
+    if width not in (8, 16):
+        raise ValueError(f"sizes of {width} bits")
+    return np.frombuffer(data, dtype=">u1" if width == 8 else ">u2", count=n, offset=at + 12).astype(np.int64)
+
+
+def _offsets(data: memoryview, t: dict[bytes, tuple[int, int]], sizes: np.ndarray) -> np.ndarray:
+    """Place of each sample, by the tables of chunks."""
+    n = len(sizes)
+    starts = _table(data, t[b"co64"][0] + 4, ">u8") if b"co64" in t else _table(data, t[b"stco"][0] + 4, ">u4")
+    runs = _table(data, t[b"stsc"][0] + 4, ">u4", 3)
+    lengths = np.diff(np.append(runs[:, 0], len(starts) + 1))
+    if sum(k * m for k, m in zip(runs[:, 1].tolist(), lengths.tolist(), strict=True)) != n or (lengths < 0).any():
+        raise ValueError(f"chunks don't hold the {n} samples")
+    per = np.repeat(runs[:, 1], lengths)
+    chunk = np.repeat(np.arange(len(starts)), per)[:n]
+    before = np.cumsum(sizes) - sizes
+    firsts = np.cumsum(per) - per
+    return starts[chunk] + before - before[firsts[chunk]] if n else np.zeros(0, dtype=np.int64)
+
+
+def _first_edit(data: memoryview, at: int, scale: int, movie: int) -> int:
+    """What the edit list adds to times: minus the media time at which the track begins, plus what is shown before it."""
+    wide, n = data[at] == 1, struct.unpack_from(">I", data, at + 4)[0]
+    before = 0
+    for k in range(n):
+        length, begin = struct.unpack_from(">Qq" if wide else ">Ii", data, at + 8 + k * (20 if wide else 12))
+        if begin >= 0:
+            return before * scale // max(movie, 1) - begin
+        before += length  # an empty edit
+    return before * scale // max(movie, 1)
+
+
+class _Fragment(NamedTuple):
+    sizes: np.ndarray
+    offsets: np.ndarray
+    times: np.ndarray
+    sync: np.ndarray  # of each sample
+
+
+def _fragments(data: memoryview, traf: list[tuple[bytes, int, int]], moof: int, defaults: dict[int, tuple[int, int, int]], clock: dict[int, int]) -> tuple[int, list[_Fragment]]:
+    """(track, its runs in one fragment). clock: the decode time at which each track goes on."""
+    head = next((lo for kind, lo, _ in traf if kind == b"tfhd"), None)
+    if head is None:
+        raise ValueError("a fragment of no track")
+    flags, track = struct.unpack_from(">II", data, head)
+    flags &= 0xFFFFFF
+    length, size, mark = defaults.get(track, (0, 0, 0))
+    at, base = head + 8, moof
+    if flags & 1:
+        base, at = struct.unpack_from(">Q", data, at)[0], at + 8
+    at += 4 * bool(flags & 2)
+    if flags & 8:
+        length, at = struct.unpack_from(">I", data, at)[0], at + 4
+    if flags & 16:
+        size, at = struct.unpack_from(">I", data, at)[0], at + 4
+    if flags & 32:
+        mark = struct.unpack_from(">I", data, at)[0]
+    for kind, lo, _ in traf:
+        if kind == b"tfdt":
+            clock[track] = struct.unpack_from(">Q" if data[lo] == 1 else ">I", data, lo + 4)[0]
+    out, place = [], base
+    for kind, lo, hi in traf:
+        if kind != b"trun":
+            continue
+        version, flags = data[lo], struct.unpack_from(">I", data, lo)[0] & 0xFFFFFF
+        n, at = struct.unpack_from(">I", data, lo + 4)[0], lo + 8
+        if flags & 1:
+            place, at = base + struct.unpack_from(">i", data, at)[0], at + 4
+        first = None
+        if flags & 4:
+            first, at = struct.unpack_from(">I", data, at)[0], at + 4
+        names = [x for bit, x in ((0x100, "length"), (0x200, "size"), (0x400, "mark"), (0x800, "shift")) if flags & bit]
+        if at + 4 * len(names) * n > hi or not names and n * max(size, 1) > len(data):
+            raise ValueError(f"a run of {n} samples is more than its box holds")
+        cells = np.frombuffer(data, dtype=">u4", count=len(names) * n, offset=at).reshape(n, len(names)).astype(np.int64) if names else np.zeros((n, 0), dtype=np.int64)
+        of = lambda x, same: cells[:, names.index(x)] if x in names else np.full(n, same, dtype=np.int64)  # noqa: E731, B023
+        lengths, sizes, marks, shift = of("length", length), of("size", size), of("mark", mark).copy(), of("shift", 0)
+        if first is not None and n:
+            marks[0] = first
+        shift = np.where(shift >= 1 << 31, shift - (1 << 32), shift) if version else shift
+        begin = clock.get(track, 0)
+        out.append(_Fragment(sizes, place + np.cumsum(sizes) - sizes, begin + np.cumsum(lengths) - lengths + shift, (marks & 0x10000) == 0))
+        clock[track] = begin + int(lengths.sum())
+        place += int(sizes.sum())
+    return track, out
+
+
 def tracks(media: bytes) -> list[Track]:
-    """Tracks of a container, from its sample tables."""
-    data, found = memoryview(media), []
-    for path, lo, end in boxes(data):
+    """Tracks of a container, from its sample tables and the runs of its fragments."""
+    data = memoryview(media)
+    found: list[dict[bytes, tuple[int, int]]] = []
+    trafs: list[tuple[int, list[tuple[bytes, int, int]]]] = []
+    defaults: dict[int, tuple[int, int, int]] = {}
+    movie = moof = 0
+    for path, lo, hi in boxes(data):
         kind = path[-1]
         if kind == b"trak":
             found.append({})
-        elif found and b"trak" in path:
-            found[-1].setdefault(kind, (lo, end))
+        elif b"trak" in path and found:
+            found[-1].setdefault(kind, (lo, hi))
+        elif kind == b"mvhd":
+            movie = struct.unpack_from(">I", data, lo + (20 if data[lo] == 1 else 12))[0]
+        elif kind == b"trex":
+            track, _, *rest = struct.unpack_from(">IIIII", data, lo + 4)
+            defaults[track] = tuple(rest)
+        elif kind == b"moof":
+            moof = lo - 8
+        elif kind == b"traf":
+            trafs.append((moof, []))
+        elif b"traf" in path and trafs:
+            trafs[-1][1].append((kind, lo, hi))
+    clock: dict[int, int] = {}
+    pieces: dict[int, list[_Fragment]] = {}
+    for base, traf in trafs:
+        track, runs = _fragments(data, traf, base, defaults, clock)
+        pieces.setdefault(track, []).extend(runs)
     out = []
     for t in found:
-        if not {b"mdhd", b"stsd", b"stts", b"stsc", b"stsz"} <= t.keys():
-            continue
+        missing = [x for x in (b"mdhd", b"stsd", b"stts", b"stsc") if x not in t]
+        missing += [b"stsz"] if b"stsz" not in t and b"stz2" not in t else []
+        missing += [b"stco"] if b"stco" not in t and b"co64" not in t else []
+        if missing:
+            raise ValueError(f"a track without {', '.join(x.decode() for x in missing)}")
         at = t[b"mdhd"][0]
         scale, duration = struct.unpack_from(">IQ", data, at + 20) if data[at] == 1 else struct.unpack_from(">II", data, at + 12)
         codec = bytes(data[t[b"stsd"][0] + 12 : t[b"stsd"][0] + 16]).decode("latin-1")
-        same, n = struct.unpack_from(">II", data, t[b"stsz"][0] + 4)
-        if same * n > len(data):
-            raise ValueError(f"{n} samples of {same} bytes are more than the file holds")
-        sizes = np.full(n, same, dtype=np.int64) if same else _table(data, t[b"stsz"][0] + 8, ">u4")
-        starts = _table(data, t[b"co64"][0] + 4, ">u8") if b"co64" in t else _table(data, t[b"stco"][0] + 4, ">u4")
-        runs = _table(data, t[b"stsc"][0] + 4, ">u4", 3)
-        lengths = np.diff(np.append(runs[:, 0], len(starts) + 1))
-        if sum(k * m for k, m in zip(runs[:, 1].tolist(), lengths.tolist(), strict=True)) != n or (lengths < 0).any():
-            raise ValueError(f"chunks don't hold the {n} samples")
-        per = np.repeat(runs[:, 1], lengths)
-        chunk = np.repeat(np.arange(len(starts)), per)[:n]
-        before = np.cumsum(sizes) - sizes
-        firsts = np.cumsum(per) - per
-        offsets = starts[chunk] + before - before[firsts[chunk]] if n else np.zeros(0, dtype=np.int64)
+        sizes = _sizes(data, t)
+        n = len(sizes)
+        offsets = _offsets(data, t, sizes)
+        lengths = _runs(data, t[b"stts"][0], n, ">u4", "the table of times")
+        times = np.cumsum(lengths) - lengths
+        if b"ctts" in t:
+            times = times + _runs(data, t[b"ctts"][0], n, ">i4" if data[t[b"ctts"][0]] else ">u4", "the table of composition offsets")
         sync = _table(data, t[b"stss"][0] + 4, ">u4") - 1 if b"stss" in t else np.arange(n)
-        out.append(Track(codec, scale, duration, sizes, offsets, sync))
+        if len(sync) and (sync.min() < 0 or sync.max() >= n):
+            raise ValueError("a keyframe that is no sample")
+        if b"tkhd" in t:
+            number = struct.unpack_from(">I", data, t[b"tkhd"][0] + (20 if data[t[b"tkhd"][0]] == 1 else 12))[0]
+            for piece in pieces.pop(number, []):
+                sync = np.concatenate([sync, len(sizes) + np.flatnonzero(piece.sync)])
+                sizes, offsets, times = (np.concatenate(x) for x in ((sizes, piece.sizes), (offsets, piece.offsets), (times, piece.times)))
+            duration = duration or clock.get(number, 0)
+        if b"elst" in t:
+            times = times + _first_edit(data, t[b"elst"][0], scale, movie)
+        if len(sizes) and (offsets.min() < 0 or int((offsets + sizes).max()) > len(data)):
+            raise ValueError("samples lie beyond the file")
+        out.append(Track(codec, scale, duration, sizes, offsets, sync, times))
+    if pieces:
+        raise ValueError(f"fragments of tracks {sorted(pieces)} that the container doesn't have")
     return out
 
 
@@ -189,28 +332,28 @@ def pack_texts(docs: DataFrame, text: str = "text", column: str = "media") -> Da
     return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "n_bytes", F.col("media").alias(column))
 
 
-PROBED = "codec string, timescale long, duration long, n_samples long, keyframes array<struct<offset:long,length:long>>, error string"
+PROBED = "codec string, timescale long, duration long, n_samples long, keyframes array<struct<offset:long,length:long,time:long>>, error string"
 
 
 def probe(df: DataFrame, column: str = "media") -> DataFrame:
-    """Every row with codec, timescale, duration, n_samples, keyframes and error of its first track.
+    """Every row with codec, timescale, duration, n_samples, keyframes (place, length, time of showing in units of timescale) and error of its first track.
 
     Null or broken containers, or ones without a track, give nulls and say why in `error`.
     Columns named like a result are replaced, others pass through.
     """
-    results = [x.split()[0] for x in PROBED.replace("struct<offset:long,length:long>", "x").split(", ")]
+    results = [x.split()[0] for x in PROBED.replace("struct<offset:long,length:long,time:long>", "x").split(", ")]
     keep, names, kinds = _columns(df, *results)
     source = bounded(df).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
     at = names[keep.index(column)]
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranges = pa.list_(pa.struct([("offset", pa.int64()), ("length", pa.int64())]))
+        ranges = pa.list_(pa.struct([("offset", pa.int64()), ("length", pa.int64()), ("time", pa.int64())]))
         for batch in it:
             rows = []
             for media in batch.column(at):
                 try:
                     t = tracks(media.as_py())[0]
-                    rows.append((t.codec, t.timescale, t.duration, len(t.sizes), [{"offset": a, "length": n} for a, n in keyframe_ranges(t)], None))
+                    rows.append((t.codec, t.timescale, t.duration, len(t.sizes), [{"offset": a, "length": n, "time": at} for (a, n), at in zip(keyframe_ranges(t), t.times[t.sync].tolist(), strict=True)], None))
                 except (ValueError, IndexError, TypeError, KeyError, MemoryError, OverflowError, struct.error) as e:
                     rows.append((None, None, None, None, None, f"{type(e).__name__}: {e}"))
             got = zip(*rows, strict=True) if rows else [[]] * len(results)

@@ -706,3 +706,66 @@ def test_probe(spark):
     rows = {r.id: r for r in media.probe(df).collect()}
     assert (rows[1].codec, rows[1].duration, rows[1].n_samples, len(rows[1].keyframes)) == ("raw ", 64 * 700, 700, 11)
     assert rows[1].keyframes[0].offset == good.index(b"mdat") + 4 and all(rows[k].error for k in (2, 3, 4))
+
+
+def a_movie(stbl, edits=b"", scale=1000, movie=500, number=7, extra=b"", rest=b""):
+    mdhd = media._box(b"mdhd", struct.pack(">IIIII", 0, 0, 0, scale, 0), b"\0" * 4)
+    trak = media._box(b"trak", media._box(b"tkhd", struct.pack(">IIII", 7, 0, 0, number), b"\0" * 68), edits, media._box(b"mdia", mdhd, media._box(b"minf", media._box(b"stbl", *stbl))))
+    mvhd = media._box(b"mvhd", struct.pack(">IIIII", 0, 0, 0, movie, 0), b"\0" * 80)
+    return media._box(b"moov", mvhd, trak, extra) + rest
+
+
+def n32(*values):
+    return struct.pack(f">{len(values)}I", *values)
+
+
+def sample_tables(sizes, times, **more):
+    stsd = media._box(b"stsd", n32(0, 1), media._box(b"avc1", b"\0" * 8))
+    tables = {b"stsd": stsd, b"stts": media._box(b"stts", n32(0, len(times)), *(n32(*x) for x in times)), b"stsc": media._box(b"stsc", n32(0, 1, 1, 3, 1)), b"stco": media._box(b"stco", n32(0, 2, 10, 200)), b"stsz": sizes}
+    return [*(tables | {k.encode(): v for k, v in more.items()}).values()]
+
+
+@pytest.mark.parametrize("width", [4, 8, 16, 32])
+def test_sample_tables(width):
+    """Sizes of every form, times by runs, composition offsets of either sign, and edits with an empty start."""
+    sizes = [3, 15, 1, 7, 2, 9]
+    if width == 32:
+        table = media._box(b"stsz", n32(0, 0, 6, *sizes))
+    else:
+        packed = bytes((sizes[k] << 4) | sizes[k + 1] for k in range(0, 6, 2)) if width == 4 else struct.pack(">6B" if width == 8 else ">6H", *sizes)
+        table = media._box(b"stz2", n32(0, width, 6), packed)
+    ctts = media._box(b"ctts", n32(1 << 24, 2), n32(2, 5), struct.pack(">Ii", 4, -3))
+    elst = media._box(b"edts", media._box(b"elst", n32(0, 2), struct.pack(">IiI", 250, -1, 0x10000), struct.pack(">IiI", 1000, 20, 0x10000)))
+    data = a_movie(sample_tables(table, [(4, 10), (2, 7)], ctts=ctts, stss=media._box(b"stss", n32(0, 2, 1, 4))), elst, rest=b"\0" * 300)
+    (t,) = media.tracks(data)
+    assert (t.sizes.tolist(), t.offsets.tolist(), t.sync.tolist()) == (sizes, [10, 13, 28, 200, 207, 209], [0, 3])
+    shown = [a + b + 250 * 1000 // 500 - 20 for a, b in zip([0, 10, 20, 30, 40, 47], [5, 5, -3, -3, -3, -3], strict=True)]
+    assert t.times.tolist() == shown
+
+
+def test_fragments():
+    """Samples of fragments follow those of the tables: defaults, run flags, first flags, decode times, places against the fragment."""
+    empty = [media._box(b"stsd", n32(0, 1), media._box(b"avc1", b"\0" * 8)), *(media._box(k, n32(0, 0)) for k in (b"stts", b"stsc", b"stco")), media._box(b"stsz", n32(0, 0, 0))]
+    trex = media._box(b"mvex", media._box(b"trex", n32(0, 7, 1, 40, 11, 0x10000)))
+    one = media._box(b"trun", n32(0x5, 3, 100, 0))  # place and first flags: a keyframe, then two that are none
+    two = media._box(b"trun", n32(0x300, 2, 30, 5, 31, 6))  # lengths and sizes
+    moof = media._box(b"moof", media._box(b"mfhd", n32(0, 1)), media._box(b"traf", media._box(b"tfhd", n32(0x20000, 7)), media._box(b"tfdt", n32(0, 900)), one, two))
+    last = media._box(b"moof", media._box(b"traf", media._box(b"tfhd", n32(0x20028, 7, 50, 0)), media._box(b"trun", n32(0x01000A01, 2, 60, 4, 1, 8, 0xFFFFFFFE))))
+    head = a_movie(empty, extra=trex)
+    data = head + moof + b"\0\0\1\0mdat" + b"\0" * 248 + last + b"\0\0\1\0mdat" + b"\0" * 248
+    (t,) = media.tracks(data)
+    at, then = len(head), len(head) + len(moof) + 256
+    assert t.sizes.tolist() == [11, 11, 11, 5, 6, 4, 8] and t.times.tolist() == [900, 940, 980, 1020, 1050, 1081 + 1, 1131 - 2]
+    assert t.offsets.tolist() == [at + 100, at + 111, at + 122, at + 133, at + 138, then + 60, then + 64] and t.sync.tolist() == [0, 5, 6]
+    assert t.duration == 1181
+    with pytest.raises(ValueError, match="doesn't have"):
+        media.tracks(a_movie(empty, number=8) + moof + b"\0" * 8)
+    with pytest.raises(ValueError, match="without stts"):
+        media.tracks(a_movie([x for x in empty if b"stts" not in x]))
+    with pytest.raises(ValueError, match="has 5 samples, not 6"):
+        media.tracks(a_movie(sample_tables(media._box(b"stsz", n32(0, 1, 6)), [(5, 10)])) + b"\0" * 300)
+
+
+def test_keyframe_times(spark):
+    row = media.probe(spark.createDataFrame([(media.pack(b"\1" * 64 * 700),)], "media binary")).first()
+    assert [k.time for k in row.keyframes] == [64 * 64 * k for k in range(11)]
