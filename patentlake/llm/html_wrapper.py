@@ -5,12 +5,14 @@ node, as a wrapper's repeated slot. The pages of a host are aligned by simple tr
 with a page of their own layout (the labels of the tree's top), their reference. For each
 reference node the texts that the host's pages have there are counted: a node with mostly
 one text on enough different pages is template, a node whose text varies is a slot. A slot
-outside articles that holds mostly links on enough pages is a menu; others are content. A
+outside articles that holds mostly links on enough pages is a menu. The content is the
+deepest node below which most of the text lies that varies; short slots beside it, adverts
+and footers of changing text, go as well. A
 host has references for its LAYOUTS most frequent layouts; pages of others are aligned with
 that of the most frequent one. Per host only counts by (node, text hash) are shuffled, summed
 before the shuffle, so a host's size doesn't matter.
 
-A page's main text is what template nodes and menus leave: of that the blocks in its article
+A page's main text is what template nodes, menus and slots beside the content leave: of that the blocks in its article
 or main element, if there are any, else all. Blocks inside elements that by name hold menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles or comments are left
 out: where such a part differs from page to page, induction alone takes it for content. A
@@ -42,6 +44,8 @@ MIN_PAGES = 5  # different pages on which a node must be seen before it can be t
 SHARE = 0.8  # of them with one text
 LINKS = 0.6  # of a menu's characters that are links
 LAYOUTS = 8  # references of a host
+CONTENT = 0.8  # of the varying text of all pages lies below the node that holds the article
+BESIDE = 0.1  # of it lies in a slot beside that node, at most, if the slot is none of the article
 TOP = 3  # levels of the tree that make a layout
 
 _NAME = re.compile(r"/?([A-Za-z][^\s/>]*)")
@@ -49,6 +53,7 @@ _STOP = re.compile(r"[>\"']")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
+_HEADING = re.compile(r"h[1-6](?![\w-])")
 
 # Element names of HTML.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
@@ -120,8 +125,8 @@ def tokens(page: str) -> Iterator[tuple[int, int, str, str]]:
         yield lo, at, m.group().lower() if m else "", page[m.end() : stop.start()] if m else ""
 
 
-def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
-    """Tree of block elements (repeated siblings merged), and the page's blocks in order."""
+def parse(page: str, names: bool = True) -> tuple[Node, list[tuple[Node, str]]]:
+    """Tree of block elements (repeated siblings merged), and the page's blocks in order. Without names no element is marked by what it is called."""
     root = Node("", "", False, False)
     stack = [(root, "")]
     opened: Counter[str] = Counter()
@@ -182,6 +187,8 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
             kind = ""
         hard = top.hard or tag in SKIPPED and tag not in SOFT or kind == "comments"
         soft = top.soft and main <= top.main or tag in SOFT or kind == "other" or kind == "weak" and not top.main
+        if not names:
+            main = hard = soft = False
         label = f"{tag}.{marks[0]}" if marks else tag
         if top.kids and top.kids[-1].label == label and (top.kids[-1].hard, top.kids[-1].soft) == (hard, soft):
             node = top.kids[-1]  # a repeated sibling
@@ -387,9 +394,9 @@ def _digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(errors="replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def extract(page: str | None, references: Iterable[dict] | None = None) -> str:
+def extract(page: str | None, references: Iterable[dict] | None = None, names: bool = True) -> str:
     """Main text of a page, given its host's wrapper: layout, reference (a skeleton) and template (its template nodes and menus) of each layout, the most frequent first."""
-    root, blocks = parse(page or "")
+    root, blocks = parse(page or "", names)
     gone: set[int] = set()
     if references := list(references or ()):
         own = layout(root)
@@ -412,20 +419,39 @@ def beside(blocks: list[tuple[Node, str]]) -> dict[int, int]:
     return {id(n): two if id(n) == first[2] else one for n, _ in blocks if n.main}
 
 
+def beside_content(reference: Node, chars: dict[int, int]) -> set[int]:
+    """Slots beside the content, given the characters that vary in each slot over a host's pages, by the node's number.
+
+    The content is the deepest node with CONTENT of those characters below it. A slot
+    outside of it with BESIDE of them at most is none of the article; headings are.
+    """
+    order = preorder(reference)
+    below = {id(n): chars.get(k, 0) for k, n in enumerate(order)}
+    for n in reversed(order):
+        below[id(n)] += sum(below[id(c)] for c in n.kids)
+    total = below[id(reference)]
+    at = reference
+    while step := next((c for c in at.kids if below[id(c)] >= CONTENT * total), None) if total else None:
+        at = step
+    inside = {id(n) for n in preorder(at)}
+    return {k for k, n in enumerate(order) if k in chars and id(n) not in inside and chars[k] <= BESIDE * total and not _HEADING.match(n.label)}
+
+
 def host_of(url):
     """Lower-case host of a URL column, without port; null or odd URLs share the empty host."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
 
 
-def induce(pages: DataFrame) -> DataFrame:
+def induce(pages: DataFrame, names: bool = True) -> DataFrame:
     """Wrapper of each host of pages (host, html): host and references, the most frequent layout first."""
+    by_name = names
 
     def outline(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.int64()), ("page", pa.int64()), ("chars", pa.int64()), ("links", pa.int64())]))
         for batch in it:
             tops, bones, slots, whole = [], [], [], []
             for page in batch.column("html").to_pylist():
-                root, blocks = parse(page or "")
+                root, blocks = parse(page or "", by_name)
                 tops.append(layout(root))
                 bones.append(skeleton(root))
                 nodes = preorder(root)
@@ -459,18 +485,29 @@ def induce(pages: DataFrame) -> DataFrame:
     aligned = joined.mapInArrow(align, "host string, rank int, node int, text long, page long, chars long, links long").distinct()  # copies of a page count once
     counts = aligned.groupBy("host", "rank", "node", "text").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
     nodes = counts.groupBy("host", "rank", "node").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    decided = nodes.where((F.col("n") >= MIN_PAGES) & ((F.col("most") >= SHARE * F.col("n")) | (F.col("links") >= LINKS * F.col("chars"))))
-    template = decided.groupBy("host", "rank").agg(F.array_sort(F.collect_list("node")).alias("template"))
-    each = references.join(template, ["host", "rank"], "left")
+    decided = (F.col("most") >= SHARE * F.col("n")) | (F.col("links") >= LINKS * F.col("chars"))
+    known = nodes.where(F.col("n") >= MIN_PAGES).groupBy("host", "rank").agg(F.collect_list(F.struct("node", "chars", decided.alias("decided"))).alias("nodes"))  # as many as the reference has
+
+    def judge(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["host", "rank", "layout", "reference"]
+        for batch in it:
+            found = []
+            for reference, nodes in zip(batch.column("reference").to_pylist(), batch.column("nodes").to_pylist(), strict=True):
+                gone = {x["node"] for x in nodes or () if x["decided"]}
+                found.append(sorted(gone | beside_content(from_skeleton(reference), {x["node"]: x["chars"] for x in nodes or () if not x["decided"]})) or None)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.list_(pa.int32()))], names=[*names, "template"])
+
+    each = references.join(known, ["host", "rank"], "left").select("host", "rank", "layout", "reference", "nodes").mapInArrow(judge, "host string, rank int, layout string, reference string, template array<int>")
     wrappers = each.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "layout", "reference", "template"))).alias("references"))
     # only wrappers with template nodes change anything
     return wrappers.where(F.exists("references", lambda r: r["template"].isNotNull()))
 
 
-def extract_pages(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
+def extract_pages(pages: DataFrame, url: str = "url", page: str = "html", by_name: bool = True) -> DataFrame:
     """Every row of pages with text and n_chars (code points) in place of its html.
 
-    Null or empty html gives an empty text. Pages whose URL has no host share a wrapper.
+    Without by_name wrappers alone decide: names of elements and classes, article and main
+    elements too, mean nothing. Null or empty html gives an empty text. Pages whose URL has no host share a wrapper.
     Repeated rows each get a row and count once for their wrapper; empty pages give an empty
     table. Columns named like a result are replaced, others pass through.
     """
@@ -478,12 +515,12 @@ def extract_pages(pages: DataFrame, url: str = "url", page: str = "html") -> Dat
     keep = [c for c in pages.columns if c not in (page, *results)]
     names = [f"k{i}" for i in range(len(keep))]
     plain = bounded(pages).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{page}`").cast("string").alias("html"))
-    wrappers = written(induce(plain.select("host", "html")), "wrappers")
+    wrappers = written(induce(plain.select("host", "html"), by_name), "wrappers")
     kinds = "".join(f"{n} {plain.schema[n].dataType.simpleString()}, " for n in names)
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            texts = [extract(p, r) for p, r in zip(*(batch.column(c).to_pylist() for c in ("html", "references")), strict=True)]
+            texts = [extract(p, r, by_name) for p, r in zip(*(batch.column(c).to_pylist() for c in ("html", "references")), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*names, *results])
 
     out = plain.join(wrappers, "host", "left").select(*names, "html", "references").mapInArrow(run, f"{kinds}text string, n_chars long")

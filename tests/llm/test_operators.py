@@ -510,6 +510,23 @@ def test_wrappers_decide_where_nothing_is_named(spark):
     assert "Some site" in html_wrapper.extract(one(1)) and "Some site" in html_wrapper.extract(two(1))  # without a wrapper
 
 
+def test_wrappers_alone_give_the_same_texts(spark):
+    """With names and articles without a meaning, pages of hosts that have enough of them keep their texts; names alone agree."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
+    named = {r.page_id: r.text for r in html_wrapper.extract_pages(pages).collect()}
+    alone = {r.page_id: r.text for r in html_wrapper.extract_pages(pages, by_name=False).collect()}
+    assert sum(named[k] == alone[k] for k in named) >= 0.95 * len(named) > 0
+    assert all(html_wrapper.extract(r.html, names=False) != named[r.page_id] for r in pages.limit(50).collect())
+
+
+def test_slots_beside_the_content():
+    """The content is where the varying text is; short slots beside it go, long ones and headings stay."""
+    tree = html_wrapper.from_skeleton('[["", 1], ["body", 5], ["h1", 0], ["div.x", 0], ["div.c", 2], ["p", 0], ["ul", 0], ["div.long", 0], ["div.f", 0]]')
+    assert html_wrapper.beside_content(tree, {2: 30, 3: 40, 5: 3000, 6: 500, 7: 300, 8: 60}) == {3, 7, 8}
+    assert html_wrapper.beside_content(tree, {2: 30, 3: 40, 5: 3000, 6: 500, 7: 600, 8: 60}) == {3, 8}
+    assert html_wrapper.beside_content(tree, {}) == set()
+
+
 def test_pages_with_clashing_columns(spark):
     rows = [(k, "http://a.org/", f"<div>t</div><article>x{k}</article>", "h", "r", 1) for k in (1, 1, 2)] + [(None, None, None, None, None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, references string, n_chars int")
