@@ -8,14 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patentlake.llm import bpe, decontaminate, html_wrapper, media, minhash, phrases, pii, quality, quality_rules, records, suffix_dedup, tokens, trie
+from patentlake.sources.shared import size_of
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: bytes of a table for each core below which its rows are dealt anew
+SPLIT_BYTES = 4 << 20
+
+
+def _spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table; where it has fewer bytes than a small split for each core, and so perhaps one split, its rows are dealt to all cores."""
+    rows, cores = _table(spark, sf_dir, name).select(*columns), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if size_of(spark, f"{sf_dir}/{name}.parquet") < cores * SPLIT_BYTES else rows
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return tokens.count_tokens(_spread(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
