@@ -937,6 +937,18 @@ def flat_export(spark, sf_dir):
     return nesting.union_tagged(sheets, "sheet").select("pub_doc_id", "pos", "scheme_name", "symbol", "sheet")
 
 
+SHEETS = {"main": (flat_main, "publication_number"), "parties": (flat_parties, "pub_doc_id"), "priorities": (flat_priorities, "pub_doc_id"), "classifications": (flat_classifications, "pub_doc_id"), "citations": (flat_citations, "pub_doc_id"), "texts": (flat_texts, "pub_doc_id")}
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS sheet, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys FROM ({SQL[f.__name__]})" for n, (f, key) in SHEETS.items()))
+def export_sheets(spark, sf_dir):
+    """All six sheets written and read again: rows and keys of each."""
+    path = shared_folder(spark, "sheets")
+    sinks.export_flat({n: f(spark, sf_dir) for n, (f, _) in SHEETS.items()}, path)
+    rows = {n: spark.read.parquet(f"{path}/{n}").agg(F.count("*").alias("n_rows"), F.count_distinct(key).alias("n_keys")) for n, (_, key) in SHEETS.items()}
+    return nesting.union_tagged(rows, "sheet").select("sheet", "n_rows", "n_keys")
+
+
 # --- XML ----------------------------------------------------------------------------------
 
 ROOT = "`_country` string, `_doc-number` string, `_kind` string, `_doc-id` string, `_status` string, title string"
