@@ -39,16 +39,20 @@ PATHS = "path array<string>, parent string, key string, value string"
 
 
 def _local(name: str) -> str:
-    return name.rpartition("}")[2].rpartition(":")[2]
+    return name.rpartition("}")[2].rpartition(":")[2] if "}" in name or ":" in name else name
 
 
-def _taken(path: tuple[str, ...], name: str) -> bool:
-    """Whether a rule takes all that lies below a name at a path; the rules are those of `prune`."""
+_TAKEN = {p: frozenset((*HANDLED_KEYS, *ks)) for p, ks in {**HANDLED_PAIRS, None: KNOWN_ATTRIBUTES}.items()}
+_TAKEN_ANYWHERE = frozenset(HANDLED_KEYS)
+
+
+def _taken(path: tuple[str, ...]) -> frozenset[str]:
+    """Names at a path below which a rule takes all; the rules are those of `prune`."""
     parent = next((s for s in reversed(path) if not s.startswith("[")), None)
-    return name in HANDLED_KEYS or (name in KNOWN_ATTRIBUTES if parent is None else name in HANDLED_PAIRS.get(parent, ()))
+    return _TAKEN.get(parent, _TAKEN_ANYWHERE)
 
 
-def _leaves(node: ElementTree.Element, path: tuple[str, ...] = (), depth: int = 0, taken: Callable[[tuple[str, ...], str], bool] = lambda *_: False) -> Iterator[tuple[tuple[str, ...], str | None]]:
+def _leaves(node: ElementTree.Element, path: tuple[str, ...] = (), depth: int = 0, taken: Callable[[tuple[str, ...]], frozenset[str]] = lambda _: frozenset()) -> Iterator[tuple[tuple[str, ...], str | None]]:
     """Leaves of an XML tree in order; `[k]` steps tell repeated names apart.
 
     Text between children is `#text` before the first and `name#tail` after the last child
@@ -58,33 +62,41 @@ def _leaves(node: ElementTree.Element, path: tuple[str, ...] = (), depth: int =
     if depth > MAX_DEPTH:
         yield path, None
         return
-    times = Counter([*map(_local, node.attrib), *(_local(c.tag) for c in node)])
+    out = taken(path)
+    attributes, children = [*map(_local, node.attrib)], [_local(c.tag) for c in node]
+    times = Counter(attributes + children) if len({*attributes, *children}) < len(attributes) + len(children) else None  # where a name comes again
     seen: Counter[str] = Counter()
 
     def step(name: str) -> tuple[str, ...]:
+        if times is None or times[name] == 1:
+            return (*path, name)
         seen[name] += 1
-        return (*path, name) if times[name] == 1 else (*path, name, f"[{seen[name] - 1}]")
+        return (*path, name, f"[{seen[name] - 1}]")
 
-    for k, v in node.attrib.items():
-        if not taken(path, _local(k)):
-            yield step(_local(k)), v
+    for name, v in zip(attributes, node.attrib.values(), strict=True):
+        if name not in out:
+            yield step(name), v
     tails = {}
-    for child in node:
-        if not taken(path, _local(child.tag)):
-            yield from _leaves(child, step(_local(child.tag)), depth + 1, taken)
-        if tail := (child.tail or "").strip():
-            tails[f"{_local(child.tag)}#tail"] = tail
+    for name, child in zip(children, node, strict=True):
+        if name not in out:
+            yield from _leaves(child, step(name), depth + 1, taken)
+        if child.tail and (tail := child.tail.strip()):
+            tails[f"{name}#tail"] = tail
     for name, tail in tails.items():
         yield (*path, name), tail
     text = (node.text or "").strip()
     if text:
-        yield ((*path, "#text") if times else path), text
-    elif not times:
+        yield ((*path, "#text") if attributes or children else path), text
+    elif not attributes and not children:
         yield path, None
 
 
-def xml_paths(records: DataFrame, record: str, xml: str) -> DataFrame:
-    """Path rows of XML records, whose ids may be of any type; values stay text, empty elements are null, broken records give no rows."""
+def xml_paths(records: DataFrame, record: str, xml: str, all_paths: bool = True) -> DataFrame:
+    """Path rows of XML records, whose ids may be of any type; values stay text, empty elements are null, broken records give no rows.
+
+    Without all_paths, blocks that the rules of `prune` take whole aren't walked: it keeps the same rows of either.
+    """
+    taken = {} if all_paths else {"taken": _taken}
 
     def run(it: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -94,7 +106,7 @@ def xml_paths(records: DataFrame, record: str, xml: str) -> DataFrame:
                     root = ElementTree.fromstring(text or "")
                 except ElementTree.ParseError:
                     continue
-                for path, value in _leaves(root):
+                for path, value in _leaves(root, **taken):
                     steps = [p for p in path if not p.startswith("[")]
                     rows.append((rid, list(path), steps[-2] if len(steps) > 1 else None, steps[-1] if steps else None, value))
             yield pd.DataFrame(rows, columns=["record", "path", "parent", "key", "value"])
