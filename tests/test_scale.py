@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from patentlake.operators import extra
 from patentlake.plans import queries
+from patentlake.sources import xml
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,3 +21,18 @@ def test_pruned_walk_gives_the_rows_that_prune_keeps(spark):
 def test_record_text_is_made_once(spark):
     found = queries.first_match(spark, SF)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("to_xml(") == 1
+
+
+def test_firsts_are_picked_once(spark):
+    parsed = xml.parse_records(spark.createDataFrame([("<exchange-document country='US'/>",)], "x string"), "x")
+    name = F.col("bibliographic-data")["application-reference"]
+    plan = parsed.select(name.alias("a"), F.size(name).alias("b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 2
+
+
+def test_voids_in_any_case(spark):
+    from patentlake.functions import scalars as S
+
+    rows = spark.createDataFrame([("cv", "Yes"), ("Dv", "yeſ"), ("CV ", "NO"), (None, None), ("D", "ye")], "s string, r string")
+    assert [tuple(r) for r in rows.select(S.is_void(F.col("s")), S.representative(F.col("r"))).collect()] == [(True, True), (True, True), (False, False), (False, False), (False, False)]
+    assert set(S.any_case("CV")) == {"CV", "Cv", "cV", "cv"}
