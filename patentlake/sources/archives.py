@@ -55,35 +55,29 @@ def _stream(handle: io.BufferedIOBase, tag: str) -> Iterator[str]:
     begun = re.compile(rf"<(?:[\w.-]+:)?{re.escape(tag)}[\s/]")
     block = handle.read(BLOCK)
     text = codecs.getincrementaldecoder(_encoding(block[:200]))()
-    held, parts, closing = "", [], None  # parts: of a record that is open, without the end that a closing tag may begin in
+    held, at, parts, closing = "", 0, [], None  # at: of what is held, read so far; parts: of a record that is open, without the end that a closing tag may begin in
     while block:
-        held += text.decode(block)
+        held, at = held[at:] + text.decode(block), 0
         while True:
-            if closing is None:
-                m = opening.search(held)
-                if m is None:
-                    last = held.rfind("<")  # of a tag that may go on
-                    held = held[last:] if last >= 0 and ">" not in held[last:] else ""
-                    break
-                if m.group().endswith("/>"):
-                    yield m.group()
-                else:
-                    closing, parts = re.compile(rf"</{re.escape(m[1])}\s*>"), [m.group()]
-                held = held[m.end() :]
+            m = (opening if closing is None else closing).search(held, at)
+            if m is None:
+                last = held.rfind("<", at)  # of a tag that may go on
+                upto = last if last >= 0 and held.find(">", last) < 0 else len(held)
+                if closing is not None:
+                    parts.append(held[at:upto])
+                at = upto
+                break
+            if closing is not None:
+                yield "".join([*parts, held[at : m.end()]])
+                parts, closing = [], None
+            elif m.group().endswith("/>"):
+                yield m.group()
             else:
-                m = closing.search(held)
-                if m is None:
-                    last = held.rfind("<")
-                    if last >= 0 and ">" not in held[last:]:
-                        parts, held = [*parts, held[:last]], held[last:]
-                    else:
-                        parts, held = [*parts, held], ""
-                    break
-                yield "".join([*parts, held[: m.end()]])
-                held, parts, closing = held[m.end() :], [], None
+                closing, parts = re.compile(rf"</{re.escape(m[1])}\s*>"), [m.group()]
+            at = m.end()
         block = handle.read(BLOCK)
     text.decode(b"", True)
-    if closing is not None or begun.search(held):
+    if closing is not None or begun.search(held, at):
         raise CutOff("the member ends within a record")
 
 
@@ -229,6 +223,12 @@ def list_members(files: DataFrame) -> DataFrame:
     return files.select("path").mapInPandas(run, "path string, names array<string>, error string")
 
 
+def dealt(members: DataFrame) -> DataFrame:
+    """Members of list_members over all tasks: their rows are small, and without a number adaptive execution would leave them in one."""
+    spark = members.sparkSession
+    return members.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "path", "names")
+
+
 def read_members(members: DataFrame, tag: str = "exchange-document") -> DataFrame:
     """Records of members from list_members; each member is one row to deal to tasks, and its archive is read by seeks, never whole."""
 
@@ -258,7 +258,7 @@ def read_archives(spark: SparkSession, folder: str, tag: str = "exchange-documen
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
     scheme = folder.partition(":")[0] if ":" in folder else spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.get(spark.sparkContext._jsc.hadoopConfiguration()).getScheme()
     if scheme in _SEEKABLE:
-        return read_members(list_members(files).repartition("path", "names"), tag)
+        return read_members(dealt(list_members(files)), tag)
 
     def run(it: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows() -> Iterator[tuple]:
@@ -281,25 +281,34 @@ def read_archives(spark: SparkSession, folder: str, tag: str = "exchange-documen
 def write_archives(rows: DataFrame, folder: str, name: str, record: str, tag: str = "exchange-documents") -> None:
     """A zip below folder for each name (which may hold sub-folders), with the records of that name in one XML file.
 
-    Every second archive, by the hash of its name, lies in another one. An archive is as
-    large as its records: names are the caller's way to bound it.
+    Every second archive, by the hash of its name, lies in another one. An archive is
+    written by one task as its records come, a batch at a time, however many there are.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        of = pdf["name"].iloc[0]
-        inner, outer = io.BytesIO(), io.BytesIO()
-        with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("records.xml", f"<{tag}>{''.join(pdf['record'])}</{tag}>")
-        if pdf["nested"].iloc[0]:
-            with zipfile.ZipFile(outer, "w") as z:
-                z.writestr("inner.zip", inner.getvalue())
-        store, root = fs.FileSystem.from_uri(folder)
-        path = f"{root}/{of}.zip"
-        store.create_dir(path.rpartition("/")[0], recursive=True)
-        with store.open_output_stream(path) as out:
-            out.write((outer if pdf["nested"].iloc[0] else inner).getvalue())
-        return pd.DataFrame({"path": [path]})
+    @contextlib.contextmanager
+    def member(path: str, nested: bool) -> Iterator[IO[bytes]]:
+        with contextlib.ExitStack() as stack:
+            store, root = fs.FileSystem.from_uri(folder)
+            store.create_dir(f"{root}/{path}".rpartition("/")[0], recursive=True)
+            out = stack.enter_context(store.open_output_stream(f"{root}/{path}"))
+            if nested:
+                out = stack.enter_context(stack.enter_context(zipfile.ZipFile(out, "w")).open("inner.zip", "w", force_zip64=True))
+            handle = stack.enter_context(stack.enter_context(zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)).open("records.xml", "w", force_zip64=True))
+            handle.write(f"<{tag}>".encode())
+            yield handle
+            handle.write(f"</{tag}>".encode())
+
+    def run(it: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with contextlib.ExitStack() as stack:
+            of, handle = None, None
+            for pdf in it:
+                for path, some in pdf.groupby("name", sort=False):
+                    if path != of:
+                        stack.close()
+                        of, handle = path, stack.enter_context(member(f"{path}.zip", bool(some["nested"].iloc[0])))
+                    handle.write("".join(some["record"]).encode())
+        yield pd.DataFrame({"path": pd.Series([], dtype=str)})
 
     named = rows.select(F.col(name).alias("name"), F.col(record).alias("record"), (F.pmod(F.xxhash64(name), F.lit(2)) == 1).alias("nested"))
-    written = named.groupBy("name").applyInPandas(run, "path string")
+    written = named.repartition("name").sortWithinPartitions("name").mapInPandas(run, "path string")
     written.write.format("noop").mode("overwrite").save()

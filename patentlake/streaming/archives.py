@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from patentlake.functions.scalars import archive_rank, basename
 from patentlake.operators.ranking import ranked
-from patentlake.sources.archives import ARCHIVE_ROWS, list_members, read_members
+from patentlake.sources.archives import ARCHIVE_ROWS, dealt, list_members, read_members
 from patentlake.sources.shared import children, exists
 
 LEDGER = "path string, member string, n_records long, status string, error string, data string"
@@ -50,7 +50,7 @@ def take(spark: SparkSession, files: DataFrame, out: str, tag: str = "exchange-d
     for first in range(1, last + 1, size):
         some = todo.where(F.col("place").between(first, first + size - 1))
         name = uuid.uuid4().hex
-        read_members(some.select("path", "names", "error").repartition("path", "names"), tag).write.parquet(f"{out}/data/{name}")
+        read_members(dealt(some.select("path", "names", "error")), tag).write.parquet(f"{out}/data/{name}")
         found = spark.read.schema(ARCHIVE_ROWS).parquet(f"{out}/data/{name}").groupBy("path", "member").agg(F.count("record_xml").alias("n_records"), F.max("error").alias("error"))
         taken = some.select("path", "member").alias("s").join(found.alias("f"), (F.col("s.path") == F.col("f.path")) & F.col("s.member").eqNullSafe(F.col("f.member")), "left")
         status = F.when(F.col("error").isNull(), "COMPLETED").otherwise("FAILED")

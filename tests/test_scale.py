@@ -1,11 +1,14 @@
 """What must not grow faster than the input."""
 
+import io
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from patentlake.operators import extra
 from patentlake.plans import queries
-from patentlake.sources import xml
+from patentlake.sources import archives, xml
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,3 +39,18 @@ def test_voids_in_any_case(spark):
     rows = spark.createDataFrame([("cv", "Yes"), ("Dv", "yeſ"), ("CV ", "NO"), (None, None), ("D", "ye")], "s string, r string")
     assert [tuple(r) for r in rows.select(S.is_void(F.col("s")), S.representative(F.col("r"))).collect()] == [(True, True), (True, True), (False, False), (False, False), (False, False)]
     assert set(S.any_case("CV")) == {"CV", "Cv", "cV", "cv"}
+
+
+def test_small_records_of_large_members_take_linear_time():
+    text = b"<d>" + b"<r k='1'>x</r>" * 600_000 + b"</d>"
+    began = time.process_time()
+    assert sum(1 for _ in archives._stream(io.BytesIO(text), "r")) == 600_000
+    assert time.process_time() - began < 12
+
+
+def test_members_are_dealt_to_many_tasks(spark, tmp_path):
+    rows = spark.range(60).select(F.concat(F.lit("n"), F.pmod("id", F.lit(20))).alias("name"), F.concat(F.lit("<r k='"), "id", F.lit("'>é</r>")).alias("x"))
+    archives.write_archives(rows, f"file://{tmp_path}/a", "name", "x")
+    found = archives.read_archives(spark, f"file://{tmp_path}/a", tag="r").withColumn("task", F.spark_partition_id()).collect()
+    assert len(found) == 60 and {r.error for r in found} == {None} and {r.member for r in found} == {"records.xml", "inner.zip/records.xml"}
+    assert len({r.task for r in found}) > 1
