@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from patentlake.functions import scalars as S
 from patentlake.operators.extra import split_extra
+from patentlake.sources.xml import RECORD, parse_records
 
 _B = "bibliographic-data"
 
@@ -128,7 +130,8 @@ def wide_rows(records: DataFrame, keep_void_stubs: bool = False) -> DataFrame:
             F.transform(_list(c["rel-passage"]), lambda r: F.struct(r["category"].alias("category"), r["rel-claims"].alias("rel_claims"), r["passage"].alias("passage_text"))).alias("passages"),
         ),
     )
-    dated = F.transform(_list(_children(b["dates-of-public-availability"])), lambda x: F.struct(x["name"].alias("availability_type"), S.parse_date(F.get(_inner(x["content"], "date"), F.lit(0))).alias("availability_date")))
+    said = F.transform(_list(_children(b["dates-of-public-availability"])), lambda x: F.struct(x["name"].alias("name"), F.get(_inner(x["content"], "date"), F.lit(0)).alias("date")))
+    dated = F.transform(said, lambda x: F.struct(x["name"].alias("availability_type"), S.parse_date(x["date"]).alias("availability_date")))
     dates = F.filter(dated, lambda d: d["availability_date"].isNotNull())
     text = lambda kind, lang, fmt, source, content: F.struct(F.lit(kind).alias("text_type"), lang.alias("lang"), fmt.alias("format_type"), source.alias("source"), content.alias("content"))
     titles = F.transform(_list(b["invention-title"]), lambda t: text("TITLE", t["_lang"], t["_data-format"], F.lit(None).cast("string"), F.trim(F.get(t["_VALUE"], F.lit(0)))))
@@ -150,3 +153,34 @@ def wide_rows(records: DataFrame, keep_void_stubs: bool = False) -> DataFrame:
         F.struct(_best(_first(_list(b["parties"]["applicants"]["applicant"]), "applicant")).alias("applicants"), _best(_first(_list(b["parties"]["inventors"]["inventor"]), "inventor")).alias("inventors"), F.array().cast(PARTIES).alias("others")).alias("parties"),
         priorities.alias("priorities"), classifications.alias("classifications"), citations.alias("citations"), texts.alias("texts"), designations.alias("designations"), dates.alias("availability_dates"), *extra,
     )
+
+
+# What columns of wide rows are made from, beside the root's attributes: children of the bibliographic data, and the abstract.
+_MADE_FROM = {
+    **dict.fromkeys(("app_doc_id", "app_country", "app_number", "app_kind_code", "app_date"), ("application-reference",)),
+    "parties": ("parties",), "priorities": ("priority-claims",), "classifications": ("patent-classifications",), "citations": ("references-cited",), "designations": ("designation-of-states",),
+    "availability_dates": ("dates-of-public-availability",), "is_grant": ("dates-of-public-availability",), "texts": ("invention-title", "abstract"),
+}
+
+
+def wide_columns(rows: DataFrame, xml: str, *columns: str) -> DataFrame:
+    """Some columns of the wide rows of a column of XML, of every record that isn't void.
+
+    Each record is read to its end, but only blocks that these columns are made from are
+    parsed into fields; what is odd in another block doesn't matter here.
+    """
+    schema = StructType.fromDDL(RECORD)
+    needed = {block for c in columns for block in _MADE_FROM.get(c, ())}
+    blocks = schema[_B].dataType
+    parsed = StructType([f for f in schema if f.name.startswith("_") or f.name in needed])
+    if inside := [f for f in blocks if f.name in needed]:
+        parsed.add(StructField(_B, StructType(inside)))
+    records = parse_records(rows, xml, parsed)
+    # the others are there, and null, for wide_rows to name
+    of = lambda f: F.col(f"`{_B}`")[f.name] if f.name in needed else F.lit(None).cast(f.dataType)
+    whole = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in parsed.names}
+    records = records.withColumns(whole | {_B: F.struct(*(of(f).alias(f.name) for f in blocks))})
+    open_ = {"app_extra_data", "pub_extra_data"} & set(columns)
+    wide = wide_rows(records if open_ else records.drop("record_xml"))
+    # by inline, so that they are made once and not for each use
+    return wide.select(F.inline(F.array(F.struct(*columns))))

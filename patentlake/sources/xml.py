@@ -65,8 +65,8 @@ def _firsts(rows: DataFrame, schema: StructType, keep: tuple[str, ...]) -> DataF
     return rows.select(*keep, *(_first_of(at(f), f.dataType).alias(f.name) for f in schema))
 
 
-def _of(schema: str) -> StructType:
-    return StructType.fromDDL(schema)
+def _of(schema: str | StructType) -> StructType:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
 def read_records(spark: SparkSession, path: str, row_tag: str = ROW_TAG, schema: str = RECORD, glob: str | None = None) -> DataFrame:
@@ -148,7 +148,7 @@ def decode_entities(xml: Column, entities: Mapping[str, str]) -> Column:
     return F.when(xml.rlike(rf"&(?!(?:{'|'.join(OWN_ENTITIES)});)[A-Za-z_]"), run(xml)).otherwise(xml) if known else xml
 
 
-def parse_records(rows: DataFrame, xml: str, schema: str = RECORD, keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_records(rows: DataFrame, xml: str, schema: str | StructType = RECORD, keep: tuple[str, ...] = ()) -> DataFrame:
     """Records from a column of XML strings, which stay beside them as record_xml, without element prefixes.
 
     Of elements that the schema has once the first counts.

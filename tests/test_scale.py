@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from patentlake.operators import extra
 from patentlake.plans import queries
-from patentlake.sources import archives, entities, xml
+from patentlake.sources import archives, entities, extract, xml
+
+from .test_library import RECORD, VOID
 
 SF = "/root/testdata/sf0.001"
 
@@ -78,3 +80,17 @@ def test_splits_are_bounded(spark, monkeypatch):
     with pytest.raises(ZeroDivisionError):
         queries._scanned(spark, SF)
     assert seen == [(1 << 40) // queries.SPLITS]
+
+
+def test_wide_columns_are_those_of_wide_rows(spark):
+    rows = spark.createDataFrame([(RECORD,), (VOID,), (RECORD.replace('kind="B1"', 'kind="A1"').replace(' doc-id="9"', ""),), ("<exchange-document/>",), ("cut",)], "x string")
+    whole = extract.wide_rows(xml.parse_records(rows, "x"))
+    at = lambda df: sorted(map(str, df.collect()))
+    for columns in ("pub_doc_id", "availability_dates"), ("is_grant", "texts"), ("parties", "priorities", "app_date"), ("classifications", "citations", "designations"), ("app_extra_data", "pub_doc_id"), tuple(whole.columns):
+        assert at(extract.wide_columns(rows, "x", *columns)) == at(whole.select(*columns)) != []
+
+
+def test_dates_are_read_without_the_other_blocks(spark):
+    plan = queries.avail_unpivot(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == 1 and "references-cited" not in plan[plan.index("from_xml(") :].split("ignoreSurroundingSpaces")[0]
+    assert "PythonUDF" not in plan and plan.count("regexp_extract_all(") <= 3  # each once: names, contents, dates
