@@ -94,3 +94,11 @@ def test_dates_are_read_without_the_other_blocks(spark):
     plan = queries.avail_unpivot(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml(") == 1 and "references-cited" not in plan[plan.index("from_xml(") :].split("ignoreSurroundingSpaces")[0]
     assert "PythonUDF" not in plan and plan.count("regexp_extract_all(") <= 3  # each once: names, contents, dates
+
+
+def test_text_elements_are_not_walked():
+    asked = []
+    root = extra.ElementTree.fromstring("<r k='1'>" + "<a>x</a>t<b/>" * 50 + "<c d='2'/></r>")
+    rows = extra._leaves(root, lambda parent: asked.append(parent) or frozenset())
+    assert asked == [None, "c"]
+    assert rows[:3] == [(("k",), "1"), (("a", "[0]"), "x"), (("b", "[0]"), None)] and rows[-2:] == [(("c", "d"), "2"), (("a#tail",), "t")] and len(rows) == 103
