@@ -192,6 +192,30 @@ def test_scans_keep_order(spark, tmp_path, split, prefix):
     assert got == {f: list(enumerate(xs, 1)) for f, xs in names.items()}
 
 
+def test_each_file_is_cut_at_its_own_prefix(spark, tmp_path):
+    """Whatever prefix a file has, and whatever its name, its records are dealt to ranges and no line holds many."""
+    names = {"a.xml": "exch:", "b [1] 5%25.xml": "", "c{d}.xml": "x-y.z:", "e.xml": "exch:"}
+    for name, p in names.items():
+        (tmp_path / name).write_text("<d>" + "".join(f'<{p}exchange-document kind="{i}">the exchange-document {i}</{p}exchange-document>' for i in range(200)) + "</d>")
+    (tmp_path / "f.xml").write_text("<d><q:exchange-document>the exchange-document </q:exchange-document></d>")
+    (tmp_path / "g.xml").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 2000)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        rows = record_scan.scan_records(spark, f"file://{tmp_path}").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    by_file = {}
+    for r in sorted(rows, key=lambda r: [r[c] for c in record_scan.ORDER]):
+        by_file.setdefault(r.path_, []).append(r)
+    assert sorted(map(len, by_file.values())) == [1, 200, 200, 200, 200] and {r.error for r in rows} == {None}
+    for of in by_file.values():
+        if len(of) > 1:
+            assert [re.search('kind="([0-9]+)"', r.record_xml)[1] for r in of] == [str(i) for i in range(200)]
+            assert len({r.block_ for r in of}) > 4
+
+
 def test_scanned_records_keep_unknown_fields(spark, tmp_path):
     (tmp_path / "a.xml").write_text(FILE.replace('status="C"', 'status="C" mood="odd"'))
     scanned = record_scan.scan_records(spark, f"file://{tmp_path}")
