@@ -102,3 +102,33 @@ def test_text_elements_are_not_walked():
     rows = extra._leaves(root, lambda parent: asked.append(parent) or frozenset())
     assert asked == [None, "c"]
     assert rows[:3] == [(("k",), "1"), (("a", "[0]"), "x"), (("b", "[0]"), None)] and rows[-2:] == [(("c", "d"), "2"), (("a#tail",), "t")] and len(rows) == 103
+
+
+ODD = [
+    RECORD, VOID, "<exchange-document/>", "cut", "<exchange-document country='US'><abstract><p>x</abstract><note>n</note></exchange-document>",
+    "<d kind='A'><abstract>&foo;</abstract><note>n</note></d>", "<d kind='A'><!-- <abstract> --><note>n</note><abstract>x</abstract></d>", "<d kind='A'><note><![CDATA[<abstract>]]></note><abstract>x</abstract></d>",
+    "<d kind='A'><abstract a='x'><b><abstract>x</abstract><note>n</note></b></abstract> tail <note>m</note></d>", "<d kind='A'><abstract a='/>'><note>n</note></abstract>tail<abstract/>t<note abstract='1' b='&lt;'>m &amp; n</note></d>",
+    "<d kind='A'><bibliographic-data><application-reference doc-id='1' odd='2'><document-id doc-id=\"1\"><country>US</country><odd>1</odd></document-id><document-id><kind>A</kind></document-id>t</application-reference></bibliographic-data></d>",
+    "<d kind='A'><p><priority-claim sequence=\"1\"><document-id><date x='1'>2</date></document-id></priority-claim><priority-claim sequence=\"1\" odd=\"3\"><document-id><date>2</date></document-id>t</priority-claim><priority-claim><document-id><date>2</date> t</document-id></priority-claim></p></d>",
+    "<d kind='A'><p><priority-claim sequence=\"1\"><document-id><date>2</date></document-id><priority-active-indicator>Y</priority-active-indicator></priority-claim><priority-claim><odd>1</odd></priority-claim></p></d>",
+]
+
+
+def test_known_blocks_are_taken_out_of_the_text(spark):
+    """What is left of a record gives the same unknown fields, and is short."""
+    rows = spark.createDataFrame([(t,) for t in ODD], "x string")
+    wide = extract.wide_rows(xml.parse_records(rows, "x"), keep_void_stubs=True).select("source_status", "app_extra_data", "pub_extra_data").collect()
+    assert [r[1:] for r in wide if r[0] != "SKIP"] == [extra._split_of(t) for t in ODD if t != VOID]
+    records = queries._record_xml(spark, SF).select("record_xml", extra.without_blocks(F.col("record_xml")).alias("short")).limit(50).collect()
+    assert all(extra._split_of(r.short) == extra._split_of(r.record_xml) and "<text>" not in r.short for r in records)
+
+
+def test_records_are_put_together_as_text(spark):
+    """to_xml writes the root alone; texts are escaped, nulls left out."""
+    plan = queries._record_xml(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bibliographic-data" not in plan[plan.index("to_xml(") :].split("rowTag")[0]
+    row = spark.createDataFrame([("a<b>&\"c'", None)], "t string, n string")
+    text = xml.element("r", {"k": xml.escaped(F.col("t")), "n": F.col("n")}, xml.leaf("x", xml.escaped(F.col("t"))), xml.leaf("y", F.col("n")), F.array(xml.leaf("z", F.lit("1")), xml.leaf("z", F.col("n")), F.lit("<z/>")))
+    (written,) = row.select(text).first()
+    root = extra.ElementTree.fromstring(written)
+    assert root.attrib == {"k": "a<b>&\"c'"} and [(e.tag, e.text) for e in root] == [("x", "a<b>&\"c'"), ("z", "1"), ("z", None)]
