@@ -110,6 +110,8 @@ ODD = [
     "<d kind='A'><abstract a='x'><b><abstract>x</abstract><note>n</note></b></abstract> tail <note>m</note></d>", "<d kind='A'><abstract a='/>'><note>n</note></abstract>tail<abstract/>t<note abstract='1' b='&lt;'>m &amp; n</note></d>",
     "<d kind='A'><bibliographic-data><application-reference doc-id='1' odd='2'><document-id doc-id=\"1\"><country>US</country><odd>1</odd></document-id><document-id><kind>A</kind></document-id>t</application-reference></bibliographic-data></d>",
     "<d kind='A'><p><priority-claim sequence=\"1\"><document-id><date x='1'>2</date></document-id></priority-claim><priority-claim sequence=\"1\" odd=\"3\"><document-id><date>2</date></document-id>t</priority-claim><priority-claim><document-id><date>2</date> t</document-id></priority-claim></p></d>",
+    "<d kind='A'><p><a/><b/></p>t<p><a/> x</p><p><q><a/><a>1</a></q><q><a/></q></p><p><application-reference doc-id=\"1\"><document-id/></application-reference><z/></p></d>",
+    "<d kind='A'><p>" + "<a/>" * 50_000 + "</p><document-id>" + "<date>1</date>" * 50_000 + "</document-id><note>n</note></d>",
     "<d kind='A'><p><priority-claim sequence=\"1\"><document-id><date>2</date></document-id><priority-active-indicator>Y</priority-active-indicator></priority-claim><priority-claim><odd>1</odd></priority-claim></p></d>",
 ]
 
@@ -132,3 +134,25 @@ def test_records_are_put_together_as_text(spark):
     (written,) = row.select(text).first()
     root = extra.ElementTree.fromstring(written)
     assert root.attrib == {"k": "a<b>&\"c'"} and [(e.tag, e.text) for e in root] == [("x", "a<b>&\"c'"), ("z", "1"), ("z", None)]
+
+
+@pytest.mark.parametrize("name", ["biblio_full", "flat_main"])
+def test_bibliographies_read_the_blocks_they_need(spark, monkeypatch, name):
+    """Without stored wide rows only the blocks that the query needs are parsed, no unknown fields are looked for, and the rows are the same."""
+    at = lambda: sorted(map(str, queries.QUERIES[name](spark, SF).collect()))
+    plans = []
+    keep = queries.ranking.stored
+    monkeypatch.setattr(queries.ranking, "stored", lambda rows, n: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or keep(rows, n))
+    monkeypatch.setattr(queries, "_STORED", {})
+    found, made = at(), dict(queries._STORED)
+    plan = (plans or [queries.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()])[0]
+    assert made == {} and "split_extra" not in plan and "PythonUDF" not in plan and "run(" not in plan
+    parsed = plan[plan.index("from_xml(") :].split("ignoreSurroundingSpaces")[0]
+    assert "designation-of-states" not in parsed and ("references-cited" in parsed) == (name == "flat_main")
+    queries._wide(spark, SF)
+    assert at() == found != []
+
+
+def test_documents_are_read_once(spark):
+    plan = queries.biblio_document(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and "get_json_object" not in plan
