@@ -156,3 +156,12 @@ def test_bibliographies_read_the_blocks_they_need(spark, monkeypatch, name):
 def test_documents_are_read_once(spark):
     plan = queries.biblio_document(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1 and "get_json_object" not in plan
+
+
+def test_counted_blocks_have_as_many_rows(spark):
+    odd = "<exchange-document kind='A' status='C'><bibliographic-data><priority-claims><priority-claim data-format='docdb' sequence='1'><document-id doc-id='1'/></priority-claim><priority-claim data-format='docdb' sequence='1'><document-id><date>1</date></document-id></priority-claim><priority-claim data-format='docdb'><document-id/></priority-claim><priority-claim data-format='docdb' sequence='2'/></priority-claims><patent-classifications><patent-classification/><patent-classification scheme='x'><text> a </text></patent-classification><patent-classification><classification-symbol/></patent-classification></patent-classifications><references-cited><citation/><citation sequence='1'/><citation><patcit/></citation><citation><nplcit><text>x</text></nplcit></citation></references-cited></bibliographic-data></exchange-document>"
+    rows = spark.createDataFrame([(t,) for t in (RECORD, VOID, odd, "<exchange-document/>", "cut")], "x string")
+    counted = ("priorities", "classifications", "citations")
+    sizes = lambda df: sorted(map(str, df.select("pub_doc_id", *(F.size(c) for c in counted), "parties", F.col("designations").isNull()).collect()))
+    whole = extract.wide_rows(xml.parse_records(rows, "x")).withColumn("designations", F.lit(None))
+    assert sizes(extract.wide_blocks(rows, "x", "parties", counted=counted)) == sizes(whole) != []
